@@ -1 +1,344 @@
-"""Registered queries (filled in below)."""
+"""Registered data-quality queries (Q1-Q18) and their DuckDB twins."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.casts import safe_timestamp
+from ..operators import quality
+from ..operators.quality import Check
+from . import checks as C
+from . import oracle
+from .models import MODEL_NAMES, Models
+from .registry import query
+
+
+# ---------------------------------------------------------------- Spark side
+def frames(m: Models) -> dict[str, DataFrame]:
+    out = {"wf_case": m.raw.cases, "wf_task": m.raw.tasks, "wf_assignment": m.raw.assignments,
+           "wf_events": m.raw.events}
+    out.update({name: m.get(name) for name in MODEL_NAMES})
+    return out
+
+
+def loads(m: Models) -> DataFrame:
+    """``(source, loaded_at)`` for every raw row; event load times are parsed text."""
+    parts = [
+        m.raw.cases.select(F.lit("wf_case").alias("source"), F.col("ingestion_timestamp").alias("loaded_at")),
+        m.raw.tasks.select(F.lit("wf_task").alias("source"), F.col("ingestion_timestamp").alias("loaded_at")),
+        m.raw.assignments.select(F.lit("wf_assignment").alias("source"),
+                                 F.col("ingestion_timestamp").alias("loaded_at")),
+        m.raw.events.select(F.lit("wf_events").alias("source"),
+                            safe_timestamp("ingestion_timestamp").alias("loaded_at")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
+    m = Models(spark, sf_dir)
+    return quality.with_status(quality.run_checks(frames(m), checks))
+
+
+def freshness_frame(m: Models) -> DataFrame:
+    return quality.freshness(loads(m), error_after_hours=C.FRESHNESS_ERROR_HOURS)
+
+
+def volume_frame(m: Models) -> DataFrame:
+    return quality.volume_anomalies(loads(m), C.ANOMALY_TRAINING_DAYS, C.ANOMALY_SENSITIVITY,
+                                    C.FAIL_ON_ZERO)
+
+
+def drift_profile(m: Models) -> DataFrame:
+    ev = m.raw.events
+    day = F.to_date(safe_timestamp("ingestion_timestamp"))
+    return quality.payload_profile(ev, day).unionByName(
+        quality.column_profile(ev, day, ["event_time", "ingestion_timestamp", "event_type",
+                                         "event_properties"]))
+
+
+def degraded_status(m: Models) -> DataFrame:
+    """Q17: per mart, whether an upstream source check failed, why, and the last load."""
+    spark = m.spark
+    fresh = freshness_frame(m)
+    fails = [
+        fresh.select("source", F.lit("freshness").alias("check_name"),
+                     (F.col("status") == "error").alias("failed")),
+        volume_frame(m).where("is_detection_day").select(
+            "source", F.lit("volume_anomaly").alias("check_name"),
+            F.coalesce("is_anomaly", F.lit(False)).alias("failed")),
+        quality.run_checks(frames(m), C.checks_of(layer=C.SOURCE)).select(
+            F.col("model").alias("source"), "check_name", (F.col("failures") > 0).alias("failed")),
+    ]
+    status = reduce(DataFrame.unionByName, fails)
+    lineage = spark.createDataFrame(
+        [(mart, src) for mart, srcs in C.MART_LINEAGE.items() for src in srcs],
+        "mart string, source string")
+    joined = lineage.join(status, "source").join(
+        fresh.select("source", "max_loaded_at"), "source")
+    reason = F.concat_ws(", ", F.array_sort(F.collect_set(
+        F.when(F.col("failed"), F.concat_ws(":", "source", "check_name")))))
+    agg = joined.groupBy("mart").agg(
+        F.max(F.col("failed").cast("int")).alias("_d"), reason.alias("_r"),
+        F.min("max_loaded_at").alias("last_loaded_at"))
+    return agg.select("mart", (F.col("_d") == 1).alias("is_degraded"),
+                      F.when(F.col("_d") == 1, F.col("_r")).alias("degraded_reason"),
+                      "last_loaded_at")
+
+
+# --------------------------------------------------------------- oracle side
+def _lit(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def sql_predicate(c: Check) -> str:
+    col = c.column
+    if c.kind == "not_null":
+        return f"{col} IS NULL"
+    if c.kind == "accepted_values":
+        return f"{col} IS NOT NULL AND {col} NOT IN ({', '.join(_lit(v) for v in c.values)})"
+    if c.kind == "non_negative":
+        return f"{col} < 0"
+    if c.kind == "value_between":
+        parts = []
+        if c.min_value is not None:
+            parts.append(f"{col} < {_lit(c.min_value)}")
+        if c.max_value is not None:
+            parts.append(f"{col} > {_lit(c.max_value)}")
+        return f"{col} IS NOT NULL AND ({' OR '.join(parts) or 'false'})"
+    if c.kind == "expression_is_true":
+        return f"NOT coalesce(({c.expression}), false)"
+    raise ValueError(c.kind)
+
+
+def _head(c: Check) -> str:
+    col = "NULL" if c.column is None else _lit(c.column)
+    return (f"select {_lit(c.layer)} as layer, {_lit(c.model)} as model, {_lit(c.name)} as check_name, "
+            f"{_lit(c.kind)} as kind, CAST({col} AS VARCHAR) as column_name, "
+            f"{_lit(c.severity)} as severity")
+
+
+def sql_check(c: Check) -> str:
+    if c.kind in quality.ROW_KINDS:
+        pred = f"coalesce({sql_predicate(c)}, false)"
+        if c.kind == "accepted_values":
+            n = f"count(distinct CAST({c.column} AS VARCHAR)) FILTER (WHERE {pred})"
+        else:
+            n = f"count(*) FILTER (WHERE {pred})"
+        return f"{_head(c)}, CAST({n} AS BIGINT) as failures from {c.model}"
+    if c.kind == "unique":
+        return (f"{_head(c)}, CAST(count(*) AS BIGINT) as failures from (select {c.column} from "
+                f"{c.model} where {c.column} is not null group by {c.column} having count(*) > 1)")
+    if c.kind == "relationships":
+        return (f"{_head(c)}, CAST(count(*) AS BIGINT) as failures from {c.model} ch "
+                f"where ch.{c.column} is not null and not exists (select 1 from {c.to_model} p "
+                f"where p.{c.to_column} = ch.{c.column})")
+    raise ValueError(c.kind)
+
+
+_STATUS = ("CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+           "ELSE 'error' END as status")
+
+
+def sql_summary(checks) -> str:
+    union = "\nUNION ALL\n".join(sql_check(c) for c in checks)
+    return oracle.with_models(f"select *, {_STATUS} from ({union}) s", DQ_CTES)
+
+
+_LOADS = f"""
+select 'wf_case' as source, ingestion_timestamp as loaded_at from wf_case
+union all select 'wf_task', ingestion_timestamp from wf_task
+union all select 'wf_assignment', ingestion_timestamp from wf_assignment
+union all select 'wf_events', {oracle.timestamp('ingestion_timestamp')} from wf_events"""
+
+_FRESH = f"""
+select source, max_loaded_at, as_of,
+ {oracle.rate('epoch_us(as_of) - epoch_us(max_loaded_at)', '3600000000', 2)} as hours_since_load,
+ {C.FRESHNESS_ERROR_HOURS!r} as error_after_hours,
+ CASE WHEN max_loaded_at IS NULL OR epoch_us(as_of) - epoch_us(max_loaded_at) > {int(C.FRESHNESS_ERROR_HOURS * 3_600_000_000)}
+      THEN 'error' ELSE 'pass' END as status
+from (select source, max(loaded_at) as max_loaded_at from dq_loads group by source) l,
+     (select max(loaded_at) as as_of from dq_loads) r"""
+
+_ZERO = " OR ".join(f"(source = {_lit(s)} AND row_count = 0)" for s, v in C.FAIL_ON_ZERO.items() if v) or "false"
+_VOLUME = f"""
+with daily as (select source, CAST(loaded_at AS DATE) as day, count(*) as row_count
+               from dq_loads where loaded_at is not null group by 1, 2),
+ bounds as (select source, min(day) as d0, max(day) as d1 from daily group by 1),
+ spine as (select source, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) as day, d1 as last_day from bounds),
+ filled as (select s.source, s.day, s.last_day, CAST(coalesce(d.row_count, 0) AS BIGINT) as row_count,
+                   dayofweek(s.day) as dow, date_diff('day', DATE '1970-01-01', s.day) as day_no
+            from spine s left join daily d on s.source = d.source and s.day = d.day),
+ scored as (select source, day, row_count, last_day,
+   avg(row_count) over w as training_mean, stddev_samp(row_count) over w as training_stddev,
+   count(row_count) over w as training_points
+   from filled window w as (partition by source, dow order by day_no
+                            range between {C.ANOMALY_TRAINING_DAYS} preceding and 1 preceding))
+select source, day, row_count, round(training_mean, 6) as training_mean,
+ round(training_stddev, 6) as training_stddev, CAST(training_points AS BIGINT) as training_points,
+ round(CASE WHEN training_points >= 2 AND training_stddev > 0 THEN (row_count - training_mean) / training_stddev END, 6) as z_score,
+ CASE WHEN {_ZERO} THEN true WHEN training_points < 2 THEN NULL
+      WHEN training_stddev = 0 THEN row_count <> training_mean
+      ELSE abs((row_count - training_mean) / training_stddev) > {C.ANOMALY_SENSITIVITY!r} END as is_anomaly,
+ day = last_day as is_detection_day
+from scored"""
+
+_KIND = ("CASE WHEN t LIKE 'OBJECT%' THEN 'object' WHEN t LIKE 'ARRAY%' THEN 'array' "
+         "WHEN t = 'VARCHAR' THEN 'string' WHEN t = 'BOOLEAN' THEN 'boolean' "
+         "WHEN t = 'NULL' THEN 'null' ELSE 'number' END")
+_EV_DAY = f"CAST({oracle.timestamp('ingestion_timestamp')} AS DATE)"
+_PROFILE = f"""
+select day, field, kind, count(*) as n_rows from (
+  select day, field, {_KIND} as kind from (
+    select day, field, json_type(event_properties, '$."' || field || '"') as t from (
+      select {_EV_DAY} as day, event_properties, unnest(json_keys(event_properties)) as field
+      from wf_events)) x) y
+where day is not null group by 1, 2, 3
+union all
+select day, field, 'column' as kind, count(*) as n_rows from (
+  select {_EV_DAY} as day, unnest(['event_time', 'ingestion_timestamp', 'event_type', 'event_properties']) as field,
+         unnest([event_time IS NOT NULL, ingestion_timestamp IS NOT NULL, event_type IS NOT NULL, event_properties IS NOT NULL]) as present
+  from wf_events) z
+where day is not null and present group by 1, 2, 3"""
+
+_DRIFT = """
+with prev as (select day + 1 as day, field, kind, n_rows as prev_rows from dq_profile),
+ days as (select distinct day from dq_profile),
+ both_days as (select d.day from days d join (select day + 1 as day from days) p on d.day = p.day),
+ pair as (select coalesce(t.day, p.day) as day, coalesce(t.field, p.field) as field,
+                 coalesce(t.kind, p.kind) as kind, t.n_rows, p.prev_rows
+          from dq_profile t full outer join prev p
+            on t.day = p.day and t.field = p.field and t.kind = p.kind),
+ kept as (select pair.* from pair join both_days b on pair.day = b.day),
+ marked as (select *, max(CASE WHEN n_rows IS NOT NULL THEN 1 ELSE 0 END) over (partition by day, field) = 1 as has_today,
+                  max(CASE WHEN prev_rows IS NOT NULL THEN 1 ELSE 0 END) over (partition by day, field) = 1 as has_prev
+            from kept)
+select day, field, kind, CAST(coalesce(n_rows, 0) AS BIGINT) as n_rows,
+ CAST(coalesce(prev_rows, 0) AS BIGINT) as prev_rows,
+ CASE WHEN n_rows IS NOT NULL AND prev_rows IS NOT NULL THEN 'unchanged'
+      WHEN n_rows IS NOT NULL AND NOT has_prev THEN 'field_added'
+      WHEN n_rows IS NOT NULL THEN 'kind_added'
+      WHEN NOT has_today THEN 'field_removed' ELSE 'kind_removed' END as status
+from marked"""
+
+DQ_CTES = {
+    "dq_loads": _LOADS,
+    "dq_freshness": _FRESH,
+    "dq_volume": _VOLUME,
+    "dq_profile": _PROFILE,
+    "dq_drift": _DRIFT,
+}
+
+
+def _lineage_values() -> str:
+    rows = ", ".join(f"({_lit(m)}, {_lit(s)})" for m, ss in C.MART_LINEAGE.items() for s in ss)
+    return f"(VALUES {rows}) AS lineage(mart, source)"
+
+
+def _degraded_sql() -> str:
+    src_checks = "\nUNION ALL\n".join(sql_check(c) for c in C.checks_of(layer=C.SOURCE))
+    return oracle.with_models(f"""select * from (
+with status as (
+  select source, 'freshness' as check_name, status = 'error' as failed from dq_freshness
+  union all
+  select source, 'volume_anomaly', coalesce(is_anomaly, false) from dq_volume where is_detection_day
+  union all
+  select model, check_name, failures > 0 from ({src_checks}) s),
+ joined as (select l.mart, st.source, st.check_name, st.failed, f.max_loaded_at
+            from {_lineage_values()} join status st on l.source = st.source
+            join dq_freshness f on f.source = l.source)
+select mart, max(CAST(failed AS INTEGER)) = 1 as is_degraded,
+ CASE WHEN max(CAST(failed AS INTEGER)) = 1 THEN
+   array_to_string(list_sort(list_distinct(list(source || ':' || check_name) FILTER (WHERE failed))), ', ') END as degraded_reason,
+ min(max_loaded_at) as last_loaded_at
+from joined group by mart) q""".replace("{_lineage_values()}", _lineage_values()).replace(
+        "AS lineage(mart, source) join", "AS l(mart, source) join"), DQ_CTES)
+
+
+# ------------------------------------------------------------- registrations
+def _register_kind(key: str, kind: str):
+    sql = sql_summary(C.checks_of(kind=kind))
+
+    @query(key, sql)
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return check_summary(spark, sf_dir, C.checks_of(kind=kind))
+    return build
+
+
+for _key, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
+                    ("dq_accepted_values", "accepted_values"), ("dq_non_negative", "non_negative"),
+                    ("dq_value_between", "value_between"),
+                    ("dq_expression_is_true", "expression_is_true"),
+                    ("dq_relationships", "relationships")):
+    _register_kind(_key, _kind)
+
+
+def _rule_checks(model_rules: dict[str, tuple[str, ...]], layer: str) -> list[Check]:
+    return [c for c in C.ALL_CHECKS if c.kind == "expression_is_true" and c.layer == layer
+            and c.model in model_rules and c.expression in model_rules[c.model]]
+
+
+_FUNNEL = (_rule_checks({"file_upload_attempts": C.FUNNEL_ATTEMPT_RULES}, C.INTERMEDIATE)
+           + _rule_checks({"file_upload_daily": C.FUNNEL_MART_RULES}, C.MART))
+_PCT = _rule_checks({"case_duration_daily": C.PERCENTILE_RULES}, C.MART)
+_POP = _rule_checks(C.POPULATION_RULES, C.MART)
+_GATE = [c for c in C.STAGING_CHECKS if c.model == "stg_events"
+         and c.column in ("has_numeric_parse_error", "has_timestamp_parse_error")]
+
+
+def _register_set(key: str, checks: list[Check]):
+    @query(key, sql_summary(checks))
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return check_summary(spark, sf_dir, checks)
+    return build
+
+
+_register_set("dq_funnel_monotonic", _FUNNEL)
+_register_set("dq_percentile_order", _PCT)
+_register_set("dq_population_bounds", _POP)
+_register_set("dq_parse_error_gate", _GATE)
+_register_set("dq_summary", list(C.ALL_CHECKS))
+
+
+@query("dq_freshness", oracle.with_models(
+    "select source, max_loaded_at, as_of, hours_since_load, error_after_hours, status from dq_freshness",
+    DQ_CTES))
+def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return freshness_frame(Models(spark, sf_dir))
+
+
+@query("dq_volume_anomalies", oracle.with_models("select * from dq_volume", DQ_CTES))
+def q_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return volume_frame(Models(spark, sf_dir))
+
+
+@query("dq_schema_drift", oracle.with_models("select * from dq_drift", DQ_CTES))
+def q_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.schema_drift(drift_profile(Models(spark, sf_dir)))
+
+
+@query("metric_degraded_status", _degraded_sql())
+def q_degraded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return degraded_status(Models(spark, sf_dir))
+
+
+_NULL_RATE_COLS = ("case_id", "task_id", "task_assignment_id", "catalog_product_id",
+                   "actor_role", "task_plugin_type", "file_count", "success_count",
+                   "duration_ms")
+
+
+@query("dq_null_rate", oracle.with_models(
+    "select day, column_name, n_rows, n_nulls, " + oracle.rate("n_nulls", "n_rows") + " as null_rate from ("
+    "select event_date as day, c.column_name, count(*) as n_rows, count(*) filter (where c.is_null) as n_nulls "
+    "from (select event_date, unnest([" + ", ".join(f"'{c}'" for c in _NULL_RATE_COLS) + "]) as column_name, "
+    "unnest([" + ", ".join(f"{c} IS NULL" for c in _NULL_RATE_COLS) + "]) as is_null from stg_events) c "
+    "where event_date is not null group by 1, 2) x"))
+def q_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = Models(spark, sf_dir).stg_events
+    return quality.null_rate_by_day(ev, F.col("event_date"), _NULL_RATE_COLS)
