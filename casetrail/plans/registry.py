@@ -54,4 +54,4 @@ for _name in ("stg_cases", "stg_tasks", "stg_assignments", "stg_events",
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import column_queries, dq_queries, more_queries  # noqa: F401
+    from . import column_queries, dq_queries, incremental_queries, more_queries  # noqa: F401
