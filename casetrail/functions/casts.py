@@ -17,13 +17,14 @@ NULL_TOKENS = ("", "null", "none", "nan", "n/a", "na", "unknown", "undefined")
 TRUE_TOKENS = ("true", "t", "1", "yes", "y")
 FALSE_TOKENS = ("false", "f", "0", "no", "n")
 
-# Fixed patterns (anchored on the whole text).  The documented intent is a
-# literal dot before the fractional digits, so "3.0" and "1520.0" are clean.
+# Fixed patterns (anchored on the whole text).  They follow the documented
+# clean examples: a literal dot before fractional digits ("3.0", "1520.0"),
+# and a UTC offset of hours with optional minutes ("+00", "+05:30", "+0530").
 INT_PATTERN = r"^[+-]?[0-9]+(\.0+)?\z"
 FLOAT_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 ISO_TS_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
+    r"([ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?\z"
 )
 EPOCH_SECONDS_PATTERN = r"^[0-9]{10}\z"
 EPOCH_MILLIS_PATTERN = r"^[0-9]{13}\z"

@@ -44,7 +44,7 @@ def current_path(spark: SparkSession, table: str) -> str | None:
     return f"{table}/{VERSION_PREFIX}{v[-1]:06d}" if v else None
 
 
-def read_current(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_current(spark: SparkSession, table: str, schema: T.StructType | str | None = None) -> DataFrame | None:
     """The table's newest completed version, or None for a first run."""
     path = current_path(spark, table)
     if path is None:
@@ -101,8 +101,9 @@ def store_failures(failures: DataFrame, path: str, check_name: str) -> None:
 
 
 # --------------------------------------------------------------- raw readers
-def _schema(fields: str) -> T.StructType:
-    return T.StructType.fromDDL(fields)
+def _schema(fields: str) -> str:
+    # DDL text: accepted by ``DataFrameReader.schema`` and needs no live session.
+    return fields
 
 
 # Raw source schemas (explicit; no inference).
