@@ -19,7 +19,23 @@ from ..session import configure
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer partitions than the cluster has cores.
+
+    A file with one row group is one task however many cores exist; all
+    per-row work above the scan (JSON parsing, casts, hashing) would then run
+    single-threaded.  Inputs already split into enough partitions (many files
+    or row groups, the large-scale case) are left as they are -- no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # Partition count of the planned scan (creating the RDD runs no job).
+    scan_parts = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    if scan_parts < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _ts(c: str | Column) -> Column:
