@@ -241,61 +241,98 @@ def freshness(loads: DataFrame, as_of: Column | None = None,
 
 
 # ------------------------------------------------------------- volume anomaly
-def volume_anomalies(loads: DataFrame, training_days: int = 28, sensitivity: float = 3.0,
-                     fail_on_zero: dict[str, bool] | None = None,
-                     seasonality: str | None = "day_of_week") -> DataFrame:
-    """Q10/Q11: daily load counts scored against the same weekday in the prior window.
-
-    ``loads``: ``(source, loaded_at)``.  Days with no loads are filled from a
-    per-source date spine (``sequence`` of the source's own day range, so its
-    size is the number of days, not rows).  Each day is scored against the
-    training days in the ``training_days`` before it (same weekday when
-    seasonal): z = (count - mean) / sample stddev; fewer than 2 training
-    points -> not evaluated; stddev 0 -> anomalous iff count != mean.
+def score_daily_series(daily: DataFrame, training_days: int = 28,
+                       seasonality: str | None = "day_of_week") -> DataFrame:
+    """Per-series daily values scored against the same weekday in the prior window.
+
+    ``daily``: ``(series, day, value)``.  Days with no row are filled with 0
+    from a per-series date spine (``sequence`` over the series' own day range,
+    so its size is the number of days, not rows).  Each day is scored against
+    the training days in the ``training_days`` before it (same weekday when
+    seasonal).  Windows are partitioned by series (and weekday): a partition
+    holds one series' days, bounded by the calendar.
     """
-    zero_rule = fail_on_zero or {}
-    days = loads.where(F.col("loaded_at").isNotNull()).select(
-        "source", F.to_date("loaded_at").alias("day"))
-    daily = days.groupBy("source", "day").agg(F.count(F.lit(1)).alias("row_count"))
-    spine = (daily.groupBy("source").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
-             .select("source", F.explode(F.sequence("d0", "d1")).alias("day"),
+    spine = (daily.groupBy("series").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+             .select("series", F.explode(F.sequence("d0", "d1")).alias("day"),
                      F.col("d1").alias("last_day")))
-    filled = (spine.join(daily, ["source", "day"], "left")
-              .select("source", "day", "last_day",
-                      F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")))
-    day_no = F.datediff("day", F.lit("1970-01-01"))
-    filled = filled.withColumn("day_no", day_no)
-    part = ["source"] + (["dow"] if seasonality == "day_of_week" else [])
+    filled = (spine.join(daily, ["series", "day"], "left")
+              .select("series", "day", "last_day",
+                      F.coalesce("value", F.lit(0)).cast("long").alias("value"),
+                      F.datediff("day", F.lit("1970-01-01")).alias("day_no")))
+    part = ["series"]
     if seasonality == "day_of_week":
         filled = filled.withColumn("dow", F.dayofweek("day"))
+        part.append("dow")
     w = Window.partitionBy(*part).orderBy("day_no").rangeBetween(-training_days, -1)
-    scored = filled.select(
-        "source", "day", "row_count", "last_day",
-        F.avg("row_count").over(w).alias("training_mean"),
-        F.stddev_samp("row_count").over(w).alias("training_stddev"),
-        F.count("row_count").over(w).alias("training_points"),
+    return filled.select(
+        "series", "day", "value", "last_day",
+        F.avg("value").over(w).alias("training_mean"),
+        F.stddev_samp("value").over(w).alias("training_stddev"),
+        F.count("value").over(w).alias("training_points"),
     )
-    mean, sd, n = F.col("training_mean"), F.col("training_stddev"), F.col("training_points")
-    z = F.when((n >= 2) & (sd > 0), (F.col("row_count") - mean) / sd)
+
+
+def _scored_columns(direction: str, sensitivity: float, zero_fail: Column):
+    """z-score with sample stddev; < 2 training points -> not evaluated;
+    stddev 0 -> flagged iff the value differs from the mean (in ``direction``)."""
+    v, mean, sd, n = F.col("value"), F.col("training_mean"), F.col("training_stddev"), F.col("training_points")
+    z = F.when((n >= 2) & (sd > 0), (v - mean) / sd)
+    if direction == "drop":
+        off_flat, off_z = v < mean, z < F.lit(-sensitivity)
+    elif direction == "spike":
+        off_flat, off_z = v > mean, z > F.lit(sensitivity)
+    else:
+        off_flat, off_z = v != mean, F.abs(z) > F.lit(sensitivity)
+    flagged = (F.when(zero_fail, F.lit(True)).when(n < 2, F.lit(None).cast("boolean"))
+               .when(sd == 0, off_flat).otherwise(off_z))
+    return [F.round(mean, 6).alias("training_mean"), F.round(sd, 6).alias("training_stddev"),
+            n.cast("long").alias("training_points"), F.round(z, 6).alias("z_score"), flagged]
+
+
+def volume_anomalies(loads: DataFrame, training_days: int = 28, sensitivity: float = 3.0,
+                     fail_on_zero: dict[str, bool] | None = None,
+                     seasonality: str | None = "day_of_week") -> DataFrame:
+    """Q10/Q11: daily load counts per source, anomalous in both directions.
+
+    ``loads``: ``(source, loaded_at)``; counted per source and day with a
+    map-side-combined aggregate before anything else happens.
+    """
+    daily = (loads.where(F.col("loaded_at").isNotNull())
+             .groupBy(F.col("source").alias("series"), F.to_date("loaded_at").alias("day"))
+             .agg(F.count(F.lit(1)).alias("value")))
+    scored = score_daily_series(daily, training_days, seasonality)
     zero_fail = F.lit(False)
-    for source, rule in zero_rule.items():
+    for source, rule in (fail_on_zero or {}).items():
         if rule:
-            zero_fail = zero_fail | ((F.col("source") == source) & (F.col("row_count") == 0))
-    anomalous = (F.when(zero_fail, F.lit(True))
-                 .when(n < 2, F.lit(None).cast("boolean"))
-                 .when(sd == 0, F.col("row_count") != mean)
-                 .otherwise(F.abs(z) > F.lit(sensitivity)))
+            zero_fail = zero_fail | ((F.col("series") == source) & (F.col("value") == 0))
+    cols = _scored_columns("both", sensitivity, zero_fail)
     return scored.select(
-        "source", "day", "row_count",
-        F.round(mean, 6).alias("training_mean"),
-        F.round(sd, 6).alias("training_stddev"),
-        n.cast("long").alias("training_points"),
-        F.round(z, 6).alias("z_score"),
-        anomalous.alias("is_anomaly"),
+        F.col("series").alias("source"), "day", F.col("value").alias("row_count"),
+        *cols[:4], cols[4].alias("is_anomaly"),
         (F.col("day") == F.col("last_day")).alias("is_detection_day"),
     )
 
 
+def denominator_cliffs(daily: DataFrame, training_days: int = 28, sensitivity: float = 3.0,
+                       seasonality: str | None = "day_of_week") -> DataFrame:
+    """Q18: sudden drops of a ratio's denominator per series (``series, day, value``)."""
+    scored = score_daily_series(daily, training_days, seasonality)
+    cols = _scored_columns("drop", sensitivity, F.lit(False))
+    return scored.select("series", "day", F.col("value").alias("denominator"), *cols[:4],
+                         cols[4].alias("is_cliff"))
+
+
+def reconcile_daily(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
+    """Q18: two daily counts ``(day, n)`` side by side (full outer join on day)."""
+    joined = (left.withColumnRenamed("n", left_name)
+              .join(right.withColumnRenamed("n", right_name), "day", "full_outer"))
+    lcol = F.coalesce(F.col(left_name), F.lit(0)).cast("long")
+    rcol = F.coalesce(F.col(right_name), F.lit(0)).cast("long")
+    return joined.select("day", lcol.alias(left_name), rcol.alias(right_name),
+                         (lcol - rcol).alias("difference"),
+                         F.when(lcol == rcol, "match").otherwise("mismatch").alias("status"))
+
+
 # --------------------------------------------------------------- schema drift
 def value_kind(type_name: Column) -> Column:
     """Family of a variant's type name: number, string, boolean, null, object, array."""

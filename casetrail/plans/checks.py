@@ -54,6 +54,9 @@ SOURCE_CHECKS = (
           "action", "status", "created_at")
     + _uq(SOURCE, "wf_assignment", "id")
     + _nn(SOURCE, "wf_events", "event_time", "ingestion_timestamp", "event_type", "event_properties")
+    + _nn(SOURCE, "wf_task_predecessor", "task_id", "predecessor_task_id", "ingestion_timestamp")
+    + [Check("relationships", "wf_task_predecessor", "predecessor_task_id", to_model="wf_task",
+             to_column="id", layer=SOURCE, severity="warn")]
 )
 
 STAGING_CHECKS = (
@@ -193,8 +196,9 @@ ALL_CHECKS = (SOURCE_CHECKS + STAGING_CHECKS + INTERMEDIATE_CHECKS + MART_CHECKS
 LAYERS = (SOURCE, STAGING, INTERMEDIATE, MART)
 
 # Sources and their loaded-at fields (raw tables; event loads are text).
-SOURCES = ("wf_case", "wf_task", "wf_assignment", "wf_events")
-FAIL_ON_ZERO = {"wf_case": True, "wf_task": True, "wf_assignment": True, "wf_events": True}
+SOURCES = ("wf_case", "wf_task", "wf_assignment", "wf_events", "wf_task_predecessor")
+FAIL_ON_ZERO = {"wf_case": True, "wf_task": True, "wf_assignment": True, "wf_events": True,
+                "wf_task_predecessor": False}
 FRESHNESS_ERROR_HOURS = 30.0
 ANOMALY_TRAINING_DAYS = 28
 ANOMALY_SENSITIVITY = 3.0

@@ -19,7 +19,7 @@ from .registry import query
 # ---------------------------------------------------------------- Spark side
 def frames(m: Models) -> dict[str, DataFrame]:
     out = {"wf_case": m.raw.cases, "wf_task": m.raw.tasks, "wf_assignment": m.raw.assignments,
-           "wf_events": m.raw.events}
+           "wf_events": m.raw.events, "wf_task_predecessor": m.raw.task_predecessors}
     out.update({name: m.get(name) for name in MODEL_NAMES})
     return out
 
@@ -33,6 +33,8 @@ def loads(m: Models) -> DataFrame:
                                  F.col("ingestion_timestamp").alias("loaded_at")),
         m.raw.events.select(F.lit("wf_events").alias("source"),
                             safe_timestamp("ingestion_timestamp").alias("loaded_at")),
+        m.raw.task_predecessors.select(F.lit("wf_task_predecessor").alias("source"),
+                                       F.col("ingestion_timestamp").alias("loaded_at")),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -155,7 +157,8 @@ _LOADS = f"""
 select 'wf_case' as source, ingestion_timestamp as loaded_at from wf_case
 union all select 'wf_task', ingestion_timestamp from wf_task
 union all select 'wf_assignment', ingestion_timestamp from wf_assignment
-union all select 'wf_events', {oracle.timestamp('ingestion_timestamp')} from wf_events"""
+union all select 'wf_events', {oracle.timestamp('ingestion_timestamp')} from wf_events
+union all select 'wf_task_predecessor', ingestion_timestamp from wf_task_predecessor"""
 
 _FRESH = f"""
 select source, max_loaded_at, as_of,
@@ -342,3 +345,78 @@ _NULL_RATE_COLS = ("case_id", "task_id", "task_assignment_id", "catalog_product_
 def q_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Models(spark, sf_dir).stg_events
     return quality.null_rate_by_day(ev, F.col("event_date"), _NULL_RATE_COLS)
+
+
+# ----------------------------------------------------------------- Q18 extras
+# The denominator of each mart's headline ratio.
+DENOMINATORS = {
+    "questionnaire_daily": "activated_assignments",
+    "custom_tasks_daily": "total_tasks",
+    "file_upload_daily": "opened_upload_plugin_count",
+    "case_duration_daily": "filed_cases",
+}
+
+
+def denominator_series(m: Models) -> DataFrame:
+    parts = [m.get(mart).select(
+        F.concat(F.lit(mart + ":"), F.coalesce(F.col("catalog_product_id").cast("string"), F.lit("")))
+        .alias("series"), F.col("metric_date").alias("day"), F.col(col).alias("value"))
+        for mart, col in DENOMINATORS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_DENOM_DAILY = "\nunion all\n".join(
+    f"select '{mart}:' || coalesce(CAST(catalog_product_id AS VARCHAR), '') as series, "
+    f"metric_date as day, {col} as value from {mart}" for mart, col in DENOMINATORS.items())
+
+_CLIFF = f"""
+with daily as ({_DENOM_DAILY}),
+ bounds as (select series, min(day) as d0, max(day) as d1 from daily group by 1),
+ spine as (select series, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) as day from bounds),
+ filled as (select s.series, s.day, CAST(coalesce(d.value, 0) AS BIGINT) as value,
+                   dayofweek(s.day) as dow, date_diff('day', DATE '1970-01-01', s.day) as day_no
+            from spine s left join daily d on s.series = d.series and s.day = d.day),
+ scored as (select series, day, value,
+   avg(value) over w as training_mean, stddev_samp(value) over w as training_stddev,
+   count(value) over w as training_points
+   from filled window w as (partition by series, dow order by day_no
+                            range between {C.ANOMALY_TRAINING_DAYS} preceding and 1 preceding))
+select series, day, value as denominator, round(training_mean, 6) as training_mean,
+ round(training_stddev, 6) as training_stddev, CAST(training_points AS BIGINT) as training_points,
+ round(CASE WHEN training_points >= 2 AND training_stddev > 0 THEN (value - training_mean) / training_stddev END, 6) as z_score,
+ CASE WHEN training_points < 2 THEN NULL WHEN training_stddev = 0 THEN value < training_mean
+      ELSE (value - training_mean) / training_stddev < -{C.ANOMALY_SENSITIVITY!r} END as is_cliff
+from scored"""
+
+
+@query("dq_denominator_cliff", oracle.with_models(f"select * from ({_CLIFF}) c"))
+def q_denominator_cliff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q18: drops of each mart's ratio denominator per product, same-weekday baseline."""
+    return quality.denominator_cliffs(denominator_series(Models(spark, sf_dir)),
+                                      C.ANOMALY_TRAINING_DAYS, C.ANOMALY_SENSITIVITY)
+
+
+@query("dq_cross_source_reconcile", oracle.with_models("""
+select coalesce(p.day, e.day) as day, CAST(coalesce(p.n, 0) AS BIGINT) as postgres_activated,
+ CAST(coalesce(e.n, 0) AS BIGINT) as event_sessions_started,
+ CAST(coalesce(p.n, 0) - coalesce(e.n, 0) AS BIGINT) as difference,
+ CASE WHEN coalesce(p.n, 0) = coalesce(e.n, 0) THEN 'match' ELSE 'mismatch' END as status
+from (select activation_date as day, count(*) as n from questionnaire_assignments
+      where is_activated = 1 and activation_date is not null group by 1) p
+full outer join (select event_date as day, count(distinct task_assignment_id) as n from stg_events
+      where task_plugin_type = 'questionnaire' and event_name = 'cw_questionnaire_session_started'
+        and event_date is not null and task_assignment_id is not null group by 1) e
+on p.day = e.day"""))
+def q_cross_source_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q18: activated questionnaire assignments (database) vs started sessions (events) by day."""
+    m = Models(spark, sf_dir)
+    qa = m.questionnaire_assignments
+    pg = (qa.where((F.col("is_activated") == 1) & F.col("activation_date").isNotNull())
+          .groupBy(F.col("activation_date").alias("day")).agg(F.count(F.lit(1)).alias("n")))
+    ev = m.stg_events
+    started = (ev.where((F.col("task_plugin_type") == "questionnaire")
+                        & (F.col("event_name") == "cw_questionnaire_session_started")
+                        & F.col("event_date").isNotNull() & F.col("task_assignment_id").isNotNull())
+               .groupBy(F.col("event_date").alias("day"))
+               .agg(F.count_distinct("task_assignment_id").alias("n")))
+    return quality.reconcile_daily(pg, started, "postgres_activated", "event_sessions_started")

@@ -107,6 +107,10 @@ select id, id as task_id, case when id % 2 = 0 then 'beneficiary' else 'attorney
  case when id % 4 < 2 then created_at end as submitted_ts, case when id % 4 = 0 then created_at end as completed_ts,
  created_at, updated_at, case when id % 61 = 0 then created_at end as deleted_at, ingestion_timestamp
 from wf_task""",
+    "wf_task_predecessor": """
+select l_orderkey * 10 + l_linenumber as task_id, l_orderkey * 10 + l_linenumber - 1 as predecessor_task_id,
+ min(l_shipdate) as ingestion_timestamp
+from lineitem where l_linenumber > 1 group by l_orderkey, l_linenumber""",
     "wf_events": """
 select
  case when event_id % 41 = 0 then 'not-a-date' when event_id % 7 = 0 then cast(1704067200 + event_id as varchar)

@@ -51,7 +51,7 @@ def run_layers(spark: SparkSession, raw: RawSources, out_root: str, fail_on_erro
 
     results = {}
     src = {"wf_case": raw.cases, "wf_task": raw.tasks, "wf_assignment": raw.assignments,
-           "wf_events": raw.events}
+           "wf_events": raw.events, "wf_task_predecessor": raw.task_predecessors}
     results[C.SOURCE] = _check_layer(src, C.SOURCE, out_root, fail_on_error, store_failures)
 
     stg = write_all({

@@ -152,6 +152,15 @@ def raw_assignments(tasks: DataFrame) -> DataFrame:
     )
 
 
+def raw_task_predecessors(lineitem: DataFrame) -> DataFrame:
+    """``cw_task_predecessor``: each line's task depends on the previous line's task."""
+    return (lineitem.where(F.col("l_linenumber") > 1)
+            .groupBy("l_orderkey", "l_linenumber").agg(F.min("l_shipdate").alias("first_ship"))
+            .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("task_id"),
+                    (F.col("l_orderkey") * 10 + F.col("l_linenumber") - 1).alias("predecessor_task_id"),
+                    _ts("first_ship").alias("ingestion_timestamp")))
+
+
 def raw_events(events: DataFrame) -> DataFrame:
     """Raw JSON event feed: text timestamps, dirty payload values."""
     e = F.col("event_id")
@@ -226,6 +235,10 @@ class RawSources:
     def assignments(self) -> DataFrame:
         return self._get("assignments", lambda: raw_assignments(self.tasks))
 
+    @property
+    def task_predecessors(self) -> DataFrame:
+        return self._get("task_predecessors", lambda: raw_task_predecessors(self.table("lineitem")))
+
     @property
     def events(self) -> DataFrame:
         return self._get("events", lambda: raw_events(self.table("events")))
