@@ -1,8 +1,11 @@
 """Event payload extraction.
 
-The payload is parsed once per row with ``from_json`` into an all-text
-struct; every key is then a struct field.  Repeated key lookups
-(``get_json_object`` per key) would re-parse the JSON per key.
+The payload is parsed once per row with ``json_tuple``: a generator that
+returns every requested key as text in a single pass.  Because it is a
+generator, Catalyst cannot inline it into pushed-down filters (as it does
+with a projected ``from_json`` struct, re-parsing once per referenced key),
+so each payload is parsed exactly once.  Repeated ``get_json_object`` calls
+would re-parse the JSON per key.
 """
 
 from __future__ import annotations
@@ -28,6 +31,15 @@ ALL_KEYS = TEXT_KEYS + BOOLEAN_KEYS + NUMBER_KEYS
 PAYLOAD_SCHEMA = T.StructType([T.StructField(k, T.StringType(), True) for k in ALL_KEYS])
 
 
+def payload_keys(c: str | Column, keys=ALL_KEYS, prefix: str = "_j_") -> Column:
+    """Generator column: one text column ``{prefix}{key}`` per key, one parse per row.
+
+    JSON null and a missing key give NULL; a number keeps its text.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    return F.json_tuple(col, *keys).alias(*[f"{prefix}{k}" for k in keys])
+
+
 def parse_payload(c: str | Column) -> Column:
     """Payload text to a struct of the declared keys, every value as text.
 

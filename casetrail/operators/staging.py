@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import casts
 from ..functions.keys import md5_key
-from ..functions.payload import BOOLEAN_KEYS, NUMBER_KEYS, TEXT_KEYS, parse_payload
+from ..functions.payload import BOOLEAN_KEYS, NUMBER_KEYS, TEXT_KEYS, payload_keys
 
 EVENT_PREFIX = "cw_"
 
@@ -91,20 +91,20 @@ def extract_events(raw: DataFrame) -> DataFrame:
     """Workflow events with payload values as text.
 
     Keeps ``cw_``-prefixed events only (a literal prefix, pushed to the scan),
-    parses the payload once into a struct, trims text keys to NULL when blank
+    parses the payload once (``json_tuple``), trims text keys to NULL when blank
     and keeps boolean/number keys untouched for the safe casts.
     """
     base = raw.where(F.col("event_type").startswith(EVENT_PREFIX)).select(
         "event_time", "ingestion_timestamp", "event_type", "event_properties",
-        parse_payload(F.col("event_properties")).alias("_p"),
+        payload_keys("event_properties"),
     )
     return base.select(
         casts.blank_to_null("event_time").alias("raw_event_time"),
         casts.blank_to_null("ingestion_timestamp").alias("raw_ingestion_timestamp"),
         "event_type",
         "event_properties",
-        *[casts.blank_to_null(F.col("_p")[k]).alias(f"raw_{k}") for k in TEXT_KEYS],
-        *[F.col("_p")[k].alias(f"raw_{k}") for k in BOOLEAN_KEYS + NUMBER_KEYS],
+        *[casts.blank_to_null(F.col(f"_j_{k}")).alias(f"raw_{k}") for k in TEXT_KEYS],
+        *[F.col(f"_j_{k}").alias(f"raw_{k}") for k in BOOLEAN_KEYS + NUMBER_KEYS],
     )
 
 

@@ -16,7 +16,7 @@ from .registry import query
 @query("event_json_extract", oracle.with_models("select * from raw_events"))
 def q_event_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``cw_`` events with every payload key as trimmed text."""
-    return staging.extract_events(Models(spark, sf_dir).raw.events)
+    return staging.extract_events(Models.shared(spark, sf_dir).raw.events)
 
 
 def cast_profile(raw_events: DataFrame, fields, parse) -> DataFrame:
@@ -55,7 +55,7 @@ _TS_FIELDS = ("event_time", "ingestion_timestamp")
 def _register_cast(key: str, fields, parse, parse_sql):
     @query(key, _cast_sql(fields, parse_sql))
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = staging.extract_events(Models(spark, sf_dir).raw.events)
+        raw = staging.extract_events(Models.shared(spark, sf_dir).raw.events)
         return cast_profile(raw, fields, parse)
     return build
 
@@ -75,7 +75,7 @@ _FLAG_COLS = ("event_natural_key", "has_numeric_parse_error", "has_timestamp_par
     "where has_numeric_parse_error or has_timestamp_parse_error"))
 def q_parse_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged events with each raw value beside its typed value."""
-    ev = Models(spark, sf_dir).stg_events
+    ev = Models.shared(spark, sf_dir).stg_events
     return ev.where(F.col("has_numeric_parse_error") | F.col("has_timestamp_parse_error")).select(*_FLAG_COLS)
 
 
@@ -84,7 +84,7 @@ def q_parse_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     "from stg_events group by event_natural_key"))
 def q_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Natural keys and how many events share each."""
-    ev = Models(spark, sf_dir).stg_events
+    ev = Models.shared(spark, sf_dir).stg_events
     return ev.groupBy("event_natural_key").agg(F.count(F.lit(1)).alias("n_events"),
                                                F.min("event_name").alias("event_name"))
 
@@ -92,7 +92,7 @@ def q_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("questionnaire_event_signal", oracle.with_models("select * from questionnaire_event_signal"))
 def q_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questionnaire events rolled up to assignment grain."""
-    return intermediate.questionnaire_event_signal(Models(spark, sf_dir).stg_events)
+    return intermediate.questionnaire_event_signal(Models.shared(spark, sf_dir).stg_events)
 
 
 @query("creation_source_classification", oracle.with_models(
@@ -100,6 +100,6 @@ def q_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     "is_custom_task_broad, count(*) as n_tasks from custom_tasks group by 1, 2, 3, 4"))
 def q_creation_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task counts per normalised creation source and resulting class."""
-    t = Models(spark, sf_dir).custom_tasks
+    t = Models.shared(spark, sf_dir).custom_tasks
     return (t.groupBy("task_creation_source", "is_non_template_task", "is_manually_added_task",
                       "is_custom_task_broad").agg(F.count(F.lit(1)).alias("n_tasks")))

@@ -40,7 +40,7 @@ def loads(m: Models) -> DataFrame:
 
 
 def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
-    m = Models(spark, sf_dir)
+    m = Models.shared(spark, sf_dir)
     return quality.with_status(quality.run_checks(frames(m), checks))
 
 
@@ -313,22 +313,22 @@ _register_set("dq_summary", list(C.ALL_CHECKS))
     "select source, max_loaded_at, as_of, hours_since_load, error_after_hours, status from dq_freshness",
     DQ_CTES))
 def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return freshness_frame(Models(spark, sf_dir))
+    return freshness_frame(Models.shared(spark, sf_dir))
 
 
 @query("dq_volume_anomalies", oracle.with_models("select * from dq_volume", DQ_CTES))
 def q_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return volume_frame(Models(spark, sf_dir))
+    return volume_frame(Models.shared(spark, sf_dir))
 
 
 @query("dq_schema_drift", oracle.with_models("select * from dq_drift", DQ_CTES))
 def q_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.schema_drift(drift_profile(Models(spark, sf_dir)))
+    return quality.schema_drift(drift_profile(Models.shared(spark, sf_dir)))
 
 
 @query("metric_degraded_status", _degraded_sql())
 def q_degraded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return degraded_status(Models(spark, sf_dir))
+    return degraded_status(Models.shared(spark, sf_dir))
 
 
 _NULL_RATE_COLS = ("case_id", "task_id", "task_assignment_id", "catalog_product_id",
@@ -343,7 +343,7 @@ _NULL_RATE_COLS = ("case_id", "task_id", "task_assignment_id", "catalog_product_
     "unnest([" + ", ".join(f"{c} IS NULL" for c in _NULL_RATE_COLS) + "]) as is_null from stg_events) c "
     "where event_date is not null group by 1, 2) x"))
 def q_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = Models(spark, sf_dir).stg_events
+    ev = Models.shared(spark, sf_dir).stg_events
     return quality.null_rate_by_day(ev, F.col("event_date"), _NULL_RATE_COLS)
 
 
@@ -392,7 +392,7 @@ from scored"""
 @query("dq_denominator_cliff", oracle.with_models(f"select * from ({_CLIFF}) c"))
 def q_denominator_cliff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q18: drops of each mart's ratio denominator per product, same-weekday baseline."""
-    return quality.denominator_cliffs(denominator_series(Models(spark, sf_dir)),
+    return quality.denominator_cliffs(denominator_series(Models.shared(spark, sf_dir)),
                                       C.ANOMALY_TRAINING_DAYS, C.ANOMALY_SENSITIVITY)
 
 
@@ -409,7 +409,7 @@ full outer join (select event_date as day, count(distinct task_assignment_id) as
 on p.day = e.day"""))
 def q_cross_source_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q18: activated questionnaire assignments (database) vs started sessions (events) by day."""
-    m = Models(spark, sf_dir)
+    m = Models.shared(spark, sf_dir)
     qa = m.questionnaire_assignments
     pg = (qa.where((F.col("is_activated") == 1) & F.col("activation_date").isNotNull())
           .groupBy(F.col("activation_date").alias("day")).agg(F.count(F.lit(1)).alias("n")))

@@ -39,7 +39,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 class IncrementalRun:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.m = Models(spark, sf_dir)
+        self.m = Models.shared(spark, sf_dir)
         raw = self.m.raw
         self.events_then = staging.stg_events(first_batch(raw.events))
         self.events_now = self.m.stg_events
@@ -102,7 +102,7 @@ def _stream_from_tables(spark: SparkSession, sf_dir: str, refresh_marts: bool):
     root = streaming.scratch_root(spark, "stream")
     raw_path = f"{root}/raw_events"
     # Land the feed as files for the file stream source (derived from the driver tables).
-    Models(spark, sf_dir).raw.events.write.mode("overwrite").parquet(raw_path)
+    Models.shared(spark, sf_dir).raw.events.write.mode("overwrite").parquet(raw_path)
     sink = streaming.run_available(spark, raw_path, root, refresh_marts=refresh_marts)
     table = sink.daily_table if refresh_marts else sink.events_table
     return sinks.read_current(spark, table)

@@ -25,7 +25,7 @@ select {_period('metric_date', 'month')} as period_start, catalog_product_id,
 from custom_tasks_daily group by 1, 2"""))
 def q_rollup_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: monthly task counts per product, summed from the daily mart."""
-    mart = Models(spark, sf_dir).custom_tasks_daily
+    mart = Models.shared(spark, sf_dir).custom_tasks_daily
     return contract.rollup_additive(mart, "custom_tasks_daily", "total_tasks", "month")
 
 
@@ -39,7 +39,7 @@ select {_period('metric_date', 'week')} as period_start, catalog_product_id,
 from questionnaire_daily group by 1, 2"""))
 def q_rollup_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: weekly questionnaire submission rate from summed components."""
-    mart = Models(spark, sf_dir).questionnaire_daily
+    mart = Models.shared(spark, sf_dir).questionnaire_daily
     return contract.rollup_ratio(mart, "questionnaire_daily", "assignment_submission_rate", "week")
 
 
@@ -51,19 +51,22 @@ select {_period('filing_date', 'month')} as period_start, catalog_product_id,
 from case_durations group by 1, 2"""))
 def q_rollup_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: monthly average kickoff-to-filing days from case rows."""
-    base = Models(spark, sf_dir).case_durations
+    base = Models.shared(spark, sf_dir).case_durations
     return contract.rollup_average(base, "case_duration_daily", "avg_kickoff_to_filing_days", "month")
 
 
-@query("rollup_percentile", oracle.with_models(f"""
+@query("rollup_percentile", oracle.with_models(oracle.with_percentiles(f"""
 select {_period('filing_date', 'month')} as period_start, catalog_product_id,
- quantile_cont(kickoff_to_filing_days, 0.5) as value,
  count(kickoff_to_filing_days) as base_rows,
  {_ctx('median_kickoff_to_filing_days', 'month', 'case_durations')}
-from case_durations group by 1, 2"""))
+from case_durations group by 1, 2""",
+    f"(select {_period('filing_date', 'month')} as period_start, * from case_durations)",
+    ["period_start", "catalog_product_id"], {"value": ("kickoff_to_filing_days", 0.5)},
+    ["period_start", "catalog_product_id", "value", "base_rows", "metric_name", "metric_version",
+     "time_grain", "time_dimension", "source_model"])))
 def q_rollup_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: monthly median kickoff-to-filing days recomputed from case rows."""
-    base = Models(spark, sf_dir).case_durations
+    base = Models.shared(spark, sf_dir).case_durations
     return contract.rollup_percentile(base, "case_duration_daily",
                                       "median_kickoff_to_filing_days", "month")
 
@@ -84,7 +87,7 @@ select {_period('metric_date', 'week')} as period_start, catalog_product_id,
 from file_upload_daily group by 1, 2"""))
 def q_rollup_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5: weekly upload funnel: steps summed, then divided."""
-    return contract.rollup_funnel(Models(spark, sf_dir).file_upload_daily, "week")
+    return contract.rollup_funnel(Models.shared(spark, sf_dir).file_upload_daily, "week")
 
 
 @query("metric_freshness", oracle.with_models("""
@@ -94,7 +97,7 @@ union all
 select 'file_upload_daily', 'max_ingestion_timestamp', max(max_ingestion_timestamp) from file_upload_daily"""))
 def q_metric_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: freshness of the marts that declare a freshness field."""
-    m = Models(spark, sf_dir)
+    m = Models.shared(spark, sf_dir)
     return contract.metric_freshness({
         "questionnaire_daily": m.questionnaire_daily, "custom_tasks_daily": m.custom_tasks_daily,
         "case_duration_daily": m.case_duration_daily, "file_upload_daily": m.file_upload_daily})
@@ -110,7 +113,7 @@ select {_ALERT_COLS} from (select *, {_EXCESS} as excess_over_target from custom
 where is_above_pm_target and metric_date = (select max(metric_date) from custom_tasks_daily)"""))
 def q_threshold_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products above the manual-task target on the latest day."""
-    return alerts.threshold_alert(Models(spark, sf_dir).custom_tasks_daily)
+    return alerts.threshold_alert(Models.shared(spark, sf_dir).custom_tasks_daily)
 
 
 _ABOVE_EXCESS = "CASE WHEN is_above_pm_target THEN excess_over_target END"
@@ -131,4 +134,4 @@ from (
 ) x where is_above_pm_target"""))
 def q_threshold_alert_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N2 + W1/W2: every alerting product-day with 7/30-day rolling context."""
-    return alerts.threshold_alert_context(Models(spark, sf_dir).custom_tasks_daily, all_days=True)
+    return alerts.threshold_alert_context(Models.shared(spark, sf_dir).custom_tasks_daily, all_days=True)

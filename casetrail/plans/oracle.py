@@ -4,7 +4,8 @@ Each registered query has an ANSI SQL twin here, run by DuckDB over the same
 parquet tables (views ``orders``, ``lineitem``, ``events`` ...).  The SQL
 re-derives the raw workflow tables and every model as CTEs, then selects.
 It is an independent formulation used only for checking: rates use exact
-integer half-up rounding, percentiles DuckDB's ``quantile_cont``.
+integer half-up rounding; percentiles are spelled out (ranks + interpolation
+in double precision, as Postgres defines ``percentile_cont``).
 """
 
 from __future__ import annotations
@@ -64,6 +65,36 @@ def rate(n: str, d: str, scale: int = 4) -> str:
             f"CAST(((2 * ({n}) * {f} + ({d})) // (2 * ({d}))) AS DOUBLE) / {f}.0 END)")
 
 
+def percentile_cont(source: str, groups: list[str], col: str, p: float, out: str) -> str:
+    """``percentile_cont(p) within group (order by col)`` per group, spelled out.
+
+    Rank the non-null values, take the values at ranks floor/ceil of
+    ``(n - 1) * p`` and interpolate ``lo + (hi - lo) * frac`` in double
+    precision, the definition used by Postgres.
+    """
+    g = ", ".join(groups)
+    return f"""(select {g}, CAST(min(x) FILTER (WHERE rn = floor(pos)) AS DOUBLE)
+  + (CAST(min(x) FILTER (WHERE rn = ceil(pos)) AS DOUBLE) - CAST(min(x) FILTER (WHERE rn = floor(pos)) AS DOUBLE))
+  * (any_value(pos) - floor(any_value(pos))) AS {out}
+ from (select {g}, {col} AS x, row_number() over (partition by {g} order by {col}) - 1 AS rn,
+              (count(*) over (partition by {g}) - 1) * CAST({p!r} AS DOUBLE) AS pos
+       from {source} where {col} is not null) r
+ where rn = floor(pos) or rn = ceil(pos)
+ group by {g})"""
+
+
+def with_percentiles(main: str, source: str, groups: list[str],
+                     outputs: dict[str, tuple[str, float]], columns: list[str]) -> str:
+    """``main`` (one row per group) left-joined to spelled-out percentiles, null-safe on keys."""
+    joins, i = [], 0
+    for out, (col, p) in outputs.items():
+        i += 1
+        cond = " AND ".join(f"m.{g} IS NOT DISTINCT FROM p{i}.{g}" for g in groups)
+        joins.append(f"LEFT JOIN {percentile_cont(source, groups, col, p, out)} p{i} ON {cond}")
+    sel = ", ".join(f"m.{c}" if c not in outputs else f"{c}" for c in columns)
+    return f"select {sel} from ({main}) m\n" + "\n".join(joins)
+
+
 def cnt(pred: str) -> str:
     return f"count(*) FILTER (WHERE {pred})"
 
@@ -354,19 +385,25 @@ def _questionnaire_daily() -> str:
 
 
 MARTS = {
-    "case_duration_daily": f"""
+    "case_duration_daily": with_percentiles(f"""
 select filing_date as metric_date, catalog_product_id, count(*) as filed_cases,
  {cnt('is_valid_primary_duration = 1')} as kickoff_population_cases,
  {_avg2('kickoff_to_filing_days')} as avg_kickoff_to_filing_days,
- quantile_cont(kickoff_to_filing_days, 0.5) as median_kickoff_to_filing_days,
- quantile_cont(kickoff_to_filing_days, 0.75) as p75_kickoff_to_filing_days,
- quantile_cont(kickoff_to_filing_days, 0.9) as p90_kickoff_to_filing_days,
  {cnt('initialized_to_filing_days is not null')} as initialized_population_cases,
- quantile_cont(initialized_to_filing_days, 0.5) as median_initialized_to_filing_days,
  {cnt('created_to_filing_days is not null')} as created_population_cases,
- quantile_cont(created_to_filing_days, 0.5) as median_created_to_filing_days,
  {cnt('has_legacy_case_link = 1')} as cases_with_legacy_link
 from case_durations group by filing_date, catalog_product_id""",
+        "(select filing_date as metric_date, * from case_durations)", ["metric_date", "catalog_product_id"],
+        {"median_kickoff_to_filing_days": ("kickoff_to_filing_days", 0.5),
+         "p75_kickoff_to_filing_days": ("kickoff_to_filing_days", 0.75),
+         "p90_kickoff_to_filing_days": ("kickoff_to_filing_days", 0.9),
+         "median_initialized_to_filing_days": ("initialized_to_filing_days", 0.5),
+         "median_created_to_filing_days": ("created_to_filing_days", 0.5)},
+        ["metric_date", "catalog_product_id", "filed_cases", "kickoff_population_cases",
+         "avg_kickoff_to_filing_days", "median_kickoff_to_filing_days", "p75_kickoff_to_filing_days",
+         "p90_kickoff_to_filing_days", "initialized_population_cases",
+         "median_initialized_to_filing_days", "created_population_cases",
+         "median_created_to_filing_days", "cases_with_legacy_link"]),
     "custom_tasks_daily": f"""
 select task_created_date as metric_date, catalog_product_id, {_task_share('x')}
 from custom_tasks group by task_created_date, catalog_product_id""",
@@ -396,21 +433,28 @@ group by activation_week, catalog_product_id order by 1, 2""",
 select catalog_product_id as visa_type_key, {_task_share('x')}
 from custom_tasks group by catalog_product_id
 order by manually_added_task_rate desc nulls first, visa_type_key""",
-    "metric_case_duration": f"""
+    "metric_case_duration": with_percentiles(f"""
 select catalog_product_id, count(*) as case_count,
  {_avg2('kickoff_to_filing_days')} as avg_kickoff_to_filing_days,
- quantile_cont(kickoff_to_filing_days, 0.5) as median_kickoff_to_filing_days,
- quantile_cont(kickoff_to_filing_days, 0.75) as p75_kickoff_to_filing_days,
- quantile_cont(kickoff_to_filing_days, 0.9) as p90_kickoff_to_filing_days,
  {cnt('initialized_to_filing_days is not null')} as initialized_population_cases,
- quantile_cont(initialized_to_filing_days, 0.5) as median_initialized_to_filing_days,
  {cnt('created_to_filing_days is not null')} as created_population_cases,
- quantile_cont(created_to_filing_days, 0.5) as median_created_to_filing_days,
  {cnt('classification_to_filing_days is not null')} as classification_population_cases,
- quantile_cont(classification_to_filing_days, 0.5) as median_classification_to_filing_days,
  {cnt('has_legacy_case_link = 1')} as cases_with_legacy_link
 from case_durations where is_valid_primary_duration = 1
-group by catalog_product_id order by 1""",
+group by catalog_product_id""",
+        "(select * from case_durations where is_valid_primary_duration = 1)", ["catalog_product_id"],
+        {"median_kickoff_to_filing_days": ("kickoff_to_filing_days", 0.5),
+         "p75_kickoff_to_filing_days": ("kickoff_to_filing_days", 0.75),
+         "p90_kickoff_to_filing_days": ("kickoff_to_filing_days", 0.9),
+         "median_initialized_to_filing_days": ("initialized_to_filing_days", 0.5),
+         "median_created_to_filing_days": ("created_to_filing_days", 0.5),
+         "median_classification_to_filing_days": ("classification_to_filing_days", 0.5)},
+        ["catalog_product_id", "case_count", "avg_kickoff_to_filing_days",
+         "median_kickoff_to_filing_days", "p75_kickoff_to_filing_days", "p90_kickoff_to_filing_days",
+         "initialized_population_cases", "median_initialized_to_filing_days",
+         "created_population_cases", "median_created_to_filing_days",
+         "classification_population_cases", "median_classification_to_filing_days",
+         "cases_with_legacy_link"]),
     "metric_upload_funnel": f"""
 select plugin_opened_date as metric_date, catalog_product_id, {_funnel()}
 from file_upload_attempts group by plugin_opened_date, catalog_product_id order by 1, 2""",

@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None):
 
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(spark, sf_dir)
+    return Models.shared(spark, sf_dir)
 
 
 def _model_query(name: str, select: str | None = None):
