@@ -163,7 +163,7 @@ union all select 'wf_task_predecessor', ingestion_timestamp from wf_task_predece
 _FRESH = f"""
 select source, max_loaded_at, as_of,
  {oracle.rate('epoch_us(as_of) - epoch_us(max_loaded_at)', '3600000000', 2)} as hours_since_load,
- {C.FRESHNESS_ERROR_HOURS!r} as error_after_hours,
+ CAST({C.FRESHNESS_ERROR_HOURS!r} AS DOUBLE) as error_after_hours,
  CASE WHEN max_loaded_at IS NULL OR epoch_us(as_of) - epoch_us(max_loaded_at) > {int(C.FRESHNESS_ERROR_HOURS * 3_600_000_000)}
       THEN 'error' ELSE 'pass' END as status
 from (select source, max(loaded_at) as max_loaded_at from dq_loads group by source) l,
