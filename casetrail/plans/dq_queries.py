@@ -39,9 +39,21 @@ def loads(m: Models) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def stored_frames(m: Models, checks) -> dict[str, DataFrame]:
+    """Frames for ``checks``: raw sources as derived, models built once per layer
+    from the stored layer below (written under the shared checkpoint folder).
+    Only the layers the checks need are built."""
+    from .refresh import build_stored, source_frames, table_store
+    out = dict(source_frames(m.raw))
+    needed = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
+    if needed - set(out):
+        out.update(build_stored(m.raw, table_store(m.spark)))
+    return out
+
+
 def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
     m = Models.shared(spark, sf_dir)
-    return quality.with_status(quality.run_checks(frames(m), checks))
+    return quality.with_status(quality.run_checks(stored_frames(m, checks), checks))
 
 
 def freshness_frame(m: Models) -> DataFrame:
@@ -71,7 +83,7 @@ def degraded_status(m: Models) -> DataFrame:
         volume_frame(m).where("is_detection_day").select(
             "source", F.lit("volume_anomaly").alias("check_name"),
             F.coalesce("is_anomaly", F.lit(False)).alias("failed")),
-        quality.run_checks(frames(m), C.checks_of(layer=C.SOURCE)).select(
+        quality.run_checks(stored_frames(m, C.checks_of(layer=C.SOURCE)), C.checks_of(layer=C.SOURCE)).select(
             F.col("model").alias("source"), "check_name", (F.col("failures") > 0).alias("failed")),
     ]
     status = reduce(DataFrame.unionByName, fails)

@@ -3,8 +3,8 @@
 The event feed is split at the midpoint of its load times (a one-row
 aggregate, derived from the data).  The first batch -- everything loaded
 before the midpoint, plus rows without a load time -- builds the existing
-target, which is checkpointed to the shared checkpoint folder as the stored
-table would be.  The incremental function then runs over the whole feed and
+target, which is written as a table under the shared checkpoint folder, as the
+stored target would be.  The incremental function then runs over the whole feed and
 upserts into it.  The oracle for each key is the *full-refresh* SQL: the
 incremental result must equal a rebuild.
 """
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import safe_timestamp
 from ..operators import incremental, intermediate, staging
-from ..session import checkpoint_dir
 from . import oracle
 from .models import Models
 from .registry import query
@@ -32,9 +31,9 @@ def first_batch(raw_events: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Materialise an existing target (reliable checkpoint in the shared folder)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise an existing target as a table written in the shared checkpoint folder."""
+    from .refresh import table_store
+    return table_store(df.sparkSession)("target", df)
 
 
 class IncrementalRun:

@@ -9,10 +9,15 @@ layer is written; failing rows of failed checks can be stored (K3).
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import intermediate, marts, quality, staging
 from ..sources import sinks
+from ..session import checkpoint_dir
 from ..sources.fixtures import RawSources
 from . import checks as C
 
@@ -40,40 +45,82 @@ def _check_layer(frames: dict[str, DataFrame], layer: str, out_root: str,
     return summary
 
 
+def layer_models(layer: str, raw: RawSources, up: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The models of one layer, built from the (stored) frames of the layer below."""
+    if layer == C.STAGING:
+        return {"stg_cases": staging.stg_cases(raw.cases), "stg_tasks": staging.stg_tasks(raw.tasks),
+                "stg_assignments": staging.stg_assignments(raw.assignments),
+                "stg_events": staging.stg_events(raw.events)}
+    if layer == C.INTERMEDIATE:
+        return {
+            "case_durations": intermediate.case_durations(up["stg_cases"]),
+            "custom_tasks": intermediate.custom_tasks(up["stg_tasks"], up["stg_cases"]),
+            "file_upload_attempts": intermediate.file_upload_attempts(up["stg_events"]),
+            "questionnaire_assignments": intermediate.questionnaire_assignments(
+                up["stg_assignments"], up["stg_tasks"], up["stg_cases"], up["stg_events"])}
+    if layer == C.MART:
+        return {
+            "case_duration_daily": marts.case_duration_daily(up["case_durations"]),
+            "custom_tasks_daily": marts.custom_tasks_daily(up["custom_tasks"]),
+            "file_upload_daily": marts.file_upload_daily(up["file_upload_attempts"]),
+            "questionnaire_daily": marts.questionnaire_daily(up["questionnaire_assignments"])}
+    raise ValueError(layer)
+
+
+def source_frames(raw: RawSources) -> dict[str, DataFrame]:
+    return {"wf_case": raw.cases, "wf_task": raw.tasks, "wf_assignment": raw.assignments,
+            "wf_events": raw.events, "wf_task_predecessor": raw.task_predecessors}
+
+
+def build_stored(raw: RawSources, store: Callable[[str, DataFrame], DataFrame],
+                 after_layer: Callable[[str, dict[str, DataFrame]], None] | None = None
+                 ) -> dict[str, DataFrame]:
+    """Build staging -> intermediate -> marts, storing each model once.
+
+    Each layer reads the *stored* layer below, so no model is recomputed by
+    its consumers and lineage is cut at every layer boundary.
+    """
+    frames: dict[str, DataFrame] = {}
+    for layer in (C.STAGING, C.INTERMEDIATE, C.MART):
+        models = layer_models(layer, raw, frames)
+        # Models of one layer are independent: submit their jobs concurrently so
+        # the scheduler can overlap them (small ones would otherwise idle the cluster).
+        with ThreadPoolExecutor(max_workers=len(models)) as pool:
+            futures = {name: pool.submit(store, name, df) for name, df in models.items()}
+            built = {name: f.result() for name, f in futures.items()}
+        frames.update(built)
+        if after_layer is not None:
+            after_layer(layer, frames)
+    return frames
+
+
+def table_store(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
+    """A store that writes each model once as Parquet under a fresh folder of the
+    session's shared checkpoint folder and reads it back (column-pruned scans).
+
+    Unlike an eager ``checkpoint()``, which counts and then writes (two
+    computations), a write is one computation and leaves a columnar table.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex[:12]}"
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return store
+
+
 def run_layers(spark: SparkSession, raw: RawSources, out_root: str, fail_on_error: bool = True,
                store_failures: bool = False) -> dict[str, DataFrame]:
     """Build and check every layer; return the check summaries by layer."""
-    def write_all(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        out = {}
-        for name, df in models.items():
-            out[name] = spark.read.parquet(sinks.write_version(df, f"{out_root}/{name}"))
-        return out
-
-    results = {}
-    src = {"wf_case": raw.cases, "wf_task": raw.tasks, "wf_assignment": raw.assignments,
-           "wf_events": raw.events, "wf_task_predecessor": raw.task_predecessors}
-    results[C.SOURCE] = _check_layer(src, C.SOURCE, out_root, fail_on_error, store_failures)
-
-    stg = write_all({
-        "stg_cases": staging.stg_cases(raw.cases), "stg_tasks": staging.stg_tasks(raw.tasks),
-        "stg_assignments": staging.stg_assignments(raw.assignments),
-        "stg_events": staging.stg_events(raw.events)})
-    results[C.STAGING] = _check_layer(stg, C.STAGING, out_root, fail_on_error, store_failures)
-
-    inter = write_all({
-        "case_durations": intermediate.case_durations(stg["stg_cases"]),
-        "custom_tasks": intermediate.custom_tasks(stg["stg_tasks"], stg["stg_cases"]),
-        "file_upload_attempts": intermediate.file_upload_attempts(stg["stg_events"]),
-        "questionnaire_assignments": intermediate.questionnaire_assignments(
-            stg["stg_assignments"], stg["stg_tasks"], stg["stg_cases"], stg["stg_events"])})
-    frames = {**stg, **inter}
-    results[C.INTERMEDIATE] = _check_layer(frames, C.INTERMEDIATE, out_root, fail_on_error,
-                                           store_failures)
-
-    mart = write_all({
-        "case_duration_daily": marts.case_duration_daily(inter["case_durations"]),
-        "custom_tasks_daily": marts.custom_tasks_daily(inter["custom_tasks"]),
-        "file_upload_daily": marts.file_upload_daily(inter["file_upload_attempts"]),
-        "questionnaire_daily": marts.questionnaire_daily(inter["questionnaire_assignments"])})
-    results[C.MART] = _check_layer(mart, C.MART, out_root, fail_on_error, store_failures)
+    results = {C.SOURCE: _check_layer(source_frames(raw), C.SOURCE, out_root, fail_on_error,
+                                      store_failures)}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        return spark.read.parquet(sinks.write_version(df, f"{out_root}/{name}"))
+
+    def check(layer: str, frames: dict[str, DataFrame]) -> None:
+        results[layer] = _check_layer(frames, layer, out_root, fail_on_error, store_failures)
+
+    build_stored(raw, write, check)
     return results
