@@ -27,16 +27,16 @@ def _with_excess(mart: DataFrame) -> DataFrame:
     return mart.withColumn("excess_over_target", excess)
 
 
-def _latest_day(mart: DataFrame) -> DataFrame:
-    # One row by construction; safe to broadcast.
-    return F.broadcast(mart.agg(F.max("metric_date").alias("_alert_day")))
+def _latest_day(mart: DataFrame) -> Column:
+    """The newest mart day, as a scalar subquery."""
+    return mart.select(F.max("metric_date")).scalar()
 
 
 def threshold_alert(mart: DataFrame, day: str | None = None) -> DataFrame:
     """Products above the manual-task target on ``day`` (default: latest day)."""
     m = _with_excess(mart).where(F.col("is_above_pm_target"))
     if day is None:
-        m = m.join(_latest_day(mart), F.col("metric_date") == F.col("_alert_day"))
+        m = m.where(F.col("metric_date") == _latest_day(mart))
     else:
         m = m.where(F.col("metric_date") == F.lit(day).cast("date"))
     return m.select(*ALERT_COLUMNS)
@@ -73,7 +73,7 @@ def threshold_alert_context(mart: DataFrame, day: str | None = None,
     ctx = rolling_context(mart).where(F.col("is_above_pm_target"))
     if not all_days:
         if day is None:
-            ctx = ctx.join(_latest_day(mart), F.col("metric_date") == F.col("_alert_day"))
+            ctx = ctx.where(F.col("metric_date") == _latest_day(mart))
         else:
             ctx = ctx.where(F.col("metric_date") == F.lit(day).cast("date"))
     return ctx.select(*ALERT_COLUMNS, *CONTEXT_COLUMNS)

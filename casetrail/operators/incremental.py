@@ -3,8 +3,8 @@
 Every model follows the same shape: read the watermark from the current
 target (``max(ts) - 2 days``, or 1900-01-01 when the target is empty), find
 what changed since, recompute only that, and upsert by the model key.  The
-watermark is a one-row aggregate joined by broadcast, so it stays inside the
-plan (no driver round trip) and its size is fixed at one row.
+watermark is a scalar subquery, so it stays inside the plan (no driver round
+trip) and is computed once.
 
 ``target=None`` is a first run and gives the full build (I7).
 """
@@ -21,18 +21,22 @@ LOOKBACK = "2 days"
 FLOOR = "1900-01-01 00:00:00"
 
 
-def watermark(target: DataFrame, ts_col: str, lookback: str = LOOKBACK) -> DataFrame:
-    """One row ``_wm = coalesce(max(ts), 1900-01-01) - lookback``."""
+def watermark(target: DataFrame, ts_col: str, lookback: str = LOOKBACK) -> Column:
+    """``coalesce(max(ts), 1900-01-01) - lookback`` as a scalar subquery.
+
+    Spark evaluates it once (a partial + final ``max``) and uses the value in
+    the filter; nothing is collected to the driver.
+    """
     top = F.coalesce(F.max(F.col(ts_col)), F.lit(FLOOR).cast("timestamp"))
-    return F.broadcast(target.agg((top - F.expr(f"INTERVAL {lookback}")).alias("_wm")))
+    return target.select(top - F.expr(f"INTERVAL {lookback}")).scalar()
 
 
-def since(df: DataFrame, ts: Column, wm: DataFrame, keep_null: bool = False) -> DataFrame:
+def since(df: DataFrame, ts: Column, wm: Column, keep_null: bool = False) -> DataFrame:
     """Rows with ``ts >= watermark`` (and NULL ``ts`` rows when ``keep_null``, I2)."""
-    cond = ts >= F.col("_wm")
+    cond = ts >= wm
     if keep_null:
         cond = cond | ts.isNull()
-    return df.crossJoin(wm).where(cond).drop("_wm")
+    return df.where(cond)
 
 
 def stage_events(raw_events: DataFrame, target: DataFrame | None = None,

@@ -220,14 +220,12 @@ def freshness(loads: DataFrame, as_of: Column | None = None,
     """Q8: newest load per source against ``as_of`` (default: newest load overall).
 
     ``loads`` has columns ``(source, loaded_at)``.  The default ``as_of`` is a
-    one-row aggregate joined by broadcast (one row: bounded by construction).
+    scalar subquery over the per-source maxima.
     """
     latest = loads.groupBy("source").agg(F.max("loaded_at").alias("max_loaded_at"))
     if as_of is None:
-        ref = latest.agg(F.max("max_loaded_at").alias("as_of"))
-        latest = latest.crossJoin(F.broadcast(ref))
-    else:
-        latest = latest.withColumn("as_of", as_of.cast("timestamp"))
+        as_of = latest.select(F.max("max_loaded_at")).scalar()
+    latest = latest.withColumn("as_of", as_of.cast("timestamp"))
     from ..functions.ratios import rate
     diff_us = F.unix_micros(F.col("as_of")) - F.unix_micros(F.col("max_loaded_at"))
     limit_us = F.lit(int(error_after_hours * 3_600_000_000))

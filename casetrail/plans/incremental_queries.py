@@ -1,7 +1,7 @@
 """Registered incremental runs (I1-I7): build from an earlier batch, then upsert the rest.
 
-The event feed is split at the midpoint of its load times (a one-row
-aggregate, derived from the data).  The first batch -- everything loaded
+The event feed is split at the midpoint of its load times (a scalar
+subquery over the data).  The first batch -- everything loaded
 before the midpoint, plus rows without a load time -- builds the existing
 target, which is written as a table under the shared checkpoint folder, as the
 stored target would be.  The incremental function then runs over the whole feed and
@@ -24,10 +24,9 @@ from .registry import query
 def first_batch(raw_events: DataFrame) -> DataFrame:
     """Raw events loaded before the midpoint of all load times (or never stamped)."""
     t = safe_timestamp("ingestion_timestamp")
-    bounds = raw_events.agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
-    cut = F.broadcast(bounds.select(F.timestamp_seconds(
-        F.floor((F.unix_seconds("lo") + F.unix_seconds("hi")) / 2)).alias("_cut")))
-    return (raw_events.crossJoin(cut).where((t < F.col("_cut")) | t.isNull()).drop("_cut"))
+    cut = raw_events.select(F.timestamp_seconds(
+        F.floor((F.unix_seconds(F.min(t)) + F.unix_seconds(F.max(t))) / 2))).scalar()
+    return raw_events.where((t < cut) | t.isNull())
 
 
 def stored(df: DataFrame) -> DataFrame:
