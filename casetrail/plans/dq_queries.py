@@ -40,15 +40,19 @@ def loads(m: Models) -> DataFrame:
 
 
 def stored_frames(m: Models, checks) -> dict[str, DataFrame]:
-    """Frames for ``checks``: raw sources as derived, models built once per layer
-    from the stored layer below (written under the shared checkpoint folder).
-    Only the layers the checks need are built."""
-    from .refresh import build_stored, source_frames, table_store
-    out = dict(source_frames(m.raw))
-    needed = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
-    if needed - set(out):
-        out.update(build_stored(m.raw, table_store(m.spark)))
-    return out
+    """Frames for ``checks``: raw sources landed once, then each layer the checks
+    need built once from the stored layer below (written under the shared
+    checkpoint folder)."""
+    from .refresh import build_stored, table_store
+    return build_stored(m.raw, table_store(m.spark), layers=_layers_for(checks))
+
+
+def _layers_for(checks) -> tuple[str, ...]:
+    """Layers up to the deepest one the checks read (sources are always landed)."""
+    needed = {c.layer for c in checks}
+    order = list(C.LAYERS)
+    deepest = max((order.index(layer) for layer in needed if layer in order), default=0)
+    return tuple(order[:deepest + 1])
 
 
 def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:

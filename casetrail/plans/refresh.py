@@ -47,10 +47,13 @@ def _check_layer(frames: dict[str, DataFrame], layer: str, out_root: str,
 
 def layer_models(layer: str, raw: RawSources, up: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The models of one layer, built from the (stored) frames of the layer below."""
+    if layer == C.SOURCE:
+        return source_frames(raw)
     if layer == C.STAGING:
-        return {"stg_cases": staging.stg_cases(raw.cases), "stg_tasks": staging.stg_tasks(raw.tasks),
-                "stg_assignments": staging.stg_assignments(raw.assignments),
-                "stg_events": staging.stg_events(raw.events)}
+        return {"stg_cases": staging.stg_cases(up["wf_case"]),
+                "stg_tasks": staging.stg_tasks(up["wf_task"]),
+                "stg_assignments": staging.stg_assignments(up["wf_assignment"]),
+                "stg_events": staging.stg_events(up["wf_events"])}
     if layer == C.INTERMEDIATE:
         return {
             "case_durations": intermediate.case_durations(up["stg_cases"]),
@@ -73,15 +76,16 @@ def source_frames(raw: RawSources) -> dict[str, DataFrame]:
 
 
 def build_stored(raw: RawSources, store: Callable[[str, DataFrame], DataFrame],
-                 after_layer: Callable[[str, dict[str, DataFrame]], None] | None = None
-                 ) -> dict[str, DataFrame]:
-    """Build staging -> intermediate -> marts, storing each model once.
+                 after_layer: Callable[[str, dict[str, DataFrame]], None] | None = None,
+                 layers: tuple[str, ...] = C.LAYERS) -> dict[str, DataFrame]:
+    """Land the raw sources, then build staging -> intermediate -> marts, storing
+    each table once.
 
     Each layer reads the *stored* layer below, so no model is recomputed by
     its consumers and lineage is cut at every layer boundary.
     """
     frames: dict[str, DataFrame] = {}
-    for layer in (C.STAGING, C.INTERMEDIATE, C.MART):
+    for layer in layers:
         models = layer_models(layer, raw, frames)
         # Models of one layer are independent: submit their jobs concurrently so
         # the scheduler can overlap them (small ones would otherwise idle the cluster).
@@ -113,8 +117,7 @@ def table_store(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
 def run_layers(spark: SparkSession, raw: RawSources, out_root: str, fail_on_error: bool = True,
                store_failures: bool = False) -> dict[str, DataFrame]:
     """Build and check every layer; return the check summaries by layer."""
-    results = {C.SOURCE: _check_layer(source_frames(raw), C.SOURCE, out_root, fail_on_error,
-                                      store_failures)}
+    results: dict[str, DataFrame] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         return spark.read.parquet(sinks.write_version(df, f"{out_root}/{name}"))
