@@ -10,6 +10,10 @@ shrinks to one row per distinct value.  A running count over each
 ``(group, measure)`` window (size = number of distinct values, bounded by the
 value domain, e.g. days) then locates the two ranks around ``pos``.  No group
 is ever collected into one task, and no value list is materialised.
+
+The exact path suits the durations here (integer days: few distinct values
+per group).  For a high-cardinality measure, ``approx=True`` switches to
+``percentile_approx`` (a mergeable sketch with bounded memory per group).
 """
 
 from __future__ import annotations
@@ -37,14 +41,22 @@ def value_counts(df: DataFrame, group_cols: Sequence[str],
 
 
 def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str, str],
-                outputs: Mapping[str, tuple[str, float]]) -> DataFrame:
+                outputs: Mapping[str, tuple[str, float]], approx: bool = False,
+                accuracy: int = 10000) -> DataFrame:
     """Exact percentiles of several measures per group.
 
     ``measures`` maps a measure name to its value column; ``outputs`` maps an
     output column to ``(measure, p)``.  Returns one row per group that has at
     least one non-null value in some measure; callers left-join it to their
-    group rows (null-safe on the keys).
+    group rows (null-safe on the keys).  ``approx=True`` is the opt-in sketch.
     """
+    if approx:
+        present = F.lit(False)
+        for col in measures.values():
+            present = present | F.col(col).isNotNull()
+        aggs = [F.percentile_approx(F.col(measures[m]).cast("double"), p, accuracy).alias(out)
+                for out, (m, p) in outputs.items()]
+        return df.where(present).groupBy(*group_cols).agg(*aggs)
     counts = value_counts(df, group_cols, measures)
     part = Window.partitionBy(*group_cols, "measure")
     running = part.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -25,6 +25,7 @@ from ..session import checkpoint_dir
 from ..sources import sinks
 
 LATENESS = "2 days"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def staged_event_stream(raw_stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -71,6 +72,11 @@ class UploadRefresh:
 def run_available(spark: SparkSession, raw_path: str, root: str,
                   refresh_marts: bool = True, max_files_per_trigger: int | None = None) -> UploadRefresh:
     """Process everything available under ``raw_path`` once (``availableNow``) and stop."""
+    # Dedupe state spans the 2-day watermark; keep it in RocksDB (off-heap, spills
+    # to local disk, checkpointed with the query) unless the cluster chose a provider.
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(provider, None):
+        spark.conf.set(provider, ROCKSDB_PROVIDER)
     options = {}
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)

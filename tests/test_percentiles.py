@@ -39,3 +39,14 @@ def test_matches_brute_force_with_skew_and_nulls(spark):
             expected = brute(vals, p)
             actual = None if got is None else got[col]
             assert actual == expected, (g, col, actual, expected)
+
+
+def test_approx_opt_in_close_to_exact(spark):
+    rnd = random.Random(3)
+    rows = [(g, rnd.randint(0, 1000)) for g in range(3) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g int, x int")
+    exact = {r.g: r.p50 for r in percentiles(df, ["g"], {"x": "x"}, {"p50": ("x", 0.5)}).collect()}
+    approx = {r.g: r.p50 for r in percentiles(df, ["g"], {"x": "x"}, {"p50": ("x", 0.5)},
+                                              approx=True).collect()}
+    assert set(exact) == set(approx)
+    assert all(abs(exact[g] - approx[g]) <= 5 for g in exact)
