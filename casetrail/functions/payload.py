@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Payload keys read into typed columns.
 TEXT_KEYS = (
@@ -28,9 +27,6 @@ NUMBER_KEYS = (
 )
 ALL_KEYS = TEXT_KEYS + BOOLEAN_KEYS + NUMBER_KEYS
 
-PAYLOAD_SCHEMA = T.StructType([T.StructField(k, T.StringType(), True) for k in ALL_KEYS])
-
-
 def payload_keys(c: str | Column, keys=ALL_KEYS, prefix: str = "_j_") -> Column:
     """Generator column: one text column ``{prefix}{key}`` per key, one parse per row.
 
@@ -38,12 +34,3 @@ def payload_keys(c: str | Column, keys=ALL_KEYS, prefix: str = "_j_") -> Column:
     """
     col = F.col(c) if isinstance(c, str) else c
     return F.json_tuple(col, *keys).alias(*[f"{prefix}{k}" for k in keys])
-
-
-def parse_payload(c: str | Column) -> Column:
-    """Payload text to a struct of the declared keys, every value as text.
-
-    JSON null and a missing key give NULL; a number keeps its text.
-    """
-    col = F.col(c) if isinstance(c, str) else c
-    return F.from_json(col, PAYLOAD_SCHEMA)
