@@ -27,6 +27,7 @@ NUMBER_KEYS = (
 )
 ALL_KEYS = TEXT_KEYS + BOOLEAN_KEYS + NUMBER_KEYS
 
+
 def payload_keys(c: str | Column, keys=ALL_KEYS, prefix: str = "_j_") -> Column:
     """Generator column: one text column ``{prefix}{key}`` per key, one parse per row.
 

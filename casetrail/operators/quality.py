@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,21 +87,47 @@ def expression_is_true(expr: str) -> Column:
     return ~F.coalesce(F.expr(expr), F.lit(False))
 
 
-def failing_predicate(check: Check) -> Column:
-    c = F.col(check.column) if check.column else None
+def sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def predicate_sql(check: Check) -> str:
+    """The failing-row predicate of a row check as Spark SQL text.
+
+    Text keeps plan construction to one driver call per model (see
+    :func:`row_check_counts`); it is the single definition used for both the
+    counts and :func:`failing_rows`.
+    """
+    col = f"`{check.column}`" if check.column else None
     if check.kind == "not_null":
-        return not_null(c)
+        return f"{col} IS NULL"
     if check.kind == "accepted_values":
-        return accepted_values(c, check.values)
+        values = ", ".join(sql_literal(v) for v in check.values)
+        return f"{col} IS NOT NULL AND NOT {col} IN ({values})"
     if check.kind == "non_negative":
-        return non_negative(c)
+        return f"{col} < 0"
     if check.kind == "value_between":
-        return value_between(c, check.min_value, check.max_value)
+        parts = []
+        if check.min_value is not None:
+            parts.append(f"{col} < {sql_literal(check.min_value)}")
+        if check.max_value is not None:
+            parts.append(f"{col} > {sql_literal(check.max_value)}")
+        return f"{col} IS NOT NULL AND ({' OR '.join(parts) or 'FALSE'})"
     if check.kind == "expression_is_true":
-        return expression_is_true(check.expression)
+        return f"NOT coalesce(({check.expression}), FALSE)"
     raise ValueError(f"{check.kind} is not a row check")
 
 
+def failing_predicate(check: Check) -> Column:
+    return F.expr(predicate_sql(check))
+
+
 # -------------------------------------------------------------- failing rows
 def failing_rows(df: DataFrame, check: Check, parent: DataFrame | None = None) -> DataFrame:
     """The rows a check returns (Q1-Q7); empty means the check passes."""
@@ -129,28 +154,34 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- check counts
-def _failure_count(check: Check) -> Column:
-    bad = F.coalesce(failing_predicate(check), F.lit(False))
+def failure_count_sql(check: Check) -> str:
+    bad = f"coalesce({predicate_sql(check)}, FALSE)"
     if check.kind == "accepted_values":
-        return F.count_distinct(F.when(bad, F.col(check.column).cast("string")))
-    return F.count(F.when(bad, F.lit(1)))
+        return f"count(DISTINCT CASE WHEN {bad} THEN CAST(`{check.column}` AS STRING) END)"
+    return f"count(CASE WHEN {bad} THEN 1 END)"
+
+
+def _label_sql(check: Check) -> list[str]:
+    col = sql_literal(check.column) if check.column else "CAST(NULL AS STRING)"
+    return [sql_literal(check.layer), sql_literal(check.model), sql_literal(check.name),
+            sql_literal(check.kind), col, sql_literal(check.severity)]
 
 
 def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row checks of one model in one aggregate, unpivoted to check rows."""
+    """All row checks of one model in one aggregate, unpivoted to check rows.
+
+    One scan and one (partial + final) global aggregate produce a single row
+    of counts; ``stack`` turns it into one row per check.
+    """
     checks = [c for c in checks if c.kind in ROW_KINDS]
     if not checks:
         return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
-    counts = df.agg(*[_failure_count(c).alias(f"c{i}") for i, c in enumerate(checks)])
-    rows = F.explode(F.array(*[
-        F.struct(
-            F.lit(c.layer).alias("layer"), F.lit(c.model).alias("model"),
-            F.lit(c.name).alias("check_name"), F.lit(c.kind).alias("kind"),
-            F.lit(c.column).cast("string").alias("column_name"),
-            F.lit(c.severity).alias("severity"), F.col(f"c{i}").cast("long").alias("failures"),
-        ) for i, c in enumerate(checks)
-    ])).alias("r")
-    return counts.select(rows).select("r.*")
+    counts = df.selectExpr(*[f"{failure_count_sql(c)} AS c{i}" for i, c in enumerate(checks)])
+    cells = ", ".join(", ".join(_label_sql(c) + [f"CAST(c{i} AS BIGINT)"])
+                      for i, c in enumerate(checks))
+    return counts.selectExpr(
+        f"stack({len(checks)}, {cells}) AS "
+        "(layer, model, check_name, kind, column_name, severity, failures)")
 
 
 def unique_count(df: DataFrame, check: Check) -> DataFrame:
@@ -190,7 +221,20 @@ def run_checks(frames: dict[str, DataFrame], checks: Sequence[Check],
     if not parts:
         first = next(iter(frames.values()))
         return first.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """``UNION ALL`` of many frames as a balanced tree.
+
+    Each ``unionByName`` re-analyses its inputs on the driver; folding left
+    over n parts analyses O(n^2) plan nodes, a balanced tree O(n log n).
+    """
+    parts = list(parts)
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def with_status(summary: DataFrame) -> DataFrame:
