@@ -55,3 +55,12 @@ def test_soft_deletes_removed(spark):
                 "case_matter_case_id", "created_at", "updated_at", "ingestion_timestamp"):
         raw = raw.withColumn(col, F.lit(None).cast("string"))
     assert [r.case_id for r in staging.stg_cases(raw).collect()] == [1]
+
+
+def test_soft_delete_filter_reaches_parquet_scan(spark, tmp_path):
+    from casetrail.sources import sinks
+    path = str(tmp_path / "cw_case")
+    spark.createDataFrame([], sinks.CASE_SCHEMA).write.parquet(path)
+    raw = sinks.read_raw(spark, "cw_case", path)
+    plan = staging.stg_cases(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNull(deleted_at)]" in plan
