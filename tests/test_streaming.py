@@ -30,3 +30,20 @@ def test_available_now_refresh(spark, scratch):
     # a second run finds nothing new and leaves the tables as they are
     streaming.run_available(spark, raw_path, f"{scratch}/out")
     assert sinks.read_current(spark, sink.events_table).count() == 13
+
+
+def test_watermark_drops_events_later_than_two_days(spark, scratch):
+    def feed(rows):
+        return spark.createDataFrame(
+            [(t, i, "cw_task_plugin_opened", json.dumps({"task_assignment_id": k})) for t, i, k in rows],
+            "event_time string, ingestion_timestamp string, event_type string, event_properties string")
+
+    raw_path = f"{scratch}/raw"
+    feed([("2024-01-10 00:00:00", "2024-01-10 00:00:00", "a")]).write.mode("append").parquet(raw_path)
+    streaming.run_available(spark, raw_path, f"{scratch}/out", refresh_marts=False)
+    # second arrival: one event a day behind the newest load (kept), one four days behind (dropped)
+    feed([("2024-01-09 00:00:00", "2024-01-09 00:00:00", "b"),
+          ("2024-01-06 00:00:00", "2024-01-06 00:00:00", "c")]).write.mode("append").parquet(raw_path)
+    sink = streaming.run_available(spark, raw_path, f"{scratch}/out", refresh_marts=False)
+    got = sorted(r.task_assignment_id for r in sinks.read_current(spark, sink.events_table).collect())
+    assert got == ["a", "b"]
