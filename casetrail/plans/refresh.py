@@ -78,8 +78,8 @@ def source_frames(raw: RawSources) -> dict[str, DataFrame]:
 def build_stored(raw: RawSources, store: Callable[[str, DataFrame], DataFrame],
                  after_layer: Callable[[str, dict[str, DataFrame]], None] | None = None,
                  layers: tuple[str, ...] = C.LAYERS) -> dict[str, DataFrame]:
-    """Land the raw sources, then build staging -> intermediate -> marts, storing
-    each table once.
+    """Take the raw sources, then build staging -> intermediate -> marts, storing
+    each model once.
 
     Each layer reads the *stored* layer below, so no model is recomputed by
     its consumers and lineage is cut at every layer boundary.
@@ -87,11 +87,16 @@ def build_stored(raw: RawSources, store: Callable[[str, DataFrame], DataFrame],
     frames: dict[str, DataFrame] = {}
     for layer in layers:
         models = layer_models(layer, raw, frames)
-        # Models of one layer are independent: submit their jobs concurrently so
-        # the scheduler can overlap them (small ones would otherwise idle the cluster).
-        with ThreadPoolExecutor(max_workers=len(models)) as pool:
-            futures = {name: pool.submit(store, name, df) for name, df in models.items()}
-            built = {name: f.result() for name, f in futures.items()}
+        if layer == C.SOURCE:
+            # Raw sources are stored tables already (here: derived from the given
+            # tables by narrow projections and one grouping); they are used in place.
+            built = models
+        else:
+            # Models of one layer are independent: submit their jobs concurrently so
+            # the scheduler can overlap them (small ones would otherwise idle the cluster).
+            with ThreadPoolExecutor(max_workers=len(models)) as pool:
+                futures = {name: pool.submit(store, name, df) for name, df in models.items()}
+                built = {name: f.result() for name, f in futures.items()}
         frames.update(built)
         if after_layer is not None:
             after_layer(layer, frames)
