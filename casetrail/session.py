@@ -43,16 +43,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     and is used as is.  Only when nothing is configured (unit tests, a laptop)
     do we fall back to a fresh local scratch folder.
     """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (e.g. Spark Connect)
+        sc = None
+    if sc is not None and not current:
+        current = sc.getCheckpointDir()
     if current:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="casetrail-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir() or local
+    return local
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

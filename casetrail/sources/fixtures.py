@@ -30,9 +30,12 @@ def spread(df: DataFrame) -> DataFrame:
     single-threaded.  Inputs already split into enough partitions (many files
     or row groups, the large-scale case) are left as they are -- no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Partition count of the planned scan (creating the RDD runs no job).
-    scan_parts = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        # Partition count of the planned scan (creating the RDD runs no job).
+        scan_parts = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Spark Connect session)
+        return df
     if scan_parts < cores:
         return df.repartition(cores)
     return df
