@@ -107,13 +107,34 @@ def file_upload_daily(attempts: DataFrame) -> DataFrame:
     )
 
 
+def _beneficiary_rollup(rows: DataFrame, keys) -> DataFrame:
+    """First phase: one row per ``(keys, beneficiary)`` with assignment counts
+    and whether the beneficiary has any submitted / reviewed assignment.
+
+    Distinct beneficiaries are then plain counts of these rows, so no
+    ``count(DISTINCT ...)`` expansion (one copy of every row per distinct
+    aggregate) is needed, and both phases combine map-side.
+    """
+    sub, rev = F.col("is_submitted") == 1, F.col("is_reviewer_completed") == 1
+    return rows.groupBy(*keys, "beneficiary_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        count_if(sub).alias("_n_sub"),
+        count_if(rev).alias("_n_rev"),
+        F.max(sub.cast("int")).alias("_any_sub"),
+        F.max(rev.cast("int")).alias("_any_rev"),
+        F.max("source_updated_at").alias("_max_src"),
+    )
+
+
 def questionnaire_daily_aggs():
-    total = F.count(F.lit(1))
-    submitted = count_if(F.col("is_submitted") == 1)
-    reviewed = count_if(F.col("is_reviewer_completed") == 1)
-    ben = F.count_distinct(F.col("beneficiary_id"))
-    ben_sub = F.count_distinct(F.when(F.col("is_submitted") == 1, F.col("beneficiary_id")))
-    ben_rev = F.count_distinct(F.when(F.col("is_reviewer_completed") == 1, F.col("beneficiary_id")))
+    """Second phase over :func:`_beneficiary_rollup` rows."""
+    has_ben = F.col("beneficiary_id").isNotNull()
+    total = F.sum("_n")
+    submitted = F.sum("_n_sub")
+    reviewed = F.sum("_n_rev")
+    ben = count_if(has_ben)
+    ben_sub = count_if(has_ben & (F.col("_any_sub") == 1))
+    ben_rev = count_if(has_ben & (F.col("_any_rev") == 1))
     return [
         total.alias("activated_assignments"),
         submitted.alias("submitted_assignments"),
@@ -125,7 +146,7 @@ def questionnaire_daily_aggs():
         rate(reviewed, total).alias("assignment_reviewer_completion_rate"),
         rate(ben_sub, ben).alias("beneficiary_any_submission_rate"),
         rate(ben_rev, ben).alias("beneficiary_any_reviewer_completion_rate"),
-        F.max("source_updated_at").alias("max_source_updated_at"),
+        F.max("_max_src").alias("max_source_updated_at"),
     ]
 
 
@@ -135,8 +156,8 @@ def activated_questionnaires(assignments: DataFrame) -> DataFrame:
 
 def questionnaire_daily(assignments: DataFrame) -> DataFrame:
     """Questionnaire completion by activation date and product."""
-    agg = (activated_questionnaires(assignments)
-           .withColumnRenamed("activation_date", "metric_date")
+    rows = activated_questionnaires(assignments).withColumnRenamed("activation_date", "metric_date")
+    agg = (_beneficiary_rollup(rows, DAY_PRODUCT)
            .groupBy(*DAY_PRODUCT).agg(*questionnaire_daily_aggs()))
     return agg.select(
         md5_key(F.col("metric_date"), F.col("catalog_product_id")).alias("metric_day_product_key"),
