@@ -14,8 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ratios import count_if, rate, rounded_mean
-from .percentiles import join_on_groups, percentiles
+from ..functions.ratios import rate, rounded_mean
+from .percentiles import cell_count, percentiles
 
 
 class ContractError(ValueError):
@@ -215,10 +215,10 @@ def rollup_percentile(base_df: DataFrame, mart: str, metric: str, grain: str,
     base = base_df.select(period_start(c.base_time_dimension, grain).alias("period_start"),
                           *dimensions, F.col(m.base_measure).alias("_x"))
     groups = ["period_start", *dimensions]
-    counts = base.groupBy(*groups).agg(count_if(F.col("_x").isNotNull()).alias("base_rows"))
-    pct = percentiles(base, groups, {"x": "_x"}, {"value": ("x", m.percentile)})
-    return join_on_groups(counts, pct, groups).select(
-        *groups, "value", "base_rows", *_context(c, metric, grain, c.base_model))
+    # One pass: a constant measure keeps groups without values; counts come from the cells.
+    out = percentiles(base, groups, {"_rows": F.lit(1), "x": "_x"}, {"value": ("x", m.percentile)},
+                      extra={"base_rows": cell_count("x")})
+    return out.select(*groups, "value", "base_rows", *_context(c, metric, grain, c.base_model))
 
 
 def metric_freshness(marts: dict[str, DataFrame]) -> DataFrame:

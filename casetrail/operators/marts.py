@@ -12,35 +12,51 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import md5_key
 from ..functions.ratios import above_threshold, count_if, rate, rounded_mean
-from .percentiles import join_on_groups, percentiles
+from .percentiles import cell_count, cell_sum, percentiles
 
 MANUAL_TASK_TARGET = 0.20
 DAY_PRODUCT = ("metric_date", "catalog_product_id")
 
 
+def duration_measures(*names: str) -> dict:
+    """Measures counted per (group, value) for the duration marts.
+
+    Flags and a constant are counted as well, so row counts come from the
+    same pass as the percentiles (no second aggregation, no join back).
+    """
+    all_measures = {
+        "_rows": F.lit(1),
+        "_valid": F.when(F.col("is_valid_primary_duration") == 1, F.lit(1)),
+        "_legacy": F.when(F.col("has_legacy_case_link") == 1, F.lit(1)),
+        "kickoff": "kickoff_to_filing_days",
+        "initialized": "initialized_to_filing_days",
+        "created": "created_to_filing_days",
+        "classification": "classification_to_filing_days",
+    }
+    return {n: all_measures[n] for n in names}
+
+
 def case_duration_daily(durations: DataFrame) -> DataFrame:
     """Filed cases by filing date and product, with exact percentiles."""
     d = durations.withColumnRenamed("filing_date", "metric_date")
-    kick = F.col("kickoff_to_filing_days")
-    main = d.groupBy(*DAY_PRODUCT).agg(
-        F.count(F.lit(1)).alias("filed_cases"),
-        count_if(F.col("is_valid_primary_duration") == 1).alias("kickoff_population_cases"),
-        rounded_mean(F.sum(kick), F.count(kick)).alias("avg_kickoff_to_filing_days"),
-        count_if(F.col("initialized_to_filing_days").isNotNull()).alias("initialized_population_cases"),
-        count_if(F.col("created_to_filing_days").isNotNull()).alias("created_population_cases"),
-        count_if(F.col("has_legacy_case_link") == 1).alias("cases_with_legacy_link"),
-    )
-    pct = percentiles(
+    out = percentiles(
         d, DAY_PRODUCT,
-        {"kickoff": "kickoff_to_filing_days", "initialized": "initialized_to_filing_days",
-         "created": "created_to_filing_days"},
+        duration_measures("_rows", "_valid", "_legacy", "kickoff", "initialized", "created"),
         {"median_kickoff_to_filing_days": ("kickoff", 0.5),
          "p75_kickoff_to_filing_days": ("kickoff", 0.75),
          "p90_kickoff_to_filing_days": ("kickoff", 0.9),
          "median_initialized_to_filing_days": ("initialized", 0.5),
          "median_created_to_filing_days": ("created", 0.5)},
+        extra={
+            "filed_cases": cell_count("_rows"),
+            "kickoff_population_cases": cell_count("_valid"),
+            "avg_kickoff_to_filing_days": rounded_mean(cell_sum("kickoff"), cell_count("kickoff")),
+            "initialized_population_cases": cell_count("initialized"),
+            "created_population_cases": cell_count("created"),
+            "cases_with_legacy_link": cell_count("_legacy"),
+        },
     )
-    return join_on_groups(main, pct, DAY_PRODUCT).select(
+    return out.select(
         "metric_date", "catalog_product_id", "filed_cases", "kickoff_population_cases",
         "avg_kickoff_to_filing_days", "median_kickoff_to_filing_days",
         "p75_kickoff_to_filing_days", "p90_kickoff_to_filing_days",

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import count_if, rate, rounded_mean
-from .marts import activated_questionnaires, task_share_aggs, upload_funnel_aggs
-from .percentiles import join_on_groups, percentiles
+from .marts import activated_questionnaires, duration_measures, task_share_aggs, upload_funnel_aggs
+from .percentiles import cell_count, cell_sum, percentiles
 
 
 def _asc(*cols: str):
@@ -46,30 +46,27 @@ def custom_task_share(tasks: DataFrame) -> DataFrame:
 
 
 def case_duration(durations: DataFrame) -> DataFrame:
-    """Duration per product over cases with a valid primary duration."""
+    """Duration per product over cases with a valid primary duration (one pass)."""
     d = durations.where(F.col("is_valid_primary_duration") == 1)
-    kick = F.col("kickoff_to_filing_days")
-    g = ["catalog_product_id"]
-    main = d.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("case_count"),
-        rounded_mean(F.sum(kick), F.count(kick)).alias("avg_kickoff_to_filing_days"),
-        count_if(F.col("initialized_to_filing_days").isNotNull()).alias("initialized_population_cases"),
-        count_if(F.col("created_to_filing_days").isNotNull()).alias("created_population_cases"),
-        count_if(F.col("classification_to_filing_days").isNotNull()).alias("classification_population_cases"),
-        count_if(F.col("has_legacy_case_link") == 1).alias("cases_with_legacy_link"),
-    )
-    pct = percentiles(
-        d, g,
-        {"kickoff": "kickoff_to_filing_days", "initialized": "initialized_to_filing_days",
-         "created": "created_to_filing_days", "classification": "classification_to_filing_days"},
+    out = percentiles(
+        d, ["catalog_product_id"],
+        duration_measures("_rows", "_legacy", "kickoff", "initialized", "created", "classification"),
         {"median_kickoff_to_filing_days": ("kickoff", 0.5),
          "p75_kickoff_to_filing_days": ("kickoff", 0.75),
          "p90_kickoff_to_filing_days": ("kickoff", 0.9),
          "median_initialized_to_filing_days": ("initialized", 0.5),
          "median_created_to_filing_days": ("created", 0.5),
          "median_classification_to_filing_days": ("classification", 0.5)},
+        extra={
+            "case_count": cell_count("_rows"),
+            "avg_kickoff_to_filing_days": rounded_mean(cell_sum("kickoff"), cell_count("kickoff")),
+            "initialized_population_cases": cell_count("initialized"),
+            "created_population_cases": cell_count("created"),
+            "classification_population_cases": cell_count("classification"),
+            "cases_with_legacy_link": cell_count("_legacy"),
+        },
     )
-    return join_on_groups(main, pct, g).select(
+    return out.select(
         "catalog_product_id", "case_count", "avg_kickoff_to_filing_days",
         "median_kickoff_to_filing_days", "p75_kickoff_to_filing_days",
         "p90_kickoff_to_filing_days", "initialized_population_cases",

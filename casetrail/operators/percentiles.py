@@ -20,15 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def value_counts(df: DataFrame, group_cols: Sequence[str],
-                 measures: Mapping[str, str]) -> DataFrame:
+                 measures: Mapping[str, str | Column]) -> DataFrame:
     """Rows ``(*group, measure, v, n)``: how often each non-null value occurs."""
     cells = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("measure"), F.col(col).cast("double").alias("v"))
+        F.struct(F.lit(name).alias("measure"),
+                 (F.col(col) if isinstance(col, str) else col).cast("double").alias("v"))
         for name, col in measures.items()
     ])).alias("cell")
     return (
@@ -40,15 +41,20 @@ def value_counts(df: DataFrame, group_cols: Sequence[str],
     )
 
 
-def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str, str],
+def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str, str | Column],
                 outputs: Mapping[str, tuple[str, float]], approx: bool = False,
-                accuracy: int = 10000) -> DataFrame:
+                accuracy: int = 10000, extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Exact percentiles of several measures per group.
 
     ``measures`` maps a measure name to its value column; ``outputs`` maps an
     output column to ``(measure, p)``.  Returns one row per group that has at
     least one non-null value in some measure; callers left-join it to their
     group rows (null-safe on the keys).  ``approx=True`` is the opt-in sketch.
+
+    ``extra`` adds aggregates over the counted cells ``(measure, v, n)`` to the
+    final grouping -- e.g. ``sum(n)`` of a constant measure is ``count(*)`` --
+    so counts and sums come from the same pass as the percentiles (see
+    :func:`cell_count`, :func:`cell_sum`).
     """
     if approx:
         present = F.lit(False)
@@ -61,7 +67,7 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str,
     part = Window.partitionBy(*group_cols, "measure")
     running = part.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counts.select(
-        *group_cols, "measure", "v",
+        *group_cols, "measure", "v", "n",
         F.sum("n").over(running).alias("cum"),
         F.sum("n").over(part).alias("total"),
     )
@@ -74,8 +80,10 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str,
             F.min(F.when(is_m & (F.col("cum") > F.ceil(pos)), F.col("v"))).alias(f"_{out}_hi"),
             F.max(F.when(is_m, F.col("total"))).alias(f"_{out}_n"),
         ]
+    extra = dict(extra or {})
+    aggs += [e.alias(f"_x_{name}") for name, e in extra.items()]
     grouped = ranked.groupBy(*group_cols).agg(*aggs)
-    cols = []
+    cols = [F.col(f"_x_{name}").alias(name) for name in extra]
     for out, (_, p) in outputs.items():
         lo, hi, n = F.col(f"_{out}_lo"), F.col(f"_{out}_hi"), F.col(f"_{out}_n")
         pos = (n - 1) * F.lit(float(p))
@@ -84,11 +92,11 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str,
     return grouped.select(*group_cols, *cols)
 
 
-def join_on_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Left join on group keys where NULL keys match (``<=>``)."""
-    renamed = right
-    for g in group_cols:
-        renamed = renamed.withColumnRenamed(g, f"_r_{g}")
-    cond = [left[g].eqNullSafe(renamed[f"_r_{g}"]) for g in group_cols]
-    out = left.join(renamed, cond, "left")
-    return out.drop(*[f"_r_{g}" for g in group_cols])
+def cell_count(measure: str) -> Column:
+    """Rows with a non-null value of ``measure`` (0 when none), from counted cells."""
+    return F.coalesce(F.sum(F.when(F.col("measure") == measure, F.col("n"))), F.lit(0)).cast("long")
+
+
+def cell_sum(measure: str) -> Column:
+    """Exact sum of an integer-valued ``measure`` from counted cells (NULL when none)."""
+    return F.sum(F.when(F.col("measure") == measure, (F.col("v") * F.col("n")).cast("long")))
