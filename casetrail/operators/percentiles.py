@@ -48,19 +48,22 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str,
 
     ``measures`` maps a measure name to its value column; ``outputs`` maps an
     output column to ``(measure, p)``.  Returns one row per group that has at
-    least one non-null value in some measure; callers left-join it to their
-    group rows (null-safe on the keys).  ``approx=True`` is the opt-in sketch.
+    least one non-null value in some measure; add a constant measure
+    (``F.lit(1)``) to keep every group.  ``approx=True`` is the opt-in sketch.
 
     ``extra`` adds aggregates over the counted cells ``(measure, v, n)`` to the
     final grouping -- e.g. ``sum(n)`` of a constant measure is ``count(*)`` --
     so counts and sums come from the same pass as the percentiles (see
     :func:`cell_count`, :func:`cell_sum`).
     """
+    def as_col(c):
+        return F.col(c) if isinstance(c, str) else c
+
     if approx:
         present = F.lit(False)
         for col in measures.values():
-            present = present | F.col(col).isNotNull()
-        aggs = [F.percentile_approx(F.col(measures[m]).cast("double"), p, accuracy).alias(out)
+            present = present | as_col(col).isNotNull()
+        aggs = [F.percentile_approx(as_col(measures[m]).cast("double"), p, accuracy).alias(out)
                 for out, (m, p) in outputs.items()]
         return df.where(present).groupBy(*group_cols).agg(*aggs)
     counts = value_counts(df, group_cols, measures)
