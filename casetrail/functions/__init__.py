@@ -1 +1 @@
-"""casetrail: workflow metrics on Spark."""
+"""Column -> Column helpers: safe casts, payload keys, deterministic keys, rates."""

@@ -1 +1 @@
-"""casetrail: workflow metrics on Spark."""
+"""DataFrame -> DataFrame operators: staging, models, marts, metrics, quality, contract, alerts, incremental."""

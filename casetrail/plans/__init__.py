@@ -1 +1 @@
-"""casetrail: workflow metrics on Spark."""
+"""Model graph, declared checks, gated refresh and the registered queries with oracle SQL."""

@@ -1 +1 @@
-"""casetrail: workflow metrics on Spark."""
+"""Raw sources (explicit-schema readers, test-data derivation) and table sinks."""

@@ -1 +1 @@
-"""casetrail: workflow metrics on Spark."""
+"""Structured Streaming path for the event feed."""
