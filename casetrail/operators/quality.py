@@ -426,6 +426,25 @@ def schema_drift(profile: DataFrame) -> DataFrame:
     )
 
 
+def event_profile(events: DataFrame, day_col: Column, columns: Sequence[str],
+                  payload_col: str = "event_properties") -> DataFrame:
+    """Payload keys with value kinds and column presence, ``(day, field, kind, n_rows)``,
+    from one pass over the feed: each event becomes an array of cells, exploded
+    and counted with a map-side-combined aggregate."""
+    kv = F.from_json(F.col(payload_col), "map<string,variant>")
+    payload_cells = F.transform(F.map_entries(kv), lambda e: F.struct(
+        e["key"].alias("field"), value_kind(F.schema_of_variant(e["value"])).alias("kind")))
+    column_cells = F.filter(F.array(*[
+        F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("field"), F.lit("column").alias("kind")))
+        for c in columns]), lambda x: x.isNotNull())
+    cells = F.concat(F.coalesce(payload_cells, F.array().cast(
+        "array<struct<field:string,kind:string>>")), column_cells)
+    return (events.select(day_col.alias("day"), F.explode(cells).alias("c"))
+            .where(F.col("day").isNotNull())
+            .groupBy("day", F.col("c.field").alias("field"), F.col("c.kind").alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def column_profile(df: DataFrame, day_col: Column, columns: Sequence[str]) -> DataFrame:
     """``(day, field, kind, n_rows)`` for non-null values of table columns."""
     stacked = df.select(day_col.alias("day"), F.explode(F.array(*[

@@ -63,11 +63,9 @@ def volume_frame(m: Models) -> DataFrame:
 
 
 def drift_profile(m: Models) -> DataFrame:
-    ev = m.raw.events
     day = F.to_date(safe_timestamp("ingestion_timestamp"))
-    return quality.payload_profile(ev, day).unionByName(
-        quality.column_profile(ev, day, ["event_time", "ingestion_timestamp", "event_type",
-                                         "event_properties"]))
+    return quality.event_profile(m.raw.events, day, ["event_time", "ingestion_timestamp",
+                                                     "event_type", "event_properties"])
 
 
 def degraded_status(m: Models) -> DataFrame:

@@ -92,3 +92,15 @@ def test_schema_drift(spark):
     got = {(r.field, r.kind): r.status for r in quality.schema_drift(prof).collect()}
     assert got == {("a", "string"): "kind_added", ("a", "number"): "kind_removed",
                    ("b", "string"): "field_removed", ("c", "boolean"): "field_added"}
+
+
+def test_event_profile_is_payload_plus_column_profile(spark):
+    ev = spark.createDataFrame([
+        (dt.date(2024, 1, 1), '{"a": 1, "b": "x"}', "t1"), (dt.date(2024, 1, 1), None, None),
+        (dt.date(2024, 1, 2), '{"a": [1], "c": {"d": null}}', "t2"),
+    ], "d date, p string, e string")
+    one = quality.event_profile(ev, F.col("d"), ["p", "e"], payload_col="p")
+    two = quality.payload_profile(ev, F.col("d"), "p").unionByName(
+        quality.column_profile(ev, F.col("d"), ["p", "e"]))
+    key = lambda df: sorted(tuple(r) for r in df.select("day", "field", "kind", "n_rows").collect())
+    assert key(one) == key(two)
