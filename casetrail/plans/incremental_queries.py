@@ -102,8 +102,9 @@ def _stream_from_tables(spark: SparkSession, sf_dir: str, refresh_marts: bool):
     # Land the feed as files for the file stream source (derived from the driver tables).
     Models.shared(spark, sf_dir).raw.events.write.mode("overwrite").parquet(raw_path)
     sink = streaming.run_available(spark, raw_path, root, refresh_marts=refresh_marts)
-    table = sink.daily_table if refresh_marts else sink.events_table
-    return sinks.read_current(spark, table)
+    if refresh_marts:
+        return sinks.read_current(spark, sink.daily_table)
+    return sink.events(spark)
 
 
 @query("stream_stage_events", oracle.model("stg_events"))

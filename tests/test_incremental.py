@@ -70,3 +70,24 @@ def test_stage_events_null_ingestion_and_replay(spark, scratch):
     out = sinks.read_current(spark, table)
     assert sorted(r.task_assignment_id for r in out.collect()) == ["1", "2", "3"]
     assert len(sinks.versions(spark, table)) == 3
+
+
+def test_upsert_partitions_rewrites_only_touched_partitions(spark, scratch):
+    import datetime as dt
+    import glob
+    import os
+    table = f"{scratch}/events"
+    d = dt.date
+    first = spark.createDataFrame([("k1", d(2024, 1, 1), 1), ("k2", d(2024, 1, 2), 1),
+                                   ("k3", None, 1)], "k string, day date, v int")
+    sinks.upsert_partitions(first, table, "k", "day")
+    day1 = sorted(glob.glob(f"{table}/day=2024-01-01/*.parquet"))
+    stamp = [os.path.getmtime(f) for f in day1]
+    second = spark.createDataFrame([("k2", d(2024, 1, 2), 2), ("k4", d(2024, 1, 2), 1),
+                                    ("k5", None, 1)], "k string, day date, v int")
+    sinks.upsert_partitions(second, table, "k", "day")
+    out = sorted((r.k, r.day, r.v) for r in spark.read.parquet(table).collect())
+    assert out == [("k1", d(2024, 1, 1), 1), ("k2", d(2024, 1, 2), 2), ("k3", None, 1),
+                   ("k4", d(2024, 1, 2), 1), ("k5", None, 1)]
+    assert sorted(glob.glob(f"{table}/day=2024-01-01/*.parquet")) == day1      # untouched
+    assert [os.path.getmtime(f) for f in day1] == stamp

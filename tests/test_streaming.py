@@ -23,13 +23,13 @@ def test_available_now_refresh(spark, scratch):
     raw_path = f"{scratch}/raw"
     raw.write.parquet(raw_path)
     sink = streaming.run_available(spark, raw_path, f"{scratch}/out")
-    events = sinks.read_current(spark, sink.events_table)
+    events = sink.events(spark)
     assert events.count() == 13
     daily = sinks.read_current(spark, sink.daily_table)
     assert daily.agg({"opened_upload_plugin_count": "sum"}).first()[0] == 4
     # a second run finds nothing new and leaves the tables as they are
     streaming.run_available(spark, raw_path, f"{scratch}/out")
-    assert sinks.read_current(spark, sink.events_table).count() == 13
+    assert sink.events(spark).count() == 13
 
 
 def test_watermark_drops_events_later_than_two_days(spark, scratch):
@@ -45,5 +45,5 @@ def test_watermark_drops_events_later_than_two_days(spark, scratch):
     feed([("2024-01-09 00:00:00", "2024-01-09 00:00:00", "b"),
           ("2024-01-06 00:00:00", "2024-01-06 00:00:00", "c")]).write.mode("append").parquet(raw_path)
     sink = streaming.run_available(spark, raw_path, f"{scratch}/out", refresh_marts=False)
-    got = sorted(r.task_assignment_id for r in sinks.read_current(spark, sink.events_table).collect())
+    got = sorted(r.task_assignment_id for r in sink.events(spark).collect())
     assert got == ["a", "b"]
