@@ -91,3 +91,19 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark, scratch):
                    ("k4", d(2024, 1, 2), 1), ("k5", None, 1)]
     assert sorted(glob.glob(f"{table}/day=2024-01-01/*.parquet")) == day1      # untouched
     assert [os.path.getmtime(f) for f in day1] == stamp
+
+
+def test_stage_events_into_partitioned_table(spark, scratch):
+    table = f"{scratch}/stg_events_p"
+    batch1 = _raw(spark, [("2024-01-01 00:00:00", "2024-01-10 00:00:00", "1"),
+                          ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "0")])
+    incremental.stage_events_into(batch1, table)
+    everything = _raw(spark, [("2024-01-01 00:00:00", "2024-01-10 00:00:00", "1"),
+                              ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "0"),
+                              ("2024-01-02 00:00:00", "null", "2"),
+                              ("2024-01-03 00:00:00", "2024-01-09 00:00:00", "3"),
+                              ("2024-01-03 00:00:00", "2024-01-05 00:00:00", "late")])
+    for _ in range(2):                                      # the same run twice
+        incremental.stage_events_into(everything, table)
+    got = sorted(r.task_assignment_id for r in spark.read.parquet(table).collect())
+    assert got == ["0", "1", "2", "3"]                      # "late" is behind the lookback
