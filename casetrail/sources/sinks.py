@@ -88,7 +88,8 @@ def replace_groups(target: DataFrame | None, new: DataFrame, key: str,
     return kept.unionByName(new.select(*target.columns))
 
 
-def upsert_partitions(new: DataFrame, table: str, key: str, partition_col: str) -> None:
+def upsert_partitions(new: DataFrame, table: str, key: str, partition_col: str,
+                      cluster: bool = False) -> None:
     """K2 for a large partitioned table: rewrite only the partitions ``new`` touches.
 
     Requires that rows with the same key share a partition (for staged events
@@ -98,6 +99,11 @@ def upsert_partitions(new: DataFrame, table: str, key: str, partition_col: str)
     then swapped in with a dynamic partition overwrite.  Work is proportional
     to the touched partitions, not the table; re-running after a failure
     repeats the same swap.
+
+    ``cluster=True`` shuffles rows by partition value before writing (one file
+    set per partition).  Use it only for uniform partitions such as hash
+    buckets of a unique key; a date partition may hold a third of all rows and
+    must stay spread over many tasks.
     """
     spark = new.sparkSession
     fs, root = _fs(spark, table)
@@ -111,6 +117,8 @@ def upsert_partitions(new: DataFrame, table: str, key: str, partition_col: str)
         merged = (old.join(new.select(key).distinct(), key, "left_anti")
                   .unionByName(new.select(*old.columns)))
     staged = f"{table}/_staging/{uuid.uuid4().hex[:12]}"
+    if cluster:
+        merged = merged.repartition(F.col(partition_col))
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
     (spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table))

@@ -8,8 +8,9 @@ the dedupe state and are always passed on (the batch rule I2).
 T2: ``foreachBatch`` that upserts each micro-batch into the versioned event
 table and then refreshes the upload attempts and the daily funnel mart with
 the incremental batch functions.  Every step is a keyed upsert -- the event
-table rewrites only the load-date partitions a batch touches, the smaller
-attempts and mart tables are written as new versions -- so replaying a
+table rewrites only the load-date partitions a batch touches, the attempts
+table only the assignment hash buckets it touches, the small daily mart is
+written as a new version -- so replaying a
 micro-batch after a failure (same batch id, same rows) leaves the tables
 unchanged; the stream checkpoint lives in the shared checkpoint folder.
 """
@@ -18,15 +19,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import incremental, marts, staging
+from ..operators import incremental, intermediate, marts, staging
 from ..session import checkpoint_dir
 from ..sources import sinks
 
 LATENESS = "2 days"
 EVENT_PARTITION = "ingestion_date"
+ATTEMPT_BUCKET = "assignment_bucket"
+ATTEMPT_BUCKETS = 64
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -64,19 +67,45 @@ class UploadRefresh:
         if not self.refresh_marts:
             return
         events = self.events(spark)
-        prior = sinks.read_current(spark, self.attempts_table)
-        attempts = incremental.upload_attempts(events, prior)
-        changed = None if prior is None else incremental.changed_upload_assignments(events, prior)
-        sinks.write_version(attempts, self.attempts_table)
-        attempts = sinks.read_current(spark, self.attempts_table)
+        prior = self.attempts(spark)
+        if prior is None:
+            new_attempts, changed, prior_changed = incremental.upload_attempts(events), None, None
+        else:
+            changed = incremental.changed_upload_assignments(events, prior)
+            # Keep the changed assignments' previous rows (small) before the swap:
+            # the vacated-group repair of the mart needs them.
+            prior_changed = self._stage(prior.join(changed, "task_assignment_id", "left_semi"))
+            new_attempts = intermediate.rollup_upload_attempts(
+                intermediate.upload_events(events).join(changed, "task_assignment_id", "left_semi"))
+        # Attempts are keyed by assignment: hash buckets keep each upsert to the
+        # buckets the changed assignments fall in.
+        sinks.upsert_partitions(new_attempts.withColumn(ATTEMPT_BUCKET, _bucket()),
+                                self.attempts_table, "task_assignment_id", ATTEMPT_BUCKET,
+                                cluster=True)
+        attempts = self.attempts(spark)
         daily = sinks.read_current(spark, self.daily_table)
         if daily is None:
             new_daily = marts.file_upload_daily(attempts)
         else:
-            new_daily = incremental.upload_daily(attempts, daily, prior_attempts=prior,
+            new_daily = incremental.upload_daily(attempts, daily, prior_attempts=prior_changed,
                                                  changed_assignments=changed)
         sinks.write_version(new_daily, self.daily_table)
 
+    def attempts(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.parquet(self.attempts_table).drop(ATTEMPT_BUCKET)
+        except Exception:  # noqa: BLE001 - no table yet
+            return None
+
+    def _stage(self, df: DataFrame) -> DataFrame:
+        path = f"{self.attempts_table}_prior/{uuid.uuid4().hex[:12]}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("task_assignment_id"), F.lit(ATTEMPT_BUCKETS))
+
 
 def run_available(spark: SparkSession, raw_path: str, root: str,
                   refresh_marts: bool = True, max_files_per_trigger: int | None = None) -> UploadRefresh:
