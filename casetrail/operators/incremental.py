@@ -11,6 +11,8 @@ trip) and is computed once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +104,52 @@ def upload_attempts(events: DataFrame, target: DataFrame | None = None) -> DataF
     return upsert_frame(target, new, "task_assignment_id")
 
 
+ATTEMPT_BUCKET = "assignment_bucket"
+ATTEMPT_BUCKETS = 64
+
+
+def attempt_bucket() -> Column:
+    """Hash bucket of the assignment id (uniform: one row per assignment)."""
+    return F.pmod(F.xxhash64("task_assignment_id"), F.lit(ATTEMPT_BUCKETS))
+
+
+def read_attempts(spark, table: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(table).drop(ATTEMPT_BUCKET)
+    except Exception:  # noqa: BLE001 - no table yet: first run
+        return None
+
+
+def upload_attempts_into(events: DataFrame, table: str):
+    """B7 incremental against a stored attempts table bucketed by assignment hash.
+
+    Only the buckets holding changed assignments are rewritten.  Returns
+    ``(prior_changed, changed)``: the changed assignments' previous rows
+    (written aside before the swap) and their ids, for the mart's
+    vacated-group repair; both are None on a first run.
+    """
+    from ..sources.sinks import upsert_partitions
+    spark = events.sparkSession
+    prior = read_attempts(spark, table)
+    if prior is None:
+        new, changed, prior_changed = upload_attempts(events), None, None
+    else:
+        # Everything that reads the current table is written aside *before* the
+        # swap replaces its files: the changed ids and their previous rows (both small).
+        aside = f"{table}_prior/{uuid.uuid4().hex[:12]}"
+        ids = changed_upload_assignments(events, prior)
+        ids.write.mode("overwrite").parquet(f"{aside}/changed")
+        changed = spark.read.schema(ids.schema).parquet(f"{aside}/changed")
+        old = prior.join(changed, "task_assignment_id", "left_semi")
+        old.write.mode("overwrite").parquet(f"{aside}/rows")
+        prior_changed = spark.read.schema(old.schema).parquet(f"{aside}/rows")
+        new = intermediate.rollup_upload_attempts(
+            intermediate.upload_events(events).join(changed, "task_assignment_id", "left_semi"))
+    upsert_partitions(new.withColumn(ATTEMPT_BUCKET, attempt_bucket()), table,
+                      "task_assignment_id", ATTEMPT_BUCKET, cluster=True)
+    return prior_changed, changed
+
+
 def questionnaire_assignments(assignments: DataFrame, tasks: DataFrame, cases: DataFrame,
                               events: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """B8 incremental: assignments whose two-source watermark moved."""

@@ -19,17 +19,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import incremental, intermediate, marts, staging
+from ..operators import incremental, marts, staging
 from ..session import checkpoint_dir
 from ..sources import sinks
 
 LATENESS = "2 days"
-EVENT_PARTITION = "ingestion_date"
-ATTEMPT_BUCKET = "assignment_bucket"
-ATTEMPT_BUCKETS = 64
+EVENT_PARTITION = incremental.EVENT_PARTITION
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -67,21 +65,9 @@ class UploadRefresh:
         if not self.refresh_marts:
             return
         events = self.events(spark)
-        prior = self.attempts(spark)
-        if prior is None:
-            new_attempts, changed, prior_changed = incremental.upload_attempts(events), None, None
-        else:
-            changed = incremental.changed_upload_assignments(events, prior)
-            # Keep the changed assignments' previous rows (small) before the swap:
-            # the vacated-group repair of the mart needs them.
-            prior_changed = self._stage(prior.join(changed, "task_assignment_id", "left_semi"))
-            new_attempts = intermediate.rollup_upload_attempts(
-                intermediate.upload_events(events).join(changed, "task_assignment_id", "left_semi"))
         # Attempts are keyed by assignment: hash buckets keep each upsert to the
         # buckets the changed assignments fall in.
-        sinks.upsert_partitions(new_attempts.withColumn(ATTEMPT_BUCKET, _bucket()),
-                                self.attempts_table, "task_assignment_id", ATTEMPT_BUCKET,
-                                cluster=True)
+        prior_changed, changed = incremental.upload_attempts_into(events, self.attempts_table)
         attempts = self.attempts(spark)
         daily = sinks.read_current(spark, self.daily_table)
         if daily is None:
@@ -92,19 +78,7 @@ class UploadRefresh:
         sinks.write_version(new_daily, self.daily_table)
 
     def attempts(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.attempts_table).drop(ATTEMPT_BUCKET)
-        except Exception:  # noqa: BLE001 - no table yet
-            return None
-
-    def _stage(self, df: DataFrame) -> DataFrame:
-        path = f"{self.attempts_table}_prior/{uuid.uuid4().hex[:12]}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("task_assignment_id"), F.lit(ATTEMPT_BUCKETS))
+        return incremental.read_attempts(spark, self.attempts_table)
 
 
 def run_available(spark: SparkSession, raw_path: str, root: str,
