@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, secret_scan, url_graph
+from . import (byte_bpe, decontaminate, language_id, quality, secret_scan, simhash,
+               url_graph)
 from .common import read_table
 
 QUERIES = {}
@@ -35,3 +36,25 @@ def op6_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op6_url_graph"] = url_graph.oracle_sql()
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"),
+                            read_table(spark, sf_dir, "labels"))
