@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (byte_bpe, decontaminate, language_id, quality, secret_scan, simhash,
-               url_graph)
+               substring_dedup, url_graph)
 from .common import read_table
 
 QUERIES = {}
@@ -58,3 +58,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"),
                             read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(
+        substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
+ORACLE["op5_substring_dedup"] = substring_dedup.ORACLE_SQL
