@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, language_id, quality, secret_scan, simhash,
-               substring_dedup, url_graph)
+from . import (bm25, byte_bpe, decontaminate, language_id, quality, secret_scan, simhash,
+               style_tree, substring_dedup, url_graph)
 from .common import read_table
 
 QUERIES = {}
@@ -18,6 +19,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 50."""
+    docs = read_table(spark, sf_dir, "documents")
+    rows = docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return bm25.more_like_these(docs, rows)
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,3 +76,8 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op5_substring_dedup"] = substring_dedup.ORACLE_SQL
+
+
+@query
+def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.digest(style_tree.extract(read_table(spark, sf_dir, "pages")))
