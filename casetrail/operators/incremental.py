@@ -202,15 +202,30 @@ def upload_daily(attempts: DataFrame, target: DataFrame | None = None,
     return replace_groups(target, new, "metric_day_product_key", _group_keys_df(groups))
 
 
+def upload_daily_of(attempts: DataFrame, target: DataFrame, changed: DataFrame,
+                    prior: DataFrame | None) -> DataFrame:
+    """B11 for known changes: rebuild the groups of ``changed`` attempts and of their
+    ``prior`` rows, and drop the groups that became empty."""
+    groups = _touched_groups(changed, "plugin_opened_date")
+    if prior is not None:
+        groups = groups.unionByName(_touched_groups(prior, "plugin_opened_date")).distinct()
+    new = marts.file_upload_daily(_rows_of_groups(attempts, groups, "plugin_opened_date"))
+    return replace_groups(target, new, "metric_day_product_key", _group_keys_df(groups))
+
+
 def questionnaire_daily(assignments: DataFrame, target: DataFrame | None = None,
                         prior_assignments: DataFrame | None = None) -> DataFrame:
-    """B12 incremental (I4) with the same optional vacated-group repair."""
+    """B12 incremental (I4) with the same optional vacated-group repair.
+
+    Changes are taken from all assignments, so one that lost its activation still
+    marks the group it was in before.
+    """
     if target is None:
         return marts.questionnaire_daily(assignments)
     act = marts.activated_questionnaires(assignments)
     wm = watermark(target, "max_source_updated_at")
-    changed = since(act, F.col("source_updated_at"), wm)
-    groups = _touched_groups(changed, "activation_date")
+    changed = since(assignments, F.col("source_updated_at"), wm)
+    groups = _touched_groups(marts.activated_questionnaires(changed), "activation_date")
     if prior_assignments is not None:
         old = marts.activated_questionnaires(prior_assignments).join(
             changed.select("task_assignment_id"), "task_assignment_id", "left_semi")

@@ -111,18 +111,19 @@ def upload_events(events: DataFrame) -> DataFrame:
              "success_count", "error_count")
 
 
-def rollup_upload_attempts(upload: DataFrame) -> DataFrame:
-    """B7 core: assignment-grain funnel steps from upload events.
+def upload_state(upload: DataFrame) -> DataFrame:
+    """Funnel steps and counts per assignment, whether or not the plugin was opened.
 
-    Every aggregate is decomposable (min/max/count/sum), so the partial
-    aggregate before the shuffle bounds a hot assignment to one row per task.
+    Every column is a min, max or sum, so the states of two sets of events merge into
+    the state of both (:func:`merge_upload_states`).  The partial aggregate before the
+    shuffle bounds a hot assignment to one row per task.
     """
     name = F.col("event_name")
     ts = F.col("event_time")
     files = F.coalesce(F.col("file_count"), F.lit(0))
     ok = F.coalesce(F.col("success_count"), F.lit(0))
     is_open, is_start, is_done = (name == PLUGIN_OPENED), (name == UPLOAD_STARTED), (name == UPLOAD_COMPLETED)
-    rolled = upload.groupBy("task_assignment_id").agg(
+    return upload.groupBy("task_assignment_id").agg(
         F.min("case_id").alias("case_id"),
         F.min("task_id").alias("task_id"),
         F.min("catalog_product_id").alias("catalog_product_id"),
@@ -139,7 +140,24 @@ def rollup_upload_attempts(upload: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(is_done, F.col("success_count"))), F.lit(0)).alias("total_successful_files_uploaded"),
         F.coalesce(F.sum(F.when(is_done, F.col("error_count"))), F.lit(0)).alias("total_failed_files_uploaded"),
     )
-    return rolled.where(F.col("first_plugin_opened_at").isNotNull()).select(
+
+
+def merge_upload_states(states: DataFrame) -> DataFrame:
+    """One state per assignment from several (disjoint sets of events)."""
+    def merged(c: str) -> Column:
+        if c.startswith(("max_",)):
+            return F.max(c).alias(c)
+        if c.endswith("_event_count") or c.startswith("total_"):
+            return F.sum(c).alias(c)
+        return F.min(c).alias(c)
+
+    return states.groupBy("task_assignment_id").agg(
+        *[merged(c) for c in states.columns if c != "task_assignment_id"])
+
+
+def attempts_of_state(state: DataFrame) -> DataFrame:
+    """B7 rows: the assignments whose plugin was opened, with their flags."""
+    return state.where(F.col("first_plugin_opened_at").isNotNull()).select(
         "task_assignment_id", "case_id", "task_id", "catalog_product_id",
         "first_plugin_opened_at", "first_upload_started_at", "first_successful_upload_at",
         "first_full_success_upload_at", "max_ingestion_timestamp",
@@ -154,6 +172,11 @@ def rollup_upload_attempts(upload: DataFrame) -> DataFrame:
     )
 
 
+def rollup_upload_attempts(upload: DataFrame) -> DataFrame:
+    """B7 core: assignment-grain funnel steps from upload events."""
+    return attempts_of_state(upload_state(upload))
+
+
 def file_upload_attempts(events: DataFrame) -> DataFrame:
     """One row per assignment whose beneficiary opened the upload plugin."""
     return rollup_upload_attempts(upload_events(events))
@@ -179,7 +202,11 @@ def _contains_word(c: Column) -> Column:
 
 def questionnaire_candidates(assignments: DataFrame, tasks: DataFrame, cases: DataFrame,
                              events: DataFrame) -> DataFrame:
-    """All assignments of live tasks/cases with the three questionnaire signals."""
+    """Assignments of live tasks/cases with at least one of the three questionnaire signals.
+
+    The signals filter the assignments before the case join, so that join reads and
+    shuffles questionnaire assignments only.
+    """
     a = assignments.select(
         "task_assignment_id", "task_id", "assignment_action", "assignment_status",
         "assignment_role_binding", "assignee_role", "iteration_count", "activated_ts",
@@ -187,15 +214,17 @@ def questionnaire_candidates(assignments: DataFrame, tasks: DataFrame, cases: Da
     t = tasks.select("task_id", "case_id", "task_name", "task_sub_stage", "task_creation_source")
     c = cases.select("case_id", "beneficiary_id", "catalog_product_id", "flow_template_id",
                      "flow_template_version_id")
-    base = a.join(t, "task_id").join(c, "case_id")
+    base = a.join(t, "task_id")
     sig = questionnaire_event_signal(events).withColumnRenamed("task_assignment_id", "sig_id")
     joined = base.join(sig, base.task_assignment_id.cast("string") == sig.sig_id, "left")
-    return joined.select(
+    by_name, by_action = _contains_word(F.col("task_name")), _contains_word(F.col("assignment_action"))
+    by_event = F.col("sig_id").isNotNull()
+    return joined.where(by_name | by_action | by_event).select(
         "*",
-        flag(_contains_word(F.col("task_name"))).alias("matched_task_name_signal"),
-        flag(_contains_word(F.col("assignment_action"))).alias("matched_action_signal"),
-        flag(F.col("sig_id").isNotNull()).alias("matched_amplitude_signal"),
-    )
+        flag(by_name).alias("matched_task_name_signal"),
+        flag(by_action).alias("matched_action_signal"),
+        flag(by_event).alias("matched_amplitude_signal"),
+    ).join(c, "case_id")
 
 
 def source_updated_at() -> Column:
@@ -222,11 +251,7 @@ def questionnaire_assignments(assignments: DataFrame, tasks: DataFrame, cases: D
     """Questionnaire assignments found by task name, action or event signal."""
     cand = questionnaire_candidates(assignments, tasks, cases, events)
     activated = F.col("activated_ts")
-    return cand.where(
-        (F.col("matched_task_name_signal") == 1)
-        | (F.col("matched_action_signal") == 1)
-        | (F.col("matched_amplitude_signal") == 1)
-    ).select(
+    return cand.select(
         *QUESTIONNAIRE_COLUMNS,
         F.to_date(activated).alias("activation_date"),
         F.date_trunc("week", activated).cast("date").alias("activation_week"),

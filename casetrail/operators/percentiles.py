@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_counts(df: DataFrame, group_cols: Sequence[str],
-                 measures: Mapping[str, str | Column]) -> DataFrame:
-    """Rows ``(*group, measure, v, n)``: how often each non-null value occurs."""
+def value_cells(df: DataFrame, group_cols: Sequence[str],
+                measures: Mapping[str, str | Column]) -> DataFrame:
+    """Rows ``(*group, measure, v)``: every non-null value of every measure."""
     cells = F.explode(F.array(*[
         F.struct(F.lit(name).alias("measure"),
                  (F.col(col) if isinstance(col, str) else col).cast("double").alias("v"))
@@ -36,6 +36,14 @@ def value_counts(df: DataFrame, group_cols: Sequence[str],
         df.select(*group_cols, cells)
         .select(*group_cols, "cell.measure", "cell.v")
         .where(F.col("v").isNotNull())
+    )
+
+
+def value_counts(df: DataFrame, group_cols: Sequence[str],
+                 measures: Mapping[str, str | Column]) -> DataFrame:
+    """Rows ``(*group, measure, v, n)``: how often each non-null value occurs."""
+    return (
+        value_cells(df, group_cols, measures)
         .groupBy(*group_cols, "measure", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -60,12 +68,11 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], measures: Mapping[str,
         return F.col(c) if isinstance(c, str) else c
 
     if approx:
-        present = F.lit(False)
-        for col in measures.values():
-            present = present | as_col(col).isNotNull()
-        aggs = [F.percentile_approx(as_col(measures[m]).cast("double"), p, accuracy).alias(out)
-                for out, (m, p) in outputs.items()]
-        return df.where(present).groupBy(*group_cols).agg(*aggs)
+        cells = value_cells(df, group_cols, measures).withColumn("n", F.lit(1))
+        aggs = [e.alias(name) for name, e in (extra or {}).items()]
+        aggs += [F.percentile_approx(F.when(F.col("measure") == m, F.col("v")), p, accuracy).alias(out)
+                 for out, (m, p) in outputs.items()]
+        return cells.groupBy(*group_cols).agg(*aggs)
     counts = value_counts(df, group_cols, measures)
     part = Window.partitionBy(*group_cols, "measure")
     running = part.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

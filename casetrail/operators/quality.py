@@ -247,26 +247,36 @@ def with_status(summary: DataFrame) -> DataFrame:
 def gate(summary: DataFrame, layer: str | None = None) -> None:
     """Q16: raise if any error-severity check of ``layer`` has failures.
 
-    Only the (tiny) failing summary rows reach the driver.
+    Every failing check is named; there are at most as many as declared checks.
     """
     s = with_status(summary)
     if layer is not None:
         s = s.where(F.col("layer") == layer)
-    errors = s.where(F.col("status") == "error").select("model", "check_name", "failures").take(20)
+    errors = s.where(F.col("status") == "error").select("model", "check_name", "failures").collect()
     if errors:
         detail = ", ".join(f"{r.model}.{r.check_name}={r.failures}" for r in errors)
         raise QualityGateError(f"error-severity checks failed: {detail}")
 
 
 # ------------------------------------------------------------------ freshness
-def freshness(loads: DataFrame, as_of: Column | None = None,
-              error_after_hours: float = 30.0) -> DataFrame:
+def with_declared(found: DataFrame, sources: list[str] | None) -> DataFrame:
+    """``found`` (by ``source``) with one row at least for every declared source."""
+    if sources is None:
+        return found
+    declared = found.sparkSession.createDataFrame([(s,) for s in sources], "source string")
+    return declared.join(found, "source", "left")
+
+
+def freshness(loads: DataFrame, as_of: Column | None = None, error_after_hours: float = 30.0,
+              sources: list[str] | None = None) -> DataFrame:
     """Q8: newest load per source against ``as_of`` (default: newest load overall).
 
     ``loads`` has columns ``(source, loaded_at)``.  The default ``as_of`` is a
-    scalar subquery over the per-source maxima.
+    scalar subquery over the per-source maxima.  With ``sources``, a declared source
+    that never loaded has a row too, and its status is error.
     """
-    latest = loads.groupBy("source").agg(F.max("loaded_at").alias("max_loaded_at"))
+    latest = with_declared(loads.groupBy("source").agg(F.max("loaded_at").alias("max_loaded_at")),
+                           sources)
     if as_of is None:
         as_of = latest.select(F.max("max_loaded_at")).scalar()
     latest = latest.withColumn("as_of", as_of.cast("timestamp"))
@@ -284,19 +294,28 @@ def freshness(loads: DataFrame, as_of: Column | None = None,
 
 # ------------------------------------------------------------- volume anomaly
 def score_daily_series(daily: DataFrame, training_days: int = 28,
-                       seasonality: str | None = "day_of_week") -> DataFrame:
+                       seasonality: str | None = "day_of_week",
+                       series: list[str] | None = None) -> DataFrame:
     """Per-series daily values scored against the same weekday in the prior window.
 
     ``daily``: ``(series, day, value)``.  Days with no row are filled with 0
     from a per-series date spine (``sequence`` over the series' own day range,
-    so its size is the number of days, not rows).  Each day is scored against
+    so its size is the number of days, not rows).  With declared ``series`` every spine
+    ends on the newest day of all of them, and one without rows spans all days: a
+    source that stops, or never loads, has zeros up to that day.  Each day is scored against
     the training days in the ``training_days`` before it (same weekday when
     seasonal).  Windows are partitioned by series (and weekday): a partition
     holds one series' days, bounded by the calendar.
     """
-    spine = (daily.groupBy("series").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
-             .select("series", F.explode(F.sequence("d0", "d1")).alias("day"),
-                     F.col("d1").alias("last_day")))
+    bounds = daily.groupBy("series").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+    if series is not None:
+        overall = daily.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+        bounds = (with_declared(bounds.withColumnRenamed("series", "source"), series)
+                  .select(F.col("source").alias("series"),
+                          F.coalesce("d0", overall.select("first").scalar()).alias("d0"),
+                          overall.select("last").scalar().alias("d1")))
+    spine = (bounds.select("series", F.explode(F.sequence("d0", "d1")).alias("day"),
+                           F.col("d1").alias("last_day")))
     filled = (spine.join(daily, ["series", "day"], "left")
               .select("series", "day", "last_day",
                       F.coalesce("value", F.lit(0)).cast("long").alias("value"),
@@ -333,16 +352,19 @@ def _scored_columns(direction: str, sensitivity: float, zero_fail: Column):
 
 def volume_anomalies(loads: DataFrame, training_days: int = 28, sensitivity: float = 3.0,
                      fail_on_zero: dict[str, bool] | None = None,
-                     seasonality: str | None = "day_of_week") -> DataFrame:
+                     seasonality: str | None = "day_of_week",
+                     sources: list[str] | None = None) -> DataFrame:
     """Q10/Q11: daily load counts per source, anomalous in both directions.
 
+    With declared ``sources`` the detection day is the newest load day of all of them.
+
     ``loads``: ``(source, loaded_at)``; counted per source and day with a
     map-side-combined aggregate before anything else happens.
     """
     daily = (loads.where(F.col("loaded_at").isNotNull())
              .groupBy(F.col("source").alias("series"), F.to_date("loaded_at").alias("day"))
              .agg(F.count(F.lit(1)).alias("value")))
-    scored = score_daily_series(daily, training_days, seasonality)
+    scored = score_daily_series(daily, training_days, seasonality, sources)
     zero_fail = F.lit(False)
     for source, rule in (fail_on_zero or {}).items():
         if rule:

@@ -16,6 +16,11 @@ from .models import Models
 from .registry import query
 
 
+SOURCES = sorted(C.FAIL_ON_ZERO)
+#: Roles in the queries over silent sources.
+STOPPED_SOURCE, EMPTY_SOURCE = "wf_case", "wf_events"
+
+
 # ---------------------------------------------------------------- Spark side
 def loads(m: Models) -> DataFrame:
     """``(source, loaded_at)`` for every raw row; event load times are parsed text."""
@@ -53,13 +58,21 @@ def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
     return quality.with_status(quality.run_checks(stored_frames(m, checks), checks))
 
 
-def freshness_frame(m: Models) -> DataFrame:
-    return quality.freshness(loads(m), error_after_hours=C.FRESHNESS_ERROR_HOURS)
+def freshness_frame(found: DataFrame) -> DataFrame:
+    return quality.freshness(found, error_after_hours=C.FRESHNESS_ERROR_HOURS, sources=SOURCES)
+
+
+def volume_frame(found: DataFrame) -> DataFrame:
+    return quality.volume_anomalies(found, C.ANOMALY_TRAINING_DAYS, C.ANOMALY_SENSITIVITY,
+                                    C.FAIL_ON_ZERO, sources=SOURCES)
 
 
-def volume_frame(m: Models) -> DataFrame:
-    return quality.volume_anomalies(loads(m), C.ANOMALY_TRAINING_DAYS, C.ANOMALY_SENSITIVITY,
-                                    C.FAIL_ON_ZERO)
+def silenced(found: DataFrame) -> DataFrame:
+    """The loads as if one source had stopped and another had never loaded."""
+    last = found.select(F.max("loaded_at")).scalar()
+    return found.where((F.col("source") != EMPTY_SOURCE)
+                       & ((F.col("source") != STOPPED_SOURCE)
+                          | (F.col("loaded_at") < last - F.expr("INTERVAL 14 DAYS"))))
 
 
 def drift_profile(m: Models) -> DataFrame:
@@ -68,29 +81,36 @@ def drift_profile(m: Models) -> DataFrame:
                                                      "event_type", "event_properties"])
 
 
-def degraded_status(m: Models) -> DataFrame:
-    """Q17: per mart, whether an upstream source check failed, why, and the last load."""
-    spark = m.spark
-    fresh = freshness_frame(m)
-    fails = [
+def load_status(found: DataFrame, fresh: DataFrame) -> list[DataFrame]:
+    """(source, check_name, failed) of the freshness and volume checks."""
+    return [
         fresh.select("source", F.lit("freshness").alias("check_name"),
                      (F.col("status") == "error").alias("failed")),
-        volume_frame(m).where("is_detection_day").select(
+        volume_frame(found).where("is_detection_day").select(
             "source", F.lit("volume_anomaly").alias("check_name"),
-            F.coalesce("is_anomaly", F.lit(False)).alias("failed")),
-        quality.run_checks(stored_frames(m, C.checks_of(layer=C.SOURCE)), C.checks_of(layer=C.SOURCE)).select(
-            F.col("model").alias("source"), "check_name", (F.col("failures") > 0).alias("failed")),
-    ]
+            F.coalesce("is_anomaly", F.lit(False)).alias("failed"))]
+
+
+def degraded_status(m: Models) -> DataFrame:
+    """Q17: per mart, whether an upstream source check failed, why, and the last load."""
+    found = loads(m)
+    fresh = freshness_frame(found)
+    return degraded_marts(fresh, [*load_status(found, fresh), quality.run_checks(stored_frames(m, C.checks_of(layer=C.SOURCE)), C.checks_of(layer=C.SOURCE)).select(
+            F.col("model").alias("source"), "check_name", (F.col("failures") > 0).alias("failed"))])
+
+
+def degraded_marts(fresh: DataFrame, fails: list[DataFrame]) -> DataFrame:
+    """Every declared mart, whatever its sources have loaded."""
     status = reduce(DataFrame.unionByName, fails)
-    lineage = spark.createDataFrame(
+    lineage = fresh.sparkSession.createDataFrame(
         [(mart, src) for mart, srcs in C.MART_LINEAGE.items() for src in srcs],
         "mart string, source string")
-    joined = lineage.join(status, "source").join(
-        fresh.select("source", "max_loaded_at"), "source")
+    joined = lineage.join(status, "source", "left").join(
+        fresh.select("source", "max_loaded_at"), "source", "left")
     reason = F.concat_ws(", ", F.array_sort(F.collect_set(
         F.when(F.col("failed"), F.concat_ws(":", "source", "check_name")))))
     agg = joined.groupBy("mart").agg(
-        F.max(F.col("failed").cast("int")).alias("_d"), reason.alias("_r"),
+        F.coalesce(F.max(F.col("failed").cast("int")), F.lit(1)).alias("_d"), reason.alias("_r"),
         F.min("max_loaded_at").alias("last_loaded_at"))
     return agg.select("mart", (F.col("_d") == 1).alias("is_degraded"),
                       F.when(F.col("_d") == 1, F.col("_r")).alias("degraded_reason"),
@@ -160,6 +180,7 @@ def sql_summary(checks) -> str:
     return oracle.with_models(f"select *, {_STATUS} from ({union}) s", DQ_CTES)
 
 
+_SOURCES = "(VALUES " + ", ".join(f"('{s}')" for s in SOURCES) + ") AS s(source)"
 _LOADS = f"""
 select 'wf_case' as source, ingestion_timestamp as loaded_at from wf_case
 union all select 'wf_task', ingestion_timestamp from wf_task
@@ -173,14 +194,17 @@ select source, max_loaded_at, as_of,
  CAST({C.FRESHNESS_ERROR_HOURS!r} AS DOUBLE) as error_after_hours,
  CASE WHEN max_loaded_at IS NULL OR epoch_us(as_of) - epoch_us(max_loaded_at) > {int(C.FRESHNESS_ERROR_HOURS * 3_600_000_000)}
       THEN 'error' ELSE 'pass' END as status
-from (select source, max(loaded_at) as max_loaded_at from dq_loads group by source) l,
+from (select s.source, max(loaded_at) as max_loaded_at from {_SOURCES}
+      left join dq_loads d on d.source = s.source group by s.source) l,
      (select max(loaded_at) as as_of from dq_loads) r"""
 
 _ZERO = " OR ".join(f"(source = {_lit(s)} AND row_count = 0)" for s, v in C.FAIL_ON_ZERO.items() if v) or "false"
 _VOLUME = f"""
 with daily as (select source, CAST(loaded_at AS DATE) as day, count(*) as row_count
                from dq_loads where loaded_at is not null group by 1, 2),
- bounds as (select source, min(day) as d0, max(day) as d1 from daily group by 1),
+ bounds as (select s.source, coalesce(min(day), (select min(day) from daily)) as d0,
+                   (select max(day) from daily) as d1
+            from {_SOURCES} left join daily on daily.source = s.source group by 1),
  spine as (select source, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) as day, d1 as last_day from bounds),
  filled as (select s.source, s.day, s.last_day, CAST(coalesce(d.row_count, 0) AS BIGINT) as row_count,
                    dayofweek(s.day) as dow, date_diff('day', DATE '1970-01-01', s.day) as day_no
@@ -262,7 +286,7 @@ with status as (
   select model, check_name, failures > 0 from ({src_checks}) s),
  joined as (select l.mart, st.source, st.check_name, st.failed, f.max_loaded_at
             from {_lineage_values()} join status st on l.source = st.source
-            join dq_freshness f on f.source = l.source)
+            left join dq_freshness f on f.source = l.source)
 select mart, max(CAST(failed AS INTEGER)) = 1 as is_degraded,
  CASE WHEN max(CAST(failed AS INTEGER)) = 1 THEN
    array_to_string(list_sort(list_distinct(list(source || ':' || check_name) FILTER (WHERE failed))), ', ') END as degraded_reason,
@@ -320,12 +344,52 @@ _register_set("dq_summary", list(C.ALL_CHECKS))
     "select source, max_loaded_at, as_of, hours_since_load, error_after_hours, status from dq_freshness",
     DQ_CTES))
 def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return freshness_frame(Models.shared(spark, sf_dir))
+    return freshness_frame(loads(Models.shared(spark, sf_dir)))
 
 
 @query("dq_volume_anomalies", oracle.with_models("select * from dq_volume", DQ_CTES))
 def q_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return volume_frame(Models.shared(spark, sf_dir))
+    return volume_frame(loads(Models.shared(spark, sf_dir)))
+
+
+_SILENT_LOADS = f"""
+select source, loaded_at from dq_loads
+where source <> '{EMPTY_SOURCE}' and (source <> '{STOPPED_SOURCE}'
+ or loaded_at < (select max(loaded_at) from dq_loads) - INTERVAL 14 DAYS)"""
+_SILENT_CTES = {**DQ_CTES, "silent_loads": _SILENT_LOADS,
+                "silent_fresh": _FRESH.replace("dq_loads", "silent_loads"),
+                "silent_volume": _VOLUME.replace("dq_loads", "silent_loads"),
+                "silent_status": """
+select source, 'freshness' as check_name, status = 'error' as failed from silent_fresh
+union all select source, 'volume_anomaly', coalesce(is_anomaly, false) from silent_volume
+where is_detection_day"""}
+
+
+@query("dq_silent_sources", oracle.with_models(
+    "select source, status, max_loaded_at, row_count, coalesce(is_anomaly, false) as is_anomaly "
+    "from silent_fresh join (select * from silent_volume where is_detection_day) v using (source)",
+    _SILENT_CTES))
+def q_silent_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8, Q10, Q11 with one source that stopped and one that never loaded."""
+    found = silenced(loads(Models.shared(spark, sf_dir)))
+    volume = volume_frame(found).where("is_detection_day").select(
+        "source", "row_count", F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"))
+    return (freshness_frame(found).select("source", "status", "max_loaded_at")
+            .join(volume, "source"))
+
+
+@query("metric_degraded_silent", oracle.with_models(f"""
+select mart, bool_or(failed) as is_degraded,
+ CASE WHEN bool_or(failed) THEN string_agg(DISTINCT source || ':' || check_name, ', '
+   ORDER BY source || ':' || check_name) FILTER (failed) END as degraded_reason,
+ min(max_loaded_at) as last_loaded_at
+from {_lineage_values()} join silent_status using (source) left join silent_fresh using (source)
+group by mart""", _SILENT_CTES))
+def q_degraded_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q17 from load checks, with one source that stopped and one that never loaded."""
+    found = silenced(loads(Models.shared(spark, sf_dir)))
+    fresh = freshness_frame(found)
+    return degraded_marts(fresh, load_status(found, fresh))
 
 
 @query("dq_schema_drift", oracle.with_models("select * from dq_drift", DQ_CTES))

@@ -94,25 +94,41 @@ def q_incr_questionnaire_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.questionnaire_daily(now, target, prior_assignments=prior)
 
 
-def _stream_from_tables(spark: SparkSession, sf_dir: str, refresh_marts: bool):
-    from ..sources import sinks
+def _stream_from_tables(spark: SparkSession, sf_dir: str, refresh_marts: bool, files: int = 0):
+    """Land the feed as files for the file stream source (derived from the driver tables).
+
+    With ``files`` it lands in that many files that mix all load days, one per trigger.
+    """
     from ..streaming import events as streaming
     root = streaming.scratch_root(spark, "stream")
     raw_path = f"{root}/raw_events"
-    # Land the feed as files for the file stream source (derived from the driver tables).
-    Models.shared(spark, sf_dir).raw.events.write.mode("overwrite").parquet(raw_path)
-    sink = streaming.run_available(spark, raw_path, root, refresh_marts=refresh_marts)
-    if refresh_marts:
-        return sinks.read_current(spark, sink.daily_table)
-    return sink.events(spark)
+    feed = Models.shared(spark, sf_dir).raw.events
+    if files:
+        feed = feed.repartition(files, F.xxhash64("event_properties", "event_time"))
+    feed.write.mode("overwrite").parquet(raw_path)
+    sink = streaming.run_available(spark, raw_path, root, refresh_marts=refresh_marts,
+                                   max_files_per_trigger=1 if files else None)
+    return sink.daily(spark) if refresh_marts else sink.events(spark)
 
 
 @query("stream_stage_events", oracle.model("stg_events"))
 def q_stream_stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed through readStream, watermark, dedupe and a foreachBatch upsert."""
+    """The feed through readStream and a foreachBatch upsert by natural key."""
     return _stream_from_tables(spark, sf_dir, refresh_marts=False)
 
 
+@query("stream_many_triggers", oracle.model("stg_events"))
+def q_stream_many_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed in files that mix all days, one file per trigger."""
+    return _stream_from_tables(spark, sf_dir, refresh_marts=False, files=6)
+
+
+@query("stream_daily_many_triggers", oracle.model("file_upload_daily"))
+def q_stream_daily_many_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart after many triggers over mixed files."""
+    return _stream_from_tables(spark, sf_dir, refresh_marts=True, files=4)
+
+
 @query("stream_upload_daily", oracle.model("file_upload_daily"))
 def q_stream_upload_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batch refresh of attempts and the daily funnel mart."""

@@ -16,23 +16,18 @@ from ..sources.fixtures import RawSources
 
 
 class Models:
-    _shared: dict[tuple[str, str], "Models"] = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str, raw: RawSources | None = None):
         self.spark = spark
         self.raw = raw or RawSources(spark, sf_dir)
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        """The model graph of a source folder, built once per session.
+        """The model graph of a source folder as it is now.
 
-        DataFrames are immutable lazy plans, so queries over the same
-        (immutable) input snapshot can share them; nothing is cached in memory.
+        Built per call: a DataFrame keeps the file listing it was made with, so a graph
+        kept for the process would never see files that arrive later.
         """
-        key = (spark._jsparkSession.sessionUUID(), sf_dir)
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, sf_dir)
-        return cls._shared[key]
+        return cls(spark, sf_dir)
 
     # staging
     @cached_property

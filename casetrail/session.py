@@ -40,7 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, creating a local one if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is used as is.  Only when nothing is configured (unit tests, a laptop)
+    and is used as is; without it this raises.  Only in local mode (unit tests, a laptop)
     do we fall back to a fresh local scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,6 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not spark.conf.get("spark.master", "local").startswith("local") or (
+            spark.conf.get("spark.master", "").startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="casetrail-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

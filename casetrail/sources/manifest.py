@@ -1,0 +1,113 @@
+"""Several partitioned tables under one root that change together (K2).
+
+Data files are written under new folders and never changed.  A manifest names, for every table
+and partition value, the folder that holds it; a commit writes the next manifest under a
+temporary name and renames it, so readers see all of a commit or nothing, and a crash before the
+rename leaves the previous state.  The manifest also keeps the id of the last batch and any
+small state (such as a watermark) that must change with the data.
+
+The manifest is as large as the number of partitions (load days, hash buckets), which the
+calendar and the bucket count bound; it is what the driver reads.  Readers open only the
+folders of the partitions they ask for.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed the same version."""
+
+
+class ManifestTables:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration())
+        self.version, self.state = 0, {"batch": -1, "tables": {}, "schemas": {}}
+        self.refresh()
+
+    def _list(self, folder: str) -> list[str]:
+        path = self._path(folder)
+        if not self._fs.exists(path):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(path)]
+
+    def refresh(self) -> None:
+        """Read the newest manifest."""
+        names = [n for n in self._list(f"{self.root}/_manifest") if n.endswith(".json")]
+        if names:
+            newest = max(names)
+            self.version = int(newest.split(".")[0])
+            stream = self._fs.open(self._path(f"{self.root}/_manifest/{newest}"))
+            try:
+                self.state = json.loads(bytes(stream.readAllBytes()).decode())
+            finally:
+                stream.close()
+
+    @property
+    def batch(self) -> int:
+        """Id of the last committed batch, -1 before the first."""
+        return self.state["batch"]
+
+    def partitions(self, table: str) -> dict[str, str]:
+        return self.state["tables"].get(table, {})
+
+    def read(self, table: str, values: Iterable[str] | None = None) -> DataFrame | None:
+        """The table, or the partitions with the given values only; None if there are none."""
+        found = self.partitions(table)
+        paths = list(found.values()) if values is None else [found[v] for v in values if v in found]
+        if not paths:
+            return None
+        from pyspark.sql.types import StructType
+        schema = StructType.fromJson(self.state["schemas"][table])
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def write(self, df: DataFrame, table: str, partition_col: str) -> dict[str, str]:
+        """Write ``df`` to new folders; {partition value: folder}, not visible before a commit."""
+        folder = f"{self.root}/data/{table}/{uuid.uuid4().hex}"
+        df.write.partitionBy(partition_col).parquet(folder)
+        prefix = f"{partition_col}="
+        return {n[len(prefix):]: f"{folder}/{n}" for n in self._list(folder) if n.startswith(prefix)}
+
+    def commit(self, batch: int, changes: dict[str, dict[str, str | None]],
+               schemas: dict[str, dict], **values) -> None:
+        """Switch to the next version: replaced partitions, removed ones (None), and values."""
+        tables = {t: dict(p) for t, p in self.state["tables"].items()}
+        for table, parts in changes.items():
+            kept = tables.setdefault(table, {})
+            kept.update(parts)
+            tables[table] = {v: f for v, f in kept.items() if f is not None}
+        state = {**self.state, **values, "batch": batch, "tables": tables,
+                 "schemas": {**self.state["schemas"], **schemas}}
+        target = self._path(f"{self.root}/_manifest/{self.version + 1:012d}.json")
+        draft = self._path(f"{self.root}/_manifest/_{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
+        try:
+            stream.write(bytearray(json.dumps(state).encode()))
+        finally:
+            stream.close()
+        if self._fs.exists(target) or not self._fs.rename(draft, target):
+            raise CommitConflict(f"version {self.version + 1} of {self.root} exists")
+        self.version, self.state = self.version + 1, state
+
+    def vacuum(self) -> int:
+        """Delete data folders that no partition of the current manifest uses (after a crash, or
+        of older versions once nobody reads them); the number of folders deleted."""
+        live = {f.rsplit("/", 1)[0] for p in self.state["tables"].values() for f in p.values()}
+        dropped = 0
+        for table in self._list(f"{self.root}/data"):
+            for name in self._list(f"{self.root}/data/{table}"):
+                folder = f"{self.root}/data/{table}/{name}"
+                if folder not in live:
+                    self._fs.delete(self._path(folder), True)
+                    dropped += 1
+        return dropped

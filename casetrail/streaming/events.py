@@ -1,94 +1,141 @@
 """Structured Streaming path for the append-only event feed.
 
-T1: ``readStream`` of raw events -> the same staging expressions as batch ->
-2-day event-time watermark on the load time -> key dedupe within the
-watermark.  Events without a load time cannot carry a watermark; they bypass
-the dedupe state and are always passed on (the batch rule I2).
-
-T2: ``foreachBatch`` that upserts each micro-batch into the versioned event
-table and then refreshes the upload attempts and the daily funnel mart with
-the incremental batch functions.  Every step is a keyed upsert -- the event
-table rewrites only the load-date partitions a batch touches, the attempts
-table only the assignment hash buckets it touches, the small daily mart is
-written as a new version -- so replaying a
-micro-batch after a failure (same batch id, same rows) leaves the tables
-unchanged; the stream checkpoint lives in the shared checkpoint folder.
+T1: ``readStream`` of raw events -> the same staging expressions as batch.  The stream itself
+drops nothing: rows that are late, or have no load time, reach the sink like any other, so
+the result doesn't depend on how the feed is cut into micro-batches.
+
+T2: ``foreachBatch`` deduplicates each micro-batch by natural key and merges it into three
+tables that change in one commit (:class:`~casetrail.sources.manifest.ManifestTables`):
+
+* the staged events, by load date -- only the dates of the batch are read and rewritten;
+* the upload state per assignment, by hash bucket -- only the new events are aggregated and
+  merged, so no batch scans the event table;
+* the daily upload funnel -- the date x product groups of the changed assignments, before and
+  after, are rebuilt.
+
+A batch whose id is already committed is skipped, and a batch that failed before its commit
+left nothing visible, so a replay gives the tables that one run gives.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import incremental, marts, staging
+from ..operators import incremental, intermediate, marts, staging
 from ..session import checkpoint_dir
 from ..sources import sinks
+from ..sources.manifest import NULL_PARTITION, ManifestTables
 
-LATENESS = "2 days"
 EVENT_PARTITION = incremental.EVENT_PARTITION
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BUCKET = "assignment_bucket"
+#: Hash buckets of the assignment state; a parameter of the sink, fixed once it has data.
+BUCKETS = 64
+EVENTS, STATE, DAILY = "stg_events", "upload_state", "file_upload_daily"
+DAILY_PARTITION = "_whole"
+
 
+def staged_event_stream(raw_stream: DataFrame) -> DataFrame:
+    """Typed event stream."""
+    return staging.stg_events(raw_stream)
 
-def staged_event_stream(raw_stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Typed, deduplicated event stream."""
-    staged = staging.stg_events(raw_stream)
-    stamped = (staged.where(F.col("ingestion_timestamp").isNotNull())
-               .withWatermark("ingestion_timestamp", lateness)
-               .dropDuplicatesWithinWatermark(["event_natural_key"]))
-    unstamped = staged.where(F.col("ingestion_timestamp").isNull())
-    return stamped.unionByName(unstamped)
+
+def _values(df: DataFrame, column: str) -> list[str]:
+    """Partition values of a batch as they appear in folder names (days or buckets)."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
+    return [r[0] for r in df.select(text).distinct().collect()]
 
 
 class UploadRefresh:
-    """Per micro-batch, upsert events, then refresh attempts and the daily mart."""
+    """Per micro-batch, merge events, upload state and the daily mart in one commit."""
+
+    def __init__(self, root: str, refresh_marts: bool = True, buckets: int = BUCKETS):
+        self.root, self.refresh_marts, self.buckets = f"{root}/tables", refresh_marts, buckets
 
-    def __init__(self, root: str, refresh_marts: bool = True):
-        self.events_table = f"{root}/stg_events"
-        self.attempts_table = f"{root}/file_upload_attempts"
-        self.daily_table = f"{root}/file_upload_daily"
-        self.refresh_marts = refresh_marts
+    # the tables as they are
+    def events(self, spark: SparkSession) -> DataFrame | None:
+        return ManifestTables(spark, self.root).read(EVENTS)
 
-    def events(self, spark: SparkSession) -> DataFrame:
-        """The staged events table (without the partition column)."""
-        return spark.read.parquet(self.events_table).drop(EVENT_PARTITION)
+    def attempts(self, spark: SparkSession) -> DataFrame | None:
+        state = ManifestTables(spark, self.root).read(STATE)
+        return None if state is None else intermediate.attempts_of_state(state)
+
+    def daily(self, spark: SparkSession) -> DataFrame | None:
+        return ManifestTables(spark, self.root).read(DAILY)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("task_assignment_id"), F.lit(self.buckets))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        # The event table is large: partitioned by load date, and only the
-        # partitions this batch touches are rewritten.
-        sinks.upsert_partitions(batch.withColumn(EVENT_PARTITION, F.to_date("ingestion_timestamp")),
-                                self.events_table, "event_natural_key", EVENT_PARTITION)
-        if not self.refresh_marts:
+        tables = ManifestTables(spark, self.root)
+        if batch_id <= tables.batch:
+            return                                     # a replay of a committed batch
+        # parse and deduplicate the micro-batch once; everything below reads the written rows
+        landed = f"{self.root}/data/_batch/{uuid.uuid4().hex}"
+        unique = batch.dropDuplicates(["event_natural_key"])
+        unique.withColumn(EVENT_PARTITION, F.to_date("ingestion_timestamp")).write.parquet(landed)
+        rows = spark.read.parquet(landed)
+        changes, schemas = {}, {}
+        days = _values(rows, EVENT_PARTITION)
+        if days:
+            new = self._merge_events(tables, rows, days, changes, schemas)
+            if self.refresh_marts:
+                self._merge_marts(tables, new, changes, schemas)
+        tables.commit(batch_id, changes, schemas)
+
+    def _merge_events(self, tables: ManifestTables, rows: DataFrame, days: list[str],
+                      changes: dict, schemas: dict) -> DataFrame:
+        """Add the batch's unseen events to their load dates; return the unseen events."""
+        schemas[EVENTS] = rows.drop(EVENT_PARTITION).schema.jsonValue()
+        old = tables.read(EVENTS, days)
+        if old is not None:
+            rows = rows.join(old.select("event_natural_key"), "event_natural_key", "left_anti")
+            whole = old.withColumn(EVENT_PARTITION, F.to_date("ingestion_timestamp")).unionByName(rows)
+        else:
+            whole = rows
+        changes[EVENTS] = tables.write(whole, EVENTS, EVENT_PARTITION)
+        return rows.drop(EVENT_PARTITION)
+
+    def _merge_marts(self, tables: ManifestTables, new: DataFrame, changes: dict,
+                     schemas: dict) -> None:
+        fresh = (intermediate.upload_state(intermediate.upload_events(new))
+                 .withColumn(BUCKET, self._bucket()))
+        folder = f"{self.root}/data/_fresh/{uuid.uuid4().hex}"
+        fresh.write.parquet(folder)
+        fresh = tables.spark.read.parquet(folder)
+        buckets = _values(fresh, BUCKET)
+        if not buckets:
             return
-        events = self.events(spark)
-        # Attempts are keyed by assignment: hash buckets keep each upsert to the
-        # buckets the changed assignments fall in.
-        prior_changed, changed = incremental.upload_attempts_into(events, self.attempts_table)
-        attempts = self.attempts(spark)
-        daily = sinks.read_current(spark, self.daily_table)
+        fresh = fresh.drop(BUCKET)
+        schemas[STATE] = fresh.schema.jsonValue()
+        old = tables.read(STATE, buckets)
+        ids = fresh.select("task_assignment_id")
+        merged = fresh if old is None else intermediate.merge_upload_states(old.unionByName(fresh))
+        written = tables.write(merged.withColumn(BUCKET, self._bucket()), STATE, BUCKET)
+        changes[STATE] = written
+        # the mart: groups of the changed assignments before and after
+        state_paths = {**tables.partitions(STATE), **written}
+        state = tables.spark.read.schema(fresh.schema).parquet(*state_paths.values())
+        attempts = intermediate.attempts_of_state(state)
+        daily = tables.read(DAILY)
         if daily is None:
-            new_daily = marts.file_upload_daily(attempts)
+            mart = marts.file_upload_daily(attempts)
         else:
-            new_daily = incremental.upload_daily(attempts, daily, prior_attempts=prior_changed,
-                                                 changed_assignments=changed)
-        sinks.write_version(new_daily, self.daily_table)
-
-    def attempts(self, spark: SparkSession) -> DataFrame | None:
-        return incremental.read_attempts(spark, self.attempts_table)
+            prior = None if old is None else intermediate.attempts_of_state(
+                old.join(ids, "task_assignment_id", "left_semi"))
+            mart = incremental.upload_daily_of(
+                attempts, daily, attempts.join(ids, "task_assignment_id", "left_semi"), prior)
+        schemas[DAILY] = mart.schema.jsonValue()
+        changes[DAILY] = tables.write(mart.withColumn(DAILY_PARTITION, F.lit(0)), DAILY,
+                                      DAILY_PARTITION)
 
 
 def run_available(spark: SparkSession, raw_path: str, root: str,
                   refresh_marts: bool = True, max_files_per_trigger: int | None = None) -> UploadRefresh:
     """Process everything available under ``raw_path`` once (``availableNow``) and stop."""
-    # Dedupe state spans the 2-day watermark; keep it in RocksDB (off-heap, spills
-    # to local disk, checkpointed with the query) unless the cluster chose a provider.
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    if not spark.conf.get(provider, None):
-        spark.conf.set(provider, ROCKSDB_PROVIDER)
     options = {}
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
@@ -100,6 +147,7 @@ def run_available(spark: SparkSession, raw_path: str, root: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    ManifestTables(spark, sink.root).vacuum()
     return sink
 
 

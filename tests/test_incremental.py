@@ -107,3 +107,33 @@ def test_stage_events_into_partitioned_table(spark, scratch):
         incremental.stage_events_into(everything, table)
     got = sorted(r.task_assignment_id for r in spark.read.parquet(table).collect())
     assert got == ["0", "1", "2", "3"]                      # "late" is behind the lookback
+
+
+def test_deactivated_assignment_leaves_no_stale_group(spark):
+    """An assignment whose activation is cleared takes its old date x product group with it."""
+    from datetime import datetime
+
+    from casetrail.operators import incremental, marts
+
+    ts = datetime(2024, 1, 5, 10)
+
+    def assignments(activated, updated):
+        return spark.createDataFrame(
+            [(1, activated, updated), (2, datetime(2024, 1, 6), datetime(2024, 1, 6))],
+            "task_assignment_id long, activated_ts timestamp, source_updated_at timestamp").selectExpr(
+            "*", "'p' as catalog_product_id", "cast(activated_ts as date) as activation_date",
+            "cast(date_trunc('week', activated_ts) as date) as activation_week",
+            "cast(activated_ts is not null as int) as is_activated", "0 as is_submitted",
+            "0 as is_reviewer_completed", "cast(null as timestamp) as submitted_ts",
+            "cast(null as timestamp) as completed_ts",
+            "1 as matched_task_name_signal", "0 as matched_action_signal",
+            "0 as matched_amplitude_signal", "cast(null as timestamp) as first_questionnaire_event_at",
+            "1L as case_id", "1L as beneficiary_id", "1L as task_id", "0L as iteration_count",
+            "cast(null as long) as questionnaire_event_count")
+    before, after = assignments(ts, ts), assignments(None, datetime(2024, 1, 7))
+    target = marts.questionnaire_daily(before)
+    got = incremental.questionnaire_daily(after, target, prior_assignments=before)
+    want = marts.questionnaire_daily(after)
+    days = lambda df: sorted(str(r.metric_date) for r in df.collect())
+    assert days(target) == ["2024-01-05", "2024-01-06"]
+    assert days(got) == days(want) == ["2024-01-06"]

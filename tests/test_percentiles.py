@@ -3,6 +3,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from casetrail.operators.percentiles import percentiles
 
 
@@ -50,3 +52,14 @@ def test_approx_opt_in_close_to_exact(spark):
                                               approx=True).collect()}
     assert set(exact) == set(approx)
     assert all(abs(exact[g] - approx[g]) <= 5 for g in exact)
+
+
+def test_approximate_path_keeps_the_extra_columns(spark):
+    from casetrail.operators import percentiles as P
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("a", None), ("b", 5)], "g string, v int")
+    measures = {"v": "v", "one": F.lit(1)}
+    extra = {"n": P.cell_count("one"), "total": P.cell_sum("v")}
+    exact, rough = (P.percentiles(df, ["g"], measures, {"p50": ("v", 0.5)}, approx=a, extra=extra)
+                    for a in (False, True))
+    assert sorted(exact.columns) == sorted(rough.columns)
+    assert {r.g: (r.n, r.total) for r in rough.collect()} == {"a": (3, 4), "b": (1, 5)}

@@ -104,3 +104,32 @@ def test_event_profile_is_payload_plus_column_profile(spark):
         quality.column_profile(ev, F.col("d"), ["p", "e"]))
     key = lambda df: sorted(tuple(r) for r in df.select("day", "field", "kind", "n_rows").collect())
     assert key(one) == key(two)
+
+
+def test_stopped_and_empty_sources_are_reported(spark):
+    """Declared sources end on the common last day; one without rows is there and fails."""
+    loads = spark.sql("""
+        select 'live' as source, timestamp(d) as loaded_at
+        from (select explode(sequence(date'2024-01-01', date'2024-02-28')) as d)
+        union all
+        select 'stopped', timestamp(d) from (select explode(sequence(date'2024-01-01', date'2024-02-10')) as d)
+    """)
+    declared = ["live", "stopped", "empty"]
+    fresh = {r.source: r.status for r in quality.freshness(loads, sources=declared).collect()}
+    assert fresh == {"live": "pass", "stopped": "error", "empty": "error"}
+    rules = {"stopped": True, "empty": True}
+    out = {r.source: r for r in quality.volume_anomalies(loads, fail_on_zero=rules, sources=declared)
+           .where("is_detection_day").collect()}
+    assert {s: (str(r.day), r.row_count, bool(r.is_anomaly)) for s, r in out.items()} == {
+        "live": ("2024-02-28", 1, False), "stopped": ("2024-02-28", 0, True),
+        "empty": ("2024-02-28", 0, True)}
+
+
+def test_gate_names_every_failing_check(spark):
+    import pytest
+    rows = [("l", "m", f"check_{i}", "not_null", "c", "error", 1) for i in range(45)]
+    summary = spark.createDataFrame(rows, "layer string, model string, check_name string, kind string, "
+                                          "column_name string, severity string, failures long")
+    with pytest.raises(quality.QualityGateError) as e:
+        quality.gate(summary)
+    assert all(f"m.check_{i}=1" in str(e.value) for i in range(45))

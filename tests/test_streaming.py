@@ -1,78 +1,112 @@
-"""Structured Streaming staging and refresh over small landed files."""
+"""Structured Streaming over small landed files: batch boundaries, replays, crashes."""
 
 import json
 
-from casetrail.sources import sinks
+import pytest
+
+from casetrail.operators import intermediate, marts, staging
+from casetrail.sources.manifest import CommitConflict, ManifestTables
 from casetrail.streaming import events as streaming
 
+SCHEMA = "event_time string, ingestion_timestamp string, event_type string, event_properties string"
+NAMES = ["cw_task_plugin_opened", "cw_doc_upload_started", "cw_doc_upload_completed"]
+
+
+def rows(days, offset=0):
+    out = []
+    for i, d in enumerate(days):
+        payload = {"task_assignment_id": str(offset + i % 4), "actor_role": "Beneficiary",
+                   "task_plugin_type": "file_upload", "catalog_product_id": str(i % 2),
+                   "file_count": 2, "success_count": i % 3}
+        loaded = f"2024-01-{d:02d} 11:00:00" if d else "null"
+        out.append((f"2024-01-{max(d, 1):02d} 10:00:00", loaded, NAMES[i % 3], json.dumps(payload)))
+    return out
+
+
+def bag(df):
+    cols = sorted(df.columns)
+    return sorted(repr([r[c] for c in cols]) for r in df.collect())
+
+
+def full(spark, feed):
+    events = staging.stg_events(spark.createDataFrame(feed, SCHEMA)).dropDuplicates(["event_natural_key"])
+    return events, marts.file_upload_daily(intermediate.file_upload_attempts(events))
+
+
+FEED = rows([1, 2, 3, 4, 5, 6]) + rows([20, 6, 1, 7, 0, 28], 2) + rows([0, 0, 3, 9], 1)
+FEED += [FEED[0], FEED[7], FEED[10], FEED[10]]         # copies, with and without a load time
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3, 4], [4, 3, 2, 1, 0], [2, 4, 0, 3, 1]])
+def test_result_does_not_depend_on_batches(spark, scratch, order):
+    chunks = [FEED[i::5] for i in range(5)]
+    for i in order:                                     # one file per arrival, far out of order
+        spark.createDataFrame(chunks[i], SCHEMA).coalesce(1).write.mode("append").parquet(f"{scratch}/raw")
+    sink = streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/out", max_files_per_trigger=1)
+    events, daily = full(spark, FEED)
+    assert bag(sink.events(spark).select("event_natural_key")) == bag(events.select("event_natural_key"))
+    assert bag(sink.daily(spark)) == bag(daily)
+    # nothing new: the tables stay as they are
+    streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/out")
+    assert bag(sink.daily(spark)) == bag(daily)
+
+
+def test_arrivals_between_runs(spark, scratch):
+    for part in (FEED[:9], FEED[9:]):
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(f"{scratch}/raw")
+        sink = streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/out")
+    assert bag(sink.daily(spark)) == bag(full(spark, FEED)[1])
+
+
+@pytest.mark.parametrize("step", ["write:stg_events", "write:upload_state", "write:file_upload_daily",
+                                  "commit"])
+def test_a_crash_at_any_step_and_a_replay(spark, scratch, monkeypatch, step):
+    """The second batch fails at one step, is run again, and then replayed once more."""
+    sink = streaming.UploadRefresh(scratch)
+    first, second = (staging.stg_events(spark.createDataFrame(p, SCHEMA)) for p in (FEED[:9], FEED[9:]))
+    sink(first, 0)
+    before = bag(sink.daily(spark))
+    write, commit = ManifestTables.write, ManifestTables.commit
+
+    def failing_write(self, df, table, column):
+        done = write(self, df, table, column)
+        if step == f"write:{table}":
+            raise OSError("lost")
+        return done
+
+    def failing_commit(self, *a, **k):
+        if step == "commit":
+            raise OSError("lost")
+        return commit(self, *a, **k)
+    monkeypatch.setattr(ManifestTables, "write", failing_write)
+    monkeypatch.setattr(ManifestTables, "commit", failing_commit)
+    with pytest.raises(OSError):
+        sink(second, 1)
+    assert bag(sink.daily(spark)) == before             # nothing half done is visible
+    monkeypatch.undo()
+    sink(second, 1)
+    sink(second, 1)
+    events, daily = full(spark, FEED)
+    assert sink.events(spark).count() == events.count()
+    assert bag(sink.daily(spark)) == bag(daily)
+    assert ManifestTables(spark, sink.root).vacuum() > 0   # the leftovers of the failed run
+    assert bag(sink.daily(spark)) == bag(daily)
+
+
+def test_two_writers_cannot_commit_one_version(spark, scratch):
+    one, two = ManifestTables(spark, scratch), ManifestTables(spark, scratch)
+    one.commit(0, {}, {})
+    with pytest.raises(CommitConflict):
+        two.commit(0, {}, {})
+
 
-def test_available_now_refresh(spark, scratch):
-    rows = []
-    for i in range(12):
-        payload = {"task_assignment_id": str(i % 4), "actor_role": "Beneficiary",
-                   "task_plugin_type": "file_upload", "catalog_product_id": "p", "file_count": 1,
-                   "success_count": 1}
-        name = ["cw_task_plugin_opened", "cw_doc_upload_started", "cw_doc_upload_completed"][i % 3]
-        rows.append((f"2024-01-0{1 + i % 5} 10:00:00", f"2024-01-0{1 + i % 5} 11:00:00", name,
-                     json.dumps(payload)))
-    rows.append(rows[0])                                    # exact duplicate -> deduplicated
-    rows.append(("2024-01-01 10:00:00", "null", "cw_task_plugin_opened",
-                 json.dumps({"task_assignment_id": "9"})))  # no load time: kept
-    raw = spark.createDataFrame(rows, "event_time string, ingestion_timestamp string, "
-                                      "event_type string, event_properties string")
-    raw_path = f"{scratch}/raw"
-    raw.write.parquet(raw_path)
-    sink = streaming.run_available(spark, raw_path, f"{scratch}/out")
-    events = sink.events(spark)
-    assert events.count() == 13
-    daily = sinks.read_current(spark, sink.daily_table)
-    assert daily.agg({"opened_upload_plugin_count": "sum"}).first()[0] == 4
-    # a second run finds nothing new and leaves the tables as they are
-    streaming.run_available(spark, raw_path, f"{scratch}/out")
-    assert sink.events(spark).count() == 13
-
-
-def test_watermark_drops_events_later_than_two_days(spark, scratch):
-    def feed(rows):
-        return spark.createDataFrame(
-            [(t, i, "cw_task_plugin_opened", json.dumps({"task_assignment_id": k})) for t, i, k in rows],
-            "event_time string, ingestion_timestamp string, event_type string, event_properties string")
-
-    raw_path = f"{scratch}/raw"
-    feed([("2024-01-10 00:00:00", "2024-01-10 00:00:00", "a")]).write.mode("append").parquet(raw_path)
-    streaming.run_available(spark, raw_path, f"{scratch}/out", refresh_marts=False)
-    # second arrival: one event a day behind the newest load (kept), one four days behind (dropped)
-    feed([("2024-01-09 00:00:00", "2024-01-09 00:00:00", "b"),
-          ("2024-01-06 00:00:00", "2024-01-06 00:00:00", "c")]).write.mode("append").parquet(raw_path)
-    sink = streaming.run_available(spark, raw_path, f"{scratch}/out", refresh_marts=False)
-    got = sorted(r.task_assignment_id for r in sink.events(spark).collect())
-    assert got == ["a", "b"]
-
-
-def test_refresh_across_micro_batches_equals_full_build(spark, scratch):
-    from casetrail.operators import intermediate, marts, staging
-
-    def rows(days, aid_offset):
-        out = []
-        for i, d in enumerate(days):
-            name = ["cw_task_plugin_opened", "cw_doc_upload_started", "cw_doc_upload_completed"][i % 3]
-            payload = {"task_assignment_id": str(aid_offset + i % 4), "actor_role": "Beneficiary",
-                       "task_plugin_type": "file_upload", "catalog_product_id": str(i % 2),
-                       "file_count": 2, "success_count": i % 3}
-            out.append((f"2024-01-{d:02d} 10:00:00", f"2024-01-{d:02d} 11:00:00", name, json.dumps(payload)))
-        return out
-
-    schema = "event_time string, ingestion_timestamp string, event_type string, event_properties string"
-    first, second = rows([1, 2, 3, 4, 5, 6], 0), rows([6, 6, 7, 7, 5, 8], 2)  # overlapping assignments
-    raw_path, out = f"{scratch}/raw", f"{scratch}/out"
-    spark.createDataFrame(first, schema).write.mode("append").parquet(raw_path)
-    streaming.run_available(spark, raw_path, out)
-    spark.createDataFrame(second, schema).write.mode("append").parquet(raw_path)
-    sink = streaming.run_available(spark, raw_path, out)
-
-    full = marts.file_upload_daily(intermediate.file_upload_attempts(
-        staging.stg_events(spark.createDataFrame(first + second, schema))))
-    cols = full.columns
-    got = sinks.read_current(spark, sink.daily_table)
-    bag = lambda df: sorted(tuple(r[c] for c in cols) for r in df.collect())
-    assert bag(got) == bag(full)
+def test_a_batch_reads_only_its_own_dates(spark, scratch):
+    sink = streaming.UploadRefresh(scratch, refresh_marts=False)
+    sink(staging.stg_events(spark.createDataFrame(rows([1, 2, 3, 4]), SCHEMA)), 0)
+    before = ManifestTables(spark, sink.root).partitions("stg_events")
+    sink(staging.stg_events(spark.createDataFrame(rows([3], 5), SCHEMA)), 1)
+    after = ManifestTables(spark, sink.root).partitions("stg_events")
+    changed = {d for d in after if after[d] != before.get(d)}
+    assert changed == {"2024-01-03"}
+    read = ManifestTables(spark, sink.root).read("stg_events", ["2024-01-03"])
+    assert all("2024-01-03" in f for f in read.inputFiles())
