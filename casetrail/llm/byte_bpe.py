@@ -33,6 +33,8 @@ BYTE_BASE = 0x100
 CACHE_ENTRIES = 600_000
 #: Texts that are cut before their new pre-tokens are encoded in one call.
 GROUP = 200
+#: Rows whose ids are in memory at once.
+BATCH_ROWS = 2000
 ENCODED = "struct<ids:binary,decoded:binary>"
 
 
@@ -152,7 +154,14 @@ def codec_column(vocab_path: str, pattern: str, text: Column) -> Column:
 
 
 def encode(df: DataFrame, vocab_path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``df`` with ``ids`` (packed) and ``decoded`` (bytes) of its text column appended."""
+    """``df`` with ``ids`` (packed) and ``decoded`` (bytes) of its text column appended.
+
+    Ids take several times the room of their text, so the session's Arrow batches are
+    lowered to ``BATCH_ROWS`` rows where they are larger.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(setting)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
     keep = [c for c in df.columns if c.lower() not in ("ids", "decoded")]
     return (df.withColumn("_codec", codec_column(vocab_path, pattern, F.col(text_col)))
               .select(*[F.col(f"`{c}`") for c in keep], "_codec.ids", "_codec.decoded"))
