@@ -56,35 +56,43 @@ def stage_events(raw_events: DataFrame, target: DataFrame | None = None,
 
 
 EVENT_PARTITION = "ingestion_date"
+EVENTS_TABLE = "stg_events"
 
 
-def stage_events_into(raw_events: DataFrame, table: str, deduplicate: bool = False) -> None:
-    """B4 incremental against a stored, load-date-partitioned event table.
+def stage_events_into(raw_events: DataFrame, root: str) -> None:
+    """B4 incremental against a stored event table, partitioned by load date.
 
-    The watermark reads only the newest partitions: the newest partition value
-    is a scalar subquery over the partition column, and the timestamp maximum
-    is taken from that day and the one before, so the scan is pruned to them.
-    Only the partitions the new rows fall in are rewritten
-    (:func:`casetrail.sources.sinks.upsert_partitions`).
+    The watermark is the newest load time that a commit recorded, kept in the manifest with
+    the partitions it covers: a run that fails before its commit leaves table and watermark as
+    they were, so a retry reads the same days again.  Only the load dates of new rows are read and
+    rewritten, and all of them become visible in one commit.
     """
-    from ..sources.sinks import upsert_partitions
+    from ..sources.manifest import NULL_PARTITION, ManifestTables
     spark = raw_events.sparkSession
-    staged = staging.stg_events(raw_events)
-    try:
-        current = spark.read.parquet(table)
-    except Exception:  # noqa: BLE001 - no table yet: first run, full build (I7)
-        current = None
-    if current is None:
-        new = staged
-    else:
-        last_day = current.select(F.max(EVENT_PARTITION)).scalar()
-        recent = current.where(F.col(EVENT_PARTITION) >= F.date_sub(last_day, 1))
-        new = since(staged, F.col("ingestion_timestamp"),
-                    watermark(recent, "ingestion_timestamp"), keep_null=True)
-    if deduplicate:
-        new = new.dropDuplicates(["event_natural_key"])
-    upsert_partitions(new.withColumn(EVENT_PARTITION, F.to_date("ingestion_timestamp")),
-                      table, "event_natural_key", EVENT_PARTITION)
+    tables = ManifestTables(spark, root)
+    stamp = F.col("ingestion_timestamp")
+    new = staging.stg_events(raw_events)
+    mark = tables.state.get("watermark")
+    if mark is not None:
+        new = since(new, stamp, F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {LOOKBACK}"),
+                    keep_null=True)
+    day = F.to_date(stamp)
+    landed = f"{tables.root}/data/_batch/{uuid.uuid4().hex}"
+    new.dropDuplicates(["event_natural_key"]).withColumn(EVENT_PARTITION, day).write.parquet(landed)
+    rows = spark.read.parquet(landed)
+    label = F.coalesce(F.col(EVENT_PARTITION).cast("string"), F.lit(NULL_PARTITION))
+    days = {r[0]: r[1] for r in rows.groupBy(label).agg(F.max(stamp).cast("string")).collect()}
+    if not days:
+        return
+    old = tables.read(EVENTS_TABLE, days)
+    if old is not None:
+        seen = old.select("event_natural_key")
+        rows = old.withColumn(EVENT_PARTITION, day).unionByName(
+            rows.join(seen, "event_natural_key", "left_anti"))
+    newest = max([t for t in [mark, *days.values()] if t is not None], default=None)
+    tables.commit(tables.batch + 1,
+                  {EVENTS_TABLE: tables.write(rows, EVENTS_TABLE, EVENT_PARTITION)},
+                  {EVENTS_TABLE: rows.drop(EVENT_PARTITION).schema.jsonValue()}, watermark=newest)
 
 
 def changed_upload_assignments(events: DataFrame, target: DataFrame) -> DataFrame:
@@ -104,52 +112,6 @@ def upload_attempts(events: DataFrame, target: DataFrame | None = None) -> DataF
     return upsert_frame(target, new, "task_assignment_id")
 
 
-ATTEMPT_BUCKET = "assignment_bucket"
-ATTEMPT_BUCKETS = 64
-
-
-def attempt_bucket() -> Column:
-    """Hash bucket of the assignment id (uniform: one row per assignment)."""
-    return F.pmod(F.xxhash64("task_assignment_id"), F.lit(ATTEMPT_BUCKETS))
-
-
-def read_attempts(spark, table: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(table).drop(ATTEMPT_BUCKET)
-    except Exception:  # noqa: BLE001 - no table yet: first run
-        return None
-
-
-def upload_attempts_into(events: DataFrame, table: str):
-    """B7 incremental against a stored attempts table bucketed by assignment hash.
-
-    Only the buckets holding changed assignments are rewritten.  Returns
-    ``(prior_changed, changed)``: the changed assignments' previous rows
-    (written aside before the swap) and their ids, for the mart's
-    vacated-group repair; both are None on a first run.
-    """
-    from ..sources.sinks import upsert_partitions
-    spark = events.sparkSession
-    prior = read_attempts(spark, table)
-    if prior is None:
-        new, changed, prior_changed = upload_attempts(events), None, None
-    else:
-        # Everything that reads the current table is written aside *before* the
-        # swap replaces its files: the changed ids and their previous rows (both small).
-        aside = f"{table}_prior/{uuid.uuid4().hex[:12]}"
-        ids = changed_upload_assignments(events, prior)
-        ids.write.mode("overwrite").parquet(f"{aside}/changed")
-        changed = spark.read.schema(ids.schema).parquet(f"{aside}/changed")
-        old = prior.join(changed, "task_assignment_id", "left_semi")
-        old.write.mode("overwrite").parquet(f"{aside}/rows")
-        prior_changed = spark.read.schema(old.schema).parquet(f"{aside}/rows")
-        new = intermediate.rollup_upload_attempts(
-            intermediate.upload_events(events).join(changed, "task_assignment_id", "left_semi"))
-    upsert_partitions(new.withColumn(ATTEMPT_BUCKET, attempt_bucket()), table,
-                      "task_assignment_id", ATTEMPT_BUCKET, cluster=True)
-    return prior_changed, changed
-
-
 def questionnaire_assignments(assignments: DataFrame, tasks: DataFrame, cases: DataFrame,
                               events: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """B8 incremental: assignments whose two-source watermark moved."""

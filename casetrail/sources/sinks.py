@@ -11,8 +11,6 @@ same code runs on HDFS, object stores or a local disk.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,42 +86,6 @@ def replace_groups(target: DataFrame | None, new: DataFrame, key: str,
     return kept.unionByName(new.select(*target.columns))
 
 
-def upsert_partitions(new: DataFrame, table: str, key: str, partition_col: str,
-                      cluster: bool = False) -> None:
-    """K2 for a large partitioned table: rewrite only the partitions ``new`` touches.
-
-    Requires that rows with the same key share a partition (for staged events
-    the partition is the load date, which is part of the natural key).  The
-    touched partitions of the current table (pruned by a semi join on the
-    partition column) are merged with ``new`` by key, staged under the table,
-    then swapped in with a dynamic partition overwrite.  Work is proportional
-    to the touched partitions, not the table; re-running after a failure
-    repeats the same swap.
-
-    ``cluster=True`` shuffles rows by partition value before writing (one file
-    set per partition).  Use it only for uniform partitions such as hash
-    buckets of a unique key; a date partition may hold a third of all rows and
-    must stay spread over many tasks.
-    """
-    spark = new.sparkSession
-    fs, root = _fs(spark, table)
-    has_data = fs.exists(root) and any(
-        not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(root))
-    merged = new
-    if has_data:
-        current = spark.read.parquet(table)
-        touched = new.select(F.col(partition_col).alias("_part")).distinct()
-        old = current.join(touched, current[partition_col].eqNullSafe(touched["_part"]), "left_semi")
-        merged = (old.join(new.select(key).distinct(), key, "left_anti")
-                  .unionByName(new.select(*old.columns)))
-    staged = f"{table}/_staging/{uuid.uuid4().hex[:12]}"
-    if cluster:
-        merged = merged.repartition(F.col(partition_col))
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-    (spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table))
-
-
 def upsert(new: DataFrame, table: str, key: str) -> str:
     """K2: merge ``new`` into the current version by ``key``; write the next version."""
     spark = new.sparkSession

@@ -33,7 +33,7 @@ EVENT_PARTITION = incremental.EVENT_PARTITION
 BUCKET = "assignment_bucket"
 #: Hash buckets of the assignment state; a parameter of the sink, fixed once it has data.
 BUCKETS = 64
-EVENTS, STATE, DAILY = "stg_events", "upload_state", "file_upload_daily"
+EVENTS, STATE, DAILY = incremental.EVENTS_TABLE, "upload_state", "file_upload_daily"
 DAILY_PARTITION = "_whole"
 
 

@@ -72,40 +72,51 @@ def test_stage_events_null_ingestion_and_replay(spark, scratch):
     assert len(sinks.versions(spark, table)) == 3
 
 
-def test_upsert_partitions_rewrites_only_touched_partitions(spark, scratch):
-    import datetime as dt
-    import glob
-    import os
-    table = f"{scratch}/events"
-    d = dt.date
-    first = spark.createDataFrame([("k1", d(2024, 1, 1), 1), ("k2", d(2024, 1, 2), 1),
-                                   ("k3", None, 1)], "k string, day date, v int")
-    sinks.upsert_partitions(first, table, "k", "day")
-    day1 = sorted(glob.glob(f"{table}/day=2024-01-01/*.parquet"))
-    stamp = [os.path.getmtime(f) for f in day1]
-    second = spark.createDataFrame([("k2", d(2024, 1, 2), 2), ("k4", d(2024, 1, 2), 1),
-                                    ("k5", None, 1)], "k string, day date, v int")
-    sinks.upsert_partitions(second, table, "k", "day")
-    out = sorted((r.k, r.day, r.v) for r in spark.read.parquet(table).collect())
-    assert out == [("k1", d(2024, 1, 1), 1), ("k2", d(2024, 1, 2), 2), ("k3", None, 1),
-                   ("k4", d(2024, 1, 2), 1), ("k5", None, 1)]
-    assert sorted(glob.glob(f"{table}/day=2024-01-01/*.parquet")) == day1      # untouched
-    assert [os.path.getmtime(f) for f in day1] == stamp
-
-
-def test_stage_events_into_partitioned_table(spark, scratch):
-    table = f"{scratch}/stg_events_p"
+def test_stage_events_into_survives_a_lost_commit(spark, scratch, monkeypatch):
+    """A run that fails after writing but before its commit loses no days on the retry."""
+    import pytest
+
+    from casetrail.sources.manifest import ManifestTables
+
+    def feed(days):
+        return spark.createDataFrame(
+            [(f"2024-01-{d:02d} 10:00:00", f"2024-01-{d:02d} 11:00:00" if d < 20 else None, OPEN,
+              json.dumps({"task_assignment_id": str(d)})) for d in days],
+            "event_time string, ingestion_timestamp string, event_type string, event_properties string")
+
+    def days():
+        return sorted(r.event_time.day for r in ManifestTables(spark, scratch).read("stg_events").collect())
+    incremental.stage_events_into(feed([1, 25]), scratch)
+    assert days() == [1, 25]
+    with monkeypatch.context() as m:
+        m.setattr(ManifestTables, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            incremental.stage_events_into(feed([1, 25, *range(2, 12)]), scratch)
+    assert days() == [1, 25]
+    everything = feed([1, 25, *range(2, 12)])
+    incremental.stage_events_into(everything, scratch)
+    assert days() == [*range(1, 12), 25]
+    before = ManifestTables(spark, scratch).partitions("stg_events")
+    incremental.stage_events_into(everything.unionByName(feed([9])), scratch)   # copies, late rows
+    assert days() == [*range(1, 12), 25]
+    after = ManifestTables(spark, scratch).partitions("stg_events")
+    assert all(after[f"2024-01-{d:02d}"] == before[f"2024-01-{d:02d}"] for d in range(1, 9))
+
+
+def test_stage_events_into_keeps_the_lookback(spark, scratch):
+    from casetrail.sources.manifest import ManifestTables
     batch1 = _raw(spark, [("2024-01-01 00:00:00", "2024-01-10 00:00:00", "1"),
                           ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "0")])
-    incremental.stage_events_into(batch1, table)
+    incremental.stage_events_into(batch1, scratch)
     everything = _raw(spark, [("2024-01-01 00:00:00", "2024-01-10 00:00:00", "1"),
                               ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "0"),
                               ("2024-01-02 00:00:00", "null", "2"),
                               ("2024-01-03 00:00:00", "2024-01-09 00:00:00", "3"),
                               ("2024-01-03 00:00:00", "2024-01-05 00:00:00", "late")])
     for _ in range(2):                                      # the same run twice
-        incremental.stage_events_into(everything, table)
-    got = sorted(r.task_assignment_id for r in spark.read.parquet(table).collect())
+        incremental.stage_events_into(everything, scratch)
+    got = sorted(r.task_assignment_id for r in
+                 ManifestTables(spark, scratch).read("stg_events").collect())
     assert got == ["0", "1", "2", "3"]                      # "late" is behind the lookback
 
 

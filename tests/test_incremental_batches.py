@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from casetrail.functions.casts import safe_timestamp
 from casetrail.operators import incremental, intermediate, marts, staging
 from casetrail.sources import sinks
+from casetrail.sources.manifest import ManifestTables
 from casetrail.sources.fixtures import RawSources
+from casetrail.streaming.events import UploadRefresh
 
 
 def _bag(df, cols):
@@ -55,27 +57,27 @@ def test_batches_equal_full_refresh(spark, sf_small, scratch):
 
 
 def test_partitioned_tables_over_batches_equal_full_refresh(spark, sf_small, scratch):
-    """Same arrival as above through the partition-local path: the event table by load
-    date, the attempts table by assignment hash bucket, the mart as versions."""
+    """Same arrival as above through the manifest tables: events by load date, upload state
+    by assignment hash bucket, the daily mart."""
     raw = RawSources(spark, sf_small).events
     day = F.datediff(F.to_date(safe_timestamp("ingestion_timestamp")), F.lit("2024-01-01"))
     late = (F.crc32(F.col("event_properties")) % 3 == 0).cast("int")
     landed = raw.withColumn("chunk", F.coalesce(F.floor((day + late) / 10), F.lit(0)))
     chunks = sorted(r.chunk for r in landed.select("chunk").distinct().collect())
 
-    t_events, t_attempts, t_daily = (f"{scratch}/{n}" for n in ("events", "attempts", "daily"))
-    for c in chunks:
-        incremental.stage_events_into(landed.where(F.col("chunk") <= c).drop("chunk"), t_events)
-        events = spark.read.parquet(t_events).drop(incremental.EVENT_PARTITION)
-        prior_changed, changed = incremental.upload_attempts_into(events, t_attempts)
-        attempts = incremental.read_attempts(spark, t_attempts)
-        daily = sinks.read_current(spark, t_daily)
-        sinks.write_version(incremental.upload_daily(attempts, daily, prior_attempts=prior_changed,
-                                                     changed_assignments=changed), t_daily)
+    sink = UploadRefresh(scratch)
+    for i, c in enumerate(chunks):
+        feed = landed.where(F.col("chunk") <= c).drop("chunk")
+        incremental.stage_events_into(feed, f"{scratch}/batch")
+        sink(staging.stg_events(feed), i)                # overlaps all earlier batches
 
-    full_attempts = intermediate.file_upload_attempts(staging.stg_events(raw))
+    full_events = staging.stg_events(raw)
+    full_attempts = intermediate.file_upload_attempts(full_events)
     full_daily = marts.file_upload_daily(full_attempts)
+    keys = ["event_natural_key"]
+    batch_events = ManifestTables(spark, f"{scratch}/batch").read("stg_events")
+    assert _bag(batch_events, keys) == _bag(full_events, keys) == _bag(sink.events(spark), keys)
     cols = full_attempts.columns
-    assert _bag(incremental.read_attempts(spark, t_attempts), cols) == _bag(full_attempts, cols)
+    assert _bag(sink.attempts(spark), cols) == _bag(full_attempts, cols)
     cols = full_daily.columns
-    assert _bag(sinks.read_current(spark, t_daily), cols) == _bag(full_daily, cols)
+    assert _bag(sink.daily(spark), cols) == _bag(full_daily, cols)
