@@ -30,7 +30,7 @@ from .common import texts
 #: Byte b is written as the character with this offset plus b.
 BYTE_BASE = 0x100
 #: Distinct pre-tokens a task remembers before it starts afresh (memory bound, not a limit).
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 #: Texts that are cut before their new pre-tokens are encoded in one call.
 GROUP = 200
 #: Rows whose ids are in memory at once.
