@@ -64,29 +64,6 @@ class Check:
 
 
 # ------------------------------------------------------------ row predicates
-def not_null(c: Column) -> Column:
-    return c.isNull()
-
-
-def accepted_values(c: Column, values: Sequence) -> Column:
-    return c.isNotNull() & ~c.isin(*values)
-
-
-def non_negative(c: Column) -> Column:
-    return c < 0
-
-
-def value_between(c: Column, min_value=None, max_value=None) -> Column:
-    lo = (c < F.lit(min_value)) if min_value is not None else F.lit(False)
-    hi = (c > F.lit(max_value)) if max_value is not None else F.lit(False)
-    return c.isNotNull() & (lo | hi)
-
-
-def expression_is_true(expr: str) -> Column:
-    """``where (expr) is not true``: NULL fails, unlike the column checks."""
-    return ~F.coalesce(F.expr(expr), F.lit(False))
-
-
 def sql_literal(v) -> str:
     if v is None:
         return "NULL"
