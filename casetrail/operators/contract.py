@@ -221,6 +221,19 @@ def rollup_percentile(base_df: DataFrame, mart: str, metric: str, grain: str,
     return out.select(*groups, "value", "base_rows", *_context(c, metric, grain, c.base_model))
 
 
+def with_quality(rollup: DataFrame, mart: str, status: DataFrame) -> DataFrame:
+    """M6: add how fresh the mart's data is and whether one of its checks failed.
+
+    ``status`` has one row per mart: ``mart, is_degraded, degraded_reason, last_loaded_at``.  It
+    is read as one scalar subquery; a mart without a row gets NULLs.
+    """
+    state = status.where(F.col("mart") == contract(mart).mart).agg(F.first(F.struct(
+        "last_loaded_at", "is_degraded", "degraded_reason"))).scalar()
+    return rollup.select("*", state.getField("last_loaded_at").alias("fresh_as_of"),
+                         state.getField("is_degraded").alias("is_degraded"),
+                         state.getField("degraded_reason").alias("quality_warning"))
+
+
 def metric_freshness(marts: dict[str, DataFrame]) -> DataFrame:
     """M7: newest value of the declared freshness field of each mart that has one."""
     parts = []

@@ -132,10 +132,8 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
 # ------------------------------------------------------------- check counts
 def failure_count_sql(check: Check) -> str:
-    bad = f"coalesce({predicate_sql(check)}, FALSE)"
-    if check.kind == "accepted_values":
-        return f"count(DISTINCT CASE WHEN {bad} THEN CAST(`{check.column}` AS STRING) END)"
-    return f"count(CASE WHEN {bad} THEN 1 END)"
+    """Failing rows of a row check (``accepted_values`` counts values: :func:`accepted_counts`)."""
+    return f"count(CASE WHEN coalesce({predicate_sql(check)}, FALSE) THEN 1 END)"
 
 
 def _label_sql(check: Check) -> list[str]:
@@ -150,7 +148,12 @@ def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     One scan and one (partial + final) global aggregate produce a single row
     of counts; ``stack`` turns it into one row per check.
     """
-    checks = [c for c in checks if c.kind in ROW_KINDS]
+    accepted = [c for c in checks if c.kind == "accepted_values"]
+    checks = [c for c in checks if c.kind in ROW_KINDS and c.kind != "accepted_values"]
+    if accepted and checks:
+        return row_check_counts(df, checks).unionByName(accepted_counts(df, accepted))
+    if accepted:
+        return accepted_counts(df, accepted)
     if not checks:
         return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
     counts = df.selectExpr(*[f"{failure_count_sql(c)} AS c{i}" for i, c in enumerate(checks)])
@@ -161,6 +164,26 @@ def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         "(layer, model, check_name, kind, column_name, severity, failures)")
 
 
+def accepted_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Q3 for all ``accepted_values`` checks of one model: distinct offending values.
+
+    A row emits only its offending cells, so a clean table shuffles nothing; the values are
+    made distinct with a map-side-combined aggregate instead of ``count(DISTINCT ...)``,
+    whose Expand copies every row once per check.
+    """
+    cells = ", ".join(f"CASE WHEN coalesce({predicate_sql(c)}, FALSE) THEN named_struct("
+                      f"'check_name', {sql_literal(c.name)}, 'value', CAST(`{c.column}` AS STRING)) END"
+                      for c in checks)
+    bad = df.selectExpr(f"inline(filter(array({cells}), cell -> cell IS NOT NULL))")
+    counted = bad.distinct().groupBy("check_name").agg(F.count(F.lit(1)).alias("n"))
+    declared = df.sparkSession.createDataFrame(
+        [(c.layer, c.model, c.name, c.kind, c.column, c.severity, 0) for c in checks],
+        SUMMARY_SCHEMA).drop("failures")
+    return declared.join(counted, "check_name", "left").select(
+        "layer", "model", "check_name", "kind", "column_name", "severity",
+        F.coalesce("n", F.lit(0)).cast("long").alias("failures"))
+
+
 def unique_count(df: DataFrame, check: Check) -> DataFrame:
     dup = duplicated_values(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
     return _one_check_row(dup, check)
@@ -388,28 +411,35 @@ def payload_profile(events: DataFrame, day_col: Column, payload_col: str = "even
     kv = events.select(day_col.alias("day"),
                        F.explode(F.from_json(F.col(payload_col), "map<string,variant>"))
                        .alias("field", "value"))
-    return (kv.where(F.col("day").isNotNull())
-            .select("day", "field", value_kind(F.expr("schema_of_variant(value)")).alias("kind"))
+    return (kv.select("day", "field", value_kind(F.expr("schema_of_variant(value)")).alias("kind"))
             .groupBy("day", "field", "kind").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+#: Statuses of :func:`schema_drift` that mean a change.
+DRIFT_CHANGES = ("field_added", "kind_added", "field_removed", "kind_removed")
+
+
 def schema_drift(profile: DataFrame) -> DataFrame:
-    """Q9: each day's field/kind profile against the previous calendar day.
+    """Q9: each day's field/kind profile against the last day before it that has rows.
 
-    Only days whose previous day also has rows are compared.  Status:
-    ``unchanged``, ``field_added``, ``kind_added``, ``field_removed``,
-    ``kind_removed``.
+    The profile may have a ``source`` column; sources are compared by themselves.  A source's
+    first day has nothing to compare with and gives no row.  Rows without a day are reported as
+    ``undated``.  Other statuses: ``unchanged``, ``field_added``, ``kind_added``,
+    ``field_removed``, ``kind_removed``.
     """
-    day_set = profile.select("day").distinct()
-    today = profile.alias("t")
-    prev = profile.select(F.date_add("day", 1).alias("day"), "field", "kind",
-                          F.col("n_rows").alias("prev_rows"))
-    pair = today.join(prev, ["day", "field", "kind"], "full_outer")
-    # keep only days where both sides have some rows
-    both = (day_set.join(day_set.select(F.date_add("day", 1).alias("day")), "day")
-            .withColumn("_both", F.lit(True)))
-    pair = pair.join(both, "day")
-    field_today = Window.partitionBy("day", "field")
+    if "source" not in profile.columns:
+        return schema_drift(profile.withColumn("source", F.lit(""))).drop("source")
+    dated = profile.where(F.col("day").isNotNull())
+    by_day = Window.partitionBy("source").orderBy("day")      # as long as the calendar
+    steps = dated.select("source", "day").distinct().select(
+        "source", "day", F.lag("day").over(by_day).alias("last_day"))
+    steps = steps.where(F.col("last_day").isNotNull())
+    key = ["source", "day", "field", "kind"]
+    prev = (dated.withColumnRenamed("day", "last_day").join(steps, ["source", "last_day"])
+            .select(*key, F.col("n_rows").alias("prev_rows")))
+    pair = (dated.select(*key, "n_rows").join(steps, ["source", "day"], "left_semi")
+            .join(prev, key, "full_outer"))
+    field_today = Window.partitionBy("source", "day", "field")
     has_today = F.max(F.col("n_rows").isNotNull().cast("int")).over(field_today) == 1
     has_prev = F.max(F.col("prev_rows").isNotNull().cast("int")).over(field_today) == 1
     status = (F.when(F.col("n_rows").isNotNull() & F.col("prev_rows").isNotNull(), "unchanged")
@@ -417,12 +447,12 @@ def schema_drift(profile: DataFrame) -> DataFrame:
               .when(F.col("n_rows").isNotNull(), "kind_added")
               .when(~has_today, "field_removed")
               .otherwise("kind_removed"))
-    return pair.select(
-        "day", "field", "kind",
-        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
-        F.coalesce("prev_rows", F.lit(0)).cast("long").alias("prev_rows"),
-        status.alias("status"),
-    )
+    undated = profile.where(F.col("day").isNull()).select(
+        *key, "n_rows", F.lit(None).cast("long").alias("prev_rows"),
+        F.lit("undated").alias("status"))
+    return pair.select(*key, "n_rows", "prev_rows", status.alias("status")).unionByName(undated).select(
+        *key, F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce("prev_rows", F.lit(0)).cast("long").alias("prev_rows"), "status")
 
 
 def event_profile(events: DataFrame, day_col: Column, columns: Sequence[str],
@@ -439,30 +469,40 @@ def event_profile(events: DataFrame, day_col: Column, columns: Sequence[str],
     cells = F.concat(F.coalesce(payload_cells, F.array().cast(
         "array<struct<field:string,kind:string>>")), column_cells)
     return (events.select(day_col.alias("day"), F.explode(cells).alias("c"))
-            .where(F.col("day").isNotNull())
             .groupBy("day", F.col("c.field").alias("field"), F.col("c.kind").alias("kind"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def column_profile(df: DataFrame, day_col: Column, columns: Sequence[str]) -> DataFrame:
-    """``(day, field, kind, n_rows)`` for non-null values of table columns."""
-    stacked = df.select(day_col.alias("day"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("field"), F.col(c).isNotNull().alias("present"))
-        for c in columns])).alias("x"))
-    return (stacked.where(F.col("day").isNotNull() & F.col("x.present"))
-            .select("day", F.col("x.field").alias("field"), F.lit("column").alias("kind"))
-            .groupBy("day", "field", "kind").agg(F.count(F.lit(1)).alias("n_rows")))
+    """``(day, field, kind, n_rows)`` for non-null values of table columns.
+
+    The columns are counted side by side per day and turned into rows afterwards.
+    """
+    daily = df.groupBy(day_col.alias("_day")).agg(
+        *[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"_n{i}").alias("n_rows"))
+                      for i, c in enumerate(columns)])
+    return (daily.select(F.col("_day").alias("day"), F.explode(cells).alias("c"))
+            .where(F.col("c.n_rows") > 0)
+            .select("day", F.col("c.field").alias("field"), F.lit("column").alias("kind"),
+                    F.col("c.n_rows").alias("n_rows")))
 
 
 # ------------------------------------------------------------ Q18 extensions
 def null_rate_by_day(df: DataFrame, day_col: Column, columns: Sequence[str]) -> DataFrame:
-    """Q18: per day and column, rows, nulls and the null rate (4 decimals)."""
-    stacked = df.select(day_col.alias("day"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).isNull().alias("is_null"))
-        for c in columns])).alias("x"))
-    agg = (stacked.where(F.col("day").isNotNull())
-           .groupBy("day", F.col("x.column_name").alias("column_name"))
-           .agg(F.count(F.lit(1)).alias("n_rows"),
-                F.count(F.when(F.col("x.is_null"), 1)).alias("n_nulls")))
+    """Q18: per day and column, rows, nulls and the null rate (4 decimals).
+
+    Rows without a day are a group of their own.
+    """
+    daily = df.groupBy(day_col.alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                               (F.col("_n") - F.col(f"_n{i}")).alias("n_nulls"))
+                      for i, c in enumerate(columns)])
+    agg = daily.select(F.col("_day").alias("day"), F.col("_n").alias("n_rows"),
+                       F.explode(cells).alias("c")).select(
+        "day", F.col("c.column_name").alias("column_name"), "n_rows",
+        F.col("c.n_nulls").alias("n_nulls"))
     from ..functions.ratios import rate
     return agg.withColumn("null_rate", rate(F.col("n_nulls"), F.col("n_rows")))

@@ -55,6 +55,16 @@ SOURCE_CHECKS = (
     + _uq(SOURCE, "wf_assignment", "id")
     + _nn(SOURCE, "wf_events", "event_time", "ingestion_timestamp", "event_type", "event_properties")
     + _nn(SOURCE, "wf_task_predecessor", "task_id", "predecessor_task_id", "ingestion_timestamp")
+    + _nn(SOURCE, "cm_case", "id", "ingestion_timestamp", "beneficiary_id", "status", "created_at")
+    + _uq(SOURCE, "cm_case", "id")
+    + _nn(SOURCE, "cm_evidence_document", "id", "ingestion_timestamp", "evidence_id", "created_at")
+    + _uq(SOURCE, "cm_evidence_document", "id")
+    + _nonneg(SOURCE, "cm_evidence_document", "iteration_count")
+    + _nn(SOURCE, "cm_evidence_property", "id", "ingestion_timestamp", "evidence_id",
+          "property_type", "created_at")
+    + _uq(SOURCE, "cm_evidence_property", "id")
+    + _nn(SOURCE, "cm_recommender", "id", "ingestion_timestamp", "case_id", "status", "created_at")
+    + _uq(SOURCE, "cm_recommender", "id")
     + [Check("relationships", "wf_task_predecessor", "predecessor_task_id", to_model="wf_task",
              to_column="id", layer=SOURCE, severity="warn")]
 )
@@ -77,6 +87,7 @@ STAGING_CHECKS = (
        for c in ("has_numeric_parse_error", "has_timestamp_parse_error")]
 )
 
+# The rules of the expression checks.
 FUNNEL_ATTEMPT_RULES = (
     "started_upload <= opened_plugin",
     "has_successful_upload <= started_upload",
@@ -197,20 +208,19 @@ ALL_CHECKS = (SOURCE_CHECKS + STAGING_CHECKS + INTERMEDIATE_CHECKS + MART_CHECKS
 LAYERS = (SOURCE, STAGING, INTERMEDIATE, MART)
 
 # Sources and their loaded-at fields (raw tables; event loads are text).
-SOURCES = ("wf_case", "wf_task", "wf_assignment", "wf_events", "wf_task_predecessor")
 FAIL_ON_ZERO = {"wf_case": True, "wf_task": True, "wf_assignment": True, "wf_events": True,
-                "wf_task_predecessor": False}
+                "wf_task_predecessor": False, "cm_case": True, "cm_evidence_document": False,
+                "cm_evidence_property": False, "cm_recommender": False}
+SOURCES = tuple(FAIL_ON_ZERO)
 FRESHNESS_ERROR_HOURS = 30.0
 ANOMALY_TRAINING_DAYS = 28
 ANOMALY_SENSITIVITY = 3.0
 
-# Which raw sources feed each mart (for degraded-status markers).
-MART_LINEAGE = {
-    "case_duration_daily": ("wf_case",),
-    "custom_tasks_daily": ("wf_case", "wf_task"),
-    "file_upload_daily": ("wf_events",),
-    "questionnaire_daily": ("wf_case", "wf_task", "wf_assignment", "wf_events"),
-}
+def lineage() -> list[tuple[str, str]]:
+    """``(mart, model)``: every mart with itself and all that it reads (for degraded markers)."""
+    from .refresh import MODELS, upstream
+    return [(mart, name) for mart, m in MODELS.items() if m.layer == MART
+            for name in sorted(upstream([mart]))]
 
 
 def checks_of(kind: str | None = None, layer: str | None = None,

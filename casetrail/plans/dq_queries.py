@@ -7,50 +7,31 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import safe_timestamp
-from ..operators import quality
+from ..operators import contract, quality
 from ..operators.quality import Check
+from ..sources import sinks
 from . import checks as C
-from . import oracle
+from . import oracle, source_checks
 from .models import Models
 from .registry import query
 
 
-SOURCES = sorted(C.FAIL_ON_ZERO)
+SOURCES = list(C.SOURCES)
 #: Roles in the queries over silent sources.
 STOPPED_SOURCE, EMPTY_SOURCE = "wf_case", "wf_events"
 
 
 # ---------------------------------------------------------------- Spark side
 def loads(m: Models) -> DataFrame:
-    """``(source, loaded_at)`` for every raw row; event load times are parsed text."""
-    parts = [
-        m.raw.cases.select(F.lit("wf_case").alias("source"), F.col("ingestion_timestamp").alias("loaded_at")),
-        m.raw.tasks.select(F.lit("wf_task").alias("source"), F.col("ingestion_timestamp").alias("loaded_at")),
-        m.raw.assignments.select(F.lit("wf_assignment").alias("source"),
-                                 F.col("ingestion_timestamp").alias("loaded_at")),
-        m.raw.events.select(F.lit("wf_events").alias("source"),
-                            safe_timestamp("ingestion_timestamp").alias("loaded_at")),
-        m.raw.task_predecessors.select(F.lit("wf_task_predecessor").alias("source"),
-                                       F.col("ingestion_timestamp").alias("loaded_at")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return source_checks.loads(m.raw.frames())
 
 
 def stored_frames(m: Models, checks) -> dict[str, DataFrame]:
-    """Frames for ``checks``: raw sources landed once, then each layer the checks
-    need built once from the stored layer below (written under the shared
-    checkpoint folder)."""
+    """Frames for ``checks``: the models that they read, and what those need, each built
+    once from the stored layer below (written under the shared checkpoint folder)."""
     from .refresh import build_stored, table_store
-    return build_stored(m.raw, table_store(m.spark), layers=_layers_for(checks))
-
-
-def _layers_for(checks) -> tuple[str, ...]:
-    """Layers up to the deepest one the checks read (sources are always landed)."""
-    needed = {c.layer for c in checks}
-    order = list(C.LAYERS)
-    deepest = max((order.index(layer) for layer in needed if layer in order), default=0)
-    return tuple(order[:deepest + 1])
+    read = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
+    return build_stored(m.raw, table_store(m.spark), names=read)
 
 
 def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
@@ -58,15 +39,6 @@ def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
     return quality.with_status(quality.run_checks(stored_frames(m, checks), checks))
 
 
-def freshness_frame(found: DataFrame) -> DataFrame:
-    return quality.freshness(found, error_after_hours=C.FRESHNESS_ERROR_HOURS, sources=SOURCES)
-
-
-def volume_frame(found: DataFrame) -> DataFrame:
-    return quality.volume_anomalies(found, C.ANOMALY_TRAINING_DAYS, C.ANOMALY_SENSITIVITY,
-                                    C.FAIL_ON_ZERO, sources=SOURCES)
-
-
 def silenced(found: DataFrame) -> DataFrame:
     """The loads as if one source had stopped and another had never loaded."""
     last = found.select(F.max("loaded_at")).scalar()
@@ -75,46 +47,42 @@ def silenced(found: DataFrame) -> DataFrame:
                           | (F.col("loaded_at") < last - F.expr("INTERVAL 14 DAYS"))))
 
 
-def drift_profile(m: Models) -> DataFrame:
-    day = F.to_date(safe_timestamp("ingestion_timestamp"))
-    return quality.event_profile(m.raw.events, day, ["event_time", "ingestion_timestamp",
-                                                     "event_type", "event_properties"])
-
-
-def load_status(found: DataFrame, fresh: DataFrame) -> list[DataFrame]:
-    """(source, check_name, failed) of the freshness and volume checks."""
-    return [
-        fresh.select("source", F.lit("freshness").alias("check_name"),
-                     (F.col("status") == "error").alias("failed")),
-        volume_frame(found).where("is_detection_day").select(
-            "source", F.lit("volume_anomaly").alias("check_name"),
-            F.coalesce("is_anomaly", F.lit(False)).alias("failed"))]
+def check_status(summary: DataFrame) -> DataFrame:
+    """``(model, check_name, severity, failed)`` of a check summary."""
+    return summary.select("model", "check_name", "severity",
+                          (F.col("failures") > 0).alias("failed"))
 
 
 def degraded_status(m: Models) -> DataFrame:
-    """Q17: per mart, whether an upstream source check failed, why, and the last load."""
+    """Q17: per mart, whether a check on it or on anything it reads failed, why, how badly, and
+    the oldest of its sources' last loads."""
     found = loads(m)
-    fresh = freshness_frame(found)
-    return degraded_marts(fresh, [*load_status(found, fresh), quality.run_checks(stored_frames(m, C.checks_of(layer=C.SOURCE)), C.checks_of(layer=C.SOURCE)).select(
-            F.col("model").alias("source"), "check_name", (F.col("failures") > 0).alias("failed"))])
-
-
-def degraded_marts(fresh: DataFrame, fails: list[DataFrame]) -> DataFrame:
-    """Every declared mart, whatever its sources have loaded."""
-    status = reduce(DataFrame.unionByName, fails)
-    lineage = fresh.sparkSession.createDataFrame(
-        [(mart, src) for mart, srcs in C.MART_LINEAGE.items() for src in srcs],
-        "mart string, source string")
-    joined = lineage.join(status, "source", "left").join(
-        fresh.select("source", "max_loaded_at"), "source", "left")
+    fresh = source_checks.freshness_frame(found)
+    checks = quality.run_checks(stored_frames(m, C.ALL_CHECKS), C.ALL_CHECKS)
+    return degraded_marts(fresh, source_checks.load_status(found, fresh).unionByName(
+        check_status(checks)))
+
+
+def degraded_marts(fresh: DataFrame, status: DataFrame) -> DataFrame:
+    """Every declared mart, whatever its sources have loaded.
+
+    ``status``: ``(model, check_name, severity, failed)``.  A mart for which nothing was checked
+    is degraded.
+    """
+    lineage = fresh.sparkSession.createDataFrame(C.lineage(), "mart string, model string")
+    joined = lineage.join(status, "model", "left").join(
+        fresh.select(F.col("source").alias("model"), "max_loaded_at"), "model", "left")
     reason = F.concat_ws(", ", F.array_sort(F.collect_set(
-        F.when(F.col("failed"), F.concat_ws(":", "source", "check_name")))))
-    agg = joined.groupBy("mart").agg(
-        F.coalesce(F.max(F.col("failed").cast("int")), F.lit(1)).alias("_d"), reason.alias("_r"),
-        F.min("max_loaded_at").alias("last_loaded_at"))
-    return agg.select("mart", (F.col("_d") == 1).alias("is_degraded"),
-                      F.when(F.col("_d") == 1, F.col("_r")).alias("degraded_reason"),
-                      "last_loaded_at")
+        F.when(F.col("failed"), F.concat_ws(":", "model", "check_name")))))
+    worst = F.max(F.when(F.col("failed"), F.when(F.col("severity") == "error", 2).otherwise(1))
+                  .when(~F.col("failed"), 0))
+    agg = joined.groupBy("mart").agg(worst.alias("_worst"), reason.alias("_r"),
+                                     F.min("max_loaded_at").alias("last_loaded_at"))
+    degraded = F.coalesce(F.col("_worst"), F.lit(2)) > 0
+    return agg.select("mart", degraded.alias("is_degraded"),
+                      F.when(F.col("_worst") == 2, "error").when(F.col("_worst") == 1, "warn")
+                      .when(F.col("_worst") == 0, "pass").otherwise("error").alias("severity"),
+                      F.when(degraded, F.col("_r")).alias("degraded_reason"), "last_loaded_at")
 
 
 # --------------------------------------------------------------- oracle side
@@ -181,12 +149,10 @@ def sql_summary(checks) -> str:
 
 
 _SOURCES = "(VALUES " + ", ".join(f"('{s}')" for s in SOURCES) + ") AS s(source)"
-_LOADS = f"""
-select 'wf_case' as source, ingestion_timestamp as loaded_at from wf_case
-union all select 'wf_task', ingestion_timestamp from wf_task
-union all select 'wf_assignment', ingestion_timestamp from wf_assignment
-union all select 'wf_events', {oracle.timestamp('ingestion_timestamp')} from wf_events
-union all select 'wf_task_predecessor', ingestion_timestamp from wf_task_predecessor"""
+_LOADED = {src: oracle.timestamp("ingestion_timestamp") if src == "wf_events"
+           else "ingestion_timestamp" for src in SOURCES}
+_LOADS = "\nunion all\n".join(f"select '{src}' as source, {at} as loaded_at from {src}"
+                              for src, at in _LOADED.items())
 
 _FRESH = f"""
 select source, max_loaded_at, as_of,
@@ -233,66 +199,94 @@ select day, field, kind, count(*) as n_rows from (
     select day, field, json_type(event_properties, '$."' || field || '"') as t from (
       select {_EV_DAY} as day, event_properties, unnest(json_keys(event_properties)) as field
       from wf_events)) x) y
-where day is not null group by 1, 2, 3
+group by 1, 2, 3
 union all
 select day, field, 'column' as kind, count(*) as n_rows from (
   select {_EV_DAY} as day, unnest(['event_time', 'ingestion_timestamp', 'event_type', 'event_properties']) as field,
          unnest([event_time IS NOT NULL, ingestion_timestamp IS NOT NULL, event_type IS NOT NULL, event_properties IS NOT NULL]) as present
   from wf_events) z
-where day is not null and present group by 1, 2, 3"""
+where present group by 1, 2, 3"""
 
 _DRIFT = """
-with prev as (select day + 1 as day, field, kind, n_rows as prev_rows from dq_profile),
- days as (select distinct day from dq_profile),
- both_days as (select d.day from days d join (select day + 1 as day from days) p on d.day = p.day),
- pair as (select coalesce(t.day, p.day) as day, coalesce(t.field, p.field) as field,
-                 coalesce(t.kind, p.kind) as kind, t.n_rows, p.prev_rows
-          from dq_profile t full outer join prev p
-            on t.day = p.day and t.field = p.field and t.kind = p.kind),
- kept as (select pair.* from pair join both_days b on pair.day = b.day),
- marked as (select *, max(CASE WHEN n_rows IS NOT NULL THEN 1 ELSE 0 END) over (partition by day, field) = 1 as has_today,
-                  max(CASE WHEN prev_rows IS NOT NULL THEN 1 ELSE 0 END) over (partition by day, field) = 1 as has_prev
-            from kept)
-select day, field, kind, CAST(coalesce(n_rows, 0) AS BIGINT) as n_rows,
- CAST(coalesce(prev_rows, 0) AS BIGINT) as prev_rows,
- CASE WHEN n_rows IS NOT NULL AND prev_rows IS NOT NULL THEN 'unchanged'
-      WHEN n_rows IS NOT NULL AND NOT has_prev THEN 'field_added'
-      WHEN n_rows IS NOT NULL THEN 'kind_added'
-      WHEN NOT has_today THEN 'field_removed' ELSE 'kind_removed' END as status
-from marked"""
+with days as (select source, day, lag(day) over (partition by source order by day) as last_day
+              from (select distinct source, day from PROFILE where day is not null) d),
+ keys as (select source, day, field, kind from days join PROFILE using (source, day)
+          where last_day is not null
+          union
+          select d.source, d.day, p.field, p.kind from days d join PROFILE p
+            on p.source = d.source and p.day = d.last_day),
+ pair as (select k.*, now.n_rows as n, was.n_rows as p,
+   exists (select 1 from PROFILE x where x.source = k.source and x.day = k.day and x.field = k.field) as has_today,
+   exists (select 1 from PROFILE x where x.source = k.source and x.day = d.last_day and x.field = k.field) as has_prev
+  from keys k join days d on d.source = k.source and d.day = k.day
+  left join PROFILE now on now.source = k.source and now.day = k.day and now.field = k.field and now.kind = k.kind
+  left join PROFILE was on was.source = k.source and was.day = d.last_day and was.field = k.field and was.kind = k.kind)
+select source, day, field, kind, CAST(coalesce(n, 0) AS BIGINT) as n_rows,
+ CAST(coalesce(p, 0) AS BIGINT) as prev_rows,
+ CASE WHEN p IS NULL THEN CASE WHEN has_prev THEN 'kind_added' ELSE 'field_added' END
+      WHEN n IS NULL THEN CASE WHEN has_today THEN 'kind_removed' ELSE 'field_removed' END
+      ELSE 'unchanged' END as status
+from pair
+union all
+select source, day, field, kind, CAST(n_rows AS BIGINT), CAST(0 AS BIGINT), 'undated'
+from PROFILE where day is null"""
+
+# Columns of the sources that the derived tables never fill: they have no profile rows.
+_NEVER_SET = {"description", "case_stage_scope", "blocked_reason", "force_unblocked",
+              "activation_ts", "completion_ts", "role", "auto_activate"}
+
+
+def _columns(source: str) -> list[str]:
+    ddl = sinks.RAW_SCHEMAS[sinks.SOURCE_OF_FRAME[source]]
+    return [c for c in (part.split()[0] for part in ddl.split(", ")) if c not in _NEVER_SET]
+
+
+_TABLE_PROFILE = "\nunion all\n".join(
+    f"select '{src}' as source, day, field, 'column' as kind, count(*) as n_rows from ("
+    f"select CAST(ingestion_timestamp AS DATE) as day, unnest({[c for c in _columns(src)]}) as field, "
+    f"unnest([{', '.join(f'{c} IS NOT NULL' for c in _columns(src))}]) as filled from {src}) x "
+    f"where filled group by 1, 2, 3, 4" for src in SOURCES if src != "wf_events")
 
 DQ_CTES = {
     "dq_loads": _LOADS,
     "dq_freshness": _FRESH,
     "dq_volume": _VOLUME,
-    "dq_profile": _PROFILE,
-    "dq_drift": _DRIFT,
+    "dq_profile": f"select 'wf_events' as source, * from ({_PROFILE}) p",
+    "dq_drift": _DRIFT.replace("PROFILE", "dq_profile"),
+    "dq_table_profile": _TABLE_PROFILE,
+    "dq_table_drift": _DRIFT.replace("PROFILE", "dq_table_profile"),
 }
 
 
 def _lineage_values() -> str:
-    rows = ", ".join(f"({_lit(m)}, {_lit(s)})" for m, ss in C.MART_LINEAGE.items() for s in ss)
-    return f"(VALUES {rows}) AS lineage(mart, source)"
-
-
-def _degraded_sql() -> str:
-    src_checks = "\nUNION ALL\n".join(sql_check(c) for c in C.checks_of(layer=C.SOURCE))
-    return oracle.with_models(f"""select * from (
-with status as (
-  select source, 'freshness' as check_name, status = 'error' as failed from dq_freshness
-  union all
-  select source, 'volume_anomaly', coalesce(is_anomaly, false) from dq_volume where is_detection_day
-  union all
-  select model, check_name, failures > 0 from ({src_checks}) s),
- joined as (select l.mart, st.source, st.check_name, st.failed, f.max_loaded_at
-            from {_lineage_values()} join status st on l.source = st.source
-            left join dq_freshness f on f.source = l.source)
-select mart, max(CAST(failed AS INTEGER)) = 1 as is_degraded,
- CASE WHEN max(CAST(failed AS INTEGER)) = 1 THEN
-   array_to_string(list_sort(list_distinct(list(source || ':' || check_name) FILTER (WHERE failed))), ', ') END as degraded_reason,
+    rows = ", ".join(f"({_lit(mart)}, {_lit(model)})" for mart, model in C.lineage())
+    return f"(VALUES {rows}) AS lineage(mart, model)"
+
+
+def _degraded_sql(status: str, fresh: str) -> str:
+    """Marts by the worst failed check of their lineage; ``status`` and ``fresh`` are CTE names."""
+    return f"""
+select mart, bool_or(failed) as is_degraded,
+ CASE WHEN bool_or(failed AND severity = 'error') THEN 'error' WHEN bool_or(failed) THEN 'warn'
+      ELSE 'pass' END as severity,
+ CASE WHEN bool_or(failed) THEN string_agg(DISTINCT model || ':' || check_name, ', '
+   ORDER BY model || ':' || check_name) FILTER (failed) END as degraded_reason,
  min(max_loaded_at) as last_loaded_at
-from joined group by mart) q""".replace("{_lineage_values()}", _lineage_values()).replace(
-        "AS lineage(mart, source) join", "AS l(mart, source) join"), DQ_CTES)
+from {_lineage_values()} join {status} using (model)
+left join (select source as model, max_loaded_at from {fresh}) f using (model)
+group by mart"""
+
+
+def _load_status_sql(fresh: str, volume: str) -> str:
+    return f"""
+select source as model, 'freshness' as check_name, 'error' as severity, status = 'error' as failed from {fresh}
+union all
+select source, 'volume_anomaly', 'warn', coalesce(is_anomaly, false) from {volume} where is_detection_day"""
+
+
+_ALL_STATUS = _load_status_sql("dq_freshness", "dq_volume") + "\nunion all\n" + (
+    "select model, check_name, severity, failures > 0 from ("
+    + "\nUNION ALL\n".join(sql_check(c) for c in C.ALL_CHECKS) + ") s")
 
 
 # ------------------------------------------------------------- registrations
@@ -344,12 +338,12 @@ _register_set("dq_summary", list(C.ALL_CHECKS))
     "select source, max_loaded_at, as_of, hours_since_load, error_after_hours, status from dq_freshness",
     DQ_CTES))
 def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return freshness_frame(loads(Models.shared(spark, sf_dir)))
+    return source_checks.freshness_frame(loads(Models.shared(spark, sf_dir)))
 
 
 @query("dq_volume_anomalies", oracle.with_models("select * from dq_volume", DQ_CTES))
 def q_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return volume_frame(loads(Models.shared(spark, sf_dir)))
+    return source_checks.volume_frame(loads(Models.shared(spark, sf_dir)))
 
 
 _SILENT_LOADS = f"""
@@ -359,10 +353,7 @@ where source <> '{EMPTY_SOURCE}' and (source <> '{STOPPED_SOURCE}'
 _SILENT_CTES = {**DQ_CTES, "silent_loads": _SILENT_LOADS,
                 "silent_fresh": _FRESH.replace("dq_loads", "silent_loads"),
                 "silent_volume": _VOLUME.replace("dq_loads", "silent_loads"),
-                "silent_status": """
-select source, 'freshness' as check_name, status = 'error' as failed from silent_fresh
-union all select source, 'volume_anomaly', coalesce(is_anomaly, false) from silent_volume
-where is_detection_day"""}
+                "silent_status": _load_status_sql("silent_fresh", "silent_volume")}
 
 
 @query("dq_silent_sources", oracle.with_models(
@@ -372,36 +363,66 @@ where is_detection_day"""}
 def q_silent_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q8, Q10, Q11 with one source that stopped and one that never loaded."""
     found = silenced(loads(Models.shared(spark, sf_dir)))
-    volume = volume_frame(found).where("is_detection_day").select(
+    volume = source_checks.volume_frame(found).where("is_detection_day").select(
         "source", "row_count", F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"))
-    return (freshness_frame(found).select("source", "status", "max_loaded_at")
+    return (source_checks.freshness_frame(found).select("source", "status", "max_loaded_at")
             .join(volume, "source"))
 
 
-@query("metric_degraded_silent", oracle.with_models(f"""
-select mart, bool_or(failed) as is_degraded,
- CASE WHEN bool_or(failed) THEN string_agg(DISTINCT source || ':' || check_name, ', '
-   ORDER BY source || ':' || check_name) FILTER (failed) END as degraded_reason,
- min(max_loaded_at) as last_loaded_at
-from {_lineage_values()} join silent_status using (source) left join silent_fresh using (source)
-group by mart""", _SILENT_CTES))
+@query("metric_degraded_silent", oracle.with_models(
+    _degraded_sql("silent_status", "silent_fresh"), _SILENT_CTES))
 def q_degraded_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q17 from load checks, with one source that stopped and one that never loaded."""
     found = silenced(loads(Models.shared(spark, sf_dir)))
-    fresh = freshness_frame(found)
-    return degraded_marts(fresh, load_status(found, fresh))
+    fresh = source_checks.freshness_frame(found)
+    return degraded_marts(fresh, source_checks.load_status(found, fresh))
 
 
 @query("dq_schema_drift", oracle.with_models("select * from dq_drift", DQ_CTES))
 def q_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.schema_drift(drift_profile(Models.shared(spark, sf_dir)))
+    """Q9 for the event feed: payload keys, value kinds and column presence by load day."""
+    m = Models.shared(spark, sf_dir)
+    return quality.schema_drift(source_checks.event_profile({"wf_events": m.raw.events})
+                                .withColumn("source", F.lit("wf_events")))
 
 
-@query("metric_degraded_status", _degraded_sql())
+@query("dq_schema_drift_tables", oracle.with_models("select * from dq_table_drift", DQ_CTES))
+def q_drift_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 for the table sources: filled columns by load day."""
+    frames = Models.shared(spark, sf_dir).raw.frames()
+    return quality.schema_drift(source_checks.table_profile(frames))
+
+
+@query("metric_degraded_status", oracle.with_models(
+    _degraded_sql("all_status", "dq_freshness"), {**DQ_CTES, "all_status": _ALL_STATUS}))
 def q_degraded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return degraded_status(Models.shared(spark, sf_dir))
 
 
+@query("rollup_with_quality", oracle.with_models(f"""
+select CAST(date_trunc('week', metric_date) AS DATE) as period_start, catalog_product_id,
+ {oracle.rate('sum(submitted_assignments)', 'sum(activated_assignments)')} as value,
+ CAST(sum(submitted_assignments) AS BIGINT) as numerator,
+ CAST(sum(activated_assignments) AS BIGINT) as denominator,
+ 'submitted_assignments' as numerator_name, 'activated_assignments' as denominator_name,
+ 'assignment_submission_rate' as metric_name, '1.0' as metric_version, 'week' as time_grain,
+ 'metric_date' as time_dimension, 'questionnaire_daily' as source_model,
+ (select last_loaded_at from degraded where mart = 'questionnaire_daily') as fresh_as_of,
+ (select is_degraded from degraded where mart = 'questionnaire_daily') as is_degraded,
+ (select degraded_reason from degraded where mart = 'questionnaire_daily') as quality_warning
+from questionnaire_daily group by 1, 2""", {**DQ_CTES, "load_status": _load_status_sql(
+    "dq_freshness", "dq_volume"), "degraded": _degraded_sql("load_status", "dq_freshness")}))
+def q_rollup_with_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the weekly submission rate with the state of the data behind it (load checks)."""
+    m = Models.shared(spark, sf_dir)
+    found = loads(m)
+    fresh = source_checks.freshness_frame(found)
+    state = degraded_marts(fresh, source_checks.load_status(found, fresh))
+    rates = contract.rollup_ratio(m.questionnaire_daily, "questionnaire_daily",
+                                  "assignment_submission_rate", "week")
+    return contract.with_quality(rates, "questionnaire_daily", state)
+
+
 _NULL_RATE_COLS = ("case_id", "task_id", "task_assignment_id", "catalog_product_id",
                    "actor_role", "task_plugin_type", "file_count", "success_count",
                    "duration_ms")
@@ -412,7 +433,7 @@ _NULL_RATE_COLS = ("case_id", "task_id", "task_assignment_id", "catalog_product_
     "select event_date as day, c.column_name, count(*) as n_rows, count(*) filter (where c.is_null) as n_nulls "
     "from (select event_date, unnest([" + ", ".join(f"'{c}'" for c in _NULL_RATE_COLS) + "]) as column_name, "
     "unnest([" + ", ".join(f"{c} IS NULL" for c in _NULL_RATE_COLS) + "]) as is_null from stg_events) c "
-    "where event_date is not null group by 1, 2) x"))
+    "group by 1, 2) x"))
 def q_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Models.shared(spark, sf_dir).stg_events
     return quality.null_rate_by_day(ev, F.col("event_date"), _NULL_RATE_COLS)
@@ -491,3 +512,57 @@ def q_cross_source_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
                .groupBy(F.col("event_date").alias("day"))
                .agg(F.count_distinct("task_assignment_id").alias("n")))
     return quality.reconcile_daily(pg, started, "postgres_activated", "event_sessions_started")
+
+
+@query("dq_submitted_reconcile", oracle.with_models("""
+select day, CAST(sum(db) AS BIGINT) as postgres_submitted, CAST(sum(ev) AS BIGINT) as event_sessions_submitted,
+ CAST(sum(db) - sum(ev) AS BIGINT) as difference,
+ CASE WHEN sum(db) = sum(ev) THEN 'match' ELSE 'mismatch' END as status
+from (select CAST(submitted_ts AS DATE) as day, 1 as db, 0 as ev from questionnaire_assignments
+      where submitted_ts is not null
+      union all
+      select distinct on (event_date, task_assignment_id) event_date, 0, 1 from stg_events
+      where task_plugin_type = 'questionnaire' and event_name = 'cw_questionnaire_session_submitted'
+        and event_date is not null and task_assignment_id is not null) x
+group by day"""))
+def q_submitted_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q18: submitted questionnaire assignments (database) vs submitted sessions (events) by day."""
+    m = Models.shared(spark, sf_dir)
+    db = (m.questionnaire_assignments.where(F.col("submitted_ts").isNotNull())
+          .groupBy(F.to_date("submitted_ts").alias("day")).agg(F.count(F.lit(1)).alias("n")))
+    ev = (m.stg_events.where((F.col("task_plugin_type") == "questionnaire")
+                             & (F.col("event_name") == "cw_questionnaire_session_submitted")
+                             & F.col("event_date").isNotNull()
+                             & F.col("task_assignment_id").isNotNull())
+          .select(F.col("event_date").alias("day"), "task_assignment_id").distinct()
+          .groupBy("day").agg(F.count(F.lit(1)).alias("n")))
+    return quality.reconcile_daily(db, ev, "postgres_submitted", "event_sessions_submitted")
+
+
+# ---------------------------------------------------------------------- sinks
+_STORED = [c for c in C.ALL_CHECKS if c.model == "stg_events"
+           and c.kind in ("not_null", "accepted_values", "non_negative")]
+
+
+@query("sink_stored_failures", oracle.with_models("\nunion all\n".join(
+    f"select {_lit(c.name)} as check_name, count(*) as n_rows from stg_events "
+    f"where coalesce({sql_predicate(c)}, false) having count(*) > 0" for c in _STORED)))
+def q_stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the failing event rows of each check, stored in one pass and read back."""
+    from ..streaming.events import scratch_root
+    path = f"{scratch_root(spark, 'failures')}/rows"
+    events = Models.shared(spark, sf_dir).stg_events
+    sinks.store_row_failures(events, path, {c.name: quality.failing_predicate(c) for c in _STORED})
+    return (spark.read.schema("check string, row string, stored_at timestamp").parquet(path)
+            .groupBy(F.col("check").alias("check_name")).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("sink_full_refresh", oracle.model("case_duration_daily"))
+def q_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: a mart written as two versions; readers see the newest one whole."""
+    from ..streaming.events import scratch_root
+    table = f"{scratch_root(spark, 'refresh')}/case_duration_daily"
+    mart = Models.shared(spark, sf_dir).case_duration_daily
+    sinks.write_version(mart.where("filed_cases > 1"), table)
+    sinks.write_version(mart, table)
+    return sinks.read_current(spark, table)

@@ -142,13 +142,31 @@ from wf_task""",
 select l_orderkey * 10 + l_linenumber as task_id, l_orderkey * 10 + l_linenumber - 1 as predecessor_task_id,
  min(l_shipdate) as ingestion_timestamp
 from lineitem where l_linenumber > 1 group by l_orderkey, l_linenumber""",
+    "cm_case": """
+select o_orderkey as id, o_custkey as beneficiary_id, o_orderpriority as product_id, o_orderstatus as status,
+ o_orderdate as created_at, o_orderdate as ingestion_timestamp from orders""",
+    "cm_evidence_document": """
+select p_partkey as id, evidence_id, p_type as status, p_brand as uploaded_by_case_role,
+ CAST(p_size AS BIGINT) as iteration_count, seen as created_at, seen as ingestion_timestamp
+from part join (select l_partkey, min(l_orderkey) as evidence_id, min(l_shipdate) as seen from lineitem group by 1) u
+ on l_partkey = p_partkey""",
+    "cm_evidence_property": """
+select s_suppkey as id, evidence_id, 'nation_' || CAST(s_nationkey AS VARCHAR) as property_type,
+ seen as created_at, seen as ingestion_timestamp
+from supplier join (select l_suppkey, min(l_orderkey) as evidence_id, min(l_shipdate) as seen from lineitem group by 1) u
+ on l_suppkey = s_suppkey""",
+    "cm_recommender": """
+select c_custkey as id, case_id, c_mktsegment as status, seen as created_at, seen as ingestion_timestamp
+from customer join (select o_custkey, min(o_orderkey) as case_id, min(o_orderdate) as seen from orders group by 1) u
+ on o_custkey = c_custkey""",
     "wf_events": """
 select
  case when event_id % 41 = 0 then 'not-a-date' when event_id % 7 = 0 then cast(1704067200 + event_id as varchar)
       when event_id % 11 = 0 then cast(date_trunc('second', ts) as varchar) || '+00' else cast(date_trunc('second', ts) as varchar) end as event_time,
  case when event_id % 53 = 0 then 'null' else cast(date_trunc('second', ts) as varchar) end as ingestion_timestamp,
  case event_type when 'view' then 'cw_task_plugin_opened' when 'click' then 'cw_doc_upload_started' when 'purchase' then 'cw_doc_upload_completed'
-      when 'signup' then 'cw_questionnaire_session_started' else 'app_error' end as event_type,
+      when 'signup' then case when event_id % 5 = 0 then 'cw_questionnaire_session_submitted' else 'cw_questionnaire_session_started' end
+      else 'app_error' end as event_type,
  '{"event_id":' || cast(event_id as varchar) || ',"case_id":"' || cast(user_id * 10 as varchar)
  || '","task_assignment_id":"' || cast(user_id * 100 + event_id % 10 * 10 + 2 as varchar)
  || '","actor_role":"' || case when event_id % 8 = 0 then 'attorney' else 'Beneficiary' end

@@ -1,103 +1,127 @@
-"""Gated layer-by-layer refresh (Q16, K1-K3).
+"""Gated layer-by-layer refresh.
 
 Raw checks -> staging -> checks -> intermediate -> checks -> marts -> checks.
 Each layer is written as a new table version and re-read by the next layer,
 so lineage is cut at every layer boundary and a lost executor only costs the
 current layer's tasks.  An error-severity failure raises before the next
 layer is written; failing rows of failed checks can be stored (K3).
+
+A run that passes commits one manifest with the path of every model.  The next run reads
+its earlier state from there alone, so a run that stopped halfway (a failed check, a crash)
+never serves as the earlier state of an incremental model.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import intermediate, marts, quality, staging
+from ..operators import incremental, intermediate, marts, quality, staging
 from ..sources import sinks
+from ..sources.manifest import ManifestTables
 from ..session import checkpoint_dir
-from ..sources.fixtures import RawSources
 from . import checks as C
-
-STAGING_MODELS = ("stg_cases", "stg_tasks", "stg_assignments", "stg_events")
-INTERMEDIATE_MODELS = ("case_durations", "custom_tasks", "file_upload_attempts",
-                       "questionnaire_assignments")
-MART_MODELS = ("case_duration_daily", "custom_tasks_daily", "file_upload_daily",
-               "questionnaire_daily")
-
-
-def _check_layer(frames: dict[str, DataFrame], layer: str, out_root: str,
-                 fail_on_error: bool, store_failures: bool) -> DataFrame:
-    checks = C.checks_of(layer=layer)
-    summary = quality.with_status(quality.run_checks(frames, checks))
-    path = sinks.write_version(summary, f"{out_root}/_checks/{layer}")
-    summary = summary.sparkSession.read.parquet(path)
-    if store_failures:
-        failed = {r.check_name for r in summary.where("status != 'pass'").select("check_name").collect()}
-        for c in checks:
-            if c.name in failed and c.kind != "relationships":
-                sinks.store_failures(quality.failing_rows(frames[c.model], c),
-                                     f"{out_root}/_failures", c.name)
-    if fail_on_error:
-        quality.gate(summary, layer)
-    return summary
-
-
-def layer_models(layer: str, raw: RawSources, up: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The models of one layer, built from the (stored) frames of the layer below."""
-    if layer == C.SOURCE:
-        return source_frames(raw)
-    if layer == C.STAGING:
-        return {"stg_cases": staging.stg_cases(up["wf_case"]),
-                "stg_tasks": staging.stg_tasks(up["wf_task"]),
-                "stg_assignments": staging.stg_assignments(up["wf_assignment"]),
-                "stg_events": staging.stg_events(up["wf_events"])}
-    if layer == C.INTERMEDIATE:
-        return {
-            "case_durations": intermediate.case_durations(up["stg_cases"]),
-            "custom_tasks": intermediate.custom_tasks(up["stg_tasks"], up["stg_cases"]),
-            "file_upload_attempts": intermediate.file_upload_attempts(up["stg_events"]),
-            "questionnaire_assignments": intermediate.questionnaire_assignments(
-                up["stg_assignments"], up["stg_tasks"], up["stg_cases"], up["stg_events"])}
-    if layer == C.MART:
-        return {
-            "case_duration_daily": marts.case_duration_daily(up["case_durations"]),
-            "custom_tasks_daily": marts.custom_tasks_daily(up["custom_tasks"]),
-            "file_upload_daily": marts.file_upload_daily(up["file_upload_attempts"]),
-            "questionnaire_daily": marts.questionnaire_daily(up["questionnaire_assignments"])}
-    raise ValueError(layer)
-
-
-def source_frames(raw: RawSources) -> dict[str, DataFrame]:
-    return {"wf_case": raw.cases, "wf_task": raw.tasks, "wf_assignment": raw.assignments,
-            "wf_events": raw.events, "wf_task_predecessor": raw.task_predecessors}
-
-
-def build_stored(raw: RawSources, store: Callable[[str, DataFrame], DataFrame],
-                 after_layer: Callable[[str, dict[str, DataFrame]], None] | None = None,
-                 layers: tuple[str, ...] = C.LAYERS) -> dict[str, DataFrame]:
-    """Take the raw sources, then build staging -> intermediate -> marts, storing
-    each model once.
-
-    Each layer reads the *stored* layer below, so no model is recomputed by
-    its consumers and lineage is cut at every layer boundary.
+from . import source_checks
+
+Frames = dict[str, DataFrame]
+
+
+class RawData(Protocol):
+    def frames(self) -> Frames: ...
+
+
+@dataclass(frozen=True)
+class Model:
+    """A model of the graph: its layer, what it reads, and how to build it."""
+    layer: str
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+
+MODELS = {
+    "stg_cases": Model(C.STAGING, ("wf_case",), staging.stg_cases),
+    "stg_tasks": Model(C.STAGING, ("wf_task",), staging.stg_tasks),
+    "stg_assignments": Model(C.STAGING, ("wf_assignment",), staging.stg_assignments),
+    "stg_events": Model(C.STAGING, ("wf_events",), staging.stg_events),
+    "case_durations": Model(C.INTERMEDIATE, ("stg_cases",), intermediate.case_durations),
+    "custom_tasks": Model(C.INTERMEDIATE, ("stg_tasks", "stg_cases"), intermediate.custom_tasks),
+    "file_upload_attempts": Model(C.INTERMEDIATE, ("stg_events",),
+                                  intermediate.file_upload_attempts),
+    "questionnaire_assignments": Model(
+        C.INTERMEDIATE, ("stg_assignments", "stg_tasks", "stg_cases", "stg_events"),
+        intermediate.questionnaire_assignments),
+    "case_duration_daily": Model(C.MART, ("case_durations",), marts.case_duration_daily),
+    "custom_tasks_daily": Model(C.MART, ("custom_tasks",), marts.custom_tasks_daily),
+    "file_upload_daily": Model(C.MART, ("file_upload_attempts",), marts.file_upload_daily),
+    "questionnaire_daily": Model(C.MART, ("questionnaire_assignments",),
+                                 marts.questionnaire_daily),
+}
+
+
+def _merge_upload_daily(now: Frames, before: Frames) -> DataFrame:
+    prior = before["file_upload_attempts"]
+    return incremental.upload_daily(
+        now["file_upload_attempts"], before["file_upload_daily"], prior_attempts=prior,
+        changed_assignments=incremental.changed_upload_assignments(now["stg_events"], prior))
+
+
+#: The incremental models: the new table from this run's frames and the last committed run.
+MERGES: dict[str, Callable[[Frames, Frames], DataFrame]] = {
+    "stg_events": lambda now, before: incremental.stage_events(
+        now["wf_events"], before["stg_events"]),
+    "file_upload_attempts": lambda now, before: incremental.upload_attempts(
+        now["stg_events"], before["file_upload_attempts"]),
+    "questionnaire_assignments": lambda now, before: incremental.questionnaire_assignments(
+        now["stg_assignments"], now["stg_tasks"], now["stg_cases"], now["stg_events"],
+        before["questionnaire_assignments"]),
+    "file_upload_daily": _merge_upload_daily,
+    "questionnaire_daily": lambda now, before: incremental.questionnaire_daily(
+        now["questionnaire_assignments"], before["questionnaire_daily"],
+        prior_assignments=before["questionnaire_assignments"]),
+}
+
+
+def upstream(names: Iterable[str]) -> set[str]:
+    """The given models and sources with all that they read, directly or not."""
+    found, todo = set(), list(names)
+    while todo:
+        name = todo.pop()
+        if name not in found:
+            found.add(name)
+            todo += MODELS[name].inputs if name in MODELS else ()
+    return found
+
+
+def build_stored(raw: RawData, store: Callable[[str, DataFrame], DataFrame],
+                 after_layer: Callable[[str, Frames], None] | None = None,
+                 names: Iterable[str] | None = None, before: Frames | None = None) -> Frames:
+    """The raw sources, then staging -> intermediate -> marts, storing each model once.
+
+    Each layer reads the *stored* layer below, so no model is recomputed by its consumers and
+    lineage is cut at every layer boundary.  With ``names`` only these models and what they
+    read are built.  With ``before`` (the stored frames of an earlier run) the incremental
+    models are merged into it instead of rebuilt.
     """
-    frames: dict[str, DataFrame] = {}
-    for layer in layers:
-        models = layer_models(layer, raw, frames)
-        if layer == C.SOURCE:
-            # Raw sources are stored tables already (here: derived from the given
-            # tables by narrow projections and one grouping); they are used in place.
-            built = models
-        else:
+    wanted = upstream(MODELS if names is None else names)
+    # Raw sources are stored tables already (here: derived from the given tables by narrow
+    # projections and one grouping); they are used in place.
+    frames = raw.frames()
+    for layer in C.LAYERS:
+        todo = [n for n, m in MODELS.items() if m.layer == layer and n in wanted]
+        models = {n: MERGES[n](frames, before) if before and n in MERGES
+                  else MODELS[n].build(*[frames[i] for i in MODELS[n].inputs]) for n in todo}
+        if models:
             # Models of one layer are independent: submit their jobs concurrently so
             # the scheduler can overlap them (small ones would otherwise idle the cluster).
             with ThreadPoolExecutor(max_workers=len(models)) as pool:
                 futures = {name: pool.submit(store, name, df) for name, df in models.items()}
-                built = {name: f.result() for name, f in futures.items()}
-        frames.update(built)
+                frames.update({name: f.result() for name, f in futures.items()})
         if after_layer is not None:
             after_layer(layer, frames)
     return frames
@@ -115,20 +139,87 @@ def table_store(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     return store
 
 
-def run_layers(spark: SparkSession, raw: RawSources, out_root: str, fail_on_error: bool = True,
-               store_failures: bool = False) -> dict[str, DataFrame]:
-    """Build and check every layer; return the check summaries by layer."""
+def _store_failures(frames: Frames, checks: list[quality.Check], failed: set[str],
+                    path: str) -> None:
+    """K3: the failing rows of every failed check; one pass per model for its row checks."""
+    by_model: dict[str, dict[str, Column]] = {}
+    for c in checks:
+        if c.name not in failed:
+            continue
+        if c.kind in quality.ROW_KINDS:
+            by_model.setdefault(c.model, {})[c.name] = quality.failing_predicate(c)
+        else:
+            parent = frames[c.to_model] if c.to_model else None
+            sinks.store_failures(quality.failing_rows(frames[c.model], c, parent), path, c.name)
+    for model, predicates in by_model.items():
+        sinks.store_row_failures(frames[model], path, predicates)
+
+
+def _check_layer(frames: Frames, layer: str, out_root: str, fail_on_error: bool,
+                 store_failures: bool, load_summary: DataFrame | None) -> DataFrame:
+    checks = C.checks_of(layer=layer)
+    found = quality.run_checks(frames, checks)
+    if load_summary is not None:
+        found = found.unionByName(load_summary)
+    path = sinks.write_version(quality.with_status(found), f"{out_root}/_checks/{layer}")
+    summary = found.sparkSession.read.parquet(path)
+    if store_failures:
+        failing = summary.where("status != 'pass'")
+        # as many rows as declared checks at most
+        failed = {r.check_name for r in failing.select("check_name").collect()}
+        _store_failures(frames, checks, failed, f"{out_root}/_failures")
+        loads_failed = failing.where(F.col("check_name") == F.col("kind"))
+        for kind in sorted(failed & {"freshness", "volume_anomaly", "schema_drift"}):
+            sinks.store_failures(loads_failed.where(F.col("kind") == kind),
+                                 f"{out_root}/_failures", kind)
+    if fail_on_error:
+        quality.gate(summary, layer)
+    return summary
+
+
+def read_run(spark: SparkSession, out_root: str) -> Frames:
+    """The models of the last committed run; empty before the first."""
+    paths = ManifestTables(spark, out_root).state.get("models", {})
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
+
+
+def run_layers(spark: SparkSession, raw: RawData, out_root: str, fail_on_error: bool = True,
+               store_failures: bool = False, full_refresh: bool = False,
+               as_of: Column | None = None, error_after_hours: float | None = C.FRESHNESS_ERROR_HOURS,
+               ) -> dict[str, DataFrame]:
+    """Build and check every layer, commit the run, and return the check summaries by layer.
+
+    ``raw`` is anything with ``frames()``: :class:`~casetrail.sources.sinks.RawTables` over
+    real tables, or the derived :class:`~casetrail.sources.fixtures.RawSources`.  The
+    incremental models are merged into the last committed run unless ``full_refresh`` is set.
+    Freshness is judged at ``as_of`` (default: now) and is an error like any other;
+    ``error_after_hours=None`` leaves it out, for backfills of old tables.
+    """
     results: dict[str, DataFrame] = {}
+    tables = ManifestTables(spark, out_root)
+    before = None if full_refresh else read_run(spark, out_root)
+    paths: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        return spark.read.parquet(sinks.write_version(df, f"{out_root}/{name}"))
-
-    def check(layer: str, frames: dict[str, DataFrame]) -> None:
-        results[layer] = _check_layer(frames, layer, out_root, fail_on_error, store_failures)
+        paths[name] = sinks.write_version(df, f"{out_root}/{name}")
+        return spark.read.parquet(paths[name])
 
-    build_stored(raw, write, check)
+    def check(layer: str, frames: Frames) -> None:
+        load_summary = None
+        if layer == C.SOURCE:
+            judged = error_after_hours is not None
+            load_summary = source_checks.summary(
+                frames, (F.current_timestamp() if as_of is None else as_of) if judged else None,
+                error_after_hours or C.FRESHNESS_ERROR_HOURS)
+            if not judged:
+                load_summary = load_summary.where("kind <> 'freshness'")
+        results[layer] = _check_layer(frames, layer, out_root, fail_on_error, store_failures,
+                                      load_summary)
+
+    build_stored(raw, write, check, before=before)
+    tables.commit(tables.batch + 1, {}, {}, models=paths)
     return results

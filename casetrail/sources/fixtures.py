@@ -19,26 +19,7 @@ from ..session import configure
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer partitions than the cluster has cores.
-
-    A file with one row group is one task however many cores exist; all
-    per-row work above the scan (JSON parsing, casts, hashing) would then run
-    single-threaded.  Inputs already split into enough partitions (many files
-    or row groups, the large-scale case) are left as they are -- no shuffle.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        # Partition count of the planned scan (creating the RDD runs no job).
-        scan_parts = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Spark Connect session)
-        return df
-    if scan_parts < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ts(c: str | Column) -> Column:
@@ -173,6 +154,7 @@ def raw_events(events: DataFrame) -> DataFrame:
         F.when(et == "view", "cw_task_plugin_opened")
         .when(et == "click", "cw_doc_upload_started")
         .when(et == "purchase", "cw_doc_upload_completed")
+        .when((et == "signup") & (_mod(e, 5) == 0), "cw_questionnaire_session_submitted")
         .when(et == "signup", "cw_questionnaire_session_started")
         .otherwise("app_error")
     )
@@ -210,8 +192,47 @@ def raw_events(events: DataFrame) -> DataFrame:
     )
 
 
+def legacy_cases(orders: DataFrame) -> DataFrame:
+    """``cm_case``: the legacy twin of every order."""
+    return orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("beneficiary_id"),
+        F.col("o_orderpriority").alias("product_id"), F.col("o_orderstatus").alias("status"),
+        _ts("o_orderdate").alias("created_at"), _ts("o_orderdate").alias("ingestion_timestamp"))
+
+
+def legacy_evidence_documents(part: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """``cm_evidence_document``: one document per part that a line uses, from its first line."""
+    first = lineitem.groupBy(F.col("l_partkey").alias("id")).agg(
+        F.min("l_shipdate").alias("first_ship"), F.min("l_orderkey").alias("first_order"))
+    return part.select(F.col("p_partkey").alias("id"), "p_type", "p_brand", "p_size").join(first, "id").select(
+        "id", F.col("first_order").alias("evidence_id"), F.col("p_type").alias("status"),
+        F.col("p_brand").alias("uploaded_by_case_role"),
+        F.col("p_size").cast("long").alias("iteration_count"),
+        _ts("first_ship").alias("created_at"), _ts("first_ship").alias("ingestion_timestamp"))
+
+
+def legacy_evidence_properties(supplier: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """``cm_evidence_property``: one property per supplier that a line uses, from its first line."""
+    first = lineitem.groupBy(F.col("l_suppkey").alias("id")).agg(
+        F.min("l_shipdate").alias("first_ship"), F.min("l_orderkey").alias("first_order"))
+    return supplier.select(F.col("s_suppkey").alias("id"), "s_nationkey").join(first, "id").select(
+        "id", F.col("first_order").alias("evidence_id"),
+        F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string")).alias("property_type"),
+        _ts("first_ship").alias("created_at"), _ts("first_ship").alias("ingestion_timestamp"))
+
+
+def legacy_recommenders(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """``cm_recommender``: one recommender per customer with an order, on the first order."""
+    first = orders.groupBy(F.col("o_custkey").alias("id")).agg(
+        F.min("o_orderkey").alias("case_id"), F.min("o_orderdate").alias("first_order"))
+    return customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("status")).join(
+        first, "id").select(
+        "id", "case_id", "status", _ts("first_order").alias("created_at"),
+        _ts("first_order").alias("ingestion_timestamp"))
+
+
 class RawSources:
-    """The four raw workflow sources of one scale-factor folder."""
+    """The raw workflow sources of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -245,3 +266,13 @@ class RawSources:
     @property
     def events(self) -> DataFrame:
         return self._get("events", lambda: raw_events(self.table("events")))
+
+    def frames(self) -> dict[str, DataFrame]:
+        """Every raw source by the name that the checks and models use."""
+        t = self.table
+        return {"wf_case": self.cases, "wf_task": self.tasks, "wf_assignment": self.assignments,
+                "wf_events": self.events, "wf_task_predecessor": self.task_predecessors,
+                "cm_case": legacy_cases(t("orders")),
+                "cm_evidence_document": legacy_evidence_documents(t("part"), t("lineitem")),
+                "cm_evidence_property": legacy_evidence_properties(t("supplier"), t("lineitem")),
+                "cm_recommender": legacy_recommenders(t("customer"), t("orders"))}

@@ -11,7 +11,7 @@ same code runs on HDFS, object stores or a local disk.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,8 +95,20 @@ def upsert(new: DataFrame, table: str, key: str) -> str:
 
 def store_failures(failures: DataFrame, path: str, check_name: str) -> None:
     """K3: append a check's failing rows, partitioned by check name."""
-    (failures.select(F.lit(check_name).alias("check"), F.to_json(F.struct("*")).alias("row"),
-                     F.current_timestamp().alias("stored_at"))
+    _append_failures(failures.select(F.lit(check_name).alias("check"),
+                                     F.to_json(F.struct("*")).alias("row")), path)
+
+
+def store_row_failures(df: DataFrame, path: str, predicates: dict[str, Column]) -> None:
+    """K3 for all row checks of a model in one pass: a row that fails n checks gives n rows."""
+    names = F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in predicates.items()]),
+                     lambda name: name.isNotNull())
+    _append_failures(df.select(F.explode(names).alias("check"), F.to_json(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row")), path)
+
+
+def _append_failures(rows: DataFrame, path: str) -> None:
+    (rows.withColumn("stored_at", F.current_timestamp())
      .write.mode("append").partitionBy("check").parquet(path))
 
 
@@ -129,9 +141,30 @@ EVENT_SCHEMA = _schema(
 PREDECESSOR_SCHEMA = _schema(
     "task_id BIGINT, predecessor_task_id BIGINT, ingestion_timestamp TIMESTAMP")
 
+LEGACY_CASE_SCHEMA = _schema(
+    "id BIGINT, beneficiary_id BIGINT, product_id STRING, status STRING, created_at TIMESTAMP, "
+    "ingestion_timestamp TIMESTAMP")
+LEGACY_DOCUMENT_SCHEMA = _schema(
+    "id BIGINT, evidence_id BIGINT, status STRING, uploaded_by_case_role STRING, "
+    "iteration_count BIGINT, created_at TIMESTAMP, ingestion_timestamp TIMESTAMP")
+LEGACY_PROPERTY_SCHEMA = _schema(
+    "id BIGINT, evidence_id BIGINT, property_type STRING, created_at TIMESTAMP, "
+    "ingestion_timestamp TIMESTAMP")
+LEGACY_RECOMMENDER_SCHEMA = _schema(
+    "id BIGINT, case_id BIGINT, status STRING, created_at TIMESTAMP, ingestion_timestamp TIMESTAMP")
+
 RAW_SCHEMAS = {"cw_case": CASE_SCHEMA, "cw_task": TASK_SCHEMA,
                "cw_task_assignment": ASSIGNMENT_SCHEMA, "events": EVENT_SCHEMA,
-               "cw_task_predecessor": PREDECESSOR_SCHEMA}
+               "cw_task_predecessor": PREDECESSOR_SCHEMA, "cm_case": LEGACY_CASE_SCHEMA,
+               "cm_evidence_document": LEGACY_DOCUMENT_SCHEMA,
+               "cm_evidence_property": LEGACY_PROPERTY_SCHEMA,
+               "cm_recommender": LEGACY_RECOMMENDER_SCHEMA}
+
+#: The raw source behind each frame name of the models and checks.
+SOURCE_OF_FRAME = {"wf_case": "cw_case", "wf_task": "cw_task", "wf_assignment": "cw_task_assignment",
+                   "wf_events": "events", "wf_task_predecessor": "cw_task_predecessor",
+                   "cm_case": "cm_case", "cm_evidence_document": "cm_evidence_document",
+                   "cm_evidence_property": "cm_evidence_property", "cm_recommender": "cm_recommender"}
 
 
 def read_raw(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
@@ -149,3 +182,31 @@ def stream_raw_events(spark: SparkSession, path: str, fmt: str = "parquet",
     """S4 streaming variant: the raw event feed as an unbounded file source."""
     return (spark.readStream.format(fmt).schema(EVENT_SCHEMA)
             .options(**(options or {})).load(path))
+
+
+class RawTables:
+    """The raw sources of a deployment, by frame name.
+
+    A source that is not given is an empty table with its declared schema, so the freshness
+    and volume checks report it.
+    """
+
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame]):
+        unknown = set(frames) - set(SOURCE_OF_FRAME)
+        if unknown:
+            raise KeyError(f"unknown raw sources: {', '.join(sorted(unknown))}")
+        self.spark = spark
+        self._frames = {name: frames[name] if name in frames
+                        else spark.createDataFrame([], RAW_SCHEMAS[source])
+                        for name, source in SOURCE_OF_FRAME.items()}
+
+    @classmethod
+    def read(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
+             options: dict[str, str] | None = None) -> "RawTables":
+        """Read sources by their raw name (``cw_case``, ``events``, ...) with declared schemas."""
+        frame_of = {source: name for name, source in SOURCE_OF_FRAME.items()}
+        return cls(spark, {frame_of[source]: read_raw(spark, source, path, fmt, options)
+                           for source, path in paths.items()})
+
+    def frames(self) -> dict[str, DataFrame]:
+        return dict(self._frames)
