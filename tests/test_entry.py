@@ -64,11 +64,12 @@ def test_query_matches_oracle(spark, duck, sf_small, key):
 def test_gated_refresh_stops_on_parse_errors(spark, sf_small, scratch):
     raw = RawSources(spark, sf_small)
     with pytest.raises(QualityGateError, match="parse_error"):
-        refresh.run_layers(spark, raw, f"{scratch}/gated", fail_on_error=True)
+        refresh.run_layers(spark, raw, f"{scratch}/gated", fail_on_error=True,
+                           error_after_hours=None)
     import os
     assert os.path.isdir(f"{scratch}/gated/stg_events")            # staging was written
     assert not os.path.exists(f"{scratch}/gated/case_durations")     # the gate stopped the next layer
     results = refresh.run_layers(spark, raw, f"{scratch}/all", fail_on_error=False,
-                                 store_failures=True)
+                                 store_failures=True, error_after_hours=None)
     assert set(results) == {"source", "staging", "intermediate", "mart"}
     assert spark.read.parquet(f"{scratch}/all/_failures").count() > 0

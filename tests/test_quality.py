@@ -133,3 +133,33 @@ def test_gate_names_every_failing_check(spark):
     with pytest.raises(quality.QualityGateError) as e:
         quality.gate(summary)
     assert all(f"m.check_{i}=1" in str(e.value) for i in range(45))
+
+
+def test_schema_drift_over_a_gap_and_undated_rows(spark):
+    """A field that vanishes over days without rows is reported; undated rows are counted."""
+    prof = spark.createDataFrame([
+        ("s", dt.date(2024, 1, 1), "a", "column", 3), ("s", dt.date(2024, 1, 1), "b", "column", 3),
+        ("s", dt.date(2024, 1, 9), "a", "column", 2), ("s", None, "a", "column", 4),
+        ("t", dt.date(2024, 1, 9), "z", "column", 1)],
+        "source string, day date, field string, kind string, n_rows long")
+    got = {tuple(r) for r in quality.schema_drift(prof).collect()}
+    assert got == {("s", dt.date(2024, 1, 9), "a", "column", 2, 3, "unchanged"),
+                   ("s", dt.date(2024, 1, 9), "b", "column", 0, 3, "field_removed"),
+                   ("s", None, "a", "column", 4, 0, "undated")}
+
+
+def test_accepted_values_counts_distinct_values_without_expand(spark):
+    df = spark.createDataFrame([("x", 1), ("x", 2), ("y", 2), (None, None), ("ok", 3)], "a string, b int")
+    checks = [quality.Check("accepted_values", "m", "a", values=("ok",)),
+              quality.Check("accepted_values", "m", "b", values=(1, 2, 3)),
+              quality.Check("not_null", "m", "a")]
+    out = quality.row_check_counts(df, checks)
+    assert {r.check_name: r.failures for r in out.collect()} == {
+        "accepted_values__m__a": 2, "accepted_values__m__b": 0, "not_null__m__a": 1}
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_null_rate_keeps_undated_rows(spark):
+    df = spark.createDataFrame([(None, None), (None, "x")], "d date, c string")
+    r = quality.null_rate_by_day(df, F.col("d"), ["c"]).first()
+    assert (r.day, r.n_rows, r.n_nulls) == (None, 2, 1)
