@@ -114,12 +114,28 @@ def upload_attempts(events: DataFrame, target: DataFrame | None = None) -> DataF
 
 def questionnaire_assignments(assignments: DataFrame, tasks: DataFrame, cases: DataFrame,
                               events: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """B8 incremental: assignments whose two-source watermark moved."""
-    full = intermediate.questionnaire_assignments(assignments, tasks, cases, events)
+    """B8 incremental: assignments whose two-source watermark moved.
+
+    The changed ids come first, from both sources; only their assignments and their events
+    enter the aggregate and the joins.
+    """
     if target is None:
-        return full
-    new = since(full, F.col("source_updated_at"), watermark(target, "source_updated_at"))
-    return upsert_frame(target, new, "task_assignment_id")
+        return intermediate.questionnaire_assignments(assignments, tasks, cases, events)
+    wm = watermark(target, "source_updated_at")
+    asked = intermediate.questionnaire_events(events)
+    floor = F.lit(intermediate.EPOCH_FLOOR).cast("timestamp")
+    changed = (
+        since(assignments, F.coalesce("assignment_updated_at", floor), wm)
+        .select(F.col("task_assignment_id").cast("string").alias("changed_id"))
+        .unionByName(since(asked, F.coalesce("ingestion_timestamp", floor), wm)
+                     .select(F.col("task_assignment_id").alias("changed_id")))
+        .distinct())
+    new = intermediate.questionnaire_assignments(
+        assignments.join(changed, F.col("task_assignment_id").cast("string") == F.col("changed_id"),
+                         "left_semi"),
+        tasks, cases,
+        asked.join(changed, F.col("task_assignment_id") == F.col("changed_id"), "left_semi"))
+    return upsert_frame(target, since(new, F.col("source_updated_at"), wm), "task_assignment_id")
 
 
 def _group_key(date_col: str) -> Column:

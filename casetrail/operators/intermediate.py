@@ -182,11 +182,16 @@ def file_upload_attempts(events: DataFrame) -> DataFrame:
     return rollup_upload_attempts(upload_events(events))
 
 
+def questionnaire_events(events: DataFrame) -> DataFrame:
+    """Questionnaire plugin events that name an assignment."""
+    return events.where(F.col("task_assignment_id").isNotNull()
+                        & (F.col("task_plugin_type") == QUESTIONNAIRE_PLUGIN))
+
+
 def questionnaire_event_signal(events: DataFrame) -> DataFrame:
     """Questionnaire plugin events pre-aggregated to assignment grain."""
     return (
-        events.where(F.col("task_assignment_id").isNotNull()
-                     & (F.col("task_plugin_type") == QUESTIONNAIRE_PLUGIN))
+        questionnaire_events(events)
         .groupBy("task_assignment_id")
         .agg(
             F.min("event_time").alias("first_questionnaire_event_at"),

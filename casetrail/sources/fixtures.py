@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
+from ..session import EVENT_TASKS, configure
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -265,7 +265,17 @@ class RawSources:
 
     @property
     def events(self) -> DataFrame:
-        return self._get("events", lambda: raw_events(self.table("events")))
+        return self._get("events", lambda: raw_events(self._event_table()))
+
+    def _event_table(self) -> DataFrame:
+        """The event table, spread over ``spark.casetrail.eventTasks`` tasks if that is set.
+
+        Local sessions set it, since the test files have a single row group, which one task
+        must read; a feed of many files needs no such shuffle and a cluster leaves it unset.
+        """
+        tasks = self.spark.conf.get(EVENT_TASKS, None)
+        events = self.table("events")
+        return events.repartition(int(tasks)) if tasks else events
 
     def frames(self) -> dict[str, DataFrame]:
         """Every raw source by the name that the checks and models use."""
