@@ -1,27 +1,29 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
-
-Words are lower-cased, ASCII punctuation separates them.  Every n-gram of a test item whose
-words are jointly rare in the corpus (the product of their corpus frequencies is at most
-``RARE``) is a seed; an item whose n-grams are all common uses all of them.  The rarity comes
-from single words, so a passage that leaked into a third of the corpus still has its seeds.
-Documents that hold a seed are aligned with its items: Smith-Waterman over words (match 1,
-mismatch and gap ``PENALTY``) in a window around the seeds' diagonals.  The score is the best
+"""Benchmark decontamination: an exact filter on shared words, then local alignment.
+
+Words are lower-cased, ASCII punctuation separates them.  Documents are aligned with the items:
+Smith-Waterman over words (match 1, mismatch and gap ``PENALTY``).  The score is the best
 local alignment divided by the item's length; at ``THRESHOLD`` or more the document holds
 an exact, paraphrased or edited copy of the item.
 
+Only stretches that can reach the threshold are aligned.  An alignment of m matches over a
+stretch of L words scores at most (1 + PENALTY) m - PENALTY L, so with 1 for every word that the
+item has and -PENALTY for every other word, some stretch of the document must sum to THRESHOLD
+times the item's length.  A first pass leaves out the item's words that most items share, up
+to x of its places, and asks for (1 + PENALTY) x less; a second one counts all its words.  Neither
+can lose an alignment, whatever words a copy replaces, drops or adds.
+
 The test items are dealt into blocks of a fixed text size (``BLOCK_CHARS``), and each block is
 joined to the documents where they are read: the size of what travels is bounded whatever the
-size of the benchmark.  Word counts and seeds cover all documents and whole texts.
+size of the benchmark.
 
-Defined cases: null texts count as empty and match nothing; an item of fewer than ``GRAM``
-words is one seed, whole; an item without words matches nothing; repeated rows and repeated
-items each give their rows; extra columns are ignored (``drop_leaks`` keeps them); empty
+Defined cases: null texts count as empty and match nothing; an item without words matches
+nothing; repeated rows and repeated items each give their rows; extra columns are ignored (``drop_leaks`` keeps them); empty
 tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -31,13 +33,14 @@ from pyspark.sql import functions as F
 
 from .common import texts
 
-GRAM = 2
-RARE = 1e-6
 PENALTY = 0.5
 THRESHOLD = 0.5
 BLOCK_CHARS = 8_000_000
 #: Cells of one batch of alignments (memory bound).
 CELLS = 1 << 20
+#: Share of the threshold that the words left out of the first pass may make up.
+SHARED = 0.75
+_EPS = 1e-9
 LEAKS = "array<struct<item_id:bigint,score:double,first_word:int,last_word:int>>"
 
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -48,9 +51,9 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Items:
-    """A block of test items as word numbers, with their seeds."""
+    """A block of test items as word numbers, and for every word the items to look at."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], threshold: float = THRESHOLD):
         lists = [(item_id, words) for item_id, text in rows if (words := words_of(text))]
         self.ids = [item_id for item_id, _ in lists]
         self.number: dict[bytes, int] = {}
@@ -58,62 +61,103 @@ class Items:
             for w in words:
                 self.number.setdefault(w, len(self.number))
         self.words = [np.array([self.number[w] for w in words], np.int64) for _, words in lists]
-        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.own = [np.unique(w) for w in self.words]
+        self.threshold = threshold
+        #: The longest stretch of words of an alignment that reaches the threshold.
+        self.reach = np.ceil(self.sizes * max(1.0, (1 + PENALTY - threshold) / PENALTY)).astype(int)
+        self.set_holders()
 
     def numbers(self, text: str | None) -> np.ndarray:
         words = words_of(text)
         return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
 
-    def grams(self, words: np.ndarray, n: int) -> np.ndarray:
-        """One number for every n-gram of known words; -1 where a word is unknown."""
-        base, size = len(self.number), len(words) - n + 1
-        if size <= 0:
-            return np.zeros(0, np.int64)
-        code, known = np.zeros(size, np.int64), np.ones(size, bool)
-        for k in range(n):
-            part = words[k:k + size]
-            known &= part >= 0
-            code = code * base + part
-        return np.where(known, code, -1)
-
-    def set_seeds(self, frequency: np.ndarray, gram: int = GRAM, rare: float = RARE) -> None:
-        """Seeds by n-gram length: sorted codes with the item and position of each."""
-        found: dict[int, list[tuple[int, int, int]]] = {}
-        for i, words in enumerate(self.words):
-            n = min(gram, len(words))
-            codes = self.grams(words, n)
-            joint = np.ones(len(codes))
-            for k in range(n):
-                joint *= frequency[words[k:k + len(codes)]]
-            chosen = np.flatnonzero(joint <= rare)
-            if not len(chosen):
-                chosen = np.arange(len(codes))
-            found.setdefault(n, []).extend((int(codes[p]), i, int(p)) for p in chosen)
-        for n, rows in found.items():
-            table = np.array(sorted(rows), np.int64)
-            self.seeds[n] = (table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy())
+    def set_holders(self) -> None:
+        """Per word the items that the first pass counts it for, and the places left out."""
+        held = np.bincount(np.concatenate([*self.own, np.zeros(0, np.int64)]),
+                           minlength=len(self.number))
+        words, items, self.left_out = [], [], np.zeros(len(self.words), np.int64)
+        for i, (own, all_words) in enumerate(zip(self.own, self.words)):
+            places = np.bincount(np.searchsorted(own, all_words))
+            order = np.argsort(-held[own], kind="stable")
+            out = np.cumsum(places[order])
+            most = int(SHARED * self.threshold * len(all_words) / (1 + PENALTY))
+            first = np.searchsorted(out, most, "right")
+            self.left_out[i] = out[first - 1] if first else 0
+            words.append(own[order[first:]])
+            items.append(np.full(len(own) - first, i))
+        words = np.concatenate([*words, np.zeros(0, np.int64)])
+        order = np.argsort(words, kind="stable")
+        self.holders = np.concatenate([*items, np.zeros(0, np.int64)])[order]
+        self.holder_cut = np.searchsorted(words[order], np.arange(len(self.number) + 1))
+
+    def _stretches(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first, end), sorted by both: every alignment that reaches the threshold lies
+        within one; first pass."""
+        known = np.flatnonzero(words >= 0)
+        low = self.holder_cut[words[known]]
+        sizes = self.holder_cut[words[known] + 1] - low
+        reach = self.reach
+        before = np.concatenate(([0], np.cumsum(sizes)))
+        found, at = [], 0
+        while at < len(known):                            # parts of about CELLS hits
+            end = max(at + 1, int(np.searchsorted(before, before[at] + CELLS, "right")) - 1)
+            # what ends in this part may start up to the longest reach before it
+            a = int(np.searchsorted(known, known[at] - reach.max()))
+            n = sizes[a:end]
+            hit = np.repeat(low[a:end] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            item, place = self.holders[hit], np.repeat(known[a:end], n)
+            order = np.argsort(item, kind="stable")
+            item, place = item[order], place[order]
+            best = best_ending(item, place, len(words))
+            need = self.threshold * self.sizes - (1 + PENALTY) * self.left_out
+            good = (best >= need[item] - _EPS) & (place >= known[at])
+            found.append((item[good], place[good]))
+            at = end
+        if not found:
+            return
+        item, place = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((place, item))
+        # words left out may precede the first and follow the last word that was counted
+        first, end = place - reach[item], place + reach[item] + 1
+        yield from _merged(zip(item[order].tolist(), first[order].tolist(), end[order].tolist()))
 
     def windows(self, words: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, first, end) of the stretches of a document that hold seeds of an item."""
-        hits = []
-        for n, (codes, items, places) in self.seeds.items():
-            grams = self.grams(words, n)
-            at = np.flatnonzero(grams >= 0)
-            if not len(at):
-                continue
-            low = np.searchsorted(codes, grams[at], "left")
-            high = np.searchsorted(codes, grams[at], "right")
-            for p, a, b in zip(at[high > low], low[high > low], high[high > low]):
-                hits += [(int(items[k]), int(p - places[k])) for k in range(a, b)]
-        out: list[tuple[int, int, int]] = []
-        for item, start in sorted(set(hits)):
-            size = len(self.words[item])
-            first, end = start - size // 2, start + size + size // 2 + 1
-            if out and out[-1][0] == item and first <= out[-1][2]:
-                out[-1] = (item, out[-1][1], max(end, out[-1][2]))
-            else:
-                out.append((item, first, end))
-        return [(i, max(0, a), min(len(words), b)) for i, a, b in out]
+        """(item, first, end) of the stretches of a document that must be aligned."""
+        out = []
+        for item, first, end in self._stretches(words):
+            first, end = max(0, first), min(len(words), end)
+            own = self.own[item]
+            part = words[first:end]
+            near = np.minimum(np.searchsorted(own, part), len(own) - 1)
+            place = np.flatnonzero(own[near] == part)
+            best = best_ending(np.zeros(len(place), np.int64), place, len(words))
+            ends = first + place[best >= self.threshold * self.sizes[item] - _EPS]
+            out += _merged((item, max(0, p - int(self.reach[item])), p + 1) for p in ends.tolist())
+        return out
+
+
+def _merged(spans: Iterable[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Sorted spans (item, first, end), those that touch as one."""
+    now = None
+    for item, first, end in spans:
+        if now and now[0] == item and first <= now[2]:
+            now = (item, now[1], max(end, now[2]))
+            continue
+        if now:
+            yield now
+        now = (item, first, end)
+    if now:
+        yield now
+
+
+def best_ending(group: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
+    """For hits sorted by group and place: the greatest sum of a stretch that ends with each,
+    1 for a hit and -PENALTY for another word."""
+    level = (1 + PENALTY) * np.arange(len(place)) - PENALTY * place
+    # a step down between groups: the running minimum starts afresh
+    step = group * ((1 + PENALTY) * (len(place) + 1.0) + PENALTY * (size + 1.0))
+    return level + 1 - (np.minimum.accumulate(level - step) + step)
 
 
 def align(items: list[np.ndarray], windows: list[np.ndarray],
@@ -148,7 +192,8 @@ def _batches(pairs: list[tuple]) -> Iterator[list[tuple]]:
     batch, wide = [], 0
     for pair in pairs:
         wide_next = max(wide, len(pair[2]))
-        if batch and (len(batch) + 1) * wide_next > CELLS:
+        if batch and ((len(batch) + 1) * wide_next > CELLS
+                      or len(batch) >= 32 and wide_next > 1.3 * len(batch[0][2])):
             yield batch
             batch, wide_next = [], len(pair[2])
         batch.append(pair)
@@ -187,25 +232,6 @@ def _leaks(items: Items, whole: list[str | None], threshold: float) -> list[list
     return out
 
 
-def word_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """Corpus frequency of every word of the items, over all documents."""
-    size = len(items.number)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size + 1, np.int64)              # the last one: all other words
-        for batch in batches:
-            for text in texts(batch.column(0)):
-                counts += np.bincount(items.numbers(text) % (size + 1), minlength=size + 1)
-        at = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(at), pa.array(counts[at])], ["word", "n"])
-
-    counts = np.zeros(size + 1)
-    for r in (docs.select("text").mapInArrow(count, "word long, n long")
-              .groupBy("word").agg(F.sum("n").alias("n")).collect()):
-        counts[r.word] = r.n
-    return np.maximum(counts[:size], 1) / max(1.0, counts.sum())
-
-
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
     """The benchmark in blocks of about ``block_chars`` characters."""
     chars = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -225,11 +251,11 @@ def leaks_column(items: Items, text: Column, threshold: float = THRESHOLD) -> Co
     return of(text)
 
 
-def _prepared(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+def _prepared(benchmark: DataFrame, threshold: float) -> Iterator[Items]:
     for block in item_blocks(benchmark.select("item_id", "text")):
-        items = Items([(r.item_id, r.text) for r in block.orderBy("item_id", "text").collect()])
+        items = Items([(r.item_id, r.text) for r in block.orderBy("item_id", "text").collect()],
+                      threshold)
         if items.words:
-            items.set_seeds(word_counts(docs, items))
             yield items
 
 
@@ -237,7 +263,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     """(doc_id, item_id, score, first_word, last_word) of every document and item it holds."""
     found = docs.sparkSession.createDataFrame(
         [], "doc_id bigint, item_id bigint, score double, first_word int, last_word int")
-    for items in _prepared(docs, benchmark):
+    for items in _prepared(benchmark, threshold):
         found = found.unionByName(
             docs.select("doc_id", F.explode(leaks_column(items, F.col("text"), threshold))
                         .alias("l")).select("doc_id", "l.*"))
@@ -248,7 +274,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     """The rows of ``docs`` that hold no test item; all columns stay."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     kept = docs
-    for items in _prepared(docs, benchmark):
+    for items in _prepared(benchmark, threshold):
         kept = (kept.withColumn("_leaks", leaks_column(items, F.col("text"), threshold))
                 .filter(F.size("_leaks") == 0).select(*columns))
     return kept

@@ -97,3 +97,47 @@ def test_query_against_brute_force(spark, sf_small):
                     want.add((d.doc_id, item_id))
     got = {(r.doc_id, r.item_id) for r in queries.op9_decontaminate(spark, sf_small).collect()}
     assert got == want and want
+
+
+def test_no_edit_hides_a_copy():
+    """Copies without the item's rare words, or with words added everywhere, and long gaps."""
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(40)]
+    rows = []
+    for i in range(40):
+        words = [rng.choice(common) for _ in range(rng.randint(1, 40))]
+        for k in range(0, len(words), 6):
+            words[k] = f"rare{i}x{k}"
+        rows.append((i, " ".join(words)))
+    items = dec.Items(rows)
+    found = 0
+    for d in range(150):
+        words = [rng.choice(common) for _ in range(rng.randint(0, 60))]
+        copy = rng.choice(rows)[1].split()
+        if d % 3 == 0:                                   # every rare word replaced
+            copy = ["new" if w.startswith("rare") else w for w in copy]
+        elif d % 3 == 1:                                 # no two words stay together
+            copy = [w for c in copy for w in ((c, "new") if rng.random() < 0.95 else (c,))]
+        else:                                            # two halves far apart
+            half = len(copy) // 2
+            copy = copy[:half] + ["new"] * (len(copy) // 3) + copy[half:]
+        words[len(words) // 2:len(words) // 2] = copy
+        text = " ".join(words)
+        numbers = items.numbers(text)
+        want = {}
+        for i, item in zip(items.ids, items.words):
+            score = dec.align([item], [numbers])[0][0] / len(item)
+            if score >= dec.THRESHOLD:
+                want[i] = round(float(score), 6)
+        got = dec._leaks(items, [text], dec.THRESHOLD)[0]
+        assert {f["item_id"]: f["score"] for f in got} == want
+        found += len(want)
+    assert found > 100
+
+
+def test_parts_of_a_long_document(monkeypatch):
+    items = dec.Items([(1, "a b c d e f g h"), (2, "a a b b")])
+    text = "x a " * 50 + "a b c d z e f g h " + "b a y " * 40
+    whole = dec._leaks(items, [text], dec.THRESHOLD)
+    monkeypatch.setattr(dec, "CELLS", 7)
+    assert dec._leaks(items, [text], dec.THRESHOLD) == whole and len(whole[0]) == 2
