@@ -7,9 +7,10 @@ one-versus-rest kernel ridge regression on them gives one score per language.  S
 kernel is a product of presence vectors, landmarks and coefficients fold into one matrix: a
 batch of texts is scored by one product of its presence matrix with that matrix.
 
-Fitting uses a bounded sample of labelled rows, the same number for every language
-(``PER_LANGUAGE``, of the ``LANGUAGES`` most frequent ones), picked by a hash of the text; every
-text of the table is predicted, whole.
+Fitting uses a bounded sample of the labelled texts of every language: its first ``PER_LANGUAGE``
+different ones by a hash of the text, so neither copies nor frequent languages push others out.
+Beyond 64 languages each has fewer landmarks (``ALL_LANDMARKS``).  Every text of the table is
+predicted, whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; ties go to the
 language that sorts first; without labelled rows everything is ``und``; repeated rows each
@@ -25,14 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out
 
 UNKNOWN = "und"
-#: Bounds of the labelled sample, and landmarks among it.
-PER_LANGUAGE, LANGUAGES, LANDMARKS = 300, 64, 64
+#: Bound of a language's labelled sample, landmarks among it, and landmarks of all languages.
+PER_LANGUAGE, LANDMARKS, ALL_LANDMARKS = 300, 64, 4096
 RIDGE = 1e-2
 GRAMS = 256 + (1 << 16) + (1 << 24)
 BATCH = 64
@@ -70,6 +71,7 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     names = sorted({lang for _, lang in lines})
     if not names:
         return Model(np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0), [])
+    landmarks = max(1, min(landmarks, ALL_LANDMARKS // len(names)))
     chosen = []
     for name in names:
         chosen += [g for g, lang in lines if lang == name][:landmarks]
@@ -130,21 +132,23 @@ class Scorer:
         return langs, scores
 
 
-def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE,
-                    languages: int = LANGUAGES) -> list[tuple[str, str]]:
-    """About ``per_language`` rows (text, lang) of each language that are not held out."""
-    train = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
-                        & F.col("text").isNotNull()).select("text", "lang")
-    counts = (train.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-              .limit(languages).collect())
-    if not counts:
+def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
+    """The first ``per_language`` different texts, by hash, of each language that are not held
+    out, as rows (text, lang)."""
+    train = (docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
+                         & F.col("text").rlike(r"\p{L}"))
+             .select("text", "lang", F.xxhash64("text").alias("_place")))
+    order = Window.partitionBy("lang").orderBy("_place")
+    last = (train.select("lang", "_place").distinct()
+            .withColumn("_nth", F.row_number().over(order))
+            .filter(F.col("_nth") <= per_language)
+            .groupBy("lang").agg(F.max("_place").alias("last")).collect())
+    if not last:
         return []
-    share = F.create_map(*[F.lit(v) for r in counts
-                           for v in (r["lang"], min(1.0, per_language / r["count"]))])
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
-    picked = (train.withColumn("_share", share[F.col("lang")])
-              .filter(place < F.col("_share"))
-              .orderBy(place, "text", "lang").limit(2 * per_language * len(counts)))
+    bound = F.create_map(*[F.lit(v) for r in last for v in (r["lang"], r["last"])])
+    picked = (train.filter(F.col("_place") <= bound[F.col("lang")])
+              .groupBy("lang", "_place").agg(F.min("text").alias("text"))
+              .orderBy("_place", "text", "lang"))
     return [(r.text, r.lang) for r in picked.collect()]
 
 

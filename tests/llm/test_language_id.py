@@ -66,3 +66,18 @@ def test_defined_cases(spark):
     assert lid.identify(df.limit(0)).collect() == []
     unlabelled = lid.identify(df.filter("lang is null")).collect()
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
+
+
+def test_every_language_is_learned(spark):
+    """More languages than 64, a group of copies in each of the frequent ones."""
+    rows = [(i, f"text{chr(97 + lang % 26) * 4}{chr(97 + lang // 26) * 4} number {'x' * (i % 7)}",
+             f"l{lang:02}") for lang in range(70) for i in range(lang * 20, lang * 20 + 12)]
+    rows += [(2000 + i, "many copies of one text", "l00") for i in range(900)]
+    rows += [(3000 + i, "1 2 3 " + str(i), "l01") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = lid.labelled_sample(df, 5)
+    assert {lang for _, lang in sample} == {f"l{i:02}" for i in range(70)}
+    assert len(sample) == len(set(sample))
+    by_lang = [sum(lang == f"l{i:02}" for _, lang in sample) for i in range(70)]
+    assert max(by_lang) == 5 and min(by_lang) >= 2
+    assert len(lid.fit(sample).names) == 70
