@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bm25, byte_bpe, decontaminate, language_id, quality, secret_scan, simhash,
+from . import (bm25, byte_bpe, decontaminate, language_id, merkle, quality, secret_scan, simhash,
                style_tree, substring_dedup, url_graph)
 from .common import read_table
 
@@ -81,3 +81,12 @@ ORACLE["op5_substring_dedup"] = substring_dedup.ORACLE_SQL
 @query
 def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.digest(style_tree.extract(read_table(spark, sf_dir, "pages")))
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.digest(merkle.proofs(docs, merkle.tampered(docs)))
+
+
+ORACLE["op11_merkle"] = merkle.ORACLE_SQL
