@@ -202,9 +202,9 @@ def digest(found: DataFrame) -> DataFrame:
 ORACLE_SQL = """
 WITH RECURSIVE lowered AS (
   SELECT *, list_reduce(list_concat([4294967295::BIGINT],
-      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), c -> ascii(c)::BIGINT)),
-      (crc, b) -> list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
-          (x, z) -> xor(x >> 1, (x & 1) * 3988292384::BIGINT))) AS crc,
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          lambda x, z: xor(x >> 1, (x & 1) * 3988292384::BIGINT))) AS crc,
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
   FROM documents),
 leaves AS (
