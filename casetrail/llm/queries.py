@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bm25, byte_bpe, decontaminate, language_id, merkle, quality, secret_scan, simhash,
-               style_tree, substring_dedup, url_graph)
+from . import (bm25, byte_bpe, decontaminate, language_id, merkle, quality, quality_rules,
+               secret_scan, simhash, spelling, style_tree, substring_dedup, url_graph)
 from .common import read_table
 
 QUERIES = {}
@@ -90,3 +90,17 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_merkle"] = merkle.ORACLE_SQL
+
+
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_spelling"] = spelling.ORACLE_SQL
