@@ -13,10 +13,11 @@ offending values for ``unique`` and ``accepted_values``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,21 +204,92 @@ def _one_check_row(counted: DataFrame, check: Check) -> DataFrame:
     )
 
 
+class RowCounts:
+    """Row checks counted by the job that writes a frame, so that the gate reads no table again.
+
+    ``watch`` attaches the failure counts to a frame as observed metrics
+    (``DataFrame.observe``): they are added up by the very tasks that write it.  Observed
+    metrics must not be distinct, so ``accepted_values`` observes failing rows -- per value for
+    a boolean column, where that gives the number of offending values; any other column with
+    failing rows is the only one to be read again (:func:`accepted_counts`).
+
+    Watch a frame at the top of the plan that is written, or below narrow steps only: the
+    metrics of a job's last stage count each task once, also when a lost executor's tasks are
+    run again.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self._checks: dict[str, list[Check]] = {}
+        for c in checks:
+            if c.kind in ROW_KINDS:
+                self._checks.setdefault(c.model, []).append(c)
+        self._watched: dict[str, Observation] = {}
+
+    def watch(self, model: str, df: DataFrame) -> DataFrame:
+        """``df`` with its row counts observed; itself if no row check reads it."""
+        checks = self._checks.get(model)
+        if not checks:
+            return df
+        boolean = {f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)}
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        for i, c in enumerate(checks):
+            if c.kind == "accepted_values" and c.column in boolean:
+                metrics += [F.expr(f"max(CASE WHEN `{c.column}` = {v} AND "
+                                   f"coalesce({predicate_sql(c)}, FALSE) THEN 1 ELSE 0 END)")
+                            .alias(f"c{i}_{v}") for v in ("true", "false")]
+            else:
+                metrics.append(F.expr(failure_count_sql(c)).alias(f"c{i}"))
+        self._watched[model] = Observation(f"{model}-{uuid.uuid4().hex}")
+        return df.observe(self._watched[model], *metrics)
+
+    def rows(self, model: str) -> int | None:
+        """Rows of a watched model, once its job has run."""
+        return self._watched[model].get["rows"] if model in self._watched else None
+
+    def failures(self, check: Check) -> int | None:
+        """Failures of a row check, once its model's job has run; None if not counted."""
+        if check.model not in self._watched or check not in self._checks[check.model]:
+            return None
+        found = self._watched[check.model].get
+        i = self._checks[check.model].index(check)
+        if f"c{i}" in found:
+            distinct = check.kind == "accepted_values"
+            return None if distinct and found[f"c{i}"] else found[f"c{i}"]
+        return sum(found[f"c{i}_{v}"] or 0 for v in ("true", "false"))
+
+
+def _counted_rows(frame: DataFrame, counted: Sequence[tuple[Check, int]]) -> DataFrame:
+    """Summary rows of observed counts: as many as declared checks at most."""
+    return frame.sparkSession.createDataFrame(
+        [(c.layer, c.model, c.name, c.kind, c.column, c.severity, n) for c, n in counted],
+        SUMMARY_SCHEMA)
+
+
 def run_checks(frames: dict[str, DataFrame], checks: Sequence[Check],
-               kinds: Sequence[str] | None = None) -> DataFrame:
-    """Summary rows ``(layer, model, check_name, kind, column_name, severity, failures)``."""
+               kinds: Sequence[str] | None = None, counts: RowCounts | None = None) -> DataFrame:
+    """Summary rows ``(layer, model, check_name, kind, column_name, severity, failures)``.
+
+    Row checks that ``counts`` has seen while their model was written read no table.
+    """
     selected = [c for c in checks if kinds is None or c.kind in kinds]
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    counted: list[tuple[Check, int]] = []
     for c in selected:
         if c.kind in ROW_KINDS:
-            by_model.setdefault(c.model, []).append(c)
+            n = None if counts is None else counts.failures(c)
+            if n is None:
+                by_model.setdefault(c.model, []).append(c)
+            else:
+                counted.append((c, n))
         elif c.kind == "unique":
             parts.append(unique_count(frames[c.model], c))
         elif c.kind == "relationships":
             parts.append(relationship_count(frames[c.model], frames[c.to_model], c))
     for model, model_checks in by_model.items():
         parts.append(row_check_counts(frames[model], model_checks))
+    if counted:
+        parts.append(_counted_rows(next(iter(frames.values())), counted))
     if not parts:
         first = next(iter(frames.values()))
         return first.sparkSession.createDataFrame([], SUMMARY_SCHEMA)

@@ -12,7 +12,7 @@ from ..operators.quality import Check
 from ..sources import sinks
 from . import checks as C
 from . import oracle, source_checks
-from .models import Models
+from .models import MODEL_NAMES, Models
 from .registry import query
 
 
@@ -26,17 +26,20 @@ def loads(m: Models) -> DataFrame:
     return source_checks.loads(m.raw.frames())
 
 
-def stored_frames(m: Models, checks) -> dict[str, DataFrame]:
-    """Frames for ``checks``: the models that they read, and what those need, each built
-    once from the stored layer below (written under the shared checkpoint folder)."""
+def check_models(m: Models, checks) -> DataFrame:
+    """Summary of ``checks``: the models that they read, and what those need, are built once
+    each from the stored layer below (written under the shared checkpoint folder), and the
+    writing jobs count the row checks."""
     from .refresh import build_stored, table_store
     read = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
-    return build_stored(m.raw, table_store(m.spark), names=read)
+    counts = quality.RowCounts(checks)
+    frames = build_stored(m.raw, table_store(m.spark), names=read, counts=counts,
+                          count_sources=bool(read & set(MODEL_NAMES)))
+    return quality.run_checks(frames, checks, counts=counts)
 
 
 def check_summary(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
-    m = Models.shared(spark, sf_dir)
-    return quality.with_status(quality.run_checks(stored_frames(m, checks), checks))
+    return quality.with_status(check_models(Models.shared(spark, sf_dir), checks))
 
 
 def silenced(found: DataFrame) -> DataFrame:
@@ -58,7 +61,7 @@ def degraded_status(m: Models) -> DataFrame:
     the oldest of its sources' last loads."""
     found = loads(m)
     fresh = source_checks.freshness_frame(found)
-    checks = quality.run_checks(stored_frames(m, C.ALL_CHECKS), C.ALL_CHECKS)
+    checks = check_models(m, C.ALL_CHECKS)
     return degraded_marts(fresh, source_checks.load_status(found, fresh).unionByName(
         check_status(checks)))
 

@@ -100,22 +100,33 @@ def upstream(names: Iterable[str]) -> set[str]:
 
 def build_stored(raw: RawData, store: Callable[[str, DataFrame], DataFrame],
                  after_layer: Callable[[str, Frames], None] | None = None,
-                 names: Iterable[str] | None = None, before: Frames | None = None) -> Frames:
+                 names: Iterable[str] | None = None, before: Frames | None = None,
+                 counts: quality.RowCounts | None = None, count_sources: bool = False) -> Frames:
     """The raw sources, then staging -> intermediate -> marts, storing each model once.
 
     Each layer reads the *stored* layer below, so no model is recomputed by its consumers and
     lineage is cut at every layer boundary.  With ``names`` only these models and what they
     read are built.  With ``before`` (the stored frames of an earlier run) the incremental
-    models are merged into it instead of rebuilt.
+    models are merged into it instead of rebuilt.  With ``counts`` the jobs that write the
+    models count the failures of their row checks; with ``count_sources`` the staging jobs
+    also count those of the raw sources that they read (once all of staging is written: a gate
+    before staging can't wait for that).
     """
     wanted = upstream(MODELS if names is None else names)
     # Raw sources are stored tables already (here: derived from the given tables by narrow
     # projections and one grouping); they are used in place.
     frames = raw.frames()
+    # each raw source is read once, by narrow steps of one staging job
+    staged = {i for n in wanted if n in MODELS for i in MODELS[n].inputs}
+    watched = {n: counts.watch(n, df) for n, df in frames.items() if n in staged
+               } if counts is not None and count_sources else {}
     for layer in C.LAYERS:
         todo = [n for n, m in MODELS.items() if m.layer == layer and n in wanted]
+        inputs = {**frames, **watched}
         models = {n: MERGES[n](frames, before) if before and n in MERGES
-                  else MODELS[n].build(*[frames[i] for i in MODELS[n].inputs]) for n in todo}
+                  else MODELS[n].build(*[inputs[i] for i in MODELS[n].inputs]) for n in todo}
+        if counts is not None:
+            models = {n: counts.watch(n, df) for n, df in models.items()}
         if models:
             # Models of one layer are independent: submit their jobs concurrently so
             # the scheduler can overlap them (small ones would otherwise idle the cluster).
@@ -160,9 +171,10 @@ def _store_failures(frames: Frames, checks: list[quality.Check], failed: set[str
 
 
 def _check_layer(frames: Frames, layer: str, out_root: str, fail_on_error: bool,
-                 store_failures: bool, load_summary: DataFrame | None) -> DataFrame:
+                 store_failures: bool, load_summary: DataFrame | None,
+                 counts: quality.RowCounts) -> DataFrame:
     checks = C.checks_of(layer=layer)
-    found = quality.run_checks(frames, checks)
+    found = quality.run_checks(frames, checks, counts=counts)
     if load_summary is not None:
         found = found.unionByName(load_summary)
     path = sinks.write_version(quality.with_status(found), f"{out_root}/_checks/{layer}")
@@ -218,8 +230,9 @@ def run_layers(spark: SparkSession, raw: RawData, out_root: str, fail_on_error:
             if not judged:
                 load_summary = load_summary.where("kind <> 'freshness'")
         results[layer] = _check_layer(frames, layer, out_root, fail_on_error, store_failures,
-                                      load_summary)
+                                      load_summary, counts)
 
-    build_stored(raw, write, check, before=before)
+    counts = quality.RowCounts(C.ALL_CHECKS)
+    build_stored(raw, write, check, before=before, counts=counts)
     tables.commit(tables.batch + 1, {}, {}, models=paths)
     return results
