@@ -99,14 +99,16 @@ def custom_tasks(tasks: DataFrame, cases: DataFrame) -> DataFrame:
     )
 
 
+def is_upload_event() -> Column:
+    return ((F.col("actor_role") == UPLOAD_ACTOR)
+            & (F.col("task_plugin_type") == UPLOAD_PLUGIN)
+            & F.col("task_assignment_id").isNotNull()
+            & F.col("event_name").isin(*UPLOAD_EVENTS))
+
+
 def upload_events(events: DataFrame) -> DataFrame:
     """Beneficiary file-upload funnel events with an assignment id."""
-    return events.where(
-        (F.col("actor_role") == UPLOAD_ACTOR)
-        & (F.col("task_plugin_type") == UPLOAD_PLUGIN)
-        & F.col("task_assignment_id").isNotNull()
-        & F.col("event_name").isin(*UPLOAD_EVENTS)
-    ).select("task_assignment_id", "task_id", "case_id", "catalog_product_id",
+    return events.where(is_upload_event()).select("task_assignment_id", "task_id", "case_id", "catalog_product_id",
              "event_name", "event_time", "ingestion_timestamp", "file_count",
              "success_count", "error_count")
 

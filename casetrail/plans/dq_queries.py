@@ -555,7 +555,8 @@ def q_stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming.events import scratch_root
     path = f"{scratch_root(spark, 'failures')}/rows"
     events = Models.shared(spark, sf_dir).stg_events
-    sinks.store_row_failures(events, path, {c.name: quality.failing_predicate(c) for c in _STORED})
+    sinks.store_failures(sinks.row_failure_rows(
+        events, {c.name: quality.failing_predicate(c) for c in _STORED}), path, "one", "events")
     return (spark.read.schema("check string, row string, stored_at timestamp").parquet(path)
             .groupBy(F.col("check").alias("check_name")).agg(F.count(F.lit(1)).alias("n_rows")))
 

@@ -6,9 +6,10 @@ so lineage is cut at every layer boundary and a lost executor only costs the
 current layer's tasks.  An error-severity failure raises before the next
 layer is written; failing rows of failed checks can be stored (K3).
 
-A run that passes commits one manifest with the path of every model.  The next run reads
-its earlier state from there alone, so a run that stopped halfway (a failed check, a crash)
-never serves as the earlier state of an incremental model.
+Everything is written under the run's id (:mod:`casetrail.sources.runs`), and a run that
+passes commits it.  The next run reads its earlier state from the last committed run alone, so a
+run that stopped halfway (a failed check, a crash) never serves as the earlier state of an
+incremental model.
 """
 
 from __future__ import annotations
@@ -23,8 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import incremental, intermediate, marts, quality, staging
-from ..sources import sinks
-from ..sources.manifest import ManifestTables
+from ..sources import runs, sinks
 from ..session import checkpoint_dir
 from . import checks as C
 from . import source_checks
@@ -64,26 +64,27 @@ MODELS = {
 }
 
 
-def _merge_upload_daily(now: Frames, before: Frames) -> DataFrame:
-    prior = before["file_upload_attempts"]
-    return incremental.upload_daily(
-        now["file_upload_attempts"], before["file_upload_daily"], prior_attempts=prior,
-        changed_assignments=incremental.changed_upload_assignments(now["stg_events"], prior))
-
+#: The events that a merging run added to the log, among its frames.
+ADDED = "added_events"
 
 #: The incremental models: the new table from this run's frames and the last committed run.
+#: What changed is known from the added events and from the differences between the two
+#: versions of a table, not from watermarks.
 MERGES: dict[str, Callable[[Frames, Frames], DataFrame]] = {
-    "stg_events": lambda now, before: incremental.stage_events(
-        now["wf_events"], before["stg_events"]),
-    "file_upload_attempts": lambda now, before: incremental.upload_attempts(
+    "file_upload_attempts": lambda now, before: incremental.attempts_of(
+        intermediate.upload_events(now[ADDED]).select("task_assignment_id").distinct(),
         now["stg_events"], before["file_upload_attempts"]),
-    "questionnaire_assignments": lambda now, before: incremental.questionnaire_assignments(
+    "questionnaire_assignments": lambda now, before: incremental.questionnaires_of(
+        incremental.changed_questionnaires(before, now, now[ADDED]),
         now["stg_assignments"], now["stg_tasks"], now["stg_cases"], now["stg_events"],
         before["questionnaire_assignments"]),
-    "file_upload_daily": _merge_upload_daily,
-    "questionnaire_daily": lambda now, before: incremental.questionnaire_daily(
-        now["questionnaire_assignments"], before["questionnaire_daily"],
-        prior_assignments=before["questionnaire_assignments"]),
+    "file_upload_daily": lambda now, before: incremental.daily_of_diff(
+        before["file_upload_attempts"], now["file_upload_attempts"], before["file_upload_daily"],
+        "plugin_opened_date", marts.file_upload_daily),
+    "questionnaire_daily": lambda now, before: incremental.daily_of_diff(
+        marts.activated_questionnaires(before["questionnaire_assignments"]),
+        marts.activated_questionnaires(now["questionnaire_assignments"]),
+        before["questionnaire_daily"], "activation_date", marts.questionnaire_daily),
 }
 
 
@@ -101,13 +102,15 @@ def upstream(names: Iterable[str]) -> set[str]:
 def build_stored(raw: RawData, store: Callable[[str, DataFrame], DataFrame],
                  after_layer: Callable[[str, Frames], None] | None = None,
                  names: Iterable[str] | None = None, before: Frames | None = None,
+                 add_events: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
                  counts: quality.RowCounts | None = None, count_sources: bool = False) -> Frames:
     """The raw sources, then staging -> intermediate -> marts, storing each model once.
 
     Each layer reads the *stored* layer below, so no model is recomputed by its consumers and
     lineage is cut at every layer boundary.  With ``names`` only these models and what they
     read are built.  With ``before`` (the stored frames of an earlier run) the incremental
-    models are merged into it instead of rebuilt.  With ``counts`` the jobs that write the
+    models are merged into it instead of rebuilt.  ``add_events`` stores the events that the raw
+    feed adds to the log and returns the whole log and what was added.  With ``counts`` the jobs that write the
     models count the failures of their row checks; with ``count_sources`` the staging jobs
     also count those of the raw sources that they read (once all of staging is written: a gate
     before staging can't wait for that).
@@ -123,6 +126,9 @@ def build_stored(raw: RawData, store: Callable[[str, DataFrame], DataFrame],
     for layer in C.LAYERS:
         todo = [n for n, m in MODELS.items() if m.layer == layer and n in wanted]
         inputs = {**frames, **watched}
+        if add_events is not None and EVENTS in todo:
+            frames[EVENTS], frames[ADDED] = add_events(frames["wf_events"])
+            todo.remove(EVENTS)
         models = {n: MERGES[n](frames, before) if before and n in MERGES
                   else MODELS[n].build(*[inputs[i] for i in MODELS[n].inputs]) for n in todo}
         if counts is not None:
@@ -154,9 +160,14 @@ def table_store(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
     return store
 
 
-def _store_failures(frames: Frames, checks: list[quality.Check], failed: set[str],
-                    path: str) -> None:
+def _failing_rows(frames: Frames, checks: list[quality.Check], summary: DataFrame) -> DataFrame:
     """K3: the failing rows of every failed check; one pass per model for its row checks."""
+    failing = summary.where("status != 'pass'")
+    # as many rows as declared checks at most
+    failed = {r.check_name for r in failing.select("check_name").collect()}
+    loads_failed = failing.where(F.col("check_name") == F.col("kind"))
+    found = [sinks.failure_rows(loads_failed.where(F.col("kind") == kind), kind)
+             for kind in ("freshness", "volume_anomaly", "schema_drift")]
     by_model: dict[str, dict[str, Column]] = {}
     for c in checks:
         if c.name not in failed:
@@ -165,60 +176,83 @@ def _store_failures(frames: Frames, checks: list[quality.Check], failed: set[str
             by_model.setdefault(c.model, {})[c.name] = quality.failing_predicate(c)
         else:
             parent = frames[c.to_model] if c.to_model else None
-            sinks.store_failures(quality.failing_rows(frames[c.model], c, parent), path, c.name)
-    for model, predicates in by_model.items():
-        sinks.store_row_failures(frames[model], path, predicates)
+            found.append(sinks.failure_rows(
+                quality.failing_rows(frames[c.model], c, parent), c.name))
+    found += [sinks.row_failure_rows(frames[model], predicates)
+              for model, predicates in by_model.items()]
+    return quality.union_all(found)
 
 
-def _check_layer(frames: Frames, layer: str, out_root: str, fail_on_error: bool,
+def _check_layer(frames: Frames, layer: str, out_root: str, run_id: str, fail_on_error: bool,
                  store_failures: bool, load_summary: DataFrame | None,
                  counts: quality.RowCounts) -> DataFrame:
     checks = C.checks_of(layer=layer)
     found = quality.run_checks(frames, checks, counts=counts)
     if load_summary is not None:
         found = found.unionByName(load_summary)
-    path = sinks.write_version(quality.with_status(found), f"{out_root}/_checks/{layer}")
-    summary = found.sparkSession.read.parquet(path)
+    summary = runs.write(quality.with_status(found), f"{out_root}/_checks/{layer}", run_id)
     if store_failures:
-        failing = summary.where("status != 'pass'")
-        # as many rows as declared checks at most
-        failed = {r.check_name for r in failing.select("check_name").collect()}
-        _store_failures(frames, checks, failed, f"{out_root}/_failures")
-        loads_failed = failing.where(F.col("check_name") == F.col("kind"))
-        for kind in sorted(failed & {"freshness", "volume_anomaly", "schema_drift"}):
-            sinks.store_failures(loads_failed.where(F.col("kind") == kind),
-                                 f"{out_root}/_failures", kind)
+        sinks.store_failures(_failing_rows(frames, checks, summary), f"{out_root}/_failures",
+                             run_id, layer)
     if fail_on_error:
         quality.gate(summary, layer)
     return summary
 
 
+EVENTS = incremental.EVENTS_TABLE
+
+
+def _events(spark: SparkSession, root: str, run: runs.Run) -> DataFrame:
+    return incremental.read_events(spark, root, run).drop(runs.RUN, incremental.EVENT_PARTITION)
+
+
 def read_run(spark: SparkSession, out_root: str) -> Frames:
     """The models of the last committed run; empty before the first."""
-    paths = ManifestTables(spark, out_root).state.get("models", {})
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+    run = runs.last(spark, out_root)
+    if run is None:
+        return {}
+    return {name: _events(spark, out_root, run) if name == EVENTS
+            else runs.read(spark, f"{out_root}/{name}", run.run_id) for name in MODELS}
 
 
 def run_layers(spark: SparkSession, raw: RawData, out_root: str, fail_on_error: bool = True,
                store_failures: bool = False, full_refresh: bool = False,
                as_of: Column | None = None, error_after_hours: float | None = C.FRESHNESS_ERROR_HOURS,
-               ) -> dict[str, DataFrame]:
+               run_id: str | None = None) -> dict[str, DataFrame]:
     """Build and check every layer, commit the run, and return the check summaries by layer.
 
     ``raw`` is anything with ``frames()``: :class:`~casetrail.sources.sinks.RawTables` over
     real tables, or the derived :class:`~casetrail.sources.fixtures.RawSources`.  The
-    incremental models are merged into the last committed run unless ``full_refresh`` is set.
-    Freshness is judged at ``as_of`` (default: now) and is an error like any other;
+    incremental models are merged into the last committed run unless ``full_refresh`` is set;
+    the event log gains only the events that it lacks.  Everything is written under ``run_id``
+    (default: a new id); a retry under the same id replaces what the run wrote, stored failures
+    included.  Freshness is judged at ``as_of`` (default: now) and is an error like any other;
     ``error_after_hours=None`` leaves it out, for backfills of old tables.
     """
     results: dict[str, DataFrame] = {}
-    tables = ManifestTables(spark, out_root)
-    before = None if full_refresh else read_run(spark, out_root)
-    paths: dict[str, str] = {}
+    committed = runs.last(spark, out_root)
+    last = None if full_refresh else committed
+    before = read_run(spark, out_root) if last else None
+    run_id = run_id or runs.new_id()
+    mark = last.watermark if last else None
+    newest = []
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = sinks.write_version(df, f"{out_root}/{name}")
-        return spark.read.parquet(paths[name])
+        return runs.write(df, f"{out_root}/{name}", run_id)
+
+    def add_events(raw_events: DataFrame) -> tuple[DataFrame, DataFrame]:
+        seen = None if last is None else incremental.read_events(spark, out_root, last)
+        rows, stamp = incremental.unseen_events(incremental.events_since(raw_events, mark), seen,
+                                                f"{out_root}/_landed/{runs.RUN}={run_id}")
+        if last is None:
+            rows = counts.watch(EVENTS, rows)
+        added = runs.write(rows, f"{out_root}/{EVENTS}", run_id, [incremental.EVENT_PARTITION])
+        newest.append(stamp)
+        return _events(spark, out_root, this_run()), added.drop(incremental.EVENT_PARTITION)
+
+    def this_run() -> runs.Run:
+        return runs.Run(run_id, committed.number + 1 if committed else 1,
+                        (*(last.history if last else ()), run_id), incremental.later(mark, *newest))
 
     def check(layer: str, frames: Frames) -> None:
         load_summary = None
@@ -229,10 +263,10 @@ def run_layers(spark: SparkSession, raw: RawData, out_root: str, fail_on_error:
                 error_after_hours or C.FRESHNESS_ERROR_HOURS)
             if not judged:
                 load_summary = load_summary.where("kind <> 'freshness'")
-        results[layer] = _check_layer(frames, layer, out_root, fail_on_error, store_failures,
-                                      load_summary, counts)
+        results[layer] = _check_layer(frames, layer, out_root, run_id, fail_on_error,
+                                      store_failures, load_summary, counts)
 
     counts = quality.RowCounts(C.ALL_CHECKS)
-    build_stored(raw, write, check, before=before, counts=counts)
-    tables.commit(tables.batch + 1, {}, {}, models=paths)
+    build_stored(raw, write, check, before=before, add_events=add_events, counts=counts)
+    runs.commit(spark, out_root, this_run())
     return results

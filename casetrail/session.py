@@ -14,9 +14,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-#: Tasks that local sessions spread the derived event feed over (unset on a cluster).
-EVENT_TASKS = "spark.casetrail.eventTasks"
-
 # Settings applied to whatever session a caller hands us.  All are runtime
 # SQL confs, so they can be set on an existing session.
 RUNTIME_CONF = {
@@ -79,8 +76,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("CASETRAIL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if str(cores).isdigit():
-        builder = builder.config(EVENT_TASKS, str(cores))
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -93,23 +93,24 @@ def upsert(new: DataFrame, table: str, key: str) -> str:
     return write_version(upsert_frame(target, new, key), table)
 
 
-def store_failures(failures: DataFrame, path: str, check_name: str) -> None:
-    """K3: append a check's failing rows, partitioned by check name."""
-    _append_failures(failures.select(F.lit(check_name).alias("check"),
-                                     F.to_json(F.struct("*")).alias("row")), path)
+def failure_rows(failures: DataFrame, check_name: str) -> DataFrame:
+    """K3: a check's failing rows as ``(check, row)``, the row as JSON."""
+    return failures.select(F.lit(check_name).alias("check"), F.to_json(F.struct("*")).alias("row"))
 
 
-def store_row_failures(df: DataFrame, path: str, predicates: dict[str, Column]) -> None:
+def row_failure_rows(df: DataFrame, predicates: dict[str, Column]) -> DataFrame:
     """K3 for all row checks of a model in one pass: a row that fails n checks gives n rows."""
     names = F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in predicates.items()]),
                      lambda name: name.isNotNull())
-    _append_failures(df.select(F.explode(names).alias("check"), F.to_json(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row")), path)
+    return df.select(F.explode(names).alias("check"), F.to_json(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
 
 
-def _append_failures(rows: DataFrame, path: str) -> None:
+def store_failures(rows: DataFrame, path: str, run_id: str, part: str) -> None:
+    """K3: store failing rows by run, part of the run and check.  A repeat of the run replaces
+    them all, also those of checks that no longer fail."""
     (rows.withColumn("stored_at", F.current_timestamp())
-     .write.mode("append").partitionBy("check").parquet(path))
+     .write.mode("overwrite").partitionBy("check").parquet(f"{path}/run_id={run_id}/part={part}"))
 
 
 # --------------------------------------------------------------- raw readers

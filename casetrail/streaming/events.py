@@ -1,40 +1,42 @@
 """Structured Streaming path for the append-only event feed.
 
-T1: ``readStream`` of raw events -> the same staging expressions as batch.  The stream itself
-drops nothing: rows that are late, or have no load time, reach the sink like any other, so
-the result doesn't depend on how the feed is cut into micro-batches.
-
-T2: ``foreachBatch`` deduplicates each micro-batch by natural key and merges it into three
-tables that change in one commit (:class:`~casetrail.sources.manifest.ManifestTables`):
-
-* the staged events, by load date -- only the dates of the batch are read and rewritten;
-* the upload state per assignment, by hash bucket -- only the new events are aggregated and
-  merged, so no batch scans the event table;
-* the daily upload funnel -- the date x product groups of the changed assignments, before and
-  after, are rebuilt.
-
-A batch whose id is already committed is skipped, and a batch that failed before its commit
-left nothing visible, so a replay gives the tables that one run gives.
+T1: ``readStream`` of raw events -> the same staging expressions as batch -> the event log.
+The stream itself drops nothing: rows that are late, or have no load time, reach the log like any
+other, so the result doesn't depend on how the feed is cut into micro-batches.  A micro-batch adds
+the events that the log lacks, under its batch id and their load dates; it reads the log at those
+dates only and rewrites nothing (:mod:`casetrail.sources.runs`).
+
+T2: the upload state per assignment is kept by Spark's own streaming aggregation, in update mode
+on the RocksDB state store with changelog checkpoints, below a streaming deduplication by natural
+key.  A micro-batch therefore gets the assignments that it changed, each with its whole state,
+and appends just those; no batch reads what earlier ones stored.  The attempts are the newest
+state of every assignment, and the daily funnel is built from them once the feed is drained.
+
+A batch whose id is committed is skipped and one that failed before its commit is invisible and
+replaced by its replay, so any number of triggers, restarts and replays gives what one run gives.
+The deduplication remembers the keys of all upload events (32 bytes each, on the executors'
+disks): a feed may repeat an event at any time.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import incremental, intermediate, marts, staging
 from ..session import checkpoint_dir
-from ..sources import sinks
-from ..sources.manifest import NULL_PARTITION, ManifestTables
+from ..sources import runs, sinks
 
-EVENT_PARTITION = incremental.EVENT_PARTITION
-BUCKET = "assignment_bucket"
-#: Hash buckets of the assignment state; a parameter of the sink, fixed once it has data.
-BUCKETS = 64
-EVENTS, STATE, DAILY = incremental.EVENTS_TABLE, "upload_state", "file_upload_daily"
-DAILY_PARTITION = "_whole"
+STATE, DAILY = "upload_state", "file_upload_daily"
+#: Settings of the stateful query.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def staged_event_stream(raw_stream: DataFrame) -> DataFrame:
@@ -42,95 +44,97 @@ def staged_event_stream(raw_stream: DataFrame) -> DataFrame:
     return staging.stg_events(raw_stream)
 
 
-def _values(df: DataFrame, column: str) -> list[str]:
-    """Partition values of a batch as they appear in folder names (days or buckets)."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
-    return [r[0] for r in df.select(text).distinct().collect()]
+def upload_state_stream(events: DataFrame) -> DataFrame:
+    """The upload state of every assignment (built-in stateful operators only)."""
+    uploads = events.where(intermediate.is_upload_event()).dropDuplicates(["event_natural_key"])
+    return intermediate.upload_state(intermediate.upload_events(uploads))
+
+
+def batch_run(batch_id: int) -> str:
+    return f"batch-{batch_id:012d}"
+
+
+class EventSink:
+    """Adds the unseen events of each micro-batch to the log under ``root``."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = runs.last(spark, self.root)
+        if before is not None and before.number > batch_id:
+            return                                     # a replay of a committed batch
+        run_id = batch_run(batch_id)
+        rows, newest = incremental.unseen_events(
+            batch, incremental.read_events(spark, self.root, before),
+            f"{self.root}/_landed/{runs.RUN}={run_id}")
+        mark = before.watermark if before else None
+        runs.append(rows, self.root, incremental.EVENTS_TABLE, run_id, before, batch_id + 1,
+                    incremental.later(mark, newest), [incremental.EVENT_PARTITION])
+
+    def events(self, spark: SparkSession) -> DataFrame | None:
+        log = incremental.read_events(spark, self.root)
+        return None if log is None else log.drop(runs.RUN, incremental.EVENT_PARTITION)
+
+
+class StateSink:
+    """Appends the changed assignments of each micro-batch with their whole state."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = runs.last(spark, self.root)
+        if before is None or before.number <= batch_id:
+            runs.append(batch, self.root, STATE, batch_run(batch_id), before, batch_id + 1, None)
+
+    def attempts(self, spark: SparkSession) -> DataFrame | None:
+        """B7 rows from the newest state of every assignment (batch ids ascend)."""
+        now = runs.last(spark, self.root)
+        if now is None:
+            return None
+        schema = runs.read(spark, f"{self.root}/{STATE}", now.history[-1]).schema
+        states = runs.read_log(spark, f"{self.root}/{STATE}", now.history, schema)
+        newest = states.groupBy("task_assignment_id").agg(
+            F.max_by(F.struct(*[c for c in schema.names if c != "task_assignment_id"]), runs.RUN)
+            .alias("state"))
+        return intermediate.attempts_of_state(newest.select("task_assignment_id", "state.*"))
+
+    def refresh_daily(self, spark: SparkSession) -> None:
+        """Write the daily funnel as of the newest committed batch, if there is one."""
+        now = runs.last(spark, self.root)
+        if now is not None:
+            runs.write(marts.file_upload_daily(self.attempts(spark)), f"{self.root}/{DAILY}",
+                       now.run_id)
+
+    def daily(self, spark: SparkSession) -> DataFrame | None:
+        now = runs.last(spark, self.root)
+        return None if now is None else runs.read(spark, f"{self.root}/{DAILY}", now.run_id)
 
 
 class UploadRefresh:
-    """Per micro-batch, merge events, upload state and the daily mart in one commit."""
+    """The tables that the stream keeps under ``root``: event log, attempts and daily funnel."""
 
-    def __init__(self, root: str, refresh_marts: bool = True, buckets: int = BUCKETS):
-        self.root, self.refresh_marts, self.buckets = f"{root}/tables", refresh_marts, buckets
+    def __init__(self, root: str):
+        self._events, self._state = EventSink(f"{root}/log"), StateSink(f"{root}/state")
 
-    # the tables as they are
     def events(self, spark: SparkSession) -> DataFrame | None:
-        return ManifestTables(spark, self.root).read(EVENTS)
+        return self._events.events(spark)
 
     def attempts(self, spark: SparkSession) -> DataFrame | None:
-        state = ManifestTables(spark, self.root).read(STATE)
-        return None if state is None else intermediate.attempts_of_state(state)
+        return self._state.attempts(spark)
 
     def daily(self, spark: SparkSession) -> DataFrame | None:
-        return ManifestTables(spark, self.root).read(DAILY)
+        return self._state.daily(spark)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("task_assignment_id"), F.lit(self.buckets))
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tables = ManifestTables(spark, self.root)
-        if batch_id <= tables.batch:
-            return                                     # a replay of a committed batch
-        # parse and deduplicate the micro-batch once; everything below reads the written rows
-        landed = f"{self.root}/data/_batch/{uuid.uuid4().hex}"
-        unique = batch.dropDuplicates(["event_natural_key"])
-        unique.withColumn(EVENT_PARTITION, F.to_date("ingestion_timestamp")).write.parquet(landed)
-        rows = spark.read.parquet(landed)
-        changes, schemas = {}, {}
-        days = _values(rows, EVENT_PARTITION)
-        if days:
-            new = self._merge_events(tables, rows, days, changes, schemas)
-            if self.refresh_marts:
-                self._merge_marts(tables, new, changes, schemas)
-        tables.commit(batch_id, changes, schemas)
-
-    def _merge_events(self, tables: ManifestTables, rows: DataFrame, days: list[str],
-                      changes: dict, schemas: dict) -> DataFrame:
-        """Add the batch's unseen events to their load dates; return the unseen events."""
-        schemas[EVENTS] = rows.drop(EVENT_PARTITION).schema.jsonValue()
-        old = tables.read(EVENTS, days)
-        if old is not None:
-            rows = rows.join(old.select("event_natural_key"), "event_natural_key", "left_anti")
-            whole = old.withColumn(EVENT_PARTITION, F.to_date("ingestion_timestamp")).unionByName(rows)
-        else:
-            whole = rows
-        changes[EVENTS] = tables.write(whole, EVENTS, EVENT_PARTITION)
-        return rows.drop(EVENT_PARTITION)
-
-    def _merge_marts(self, tables: ManifestTables, new: DataFrame, changes: dict,
-                     schemas: dict) -> None:
-        fresh = (intermediate.upload_state(intermediate.upload_events(new))
-                 .withColumn(BUCKET, self._bucket()))
-        folder = f"{self.root}/data/_fresh/{uuid.uuid4().hex}"
-        fresh.write.parquet(folder)
-        fresh = tables.spark.read.parquet(folder)
-        buckets = _values(fresh, BUCKET)
-        if not buckets:
-            return
-        fresh = fresh.drop(BUCKET)
-        schemas[STATE] = fresh.schema.jsonValue()
-        old = tables.read(STATE, buckets)
-        ids = fresh.select("task_assignment_id")
-        merged = fresh if old is None else intermediate.merge_upload_states(old.unionByName(fresh))
-        written = tables.write(merged.withColumn(BUCKET, self._bucket()), STATE, BUCKET)
-        changes[STATE] = written
-        # the mart: groups of the changed assignments before and after
-        state_paths = {**tables.partitions(STATE), **written}
-        state = tables.spark.read.schema(fresh.schema).parquet(*state_paths.values())
-        attempts = intermediate.attempts_of_state(state)
-        daily = tables.read(DAILY)
-        if daily is None:
-            mart = marts.file_upload_daily(attempts)
-        else:
-            prior = None if old is None else intermediate.attempts_of_state(
-                old.join(ids, "task_assignment_id", "left_semi"))
-            mart = incremental.upload_daily_of(
-                attempts, daily, attempts.join(ids, "task_assignment_id", "left_semi"), prior)
-        schemas[DAILY] = mart.schema.jsonValue()
-        changes[DAILY] = tables.write(mart.withColumn(DAILY_PARTITION, F.lit(0)), DAILY,
-                                      DAILY_PARTITION)
+def _drain(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+           mode: str) -> None:
+    query = (stream.writeStream.outputMode(mode).foreachBatch(sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
 def run_available(spark: SparkSession, raw_path: str, root: str,
@@ -139,16 +143,18 @@ def run_available(spark: SparkSession, raw_path: str, root: str,
     options = {}
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    stream = staged_event_stream(sinks.stream_raw_events(spark, raw_path, options=options))
-    sink = UploadRefresh(root, refresh_marts)
-    q = (stream.writeStream.foreachBatch(sink)
-         .option("checkpointLocation", f"{root}/_stream_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    ManifestTables(spark, sink.root).vacuum()
-    return sink
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+    tables = UploadRefresh(root)
+
+    def staged() -> DataFrame:
+        return staged_event_stream(sinks.stream_raw_events(spark, raw_path, options=options))
+
+    _drain(staged(), tables._events, f"{root}/_checkpoint_events", "append")
+    if refresh_marts:
+        _drain(upload_state_stream(staged()), tables._state, f"{root}/_checkpoint_state", "update")
+        tables._state.refresh_daily(spark)
+    return tables
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:

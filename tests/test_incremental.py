@@ -76,7 +76,7 @@ def test_stage_events_into_survives_a_lost_commit(spark, scratch, monkeypatch):
     """A run that fails after writing but before its commit loses no days on the retry."""
     import pytest
 
-    from casetrail.sources.manifest import ManifestTables
+    from casetrail.sources import runs
 
     def feed(days):
         return spark.createDataFrame(
@@ -85,26 +85,24 @@ def test_stage_events_into_survives_a_lost_commit(spark, scratch, monkeypatch):
             "event_time string, ingestion_timestamp string, event_type string, event_properties string")
 
     def days():
-        return sorted(r.event_time.day for r in ManifestTables(spark, scratch).read("stg_events").collect())
+        return sorted(r.event_time.day for r in incremental.read_events(spark, scratch).collect())
     incremental.stage_events_into(feed([1, 25]), scratch)
     assert days() == [1, 25]
     with monkeypatch.context() as m:
-        m.setattr(ManifestTables, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(runs, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             incremental.stage_events_into(feed([1, 25, *range(2, 12)]), scratch)
     assert days() == [1, 25]
     everything = feed([1, 25, *range(2, 12)])
     incremental.stage_events_into(everything, scratch)
     assert days() == [*range(1, 12), 25]
-    before = ManifestTables(spark, scratch).partitions("stg_events")
+    before = set(incremental.read_events(spark, scratch).inputFiles())
     incremental.stage_events_into(everything.unionByName(feed([9])), scratch)   # copies, late rows
     assert days() == [*range(1, 12), 25]
-    after = ManifestTables(spark, scratch).partitions("stg_events")
-    assert all(after[f"2024-01-{d:02d}"] == before[f"2024-01-{d:02d}"] for d in range(1, 9))
+    assert before <= set(incremental.read_events(spark, scratch).inputFiles())  # nothing rewritten
 
 
 def test_stage_events_into_keeps_the_lookback(spark, scratch):
-    from casetrail.sources.manifest import ManifestTables
     batch1 = _raw(spark, [("2024-01-01 00:00:00", "2024-01-10 00:00:00", "1"),
                           ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "0")])
     incremental.stage_events_into(batch1, scratch)
@@ -116,7 +114,7 @@ def test_stage_events_into_keeps_the_lookback(spark, scratch):
     for _ in range(2):                                      # the same run twice
         incremental.stage_events_into(everything, scratch)
     got = sorted(r.task_assignment_id for r in
-                 ManifestTables(spark, scratch).read("stg_events").collect())
+                 incremental.read_events(spark, scratch).collect())
     assert got == ["0", "1", "2", "3"]                      # "late" is behind the lookback
 
 
@@ -148,3 +146,37 @@ def test_deactivated_assignment_leaves_no_stale_group(spark):
     days = lambda df: sorted(str(r.metric_date) for r in df.collect())
     assert days(target) == ["2024-01-05", "2024-01-06"]
     assert days(got) == days(want) == ["2024-01-06"]
+
+
+def test_an_unstamped_event_marks_its_assignment(spark):
+    """An event without a load time can have arrived at any time: its assignment is rebuilt."""
+    def upload(name, stamp):
+        return ("2024-01-05 10:00:00", stamp, name, json.dumps({
+            "task_assignment_id": "7", "actor_role": "Beneficiary",
+            "task_plugin_type": "file_upload", "file_count": 1}))
+    schema = ("event_time string, ingestion_timestamp string, event_type string, "
+              "event_properties string")
+    first = [upload(OPEN, "2024-01-05 11:00:00")]
+    later = first + [upload("cw_doc_upload_started", "null")] + [
+        ("2024-02-01 10:00:00", "2024-02-01 11:00:00", OPEN, "{}")]
+    then, now = (staging.stg_events(spark.createDataFrame(r, schema)) for r in (first, later))
+    target = intermediate.file_upload_attempts(then)
+    got = incremental.upload_attempts(now, target).collect()
+    assert got == intermediate.file_upload_attempts(now).collect()
+    assert [r.started_upload for r in got] == [1]
+
+
+def test_version_diff(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("a", T.StringType()),
+                           T.StructField("b", T.StringType()), T.StructField("side", T.IntegerType())])
+    before = [(1, "x", None, 0), (2, "x", "y", 0), (3, None, None, 0), (4, "p", "q", 0),
+              (5, "r", "r", 0), (5, "r", "r", 0), (None, "n", None, 0), (8, "d", "d", 0)]
+    now = [(1, None, "x", 0), (2, "x", "y", 0), (3, None, None, 1), (4, "p", "q", 0), (4, "p", "q", 0),
+           (5, "s", "s", 0), (5, "s", "s", 0), (None, "m", None, 0), (6, None, None, None)]
+    def diff(a, b):
+        return {r.k: r.change for r in incremental.version_diff(
+            spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), "k").collect()}
+    assert diff(before, now) == {1: "changed", 3: "changed", 4: "changed", 5: "changed",
+                                 None: "changed", 6: "inserted", 8: "deleted"}
+    assert diff(before, before[::-1]) == diff([], []) == {}

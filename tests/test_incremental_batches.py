@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from casetrail.functions.casts import safe_timestamp
 from casetrail.operators import incremental, intermediate, marts, staging
 from casetrail.sources import sinks
-from casetrail.sources.manifest import ManifestTables
 from casetrail.sources.fixtures import RawSources
-from casetrail.streaming.events import UploadRefresh
+from casetrail.streaming import events as streaming
 
 
 def _bag(df, cols):
@@ -56,26 +55,25 @@ def test_batches_equal_full_refresh(spark, sf_small, scratch):
     assert _bag(sinks.read_current(spark, t_daily), cols) == _bag(full_daily, cols)
 
 
-def test_partitioned_tables_over_batches_equal_full_refresh(spark, sf_small, scratch):
-    """Same arrival as above through the manifest tables: events by load date, upload state
-    by assignment hash bucket, the daily mart."""
+def test_logs_over_batches_equal_full_refresh(spark, sf_small, scratch):
+    """Same arrival as above through the run tables: the event log, and the streaming sinks."""
     raw = RawSources(spark, sf_small).events
     day = F.datediff(F.to_date(safe_timestamp("ingestion_timestamp")), F.lit("2024-01-01"))
     late = (F.crc32(F.col("event_properties")) % 3 == 0).cast("int")
     landed = raw.withColumn("chunk", F.coalesce(F.floor((day + late) / 10), F.lit(0)))
     chunks = sorted(r.chunk for r in landed.select("chunk").distinct().collect())
 
-    sink = UploadRefresh(scratch)
-    for i, c in enumerate(chunks):
+    for c in chunks:
         feed = landed.where(F.col("chunk") <= c).drop("chunk")
         incremental.stage_events_into(feed, f"{scratch}/batch")
-        sink(staging.stg_events(feed), i)                # overlaps all earlier batches
+        feed.write.mode("append").parquet(f"{scratch}/raw")     # overlaps all earlier batches
+        sink = streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/stream")
 
     full_events = staging.stg_events(raw)
     full_attempts = intermediate.file_upload_attempts(full_events)
     full_daily = marts.file_upload_daily(full_attempts)
     keys = ["event_natural_key"]
-    batch_events = ManifestTables(spark, f"{scratch}/batch").read("stg_events")
+    batch_events = incremental.read_events(spark, f"{scratch}/batch")
     assert _bag(batch_events, keys) == _bag(full_events, keys) == _bag(sink.events(spark), keys)
     cols = full_attempts.columns
     assert _bag(sink.attempts(spark), cols) == _bag(full_attempts, cols)

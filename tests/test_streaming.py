@@ -1,11 +1,12 @@
 """Structured Streaming over small landed files: batch boundaries, replays, crashes."""
 
 import json
+import re
 
 import pytest
 
-from casetrail.operators import intermediate, marts, staging
-from casetrail.sources.manifest import CommitConflict, ManifestTables
+from casetrail.operators import incremental, intermediate, marts, staging
+from casetrail.sources import runs
 from casetrail.streaming import events as streaming
 
 SCHEMA = "event_time string, ingestion_timestamp string, event_type string, event_properties string"
@@ -58,55 +59,119 @@ def test_arrivals_between_runs(spark, scratch):
     assert bag(sink.daily(spark)) == bag(full(spark, FEED)[1])
 
 
-@pytest.mark.parametrize("step", ["write:stg_events", "write:upload_state", "write:file_upload_daily",
-                                  "commit"])
-def test_a_crash_at_any_step_and_a_replay(spark, scratch, monkeypatch, step):
-    """The second batch fails at one step, is run again, and then replayed once more."""
-    sink = streaming.UploadRefresh(scratch)
-    first, second = (staging.stg_events(spark.createDataFrame(p, SCHEMA)) for p in (FEED[:9], FEED[9:]))
-    sink(first, 0)
-    before = bag(sink.daily(spark))
-    write, commit = ManifestTables.write, ManifestTables.commit
+@pytest.mark.parametrize("step", ["commit:log", "write:upload_state", "commit:state"])
+def test_a_crash_at_any_step_and_a_restart(spark, scratch, monkeypatch, step):
+    """The second part of the feed fails at one step; the stream is started again."""
+    def land(part):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{scratch}/raw")
 
-    def failing_write(self, df, table, column):
-        done = write(self, df, table, column)
-        if step == f"write:{table}":
+    def run():
+        return streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/out")
+    land(FEED[:9])
+    sink = run()
+    before, events_before = bag(sink.daily(spark)), sink.events(spark).count()
+    land(FEED[9:])
+    write, commit = runs.write, runs.commit
+
+    def failing_write(df, table, *a, **k):
+        done = write(df, table, *a, **k)
+        if step == f"write:{table.rsplit('/', 1)[1]}":
             raise OSError("lost")
         return done
 
-    def failing_commit(self, *a, **k):
-        if step == "commit":
+    def failing_commit(spark, root, run):
+        if step == f"commit:{root.rsplit('/', 1)[1]}":
             raise OSError("lost")
-        return commit(self, *a, **k)
-    monkeypatch.setattr(ManifestTables, "write", failing_write)
-    monkeypatch.setattr(ManifestTables, "commit", failing_commit)
-    with pytest.raises(OSError):
-        sink(second, 1)
-    assert bag(sink.daily(spark)) == before             # nothing half done is visible
-    monkeypatch.undo()
-    sink(second, 1)
-    sink(second, 1)
+        return commit(spark, root, run)
+    with monkeypatch.context() as m:
+        m.setattr(runs, "write", failing_write)
+        m.setattr(runs, "commit", failing_commit)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    if step == "commit:log":
+        assert sink.events(spark).count() == events_before       # nothing half done is visible
+        assert bag(sink.daily(spark)) == before
     events, daily = full(spark, FEED)
+    run()
     assert sink.events(spark).count() == events.count()
     assert bag(sink.daily(spark)) == bag(daily)
-    assert ManifestTables(spark, sink.root).vacuum() > 0   # the leftovers of the failed run
-    assert bag(sink.daily(spark)) == bag(daily)
-
 
-def test_two_writers_cannot_commit_one_version(spark, scratch):
-    one, two = ManifestTables(spark, scratch), ManifestTables(spark, scratch)
-    one.commit(0, {}, {})
-    with pytest.raises(CommitConflict):
-        two.commit(0, {}, {})
 
-
-def test_a_batch_reads_only_its_own_dates(spark, scratch):
-    sink = streaming.UploadRefresh(scratch, refresh_marts=False)
-    sink(staging.stg_events(spark.createDataFrame(rows([1, 2, 3, 4]), SCHEMA)), 0)
-    before = ManifestTables(spark, sink.root).partitions("stg_events")
-    sink(staging.stg_events(spark.createDataFrame(rows([3], 5), SCHEMA)), 1)
-    after = ManifestTables(spark, sink.root).partitions("stg_events")
-    changed = {d for d in after if after[d] != before.get(d)}
-    assert changed == {"2024-01-03"}
-    read = ManifestTables(spark, sink.root).read("stg_events", ["2024-01-03"])
-    assert all("2024-01-03" in f for f in read.inputFiles())
+def test_a_replayed_batch_changes_nothing(spark, scratch):
+    sink = streaming.EventSink(f"{scratch}/log")
+    batch = staging.stg_events(spark.createDataFrame(FEED, SCHEMA))
+    sink(batch, 0)
+    files = sink.events(spark).inputFiles()
+    sink(batch, 0)                                       # committed: skipped
+    sink(batch, 1)                                       # the same rows again: nothing unseen
+    assert sorted(sink.events(spark).inputFiles()) == sorted(files)
+
+
+def test_a_state_batch_reads_no_stored_state(spark, scratch, monkeypatch):
+    """A micro-batch appends the changed assignments alone and scans none of the sink's tables."""
+    plans = []
+    write = runs.write
+
+    def watching(df, table, *a, **k):
+        plans.append((table, df._jdf.queryExecution().executedPlan().toString(), df.count()))
+        return write(df, table, *a, **k)
+    parts = [rows([1, 2, 3, 4], 10 * i) for i in range(3)] + [rows([5], 10)]
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{scratch}/raw")
+    monkeypatch.setattr(runs, "write", watching)
+    sink = streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/out", max_files_per_trigger=1)
+    states = [(plan, n) for table, plan, n in plans if table.endswith("/upload_state")]
+    assert sorted(n for _, n in states if n) == [1, 4, 4, 4]      # only what each batch changed
+    assert all("upload_state" not in plan for plan, _ in states)
+    feed = [r for part in parts for r in part]
+    assert bag(sink.daily(spark)) == bag(full(spark, feed)[1])
+
+
+def test_two_writers_do_not_mix(spark, scratch):
+    """Two runs from the same state: each is consistent, one is current."""
+    def add(run_id, day):
+        before = runs.last(spark, scratch)
+        rows_of_run = staging.stg_events(spark.createDataFrame(rows([day]), SCHEMA))
+        unseen, newest = incremental.unseen_events(
+            rows_of_run, incremental.read_events(spark, scratch, before), f"{scratch}/_landed/{run_id}")
+        return lambda: runs.append(unseen, scratch, "stg_events", run_id, before,
+                                   before.number + 1 if before else 1, newest, ["ingestion_date"])
+    add("a", 1)()
+    one, two = add("b", 2), add("c", 3)
+    two()
+    one()
+    days = {r.ingestion_date.day for r in incremental.read_events(spark, scratch).collect()}
+    assert runs.last(spark, scratch).run_id == "c" and days == {1, 3}
+
+
+def test_retention_and_compaction(spark, scratch):
+    import datetime as dt
+    for day in (1, 2, 3):
+        incremental.stage_events_into(spark.createDataFrame(rows([day, day]), SCHEMA), scratch)
+    runs.write(spark.range(1), f"{scratch}/stg_events", "unfinished")
+    before = bag(incremental.read_events(spark, scratch).drop("run_id"))
+    tables = ["stg_events", "_landed"]
+    assert [d for d in runs.forget(spark, scratch, tables, keep=1) if "stg" in d] == []
+    schema = incremental.event_schema(spark)
+    runs.compact(spark, scratch, "stg_events", schema, ["ingestion_date"])
+    assert len(runs.last(spark, scratch).history) == 1
+    dropped = runs.forget(spark, scratch, tables, keep=1)
+    assert len([d for d in dropped if d.startswith("stg_events/")]) == 3  # the compacted runs
+    gone = runs.forget(spark, scratch, tables, keep=1, unfinished_after=dt.timedelta(0))
+    assert gone == ["stg_events/unfinished"]
+    assert bag(incremental.read_events(spark, scratch).drop("run_id")) == before
+
+
+def test_a_batch_reads_and_writes_only_its_own_dates(spark, scratch):
+    incremental.stage_events_into(spark.createDataFrame(rows(range(1, 11)), SCHEMA), scratch)
+    before = set(incremental.read_events(spark, scratch).inputFiles())
+    changed = rows(range(1, 11)) + rows([9], 5)
+    seen = incremental.read_events(spark, scratch)
+    unseen, _ = incremental.unseen_events(
+        staging.stg_events(spark.createDataFrame(rows([9], 5), SCHEMA)), seen, f"{scratch}/landing")
+    plan = unseen._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_date#\d+ = 2024-01-09", plan)
+    incremental.stage_events_into(spark.createDataFrame(changed, SCHEMA), scratch)
+    added = set(incremental.read_events(spark, scratch).inputFiles()) - before
+    assert {f.rsplit("ingestion_date=", 1)[1][:10] for f in added} == {"2024-01-09"}
+    assert before <= set(incremental.read_events(spark, scratch).inputFiles())
