@@ -34,16 +34,42 @@ from .common import stored, tasks, texts
 WINDOW, GRAM = 50, 8
 #: Characters of documents behind one bucket, and of strings gathered before a task sends them.
 BUCKET_CHARS, FLUSH_BYTES = 24_000_000, 48_000_000
-#: Words whose hash a task remembers before it starts afresh (memory bound, not a limit).
-CACHE_WORDS = 1_000_000
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def split_line(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text's words joined by one space, as bytes, and where each word starts and ends."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    space = _IS_SPACE[data]
+    keep = ~space
+    keep[1:] |= ~space[:-1]                       # the space right after a word separates
+    line = np.where(space, 32, data)[keep].astype(np.uint8)
+    if len(line) and line[-1] == 32:
+        line = line[:-1]
+    if not len(line):
+        return line, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gaps = np.flatnonzero(line == 32)
+    return line, np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(line)]))
+
+
+def word_hashes(line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of every word, from its length and its first and last eight bytes.
+
+    Hashes choose the minimisers only; words with equal hashes are compared as text like others.
+    """
+    at = np.ndarray(len(line) + 1, "<u8", line.tobytes() + bytes(8), 0, (1,))
+    length = ends - starts
+    head = at[starts] & _FIRST[np.minimum(length, 8)]
+    tail = np.where(length > 8, at[np.maximum(ends - 8, 0)], np.uint64(0))
+    code = head * _MIX[0] + tail * _MIX[1] + length.astype(np.uint64)
+    return (code ^ (code >> np.uint64(32))) * _STEP
 
 
 def minimisers(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
@@ -65,25 +91,20 @@ def minimisers(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np
     return np.minimum(code[:len(code) - rest], code[rest:]) if rest else code
 
 
-def super_kmers(text: str, known: _Hashes, window: int = WINDOW,
+def super_kmers(text: str, window: int = WINDOW,
                 gram: int = GRAM) -> Iterator[tuple[int, int, int, bytes]]:
     """(minimiser, first window, windows, words joined by a space) of a text."""
-    words = text.encode().split()
-    if len(words) < window:
+    line, word_start, word_end = split_line(text)
+    if len(word_start) < window:
         return
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    least = minimisers(hashes, window, gram)
+    least = minimisers(word_hashes(line, word_start, word_end), window, gram)
     cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
     starts = np.concatenate(([0], cuts))
     ends = np.concatenate((cuts, [len(least)]))
-    line = b" ".join(words)
-    after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    first = np.where(starts > 0, after[starts - 1], 0).tolist()
-    last = (after[ends + window - 2] - 1).tolist()
+    whole = line.tobytes()
+    first, last = word_start[starts].tolist(), word_end[ends + window - 2].tolist()
     for m, s, e, a, b in zip(least[starts].tolist(), starts.tolist(), ends.tolist(), first, last):
-        yield m, s, e - s, line[a:b]
+        yield m, s, e - s, whole[a:b]
 
 
 def _packed(found: dict[bytes, list[int]]) -> bytes:
@@ -124,11 +145,11 @@ def _send(buckets: int, window: int, gram: int):
                 yield pa.record_batch([pa.array([b], pa.int32()),
                                        pa.array([_packed(found)], pa.binary())],
                                       ["bucket", "strings"])
-        known, held, size = _Hashes(), {}, 0
+        held, size = {}, 0
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for doc_id, text in zip(ids, texts(batch.column("text"))):
-                for m, _, _, string in super_kmers(text, known, window, gram):
+                for m, _, _, string in super_kmers(text, window, gram):
                     found = held.setdefault(m % buckets, {})
                     entry = found.get(string)
                     if entry is None:
@@ -228,13 +249,12 @@ def _count(window: int):
 def _members(window: int, gram: int):
     """Rows (h1, h2, doc_id, text_key, at): which super-k-mer starts where in a document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 h1, h2, row, first = [], [], [], []
                 for k, text in enumerate(texts(part.column("text"))):
-                    for _, start, _, string in super_kmers(text, known, window, gram):
+                    for _, start, _, string in super_kmers(text, window, gram):
                         a, b = _digest(string)
                         h1.append(a)
                         h2.append(b)

@@ -6,6 +6,8 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from casetrail.llm import queries
 from casetrail.llm import substring_dedup as sub
@@ -39,6 +41,19 @@ def test_minimisers_are_window_minima():
         assert sub.minimisers(hashes, window, gram).tolist() == want
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab\u00e9 \t\n\x0b\x1c\u2003\U0001F600", max_size=80))
+def test_words_of_a_line(text):
+    words = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    line, starts, ends = sub.split_line(text)
+    assert line.tobytes() == b" ".join(words)
+    assert [line[a:b].tobytes() for a, b in zip(starts, ends)] == words
+    if words:
+        hashes = sub.word_hashes(line, starts, ends).tolist()
+        assert all((hashes[i] == hashes[j]) == (words[i] == words[j]) or len(words[i]) > 16
+                   for i in range(len(words)) for j in range(i))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_overlaps(spark, seed, monkeypatch):
     monkeypatch.setattr(sub, "FLUSH_BYTES", 4000)
