@@ -3,6 +3,8 @@
 import math
 
 import duckdb
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -73,3 +75,23 @@ def test_gated_refresh_stops_on_parse_errors(spark, sf_small, scratch):
                                  store_failures=True, error_after_hours=None)
     assert set(results) == {"source", "staging", "intermediate", "mart"}
     assert spark.read.parquet(f"{scratch}/all/_failures").count() > 0
+
+
+@pytest.mark.parametrize("missing", ["sentencepiece", "zstandard", "public_tokenizers",
+                                     "corpus_pipeline", "casetrail.llm"])
+def test_a_missing_optional_module_leaves_the_other_queries(missing):
+    import subprocess
+    import sys
+    code = f"""
+import sys
+class Missing:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r} or name.startswith({missing + "."!r}):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Missing())
+import __spark_entry__ as entry
+print(len(entry.queries()), sum(n.startswith("op") for n in entry.queries()))"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.split() == ["69", "0"]
