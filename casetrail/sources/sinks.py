@@ -1,5 +1,5 @@
 """Table sinks: full refresh (K1), keyed upsert into versioned Parquet (K2),
-stored check failures (K3), and explicit-schema readers for raw sources (S1-S7).
+stored check failures by run (K3), and explicit-schema readers for raw sources (S1-S7).
 
 Plain Parquet has no MERGE, so an upsert writes a complete new version
 directory (``<table>/version=000042``) and readers take the newest version
