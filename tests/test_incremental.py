@@ -150,6 +150,7 @@ def test_deactivated_assignment_leaves_no_stale_group(spark):
 
 def test_an_unstamped_event_marks_its_assignment(spark):
     """An event without a load time can have arrived at any time: its assignment is rebuilt."""
+    from casetrail.operators import intermediate, staging
     def upload(name, stamp):
         return ("2024-01-05 10:00:00", stamp, name, json.dumps({
             "task_assignment_id": "7", "actor_role": "Beneficiary",
