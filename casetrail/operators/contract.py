@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import rate, rounded_mean
-from .percentiles import cell_count, percentiles
+from .percentiles import cell_count, from_counts, merge_value_lists, percentiles
 
 
 class ContractError(ValueError):
@@ -221,6 +221,31 @@ def rollup_percentile(base_df: DataFrame, mart: str, metric: str, grain: str,
     return out.select(*groups, "value", "base_rows", *_context(c, metric, grain, c.base_model))
 
 
+#: Measure of :func:`casetrail.operators.marts.case_duration_values` for each base measure.
+STORED_MEASURES = {"kickoff_to_filing_days": "kickoff"}
+
+
+def rollup_percentile_stored(values: DataFrame, mart: str, metric: str, grain: str,
+                             dimensions: Sequence[str] = DIMS) -> DataFrame:
+    """M4 from the value counts stored per day: :func:`rollup_percentile` without base rows.
+
+    ``values`` has ``(time dimension, *dimensions, measure, cells)``; days merge exactly, and a
+    group whose measure is all NULL stays, with a NULL percentile and no base rows.
+    """
+    c = contract(mart)
+    c.check_request(grain, dimensions)
+    m = c.metric(metric)
+    if m.kind != "percentile":
+        raise ContractError(f"{metric} is a {m.kind}, not a percentile")
+    measure = STORED_MEASURES[m.base_measure]
+    groups = ["period_start", *dimensions]
+    days = (values.where(F.col("measure").isin("_rows", measure))
+            .withColumn("period_start", period_start(c.time_dimension, grain)))
+    out = from_counts(merge_value_lists(days, groups), groups, {"value": (measure, m.percentile)},
+                      extra={"base_rows": cell_count(measure)})
+    return out.select(*groups, "value", "base_rows", *_context(c, metric, grain, c.base_model))
+
+
 def with_quality(rollup: DataFrame, mart: str, status: DataFrame) -> DataFrame:
     """M6: add how fresh the mart's data is and whether one of its checks failed.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import md5_key
 from ..functions.ratios import above_threshold, count_if, rate, rounded_mean
-from .percentiles import cell_count, cell_sum, percentiles
+from .percentiles import cell_count, cell_sum, percentiles, value_lists
 
 MANUAL_TASK_TARGET = 0.20
 DAY_PRODUCT = ("metric_date", "catalog_product_id")
@@ -65,6 +65,16 @@ def case_duration_daily(durations: DataFrame) -> DataFrame:
     )
 
 
+def case_duration_values(durations: DataFrame) -> DataFrame:
+    """The counted durations behind :func:`case_duration_daily`, by day, product and measure.
+
+    Stored beside the mart they are all that a longer period's percentiles, averages and counts
+    need (:func:`casetrail.operators.contract.rollup_percentile_stored`); case rows aren't read.
+    """
+    return value_lists(durations.withColumnRenamed("filing_date", "metric_date"), DAY_PRODUCT,
+                       duration_measures("_rows", "kickoff", "initialized", "created"))
+
+
 def task_share_aggs(target: float = MANUAL_TASK_TARGET):
     """Aggregates shared by the custom-task mart and the lifetime metric."""
     total = F.count(F.lit(1))

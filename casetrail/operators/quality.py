@@ -436,6 +436,15 @@ def volume_anomalies(loads: DataFrame, training_days: int = 28, sensitivity: flo
     daily = (loads.where(F.col("loaded_at").isNotNull())
              .groupBy(F.col("source").alias("series"), F.to_date("loaded_at").alias("day"))
              .agg(F.count(F.lit(1)).alias("value")))
+    return daily_volume_anomalies(daily, training_days, sensitivity, fail_on_zero, seasonality,
+                                  sources)
+
+
+def daily_volume_anomalies(daily: DataFrame, training_days: int = 28, sensitivity: float = 3.0,
+                           fail_on_zero: dict[str, bool] | None = None,
+                           seasonality: str | None = "day_of_week",
+                           sources: list[str] | None = None) -> DataFrame:
+    """:func:`volume_anomalies` of daily counts ``(series, day, value)`` that are known already."""
     scored = score_daily_series(daily, training_days, seasonality, sources)
     zero_fail = F.lit(False)
     for source, rule in (fail_on_zero or {}).items():
@@ -532,17 +541,22 @@ def event_profile(events: DataFrame, day_col: Column, columns: Sequence[str],
     """Payload keys with value kinds and column presence, ``(day, field, kind, n_rows)``,
     from one pass over the feed: each event becomes an array of cells, exploded
     and counted with a map-side-combined aggregate."""
+    return (events.select(day_col.alias("day"),
+                          F.explode(event_cells(columns, payload_col)).alias("c"))
+            .groupBy("day", F.col("c.field").alias("field"), F.col("c.kind").alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def event_cells(columns: Sequence[str], payload_col: str = "event_properties") -> Column:
+    """``array<struct<field, kind>>`` of an event: its payload keys and its filled columns."""
     kv = F.from_json(F.col(payload_col), "map<string,variant>")
     payload_cells = F.transform(F.map_entries(kv), lambda e: F.struct(
         e["key"].alias("field"), value_kind(F.schema_of_variant(e["value"])).alias("kind")))
     column_cells = F.filter(F.array(*[
         F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("field"), F.lit("column").alias("kind")))
         for c in columns]), lambda x: x.isNotNull())
-    cells = F.concat(F.coalesce(payload_cells, F.array().cast(
+    return F.concat(F.coalesce(payload_cells, F.array().cast(
         "array<struct<field:string,kind:string>>")), column_cells)
-    return (events.select(day_col.alias("day"), F.explode(cells).alias("c"))
-            .groupBy("day", F.col("c.field").alias("field"), F.col("c.kind").alias("kind"))
-            .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def column_profile(df: DataFrame, day_col: Column, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from ..operators import contract, quality
 from ..operators.quality import Check
 from ..sources import sinks
 from . import checks as C
-from . import oracle, source_checks
+from . import load_ledger, oracle, refresh, source_checks
 from .models import MODEL_NAMES, Models
 from .registry import query
 
@@ -396,6 +396,32 @@ def q_drift_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.schema_drift(source_checks.table_profile(frames))
 
 
+def _two_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load ledger after two runs: the first saw what was loaded up to a week before the
+    newest load, the second everything, of which it counted the days inside the lookback."""
+    store = refresh.table_store(spark)
+    frames = Models.shared(spark, sf_dir).raw.frames()
+    loaded = source_checks.loads(frames)
+    cut = loaded.agg((F.max("loaded_at") - F.expr("INTERVAL 7 DAYS")).alias("cut")).first()["cut"]
+    early = {s: frames[s].where(source_checks.loaded_at(s) < F.lit(cut)) if s in C.SOURCES
+             else frames[s] for s in frames}
+    first = store("ledger-1", load_ledger.advance(early, None))
+    return store("ledger-2", load_ledger.advance(frames, first))
+
+
+@query("dq_volume_ledger", oracle.with_models("select * from dq_volume", DQ_CTES))
+def q_volume_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10, Q11 from the ledger of two runs: equal to a recount of all days."""
+    return source_checks.daily_volume_frame(load_ledger.volumes(_two_ledgers(spark, sf_dir)))
+
+
+@query("dq_drift_ledger", oracle.with_models(
+    "select * from dq_drift union all select * from dq_table_drift", DQ_CTES))
+def q_drift_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 of all sources from the ledger of two runs: equal to profiling all days again."""
+    return quality.schema_drift(load_ledger.profile(_two_ledgers(spark, sf_dir)))
+
+
 @query("metric_degraded_status", oracle.with_models(
     _degraded_sql("all_status", "dq_freshness"), {**DQ_CTES, "all_status": _ALL_STATUS}))
 def q_degraded(spark: SparkSession, sf_dir: str) -> DataFrame:

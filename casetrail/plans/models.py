@@ -69,6 +69,10 @@ class Models:
     def case_duration_daily(self) -> DataFrame:
         return marts.case_duration_daily(self.case_durations)
 
+    @cached_property
+    def case_duration_values(self) -> DataFrame:
+        return marts.case_duration_values(self.case_durations)
+
     @cached_property
     def custom_tasks_daily(self) -> DataFrame:
         return marts.custom_tasks_daily(self.custom_tasks)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import alerts, contract
 from . import oracle
 from .models import Models
+from .refresh import table_store
 from .registry import query
 
 
@@ -55,7 +56,7 @@ def q_rollup_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.rollup_average(base, "case_duration_daily", "avg_kickoff_to_filing_days", "month")
 
 
-@query("rollup_percentile", oracle.with_models(oracle.with_percentiles(f"""
+_PERCENTILE = oracle.with_models(oracle.with_percentiles(f"""
 select {_period('filing_date', 'month')} as period_start, catalog_product_id,
  count(kickoff_to_filing_days) as base_rows,
  {_ctx('median_kickoff_to_filing_days', 'month', 'case_durations')}
@@ -63,7 +64,10 @@ from case_durations group by 1, 2""",
     f"(select {_period('filing_date', 'month')} as period_start, * from case_durations)",
     ["period_start", "catalog_product_id"], {"value": ("kickoff_to_filing_days", 0.5)},
     ["period_start", "catalog_product_id", "value", "base_rows", "metric_name", "metric_version",
-     "time_grain", "time_dimension", "source_model"])))
+     "time_grain", "time_dimension", "source_model"]))
+
+
+@query("rollup_percentile", _PERCENTILE)
 def q_rollup_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: monthly median kickoff-to-filing days recomputed from case rows."""
     base = Models.shared(spark, sf_dir).case_durations
@@ -71,6 +75,15 @@ def q_rollup_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "median_kickoff_to_filing_days", "month")
 
 
+@query("rollup_percentile_stored", _PERCENTILE)
+def q_rollup_percentile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 from the value counts stored per day: equal to recomputing from case rows."""
+    values = table_store(spark)("case_duration_values",
+                                Models.shared(spark, sf_dir).case_duration_values)
+    return contract.rollup_percentile_stored(values, "case_duration_daily",
+                                             "median_kickoff_to_filing_days", "month")
+
+
 _O, _S = "sum(opened_upload_plugin_count)", "sum(started_upload_count)"
 _A, _F = "sum(completed_upload_with_any_success_count)", "sum(completed_upload_with_full_success_count)"
 

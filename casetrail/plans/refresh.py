@@ -27,7 +27,7 @@ from ..operators import incremental, intermediate, marts, quality, staging
 from ..sources import runs, sinks
 from ..session import checkpoint_dir
 from . import checks as C
-from . import source_checks
+from . import load_ledger, source_checks
 
 Frames = dict[str, DataFrame]
 
@@ -57,6 +57,7 @@ MODELS = {
         C.INTERMEDIATE, ("stg_assignments", "stg_tasks", "stg_cases", "stg_events"),
         intermediate.questionnaire_assignments),
     "case_duration_daily": Model(C.MART, ("case_durations",), marts.case_duration_daily),
+    "case_duration_values": Model(C.MART, ("case_durations",), marts.case_duration_values),
     "custom_tasks_daily": Model(C.MART, ("custom_tasks",), marts.custom_tasks_daily),
     "file_upload_daily": Model(C.MART, ("file_upload_attempts",), marts.file_upload_daily),
     "questionnaire_daily": Model(C.MART, ("questionnaire_assignments",),
@@ -258,8 +259,12 @@ def run_layers(spark: SparkSession, raw: RawData, out_root: str, fail_on_error:
         load_summary = None
         if layer == C.SOURCE:
             judged = error_after_hours is not None
+            ledger = runs.write(
+                load_ledger.advance(frames, load_ledger.read(spark, out_root, last)),
+                f"{out_root}/{load_ledger.TABLE}", run_id)
             load_summary = source_checks.summary(
-                frames, (F.current_timestamp() if as_of is None else as_of) if judged else None,
+                load_ledger.loads(ledger), load_ledger.volumes(ledger), load_ledger.profile(ledger),
+                (F.current_timestamp() if as_of is None else as_of) if judged else None,
                 error_after_hours or C.FRESHNESS_ERROR_HOURS)
             if not judged:
                 load_summary = load_summary.where("kind <> 'freshness'")

@@ -63,3 +63,31 @@ def test_approximate_path_keeps_the_extra_columns(spark):
                     for a in (False, True))
     assert sorted(exact.columns) == sorted(rough.columns)
     assert {r.g: (r.n, r.total) for r in rough.collect()} == {"a": (3, 4), "b": (1, 5)}
+
+
+def test_one_exchange_above_the_counts(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 5)], "g string, v int")
+    plan = percentiles(df, ["g"], {"v": "v", "w": F.col("v") * 2},
+                       {"p50": ("v", 0.5), "p90": ("v", 0.9), "w50": ("w", 0.5)})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2          # the counts and one above
+    assert "Window" not in text
+
+
+def test_stored_lists_merge_like_base_rows(spark):
+    from casetrail.operators import percentiles as P
+    rnd = random.Random(11)
+    rows = [(d, rnd.choice("ab"), None if rnd.random() < 0.2 else rnd.randint(-5, 400))
+            for d in range(90) for _ in range(rnd.randint(0, 30))] + [(200, "c", None)]
+    df = spark.createDataFrame(rows, "d int, g string, x int").withColumn("m", F.expr("d div 30"))
+    measures = {"_rows": F.lit(1), "x": "x"}
+    outputs = {"p50": ("x", 0.5), "p75": ("x", 0.75), "p90": ("x", 0.9)}
+    extra = {"n": P.cell_count("x"), "total": P.cell_sum("x")}
+    lists = P.value_lists(df, ["d", "m", "g"], measures)
+    merged = P.from_counts(P.merge_value_lists(lists, ["m", "g"]), ["m", "g"], outputs, extra)
+    want = P.percentiles(df, ["m", "g"], measures, outputs, extra=extra)
+    key = lambda r: (r.m, r.g)
+    assert sorted(merged.collect(), key=key) == sorted(want.collect(), key=key)
+    assert [r.p50 for r in merged.where("g = 'c'").collect()] == [None]
+    empty = P.value_lists(df.where("false"), ["m", "g"], measures)
+    assert P.from_counts(P.merge_value_lists(empty, ["m", "g"]), ["m", "g"], outputs).collect() == []
