@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,57 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """``name``, lengthened until no column of ``tables`` has it (in any letter case)."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A column expression that a lambda names is computed again for every element; the parameter
+    of a lambda isn't, and the optimiser doesn't inline it.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, zero: int, combine: Callable[[Column, Column], Column],
+            chunk: int = 1000) -> Column:
+    """What ``combine`` (associative) makes of all values before each one, from ``zero`` on.
+
+    A fold that appends copies its array at every step; folding chunks and shifting them by the
+    chunks before keeps the work near the length of the list.
+    """
+    start = F.struct(F.lit(zero).alias("at"), F.array().cast("array<int>").alias("found"))
+
+    def one(part: Column) -> Column:
+        return F.aggregate(part, start, lambda state, v: F.struct(
+            combine(state["at"], v).cast("int").alias("at"),
+            F.concat(state["found"], F.array(state["at"])).alias("found")))
+
+    def parts(whole: Column) -> Column:
+        last = ((F.size(whole) - 1) / chunk).cast("int")
+        return F.transform(F.sequence(F.lit(0), last),
+                           lambda i: one(F.slice(whole, i * chunk + 1, F.lit(chunk))))
+
+    joined = F.aggregate(
+        let(values, parts),
+        F.struct(F.lit(zero).alias("at"), F.array().cast("array<array<int>>").alias("found")),
+        lambda state, part: F.struct(
+            combine(state["at"], part["at"]).cast("int").alias("at"),
+            F.concat(state["found"], F.array(F.transform(
+                part["found"], lambda v: combine(state["at"], v).cast("int")))).alias("found")))
+    return F.flatten(joined["found"])
+
+
 def tasks(spark: SparkSession) -> int:
     """The number of shuffle partitions that the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -10,7 +10,8 @@ with their class; a ``token`` span is reported only where it looks live.
 Positions are counted in code points from 0, the end exclusive.  Spark's pattern functions
 return matches without positions, so every match is wrapped in two control characters (which
 are first replaced by a third in the text, one for one) and positions are added up from the
-lengths of the pieces between them.
+lengths of the pieces between them.  The work of a text grows with its length and its number of
+matches: every list is computed once and walked in order.
 
 Defined cases: a null text counts as empty; texts without matches have no spans; repeated rows
 each get their row, and count once for ownership; a null owner is an owner of its own; extra
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import columns, fresh, let, running, stored
 
 OPEN, CLOSE, PLAIN = "\u0001", "\u0002", "\u0003"
 
@@ -60,33 +61,47 @@ def _spans(text: Column, kind: Kind) -> Column:
     """Spans of one kind in a text, in order of position."""
     marked = F.regexp_replace(F.translate(text, OPEN + CLOSE, PLAIN + PLAIN), kind.pattern,
                               OPEN + "$0" + CLOSE)
-    pieces = F.split(marked, OPEN)
-
-    def step(state: Column, piece: Column) -> Column:
-        match = F.substring_index(piece, CLOSE, 1)
-        span = F.struct(state["at"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
-                        F.lit(kind.name).alias("kind"),
-                        (state["at"] + F.length(match)).alias("end"),
-                        F.regexp_extract(match, kind.pattern, kind.group).alias("value")
-                        if kind.group else match.alias("value"))
-        return F.struct((state["at"] + F.length(piece) - 1).cast("int").alias("at"),
-                        F.concat(state["found"], F.array(span)).alias("found"))
-
-    start = F.struct(F.length(pieces[0]).cast("int").alias("at"),
-                     F.array().cast(f"array<{_SPAN}>").alias("found"))
-    found = F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
-                        start, step, lambda state: state["found"])
-    kept = F.filter(found, lambda s: F.length(s["value"]) >= kind.least)
+
+    def located(pieces: Column, starts: Column) -> Column:
+        def span(piece: Column, i: Column) -> Column:
+            match = F.substring_index(piece, CLOSE, 1)
+            at = F.get(starts, i + 1)
+            return F.struct(at.alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
+                            F.lit(kind.name).alias("kind"),
+                            (at + F.length(match)).cast("int").alias("end"),
+                            F.regexp_extract(match, kind.pattern, kind.group).alias("value")
+                            if kind.group else match.alias("value"))
+        return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), span)
+
+    # every piece but the first holds one closing mark
+    found = let(F.split(marked, OPEN), lambda pieces: let(
+        running(F.transform(pieces, lambda p, i: (F.length(p) - F.least(i, F.lit(1))).cast("int")),
+                0, lambda x, y: x + y),
+        lambda starts: located(pieces, starts)))
+    kept = F.filter(found, lambda s: F.length(s["value"]) >= kind.least).cast(f"array<{_SPAN}>")
     return F.when(text.rlike(kind.pattern), kept).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def spans_column(text: Column) -> Column:
     """All candidate spans of a text ordered by start, then kind; a token that overlaps a base
-    span is part of that span."""
-    base = F.concat(*[_spans(text, k) for k in BASE])
-    tokens = F.filter(_spans(text, TOKEN), lambda t: ~F.exists(
-        base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return F.array_sort(F.concat(base, tokens))
+    span is part of that span.
+
+    One sweep in order of start: a token stands if no base span before it reaches beyond its
+    start, and the next base span starts at its end or later.
+    """
+    token, none = KINDS.index(TOKEN), 2**31 - 1
+
+    def standing(spans: Column) -> Column:
+        reach = running(F.transform(spans, lambda s: F.when(s["rank"] != token, s["end"])
+                                    .otherwise(0)), 0, F.greatest)
+        ahead = F.reverse(running(
+            F.transform(F.reverse(spans), lambda s: F.when(s["rank"] != token, s["start"])
+                        .otherwise(none)), none, F.least))
+        return let(reach, lambda before: let(ahead, lambda after: F.filter(
+            spans, lambda s, i: (s["rank"] != token) | ((F.get(before, i) <= s["start"])
+                                                        & (F.get(after, i) >= s["end"])))))
+
+    return let(F.array_sort(F.concat(*[_spans(text, k) for k in KINDS])), standing)
 
 
 def candidates(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
@@ -174,18 +189,20 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def _masked(text: Column, spans: Column) -> Column:
     """The text with every span (overlapping ones joined) replaced by the mask."""
-    def step(state: Column, s: Column) -> Column:
-        joins = s["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(joins, state["out"]).otherwise(F.concat(
-                state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]),
-                F.lit(MASK))).alias("out"))
+    def opened(before: Column):
+        def piece(s: Column, i: Column) -> Column:
+            at = F.get(before, i)
+            return F.when(s["start"] < at, F.lit("")).otherwise(
+                F.concat(F.substring(text, at + 1, s["start"] - at), F.lit(MASK)))
+        return piece
+
+    def rest(s: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(s, lambda x: x["end"])), F.lit(0))
 
-    return F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda state: F.concat(state["out"],
-                               F.substring(text, state["at"] + 1, F.length(text))))
+    return let(spans, lambda listed: let(
+        running(F.transform(listed, lambda s: s["end"]), 0, F.greatest),
+        lambda before: F.concat(F.array_join(F.transform(listed, opened(before)), ""),
+                                F.substring(text, rest(listed) + 1, F.length(text)))))
 
 
 def redact(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id",
@@ -195,15 +212,16 @@ def redact(docs: DataFrame, owner_col: str = "source", repo_col: str = "doc_id",
     Only the texts that have candidates take part in the join.
     """
     found = stored(candidates(docs, owner_col, repo_col), "secrets")
+    key, listed = fresh("_text_hash", docs), fresh("_spans", docs)
     spans = stored(judged(found, copied_owners).withColumnsRenamed(
-        {"text_hash": "_text_hash", "spans": "_spans"}), "judged")
+        {"text_hash": key, "spans": listed}), "judged")
     text = F.coalesce(F.col("text"), F.lit(""))
     likely = F.lit(False)
     for kind in KINDS:
         likely = likely | text.rlike(kind.pattern)
-    hit = (docs.filter(likely).withColumn("_text_hash", F.sha2("text", 256))
-           .join(spans, "_text_hash", "left")
-           .withColumn("text", F.when(F.col("_spans").isNull(), F.col("text"))
-                       .otherwise(_masked(F.col("text"), F.col("_spans"))))
-           .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    hit = (docs.filter(likely).withColumn(key, F.sha2("text", 256))
+           .join(spans, key, "left")
+           .withColumn("text", F.when(F.col(listed).isNull(), F.col("text"))
+                       .otherwise(_masked(F.col("text"), F.col(listed))))
+           .select(*columns(docs)))
     return hit.unionByName(docs.filter(~likely))

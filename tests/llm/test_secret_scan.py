@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from casetrail.llm import queries, secret_scan
 
@@ -82,3 +83,26 @@ def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert secret_scan.digest(secret_scan.scan(df)).collect() == []
     assert secret_scan.redact(df).collect() == []
+
+
+def test_tokens_beside_base_spans_and_dense_texts(spark):
+    token = "Ab3" * 8
+    many = "".join(f"{i:032x} Tk{i:06d}" + "aB1" * 6 + " " for i in range(1500))
+    rows = [(1, f"{token} token={token} {token}", "a"), (2, many, "b"),
+            (3, f"x{token}-AKIA{'Z9' * 9} {token}", "c")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    start = time.monotonic()
+    got = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan(df)).collect()}
+    assert time.monotonic() - start < 60         # 3000 spans in 90 KB
+    assert got[1].spans.split(",") == ["token:0:24", "assign:25:55", "token:56:80"]
+    assert got[2].n_hex == 1500 and len(got[2].spans.split(",")) == 3000
+    for doc_id, text, _ in rows:
+        counts, sha, listed = brute(text)
+        assert got[doc_id].base_sha256 == sha
+        base = [tuple(map(int, s.split(":")[1:])) for s in listed]
+        for m in re.finditer(secret_scan.TOKEN.pattern, text):
+            free = all(m.end() <= a or b <= m.start() for a, b in base)
+            assert (f"token:{m.start()}:{m.end()}" in got[doc_id].spans.split(",")) == free
+    masked = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert masked[1] == "[SECRET] [SECRET] [SECRET]"
+    assert masked[2] == "[SECRET] " * 3000
