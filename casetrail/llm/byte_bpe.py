@@ -9,7 +9,8 @@ up in the inverse table.
 
 Defined cases: a null text counts as empty and gives no ids; an empty text gives no ids and
 decodes to no bytes; rows are independent, so repeated rows, null ids and extra columns pass
-through unchanged; an empty table gives an empty table.  Texts are encoded whole.
+through unchanged, but for columns named ``ids`` or ``decoded`` (in any letter case), which the
+result's own replace; an empty table gives an empty table.  Texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import columns, fresh, texts
 
 #: Byte b is written as the character with this offset plus b.
 BYTE_BASE = 0x100
@@ -162,9 +163,10 @@ def encode(df: DataFrame, vocab_path: str, pattern: str, text_col: str = "text")
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(df.sparkSession.conf.get(setting)) <= BATCH_ROWS:
         df.sparkSession.conf.set(setting, str(BATCH_ROWS))
-    keep = [c for c in df.columns if c.lower() not in ("ids", "decoded")]
-    return (df.withColumn("_codec", codec_column(vocab_path, pattern, F.col(text_col)))
-              .select(*[F.col(f"`{c}`") for c in keep], "_codec.ids", "_codec.decoded"))
+    codec = fresh("_codec", df)
+    keep = df.drop(*[c for c in df.columns if c.lower() in ("ids", "decoded")])
+    return (df.withColumn(codec, codec_column(vocab_path, pattern, F.col(text_col)))
+              .select(*columns(keep), f"{codec}.ids", f"{codec}.decoded"))
 
 
 def digest(encoded: DataFrame) -> DataFrame:

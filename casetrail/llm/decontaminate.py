@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import columns, fresh, texts
 
 PENALTY = 0.5
 THRESHOLD = 0.5
@@ -272,9 +272,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no test item; all columns stay."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs
+    held, kept = fresh("_leaks", docs), docs
     for items in _prepared(benchmark, threshold):
-        kept = (kept.withColumn("_leaks", leaks_column(items, F.col("text"), threshold))
-                .filter(F.size("_leaks") == 0).select(*columns))
+        kept = (kept.withColumn(held, leaks_column(items, F.col("text"), threshold))
+                .filter(F.size(held) == 0).select(*columns(docs)))
     return kept

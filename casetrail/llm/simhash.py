@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import components
-from .common import stored, tasks, texts
+from .common import columns, fresh, stored, tasks, texts
 
 BITS = 64
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -272,19 +272,19 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     marks = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("mark")),
                    "simhash")
     first = stored(component_of(marks, distance), "components")
+    own, joint, mark, root, least = (fresh(n, docs) for n in ("_kept", "_shared", "_mark", "_root",
+                                                              "_least"))
     kept = (marks.join(first, "mark").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kept")))
-    shared = stored(marks.groupBy(F.col("doc_id").alias("_shared"))
+            .select(F.col("doc_id").alias(own)))
+    shared = stored(marks.groupBy(F.col("doc_id").alias(joint))
                     .agg(F.count(F.lit(1)).alias("n"))
-                    .filter("n > 1 or _shared is null").select("_shared"), "shared-ids")
-    lone = stored(kept.join(shared, F.col("_kept").eqNullSafe(F.col("_shared")), "left_anti"),
-                  "kept-ids")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    alone = docs.join(lone, docs["doc_id"] == lone["_kept"], "left_semi").select(*columns)
-    again = (docs.join(shared, docs["doc_id"].eqNullSafe(shared["_shared"]), "left_semi")
-             .withColumn("_mark", fingerprint_column(F.col("text"), shingle))
-             .join(first.withColumnsRenamed({"mark": "_mark", "root": "_root",
-                                             "component_id": "_least"}), "_mark")
-             .filter(F.col("doc_id").eqNullSafe(F.col("_least")))
-             .dropDuplicates(["_root"]).select(*columns))
+                    .filter((F.col("n") > 1) | F.col(joint).isNull()).select(joint), "shared-ids")
+    lone = stored(kept.join(shared, F.col(own).eqNullSafe(F.col(joint)), "left_anti"), "kept-ids")
+    alone = docs.join(lone, docs["doc_id"] == lone[own], "left_semi").select(*columns(docs))
+    again = (docs.join(shared, docs["doc_id"].eqNullSafe(shared[joint]), "left_semi")
+             .withColumn(mark, fingerprint_column(F.col("text"), shingle))
+             .join(first.withColumnsRenamed({"mark": mark, "root": root, "component_id": least}),
+                   mark)
+             .filter(F.col("doc_id").eqNullSafe(F.col(least)))
+             .dropDuplicates([root]).select(*columns(docs)))
     return alone.unionByName(again)
