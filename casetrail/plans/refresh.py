@@ -57,7 +57,6 @@ MODELS = {
         C.INTERMEDIATE, ("stg_assignments", "stg_tasks", "stg_cases", "stg_events"),
         intermediate.questionnaire_assignments),
     "case_duration_daily": Model(C.MART, ("case_durations",), marts.case_duration_daily),
-    "case_duration_values": Model(C.MART, ("case_durations",), marts.case_duration_values),
     "custom_tasks_daily": Model(C.MART, ("custom_tasks",), marts.custom_tasks_daily),
     "file_upload_daily": Model(C.MART, ("file_upload_attempts",), marts.file_upload_daily),
     "questionnaire_daily": Model(C.MART, ("questionnaire_assignments",),
@@ -203,6 +202,10 @@ def _check_layer(frames: Frames, layer: str, out_root: str, run_id: str, fail_on
 EVENTS = incremental.EVENTS_TABLE
 
 
+#: Value counts by day beside the duration mart, for the percentiles of longer periods.
+DURATION_VALUES = "case_duration_values"
+
+
 def _events(spark: SparkSession, root: str, run: runs.Run) -> DataFrame:
     return incremental.read_events(spark, root, run).drop(runs.RUN, incremental.EVENT_PARTITION)
 
@@ -272,6 +275,7 @@ def run_layers(spark: SparkSession, raw: RawData, out_root: str, fail_on_error:
                                       store_failures, load_summary, counts)
 
     counts = quality.RowCounts(C.ALL_CHECKS)
-    build_stored(raw, write, check, before=before, add_events=add_events, counts=counts)
+    frames = build_stored(raw, write, check, before=before, add_events=add_events, counts=counts)
+    write(DURATION_VALUES, marts.case_duration_values(frames["case_durations"]))
     runs.commit(spark, out_root, this_run())
     return results

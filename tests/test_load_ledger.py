@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from casetrail.operators import quality
+from casetrail.operators import contract, quality
 from casetrail.plans import checks as C
 from casetrail.plans import load_ledger, refresh, source_checks
 from casetrail.sources import runs
@@ -92,6 +92,14 @@ def test_pipeline_runs_hand_the_ledger_on(spark, sf_small, scratch, monkeypatch)
     assert seen[0] is None and set(seen[1]) == set(C.SOURCES)
     ledger = load_ledger.read(spark, scratch, runs.last(spark, scratch))
     assert _rows(ledger) == _rows(count(frames))
+    # the run also leaves the value counts that roll-ups merge
+    run = runs.last(spark, scratch)
+    values = runs.read(spark, f"{scratch}/{refresh.DURATION_VALUES}", run.run_id)
+    stored = contract.rollup_percentile_stored(values, "case_duration_daily",
+                                               "p90_kickoff_to_filing_days", "month")
+    base = contract.rollup_percentile(refresh.read_run(spark, scratch)["case_durations"],
+                                      "case_duration_daily", "p90_kickoff_to_filing_days", "month")
+    assert stored.count() > 0 and _rows(stored) == _rows(base)
     assert load_ledger.read(spark, f"{scratch}/none", runs.last(spark, scratch)) is None
 
 
