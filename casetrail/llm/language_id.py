@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import columns, fresh, held_out
 
 UNKNOWN = "und"
 #: Bound of a language's labelled sample, landmarks among it, and landmarks of all languages.
 PER_LANGUAGE, LANDMARKS, ALL_LANDMARKS = 300, 64, 4096
+#: Parts in which a language's texts are ranked, so that no language is one task.
+SAMPLE_PARTS = (64, 8, 1)
 RIDGE = 1e-2
 GRAMS = 256 + (1 << 16) + (1 << 24)
 BATCH = 64
@@ -138,11 +140,13 @@ def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[t
     train = (docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
                          & F.col("text").rlike(r"\p{L}"))
              .select("text", "lang", F.xxhash64("text").alias("_place")))
-    order = Window.partitionBy("lang").orderBy("_place")
-    last = (train.select("lang", "_place").distinct()
-            .withColumn("_nth", F.row_number().over(order))
-            .filter(F.col("_nth") <= per_language)
-            .groupBy("lang").agg(F.max("_place").alias("last")).collect())
+    # a language of most of the rows is ranked in parts, the best of them in fewer parts
+    places = train.select("lang", "_place").distinct()
+    for parts in SAMPLE_PARTS:
+        order = Window.partitionBy("lang", F.pmod("_place", F.lit(parts))).orderBy("_place")
+        places = (places.withColumn("_nth", F.row_number().over(order))
+                  .filter(F.col("_nth") <= per_language).drop("_nth"))
+    last = places.groupBy("lang").agg(F.max("_place").alias("last")).collect()
     if not last:
         return []
     bound = F.create_map(*[F.lit(v) for r in last for v in (r["lang"], r["last"])])
@@ -175,7 +179,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least_score: float = 0.25) -> DataFrame:
     """Rows whose language is recognised with at least ``least_score``; all columns stay."""
-    found = language_column(fit(labelled_sample(docs)), F.col("text"))
-    return (docs.withColumn("_found", found)
-            .filter((F.col("_found.lang") != UNKNOWN) & (F.col("_found.score") >= least_score))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    found = fresh("_found", docs)
+    return (docs.withColumn(found, language_column(fit(labelled_sample(docs)), F.col("text")))
+            .filter((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.score") >= least_score))
+            .select(*columns(docs)))

@@ -4,6 +4,7 @@ import zlib
 from math import sqrt
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from casetrail.llm import language_id as lid
 from casetrail.llm import queries
@@ -81,3 +82,17 @@ def test_every_language_is_learned(spark):
     by_lang = [sum(lang == f"l{i:02}" for _, lang in sample) for i in range(70)]
     assert max(by_lang) == 5 and min(by_lang) >= 2
     assert len(lid.fit(sample).names) == 70
+
+
+def test_sample_is_the_first_texts_by_hash(spark):
+    """Ranking in parts picks what one ranking per language would, copies counted once."""
+    rows = [(i, f"some words number {i % 700} {chr(97 + i % 26)}", "en" if i % 9 else "fr")
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    place = {r.text: r.place for r in df.select("text", F.xxhash64("text").alias("place"))
+             .distinct().collect()}
+    want = []
+    for lang in ("en", "fr"):
+        seen = {t for i, t, l in rows if l == lang and zlib.crc32(str(i).encode()) % 5}
+        want += [(t, lang) for t in sorted(seen, key=place.get)[:40]]
+    assert sorted(lid.labelled_sample(df, per_language=40)) == sorted(want)
