@@ -6,18 +6,24 @@ their host: links between hosts form a weighted graph, trust walks along links f
 seed hosts and distrust walks against links from blocked seed hosts (personalised PageRank,
 restarting at the seeds).  A host is blocked if distrust that reached it makes up more than
 ``share`` of the mass that reached it.  The restart mass at a seed itself isn't counted: a host
-is not blocked for its own rule.  A host is a seed if the rules decide most of its pages alike.
+is not blocked for its own rule.  A host is a seed if the rules decide most of its pages alike;
+one that links point to but that has no page here is a seed if a rule for whole hosts decides it.
 
 The walk is a truncated power series: in each round every host passes ``damping`` of its
-arrived mass to its neighbours; rounds end when no mass moves, or after ``rounds``.
+arrived mass to its neighbours; rounds end when no mass moves, or when what can still move is
+below ``tolerance`` of the seeds' mass.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule and
 is allowed; a null html has no links; repeated rows each get their row (and repeat their links'
-weight); an empty table gives an empty table; other columns are ignored.
+weight); an empty table gives an empty table; other columns are ignored.  Of fitting rules of
+equal length the first in text order decides; a distrust of exactly ``share`` doesn't block.  Html
+of any length is searched whole.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +37,7 @@ LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 DAMPING = 0.85
-ROUNDS = 20
+TOLERANCE = 1e-3
 SHARE = 0.5
 
 
@@ -65,19 +71,30 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")))
 
 
-def seeds(parsed: DataFrame) -> DataFrame:
-    """Seed hosts (host, walk, mass): hosts most of whose pages the rules decide alike."""
+def rounds_of(damping: float, tolerance: float) -> int:
+    """Rounds after which at most ``tolerance`` of the seeds' mass still moves."""
+    return math.ceil(math.log(tolerance) / math.log(damping))
+
+
+def seeds(parsed: DataFrame, links: DataFrame, rules=RULES) -> DataFrame:
+    """Seed hosts (host, walk, mass): hosts most of whose pages the rules decide alike, and
+    targets of links without a page that a rule for whole hosts decides."""
+    action = rule_of(F.col("host"), F.lit("/"), rules)["action"]
+    beyond = (links.select(F.col("dst").alias("host")).distinct()
+              .join(parsed.select("host").distinct(), "host", "left_anti")
+              .select("host", F.when(action == "allow", "trust")
+                      .when(action == "block", "distrust").alias("walk")))
     hosts = parsed.filter(F.col("host") != "").groupBy("host").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("action") == "allow").alias("trust"),
         F.count_if(F.col("action") == "block").alias("distrust"))
     return (hosts.select("host", F.when(2 * F.col("trust") > F.col("n"), "trust")
                          .when(2 * F.col("distrust") > F.col("n"), "distrust").alias("walk"))
-            .filter("walk is not null").withColumn("mass", F.lit(1.0)))
+            .unionByName(beyond).filter("walk is not null").withColumn("mass", F.lit(1.0)))
 
 
 def propagate(links: DataFrame, seed: DataFrame, damping: float = DAMPING,
-              rounds: int = ROUNDS) -> DataFrame:
+              tolerance: float = TOLERANCE) -> DataFrame:
     """Mass that reached each host from other hosts: (host, trust, distrust)."""
     along = links.select(F.lit("trust").alias("walk"), "src", "dst", "weight")
     against = links.select(F.lit("distrust").alias("walk"), F.col("dst").alias("src"),
@@ -89,7 +106,7 @@ def propagate(links: DataFrame, seed: DataFrame, damping: float = DAMPING,
                    "host-links")
     moving = seed
     arrived = []
-    for _ in range(rounds):
+    for _ in range(rounds_of(damping, tolerance)):
         moving = stored(
             moving.join(edges, (moving["walk"] == edges["walk"]) & (moving["host"] == edges["src"]))
             .groupBy(F.col("dst").alias("host"), edges["walk"].alias("walk"))
@@ -105,14 +122,15 @@ def propagate(links: DataFrame, seed: DataFrame, damping: float = DAMPING,
         F.sum(F.when(F.col("walk") == "distrust", F.col("mass")).otherwise(0.0)).alias("distrust"))
 
 
-def judge(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS,
-          share: float = SHARE) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, damping: float = DAMPING,
+          tolerance: float = TOLERANCE, share: float = SHARE) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of ``pages``."""
     parsed = (pages.select("page_id", host_of(F.col("url")).alias("host"),
                            path_of(F.col("url")).alias("path"))
               .withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
               .select("page_id", "host", "path", "_rule.rule", "_rule.action"))
-    mass = propagate(host_links(pages), seeds(parsed), damping, rounds)
+    links = stored(host_links(pages), "host-graph")
+    mass = propagate(links, seeds(parsed, links, rules), damping, tolerance)
     blocked = stored(mass.filter(F.col("distrust") > share * (F.col("trust") + F.col("distrust")))
                      .select("host", F.lit("block").alias("by_links")), "blocked-hosts")
     return (parsed.join(blocked, "host", "left")
@@ -120,9 +138,11 @@ def judge(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int =
                     F.coalesce("action", "by_links", F.lit("allow")).alias("verdict")))
 
 
-def oracle_sql(rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS,
+def oracle_sql(rules=RULES, damping: float = DAMPING, tolerance: float = TOLERANCE,
                share: float = SHARE) -> str:
     """The same judgement in DuckDB SQL, one CTE for each round."""
+    rounds = rounds_of(damping, tolerance)
+
     def parts(url: str) -> str:
         pattern = "'^.*?://([^/?#]*)([^?#]*)'"
         return (f"translate(regexp_extract(coalesce({url}, ''), {pattern}, 1, 's'), "
@@ -150,7 +170,12 @@ def oracle_sql(rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS,
         "FROM both_ways)",
         "r0 AS (SELECT host, CASE WHEN 2 * count(*) FILTER (action = 'allow') > count(*) "
         "THEN 'trust' WHEN 2 * count(*) FILTER (action = 'block') > count(*) THEN 'distrust' END "
-        "AS walk, 1.0::double AS mass FROM parsed WHERE host <> '' GROUP BY host)",
+        "AS walk, 1.0::double AS mass FROM parsed WHERE host <> '' GROUP BY host UNION ALL "
+        "SELECT dst, CASE arg_max(action, length(rule) * 1000000 - nth) WHEN 'allow' THEN 'trust' "
+        "WHEN 'block' THEN 'distrust' END, 1.0::double FROM (SELECT DISTINCT dst FROM links "
+        "WHERE dst NOT IN (SELECT host FROM parsed)) t JOIN "
+        "(SELECT *, row_number() OVER (ORDER BY rule) AS nth FROM rules) w "
+        "ON (dst = rule_host OR ends_with(dst, '.' || rule_host)) AND rule_path = '/' GROUP BY dst)",
     ]
     for k in range(1, rounds + 1):
         ctes.append(f"r{k} AS (SELECT dst AS host, e.walk, sum(mass * p) * {damping} AS mass "

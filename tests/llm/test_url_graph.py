@@ -61,3 +61,17 @@ def test_query_against_sql(spark, sf_small):
 
 def test_empty(spark):
     assert url_graph.judge(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_seeds_beyond_the_crawl_and_long_chains(spark):
+    """A blocked host without a page is a seed; distrust passes on along 30 hosts."""
+    rows = [page(i, f"http://a.example.info/{i}", "http://spam.net/x") for i in range(5)]
+    rows += [page(10, "http://c0.io/", "http://x.spam.net/"), page(50, "http://m.io/", "http://k.fr/")]
+    rows += [page(10 + i, f"http://c{i}.io/", f"http://c{i - 1}.io/") for i in range(1, 30)]
+    got = url_graph.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.page_id for r in got if r.verdict == "allow"} == {50}
+    con = duckdb.connect()
+    con.execute("create table pages(page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    assert bag(got) == bag(con.sql(url_graph.oracle_sql()).fetchall())
+    assert url_graph.DAMPING ** url_graph.rounds_of(url_graph.DAMPING, 1e-3) <= 1e-3
