@@ -94,4 +94,4 @@ print(len(entry.queries()), sum(n.startswith("op") for n in entry.queries()))"""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root)
     assert out.returncode == 0, out.stderr
-    assert out.stdout.split() == ["69", "0"]
+    assert out.stdout.split() == ["72", "0"]
