@@ -96,3 +96,39 @@ def test_sample_is_the_first_texts_by_hash(spark):
         seen = {t for i, t, l in rows if l == lang and zlib.crc32(str(i).encode()) % 5}
         want += [(t, lang) for t in sorted(seen, key=place.get)[:40]]
     assert sorted(lid.labelled_sample(df, per_language=40)) == sorted(want)
+
+
+def test_query_against_a_plain_kernel_version(spark, sf_small):
+    """The whole query from sets of n-grams: sample, landmarks, ridge regression, scores."""
+    place = F.xxhash64("text").alias("place")
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("*", place).collect()
+    sample = {}
+    for d in docs:
+        if zlib.crc32(str(d.doc_id).encode()) % 5 and d.lang and lid.normal(d.text):
+            sample.setdefault(d.lang, {})[d.text] = d.place
+    train = sorted((p, t, lang) for lang, found in sample.items()
+                   for t, p in sorted(found.items(), key=lambda x: x[1])[:lid.PER_LANGUAGE])
+    names = sorted(sample)
+    sets = [(plain_grams(t), lang) for _, t, lang in train]
+    marks = [g for name in names for g in [g for g, lang in sets if lang == name][:lid.LANDMARKS]]
+
+    def kernel(a):
+        return [len(a & m) / sqrt(len(a) * len(m)) for m in marks]
+    values, vectors = np.linalg.eigh(np.array([kernel(m) for m in marks]))
+    good = values > 1e-6 * values.max()
+    root = vectors[:, good] / np.sqrt(values[good])
+    z = np.array([kernel(g) for g, _ in sets]) @ root
+    y = np.array([[1.0 if lang == n else -1.0 for n in names] for _, lang in sets])
+    zc, yc = z - z.mean(0), y - y.mean(0)
+    w = np.linalg.solve(zc.T @ zc + lid.RIDGE * np.eye(zc.shape[1]), zc.T @ yc)
+    got = {r.doc_id: r for r in queries.op8_language_id(spark, sf_small).collect()}
+    assert sorted(got) == sorted(d.doc_id for d in docs)
+    for d in docs:
+        r = got[d.doc_id]
+        if not lid.normal(d.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        out = (np.array(kernel(plain_grams(d.text))) @ root - z.mean(0)) @ w + y.mean(0)
+        assert abs(r.score - min(1.0, max(0.0, (1 + out.max()) / 2))) < 2e-3, d.doc_id
+        second = np.sort(out)[-2]
+        assert r.lang_pred == names[int(out.argmax())] or out.max() - second < 2e-3
