@@ -10,6 +10,10 @@ Skew: equal super-k-mers are merged where they are read, with their least and gr
 so a group of copies reaches its bucket as one string per task; what each document must look
 up travels apart (``members``) in a join that adaptive execution can split.  A run of equal
 words keeps one minimiser and stays one super-k-mer.  Strings travel compressed, many to a row.
+A phrase that many documents hold with different words around it gives one minimiser many
+different strings.  The strings of such a hot minimiser (more than ``HOT`` super-k-mers) go to
+buckets by their own hash instead; their windows' digests are counted by a grouped minimum that
+combines before it shuffles.  All strings of a minimiser go one way, so the counts stay exact.
 
 Defined cases: words are runs without ASCII white space, unchanged; a null text has no words;
 documents shorter than a window lose nothing; rows that share a doc_id are one document for the
@@ -34,6 +38,9 @@ from .common import stored, tasks, texts
 WINDOW, GRAM = 50, 8
 #: Characters of documents behind one bucket, and of strings gathered before a task sends them.
 BUCKET_CHARS, FLUSH_BYTES = 24_000_000, 48_000_000
+#: Super-k-mers of a minimiser above which it is hot, and the most hot minimisers there can be:
+#: of n super-k-mers a hot one has more than n / HOT_LIST, so the list stays below 8 MB.
+HOT, HOT_LIST = 50_000, 1_000_000
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -137,8 +144,9 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
-def _send(buckets: int, window: int, gram: int):
-    """Rows (bucket, strings): the different super-k-mers of a task, by bucket."""
+def _send(buckets: int, window: int, gram: int, hot: frozenset[int]):
+    """Rows (bucket, strings): the different super-k-mers of a task, by bucket; those of hot
+    minimisers in as many buckets more, by the string's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
             for b, found in held.items():
@@ -150,7 +158,9 @@ def _send(buckets: int, window: int, gram: int):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, text in zip(ids, texts(batch.column("text"))):
                 for m, _, _, string in super_kmers(text, window, gram):
-                    found = held.setdefault(m % buckets, {})
+                    bucket = (buckets + xxhash.xxh3_64_intdigest(string) % buckets if m in hot
+                              else m % buckets)
+                    found = held.setdefault(bucket, {})
                     entry = found.get(string)
                     if entry is None:
                         found[string] = [m, doc_id, doc_id]
@@ -164,18 +174,23 @@ def _send(buckets: int, window: int, gram: int):
     return run
 
 
+def _window_digests(string: bytes, window: int) -> list[bytes]:
+    """The 128-bit digests of a string's windows."""
+    words = string.split(b" ")
+    after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    first = np.concatenate(([0], after[:len(words) - window])).tolist()
+    return [xxhash.xxh3_128_digest(string[a:b])
+            for a, b in zip(first, (after[window - 1:] - 1).tolist())]
+
+
 def _window_least(strings: list[bytes], least: list[int], window: int) -> list[np.ndarray]:
     """For every string the least doc_id of each of its windows, over all the strings."""
     digests, owners, counts = [], [], []
     for string, doc_id in zip(strings, least):
-        words = string.split(b" ")
-        after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        n = len(words) - window + 1
-        first = np.concatenate(([0], after[:n - 1])).tolist()
-        digests += [xxhash.xxh3_128_digest(string[a:b])
-                    for a, b in zip(first, (after[window - 1:] - 1).tolist())]
-        owners += [doc_id] * n
-        counts.append(n)
+        own = _window_digests(string, window)
+        digests += own
+        owners += [doc_id] * len(own)
+        counts.append(len(own))
     codes = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
     order = np.lexsort((codes[:, 1], codes[:, 0]))
     ranked, ids = codes[order], np.array(owners, np.int64)
@@ -194,39 +209,77 @@ def _runs(least: np.ndarray, most: int) -> tuple[list[int], list[int], list[int]
     return heads[keep].tolist(), sizes[keep].tolist(), least[heads][keep].tolist()
 
 
-_SHARED = "h1 long, h2 long, first array<int>, size array<int>, least array<long>"
-
-
-def _count(window: int):
+#: A counted super-k-mer has ``first``, ``size`` and ``least``; one of a hot minimiser still has
+#: its ``windows`` to be counted, and the least and greatest document that holds it.
+_COUNTED = {"h1": pa.int64(), "h2": pa.int64(), "first": pa.list_(pa.int32()),
+            "size": pa.list_(pa.int32()), "least": pa.list_(pa.int64()),
+            "windows": pa.list_(pa.binary()), "low": pa.int64(), "high": pa.int64()}
+_COUNTED_DDL = ("h1 long, h2 long, first array<int>, size array<int>, least array<long>, "
+                "windows array<binary>, low long, high long")
+
+
+def _counted_batch(**given: list) -> pa.RecordBatch:
+    n = len(given["h1"])
+    return pa.record_batch(
+        [_signed(given[c]) if c in ("h1", "h2") else
+         pa.array(given[c], kind) if c in given else pa.nulls(n, kind)
+         for c, kind in _COUNTED.items()], list(_COUNTED))
+
+
+def _hot_rows(merged: dict[bytes, tuple[int, int]], window: int) -> Iterator[pa.RecordBatch]:
+    """The different strings of a bucket of hot minimisers with their windows' digests."""
+    names = ("h1", "h2", "windows", "low", "high")
+    rows = {c: [] for c in names}
+    held = 0
+    for string, (low, high) in merged.items():
+        windows = _window_digests(string, window)
+        for c, value in zip(names, (*_digest(string), windows, low, high)):
+            rows[c].append(value)
+        held += len(windows)
+        if held >= 100_000:
+            yield _counted_batch(**rows)
+            rows, held = {c: [] for c in names}, 0
+    yield _counted_batch(**rows)
+
+
+def _count(buckets: int, window: int):
     """The super-k-mers of a bucket that have windows in several documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, bodies = [], []
+        heads, bodies, hot = [], [], False
+        merged: dict[bytes, tuple[int, int]] = {}
+
+        def merge(string: bytes, low: int, high: int) -> None:
+            lo, hi = merged.get(string, (low, high))
+            merged[string] = (min(lo, low), max(hi, high))
+
         for batch in batches:
-            for blob in batch.column("strings"):
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("strings")):
                 size, m, low, high, body = _unpacked(blob.as_buffer())
                 end = np.cumsum(size, dtype=np.int64)
+                if bucket >= buckets:
+                    hot = True
+                    for a, b, lo, hi in zip((end - size).tolist(), end.tolist(), low.tolist(),
+                                            high.tolist()):
+                        merge(body[a:b], lo, hi)
+                    continue
                 heads.append((np.full(len(m), len(bodies)), end - size, end, m, low, high))
                 bodies.append(body)
+        if hot:
+            yield from _hot_rows(merged, window)
+            merged.clear()
         if not bodies:
             return
         src, start, end, m, low, high = (np.concatenate(c) for c in zip(*heads))
         order = np.argsort(m, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], m[order][1:] != m[order][:-1], [True])))
-        rows = [[] for _ in range(5)]
-
-        def out():
-            kinds = (None, None, pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
-            return pa.record_batch([_signed(r) if k is None else pa.array(r, k)
-                                    for r, k in zip(rows, kinds)],
-                                   ["h1", "h2", "first", "size", "least"])
+        names = ("h1", "h2", "first", "size", "least")
+        rows = {c: [] for c in names}
         for a, b in zip(cuts, cuts[1:]):
             if b - a == 1 and low[order[a]] == high[order[a]]:
                 continue
-            merged: dict[bytes, tuple[int, int]] = {}
+            merged.clear()
             for i in order[a:b]:
-                string = bodies[src[i]][start[i]:end[i]]
-                lo, hi = merged.get(string, (low[i], high[i]))
-                merged[string] = (min(lo, int(low[i])), max(hi, int(high[i])))
+                merge(bodies[src[i]][start[i]:end[i]], int(low[i]), int(high[i]))
             strings = list(merged)
             lows = [lo for lo, _ in merged.values()]
             if len(strings) == 1:
@@ -237,51 +290,79 @@ def _count(window: int):
             for string, (_, hi), least in zip(strings, merged.values(), leasts):
                 first, size, ids = _runs(least, hi)
                 if first:
-                    for column, value in zip(rows, (*_digest(string), first, size, ids)):
-                        column.append(value)
-            if len(rows[0]) >= 2000:
-                yield out()
-                rows = [[] for _ in range(5)]
-        yield out()
+                    for c, value in zip(names, (*_digest(string), first, size, ids)):
+                        rows[c].append(value)
+            if len(rows["h1"]) >= 2000:
+                yield _counted_batch(**rows)
+                rows = {c: [] for c in names}
+        yield _counted_batch(**rows)
     return run
 
 
 def _members(window: int, gram: int):
-    """Rows (h1, h2, doc_id, text_key, at): which super-k-mer starts where in a document."""
+    """Rows (m, h1, h2, doc_id, text_key, at): which super-k-mer, of which minimiser, starts
+    where in a document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                h1, h2, row, first = [], [], [], []
+                least, h1, h2, row, first = [], [], [], [], []
                 for k, text in enumerate(texts(part.column("text"))):
-                    for _, start, _, string in super_kmers(text, window, gram):
+                    for m, start, _, string in super_kmers(text, window, gram):
                         a, b = _digest(string)
+                        least.append(m)
                         h1.append(a)
                         h2.append(b)
                         row.append(k)
                         first.append(start)
                 where = pa.array(row, pa.int32())
                 yield pa.record_batch(
-                    [_signed(h1), _signed(h2), part.column("doc_id").take(where),
+                    [_signed(least), _signed(h1), _signed(h2), part.column("doc_id").take(where),
                      part.column("text_key").take(where), pa.array(first, pa.int32())],
-                    ["h1", "h2", "doc_id", "text_key", "at"])
+                    ["m", "h1", "h2", "doc_id", "text_key", "at"])
     return run
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def hot_minimisers(members: DataFrame, hot: int = HOT) -> frozenset[int]:
+    """The minimisers of more than ``hot`` super-k-mers, at most ``HOT_LIST`` of them."""
+    limit = max(hot, members.count() // HOT_LIST)
+    found = members.groupBy("m").count().filter(F.col("count") > limit).select("m").toPandas()
+    return frozenset(found["m"].to_numpy(np.int64).view(np.uint64).tolist())
+
+
+def _count_hot(counted: DataFrame) -> DataFrame:
+    """The super-k-mers of hot minimisers that have windows in several documents."""
+    windows = (counted.filter("windows is not null")
+               .select("h1", "h2", "low", "high", F.posexplode("windows").alias("k", "w")))
+    least = windows.groupBy("w").agg(F.min("low").alias("least"))
+    return (windows.join(least, "w").filter("least < high").groupBy("h1", "h2")
+            .agg(F.collect_list(F.struct("k", "least")).alias("found"))
+            .select("h1", "h2", F.col("found.k").alias("first"),
+                    F.transform("found", lambda _: F.lit(1)).alias("size"),
+                    F.col("found.least").alias("least")))
+
+
+def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
+                    hot: int = HOT) -> DataFrame:
     """(doc_id, text_key, first, size): the window ranges of each document to remove."""
     spark = docs.sparkSession
     keyed = (docs.filter("doc_id is not null and text is not null")
              .select("doc_id", F.xxhash64("text").alias("text_key"), "text"))
     chars = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(tasks(spark), chars // BUCKET_CHARS)
-    shared = (keyed.select("doc_id", "text").mapInArrow(_send(buckets, window, gram),
-                                                        "bucket int, strings binary")
-              .repartitionById(buckets, F.col("bucket")).mapInArrow(_count(window), _SHARED))
-    shared = stored(shared, "shared-windows")
-    members = keyed.mapInArrow(_members(window, gram),
-                               "h1 long, h2 long, doc_id long, text_key long, at int")
-    # The same super-k-mer in one bucket is one row of ``shared``: its bucket is its minimiser's.
+    members = stored(keyed.mapInArrow(
+        _members(window, gram), "m long, h1 long, h2 long, doc_id long, text_key long, at int"),
+        "members")
+    found = hot_minimisers(members, hot)
+    counted = stored(keyed.select("doc_id", "text")
+                     .mapInArrow(_send(buckets, window, gram, found), "bucket int, strings binary")
+                     .repartitionById(buckets * (2 if found else 1), F.col("bucket"))
+                     .mapInArrow(_count(buckets, window), _COUNTED_DDL), "shared-windows")
+    # The same super-k-mer in one bucket is one row of ``shared``: its bucket is its minimiser's,
+    # or its own hash's if that is hot.
+    shared = counted.filter("windows is null").select("h1", "h2", "first", "size", "least")
+    if found:
+        shared = shared.unionByName(_count_hot(counted))
     hits = members.join(shared, ["h1", "h2"]).select(
         "doc_id", "text_key", F.filter(
             F.transform(F.arrays_zip("first", "size", "least"), lambda r: F.struct(
@@ -315,10 +396,11 @@ def _kept_column(window: int):
     return of("text", "first", "size")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
+                   hot: int = HOT) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row; ``kept`` is the text that stays, its
     words joined by one space."""
-    ranges = stored(repeated_ranges(docs, window, gram), "repeats")
+    ranges = stored(repeated_ranges(docs, window, gram, hot), "repeats")
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     return (keyed.join(ranges, ["doc_id", "text_key"], "left")
             .select("doc_id", _kept_column(window).alias("k"))

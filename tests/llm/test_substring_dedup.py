@@ -5,9 +5,11 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from casetrail.llm import queries
 from casetrail.llm import substring_dedup as sub
@@ -54,8 +56,8 @@ def test_words_of_a_line(text):
                    for i in range(len(words)) for j in range(i))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_overlaps(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed, hot", [(1, sub.HOT), (2, sub.HOT), (1, 5), (2, 0)])
+def test_random_overlaps(spark, seed, hot, monkeypatch):
     monkeypatch.setattr(sub, "FLUSH_BYTES", 4000)
     rng = random.Random(seed)
     vocabulary = [f"w{i}é" for i in range(300)]
@@ -70,13 +72,50 @@ def test_random_overlaps(spark, seed, monkeypatch):
     rows += [(70, None), (71, ""), (72, "same " * 4000), (73, "same " * 30), (74, " \t\x0b"),
              (2, rows[0][1]), (2, rows[0][1]), (75, "a b " * 40), (1, "a b " * 30)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, first string")
-    got = sub.remove_repeats(df.repartition(5), window=12, gram=3).collect()
+    got = sub.remove_repeats(df.repartition(5), window=12, gram=3, hot=hot).collect()
     want = brute(rows, 12)
     key = repr
     assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got], key=key) == sorted(
         [(d, *w) for (d, _), w in zip(rows, want)], key=key)
 
 
+def test_phrase_that_a_third_of_the_documents_hold(spark, monkeypatch):
+    """Its minimiser is hot: the strings around it are dealt over all buckets, counts stay exact."""
+    monkeypatch.setattr(sub, "FLUSH_BYTES", 20_000)
+    rng = random.Random(5)
+    phrase = [f"hot{i}" for i in range(8)]
+    shared = [f"s{i}" for i in range(4)]
+    rows = []
+    for i in range(240):
+        words = [f"u{rng.randint(0, 10 ** 9)}" for _ in range(40)]
+        if i % 3 == 0:
+            # words around the phrase that some documents share: windows that repeat
+            words[15:15] = shared[:rng.randint(0, 4)] + phrase + shared[:rng.randint(0, 4)]
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    members = df.select("doc_id", F.lit(0).cast("long").alias("text_key"), "text").mapInArrow(
+        sub._members(12, 8), "m long, h1 long, h2 long, doc_id long, text_key long, at int")
+    hot = sub.hot_minimisers(members, 30)
+    assert hot and all(members.filter(members.m == np.uint64(m).astype(np.int64).item())
+                       .select("h1").distinct().count() > 20 for m in hot)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept)
+           for r in sub.remove_repeats(df, window=12, gram=8, hot=30).collect()}
+    want = brute(rows, 12)
+    assert got == {d: w for (d, _), w in zip(rows, want)}
+    assert sum(w[1] > 0 for w in want) > 20
+    counted = sub.repeated_ranges(df, 12, 8, 30)
+    assert counted.count() == sum(w[1] > 0 for w in want)
+
+
+def test_hot_strings_are_dealt_by_their_own_hash():
+    texts = [f"{' '.join(f'u{i}x{k}' for k in range(4))} a b c d {i} {i + 1} {i + 2}"
+             for i in range(200)]
+    batch = pa.record_batch([pa.array(range(200)), pa.array(texts)], ["doc_id", "text"])
+    hot = frozenset(m for t in texts for m, *_ in sub.super_kmers(t, 9, 4))
+    rows = [r for out in sub._send(8, 9, 4, hot)(iter([batch])) for r in out.to_pylist()]
+    assert sorted(r["bucket"] for r in rows) == list(range(8, 16))
+
+
 def test_query_against_sql_and_brute_force(spark, sf_small):
     con = duckdb.connect()
     con.execute(f"create view documents as from '{sf_small}/documents.parquet'")
