@@ -1,20 +1,27 @@
-"""Benchmark decontamination: an exact filter on shared words, then local alignment.
+"""Benchmark decontamination: rare n-gram seeds joined to the test items, then local alignment.
 
 Words are lower-cased, ASCII punctuation separates them.  Documents are aligned with the items:
 Smith-Waterman over words (match 1, mismatch and gap ``PENALTY``).  The score is the best
 local alignment divided by the item's length; at ``THRESHOLD`` or more the document holds
 an exact, paraphrased or edited copy of the item.
 
-Only stretches that can reach the threshold are aligned.  An alignment of m matches over a
-stretch of L words scores at most (1 + PENALTY) m - PENALTY L, so with 1 for every word that the
-item has and -PENALTY for every other word, some stretch of the document must sum to THRESHOLD
-times the item's length.  A first pass leaves out the item's words that most items share, up
-to x of its places, and asks for (1 + PENALTY) x less; a second one counts all its words.  Neither
-can lose an alignment, whatever words a copy replaces, drops or adds.
+Seeds.  An item's seeds are its rarest pairs of neighbouring words and its rarest words, by their
+counts in the whole corpus, so many that no alignment at the threshold avoids all of them.  Of an
+item of n words, leave out the c commonest of the n - 1 pairs.  An alignment that holds no other
+pair intact pays ``PENALTY`` for each it breaks by added words, and no less for pairs that it
+breaks by u words replaced, dropped or cut off, which cost it u (1 - PENALTY) more:
+PENALTY (n - 1 - c) + (1 - PENALTY) u <= (1 - threshold) n.  So it matches all but u of the
+item's words, and any u + 1 of them as seeds find it.  c is chosen for the fewest seed hits.
 
-The test items are dealt into blocks of a fixed text size (``BLOCK_CHARS``), and each block is
-joined to the documents where they are read: the size of what travels is bounded whatever the
-size of the benchmark.
+The corpus is read twice for n-grams, to count the items' and to find the seeds.  A bitmap of a
+fixed size (``BITS``) keeps other n-grams from leaving their task; both steps end in equi-joins
+in Spark, so neither items nor seeds are collected.  Each text then gets its candidate items in
+blocks of ``BLOCK_CHARS`` (all items are dealt into blocks of that size), and only the stretches
+around seeds that can reach the threshold are aligned: with 1 for every word that the item has and
+-PENALTY for every other word, some stretch must sum to the threshold times the item's length.
+
+Skew: counts and seed hits combine before they shuffle; a common n-gram is a seed only where the
+item has no rarer ones; joins can be split by adaptive execution.
 
 Defined cases: null texts count as empty and match nothing; an item without words matches
 nothing; repeated rows and repeated items each give their rows; extra columns are ignored (``drop_leaks`` keeps them); empty
@@ -24,24 +31,31 @@ tables give empty results.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, fresh, texts
+from .common import columns, fresh, stored, texts
 
 PENALTY = 0.5
 THRESHOLD = 0.5
-BLOCK_CHARS = 8_000_000
+#: Characters of items in one block: a text travels with the candidates of one block at a time.
+BLOCK_CHARS = 1_000_000
+#: Bits of the bitmap of n-grams (8 MB, whatever the size of the benchmark).
+BITS = 1 << 26
 #: Cells of one batch of alignments (memory bound).
 CELLS = 1 << 20
-#: Share of the threshold that the words left out of the first pass may make up.
+#: N-grams that a task gathers before it counts them, and words whose hashes it remembers.
+GATHERED, REMEMBERED = 1 << 20, 1 << 18
+#: Share of the threshold that the words left out of a search without seeds may make up.
 SHARED = 0.75
 _EPS = 1e-9
-LEAKS = "array<struct<item_id:bigint,score:double,first_word:int,last_word:int>>"
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -50,10 +64,49 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_SPACED).split()
 
 
+def reaches(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """The longest stretches of words of alignments that reach the threshold."""
+    return np.ceil(sizes * max(1.0, (1 + PENALTY - threshold) / PENALTY)).astype(int)
+
+
+class Grams:
+    """64-bit codes of words and of pairs of neighbouring words; equal n-grams have equal codes."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        words = words_of(text)
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        two = one[:-1] * _MIX[0] + one[1:]
+        two = (two ^ (two >> np.uint64(29))) * _MIX[1]
+        return one, two ^ (two >> np.uint64(32))
+
+
+def seeds(words: np.ndarray, pairs: np.ndarray, threshold: float = THRESHOLD,
+          penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words and of the pairs of an item that are its seeds, from their counts in
+    the corpus: every alignment that reaches the threshold holds one of them."""
+    n = len(words)
+    by_word, by_pair = np.argsort(words, kind="stable"), np.argsort(pairs, kind="stable")
+    left = np.arange(len(pairs), -1, -1)                       # pairs that are seeds
+    free = ((1 - threshold) * n - penalty * left) / (1 - penalty)
+    needed = np.clip(np.floor(free + _EPS).astype(int) + 1, 0, n)
+    hits = (np.concatenate(([0], np.cumsum(pairs[by_pair])))[left]
+            + np.concatenate(([0], np.cumsum(words[by_word])))[needed])
+    best = int(np.argmin(hits))
+    return by_word[:needed[best]], by_pair[:left[best]]
+
+
 class Items:
     """A block of test items as word numbers, and for every word the items to look at."""
 
-    def __init__(self, rows: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, rows: list[tuple[object, str]], threshold: float = THRESHOLD):
         lists = [(item_id, words) for item_id, text in rows if (words := words_of(text))]
         self.ids = [item_id for item_id, _ in lists]
         self.number: dict[bytes, int] = {}
@@ -64,39 +117,40 @@ class Items:
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.own = [np.unique(w) for w in self.words]
         self.threshold = threshold
-        #: The longest stretch of words of an alignment that reaches the threshold.
-        self.reach = np.ceil(self.sizes * max(1.0, (1 + PENALTY - threshold) / PENALTY)).astype(int)
-        self.set_holders()
+        self.reach = reaches(self.sizes, threshold)
 
     def numbers(self, text: str | None) -> np.ndarray:
         words = words_of(text)
         return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
 
-    def set_holders(self) -> None:
-        """Per word the items that the first pass counts it for, and the places left out."""
+    @cached_property
+    def _held(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per word the items that a search without seeds counts it for: the items by word, where
+        each word's begin, and the places of every item left out."""
         held = np.bincount(np.concatenate([*self.own, np.zeros(0, np.int64)]),
                            minlength=len(self.number))
-        words, items, self.left_out = [], [], np.zeros(len(self.words), np.int64)
+        words, items, left_out = [], [], np.zeros(len(self.words), np.int64)
         for i, (own, all_words) in enumerate(zip(self.own, self.words)):
             places = np.bincount(np.searchsorted(own, all_words))
             order = np.argsort(-held[own], kind="stable")
             out = np.cumsum(places[order])
             most = int(SHARED * self.threshold * len(all_words) / (1 + PENALTY))
             first = np.searchsorted(out, most, "right")
-            self.left_out[i] = out[first - 1] if first else 0
+            left_out[i] = out[first - 1] if first else 0
             words.append(own[order[first:]])
             items.append(np.full(len(own) - first, i))
         words = np.concatenate([*words, np.zeros(0, np.int64)])
         order = np.argsort(words, kind="stable")
-        self.holders = np.concatenate([*items, np.zeros(0, np.int64)])[order]
-        self.holder_cut = np.searchsorted(words[order], np.arange(len(self.number) + 1))
+        return (np.concatenate([*items, np.zeros(0, np.int64)])[order],
+                np.searchsorted(words[order], np.arange(len(self.number) + 1)), left_out)
 
     def _stretches(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, first, end), sorted by both: every alignment that reaches the threshold lies
-        within one; first pass."""
+        within one; a search without seeds."""
+        holders, cut, left_out = self._held
         known = np.flatnonzero(words >= 0)
-        low = self.holder_cut[words[known]]
-        sizes = self.holder_cut[words[known] + 1] - low
+        low = cut[words[known]]
+        sizes = cut[words[known] + 1] - low
         reach = self.reach
         before = np.concatenate(([0], np.cumsum(sizes)))
         found, at = [], 0
@@ -106,11 +160,11 @@ class Items:
             a = int(np.searchsorted(known, known[at] - reach.max()))
             n = sizes[a:end]
             hit = np.repeat(low[a:end] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            item, place = self.holders[hit], np.repeat(known[a:end], n)
+            item, place = holders[hit], np.repeat(known[a:end], n)
             order = np.argsort(item, kind="stable")
             item, place = item[order], place[order]
             best = best_ending(item, place, len(words))
-            need = self.threshold * self.sizes - (1 + PENALTY) * self.left_out
+            need = self.threshold * self.sizes - (1 + PENALTY) * left_out
             good = (best >= need[item] - _EPS) & (place >= known[at])
             found.append((item[good], place[good]))
             at = end
@@ -122,10 +176,18 @@ class Items:
         first, end = place - reach[item], place + reach[item] + 1
         yield from _merged(zip(item[order].tolist(), first[order].tolist(), end[order].tolist()))
 
-    def windows(self, words: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, first, end) of the stretches of a document that must be aligned."""
+    def around(self, hits: Iterable[tuple[int, list[int]]]) -> Iterator[tuple[int, int, int]]:
+        """(item, first, end) of the stretches around seeds, given as items and their places."""
+        for item, places in hits:
+            reach = int(self.reach[item])
+            yield from _merged((item, p - reach, p + reach + 2) for p in sorted(places))
+
+    def windows(self, words: np.ndarray,
+                hits: Iterable[tuple[int, list[int]]] | None = None) -> list[tuple[int, int, int]]:
+        """(item, first, end) of the stretches of a document that must be aligned: around the
+        given seeds, or anywhere if there are none given."""
         out = []
-        for item, first, end in self._stretches(words):
+        for item, first, end in self._stretches(words) if hits is None else self.around(hits):
             first, end = max(0, first), min(len(words), end)
             own = self.own[item]
             part = words[first:end]
@@ -202,12 +264,13 @@ def _batches(pairs: list[tuple]) -> Iterator[list[tuple]]:
         yield batch
 
 
-def _leaks(items: Items, whole: list[str | None], threshold: float) -> list[list[dict]]:
+def _leaks(items: Items, whole: list[str | None], threshold: float,
+           hits: list[list[tuple[int, list[int]]]] | None = None) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in whole]
     pairs = []
     for row, text in enumerate(whole):
         numbers = items.numbers(text)
-        for item, first, end in items.windows(numbers):
+        for item, first, end in items.windows(numbers, hits and hits[row]):
             pairs.append(((row, item, first), items.words[item], numbers[first:end].copy()))
     best: dict[tuple[int, int], dict] = {}
     for batch in _batches(pairs):
@@ -232,48 +295,183 @@ def _leaks(items: Items, whole: list[str | None], threshold: float) -> list[list
     return out
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
-    """The benchmark in blocks of about ``block_chars`` characters."""
-    chars = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-chars // block_chars)
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
-    return [benchmark.filter(place == b) for b in range(blocks)]
-
-
-def leaks_column(items: Items, text: Column, threshold: float = THRESHOLD) -> Column:
-    """All items of a block that a text holds, with score and span of words."""
-    @F.arrow_udf(LEAKS)
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()),
-                                   ("first_word", pa.int32()), ("last_word", pa.int32())]))
-        for column in batches:
-            yield pa.array(_leaks(items, column.to_pylist(), threshold), kind)
-    return of(text)
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The different item texts, dealt into blocks of about ``block_chars`` characters."""
+    items = (benchmark.filter("text is not null").select("text").distinct()
+             .select(text_key(F.col("text")).alias("item"), "text"))
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    return items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(-(-chars // block_chars) or 1)))
+
+
+def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (item, place, pair, gram): every word and every pair of an item."""
+    grams = Grams()
+    for batch in batches:
+        row, place, pair, code = [], [], [], []
+        for k, text in enumerate(texts(batch.column("text"))):
+            for kind, codes in enumerate(grams(text)):
+                row.append(np.full(len(codes), k))
+                place.append(np.arange(len(codes)))
+                pair.append(np.full(len(codes), bool(kind)))
+                code.append(codes.view(np.int64))
+        if row:
+            yield pa.record_batch(
+                [batch.column("item").take(pa.array(np.concatenate(row))),
+                 pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(pair)),
+                 pa.array(np.concatenate(code))], ["item", "place", "pair", "gram"])
+
+
+def bitmap(grams: DataFrame) -> np.ndarray:
+    """The bits of all n-gram codes, modulo ``BITS``: 8 MB at most."""
+    place = F.pmod("gram", F.lit(BITS)) + 1
+    parts = (grams.select(place.alias("p"))
+             .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in parts:
+        at = (r.bucket - 1) * len(r.bits)
+        out[at:at + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
-def _prepared(benchmark: DataFrame, threshold: float) -> Iterator[Items]:
-    for block in item_blocks(benchmark.select("item_id", "text")):
-        items = Items([(r.item_id, r.text) for r in block.orderBy("item_id", "text").collect()],
-                      threshold)
-        if items.words:
-            yield items
+def _marked(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The places of the n-grams that the bitmap may hold."""
+    place = codes % np.uint64(BITS)
+    return np.flatnonzero(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+
+
+def _counted(bits: np.ndarray):
+    """Rows (gram, n): the items' n-grams in a task's texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out():
+            codes, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch([pa.array(codes.view(np.int64)), pa.array(n, pa.int64())],
+                                   ["gram", "n"])
+        grams, held, size = Grams(), [], 0
+        for batch in batches:
+            for text in texts(batch.column("text")):
+                for codes in grams(text):
+                    held.append(codes[_marked(bits, codes)])
+                    size += len(held[-1])
+                if size > GATHERED or len(held) > GATHERED:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+    return run
+
+
+def _found(bits: np.ndarray):
+    """Rows (text_key, gram, place): the seeds in a task's texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                row, code, place = [], [], []
+                for k, text in enumerate(texts(part.column("text"))):
+                    for codes in grams(text):
+                        hits = _marked(bits, codes)
+                        row.append(np.full(len(hits), k))
+                        code.append(codes[hits].view(np.int64))
+                        place.append(hits)
+                yield pa.record_batch(
+                    [part.column("text_key").take(pa.array(np.concatenate(row))),
+                     pa.array(np.concatenate(code)),
+                     pa.array(np.concatenate(place), pa.int32())], ["text_key", "gram", "place"])
+    return run
+
+
+def _chosen(threshold: float):
+    """Rows (item, gram): the seeds of every item, from its counted n-grams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, code = [], []
+            for k, grams in enumerate(batch.column("grams").to_pylist()):
+                grams.sort(key=lambda g: (g["pair"], g["place"]))
+                cut = sum(not g["pair"] for g in grams)
+                n = np.array([g["n"] for g in grams], np.int64)
+                words, pairs = seeds(n[:cut], n[cut:], threshold)
+                own = {grams[i]["gram"] for i in (*words, *(cut + pairs))}
+                row += [k] * len(own)
+                code += own
+            yield pa.record_batch([batch.column("item").take(pa.array(row, pa.int32())),
+                                   pa.array(code, pa.int64())], ["item", "gram"])
+    return run
+
+
+def item_seeds(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(item, gram): the seeds of every item, by the n-grams' counts in all the documents."""
+    grams = stored(items.select("item", "text").mapInArrow(
+        _item_grams, "item binary, place int, pair boolean, gram long"), "item-grams")
+    counts = (docs.select("text").mapInArrow(_counted(bitmap(grams)), "gram long, n long")
+              .groupBy("gram").agg(F.sum("n").alias("n")))
+    counted = grams.join(counts, "gram", "left").select(
+        "item", F.struct("place", "pair", "gram", F.coalesce("n", F.lit(0)).alias("n")).alias("g"))
+    return stored(counted.groupBy("item").agg(F.collect_list("g").alias("grams"))
+                  .mapInArrow(_chosen(threshold), "item binary, gram long"), "item-seeds")
+
+
+def candidates(keyed: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(text_key, block, found): the items of a block that share seeds with a text, and where."""
+    chosen = item_seeds(keyed, items, threshold)
+    hits = keyed.select("text_key", "text").mapInArrow(
+        _found(bitmap(chosen)), "text_key binary, gram long, place int")
+    pairs = (hits.join(chosen, "gram").groupBy("text_key", "item")
+             .agg(F.collect_set("place").alias("places")))
+    return (pairs.join(items, "item").groupBy("text_key", "block")
+            .agg(F.collect_list(F.struct("item", "text", "places")).alias("found")))
+
+
+def _aligned(threshold: float):
+    """Rows (doc_id, text_key, item, score, first_word, last_word) of texts with candidates."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                found = part.column("found").to_pylist()
+                block = Items(list({f["item"]: f["text"] for row in found for f in row}.items()),
+                              threshold)
+                number = {item: k for k, item in enumerate(block.ids)}
+                hits = [[(number[f["item"]], f["places"]) for f in row] for row in found]
+                leaked = _leaks(block, part.column("text").to_pylist(), threshold, hits)
+                where = pa.array([k for k, row in enumerate(leaked) for _ in row], pa.int32())
+                flat = [f for row in leaked for f in row]
+                yield pa.record_batch(
+                    [part.column("doc_id").take(where), part.column("text_key").take(where),
+                     pa.array([f["item_id"] for f in flat], pa.binary()),
+                     pa.array([f["score"] for f in flat], pa.float64()),
+                     pa.array([f["first_word"] for f in flat], pa.int32()),
+                     pa.array([f["last_word"] for f in flat], pa.int32())],
+                    ["doc_id", "text_key", "item", "score", "first_word", "last_word"])
+    return run
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+    """The leaks of every row of ``docs``, by the keys of its text and of the item's text."""
+    keyed = (docs.filter("text is not null")
+             .select("doc_id", text_key(F.col("text")).alias("text_key"), "text"))
+    found = stored(candidates(keyed, item_blocks(benchmark), threshold), "candidates")
+    return keyed.join(found, "text_key").select("doc_id", "text_key", "text", "found").mapInArrow(
+        _aligned(threshold), "doc_id long, text_key binary, item binary, score double, "
+        "first_word int, last_word int")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of every document and item it holds."""
-    found = docs.sparkSession.createDataFrame(
-        [], "doc_id bigint, item_id bigint, score double, first_word int, last_word int")
-    for items in _prepared(benchmark, threshold):
-        found = found.unionByName(
-            docs.select("doc_id", F.explode(leaks_column(items, F.col("text"), threshold))
-                        .alias("l")).select("doc_id", "l.*"))
-    return found
+    ids = benchmark.select("item_id", text_key(F.col("text")).alias("item"))
+    return _matches(docs, benchmark, threshold).join(ids, "item").select(
+        "doc_id", "item_id", "score", "first_word", "last_word")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no test item; all columns stay."""
-    held, kept = fresh("_leaks", docs), docs
-    for items in _prepared(benchmark, threshold):
-        kept = (kept.withColumn(held, leaks_column(items, F.col("text"), threshold))
-                .filter(F.size(held) == 0).select(*columns(docs)))
-    return kept
+    key = fresh("_text_key", docs)
+    leaked = stored(_matches(docs, benchmark, threshold).select("text_key").distinct(), "leaked")
+    return (docs.withColumn(key, text_key(F.col("text")))
+            .join(leaked.withColumnRenamed("text_key", key), key, "left_anti")
+            .select(*columns(docs)))

@@ -141,3 +141,54 @@ def test_parts_of_a_long_document(monkeypatch):
     whole = dec._leaks(items, [text], dec.THRESHOLD)
     monkeypatch.setattr(dec, "CELLS", 7)
     assert dec._leaks(items, [text], dec.THRESHOLD) == whole and len(whole[0]) == 2
+
+
+def test_every_alignment_holds_a_seed():
+    """Random edits of an item, seeds by random counts: what scores enough shares a seed."""
+    rng = random.Random(8)
+    grams = dec.Grams()
+    reached = tight = 0
+    for _ in range(3000):
+        n = rng.randint(1, 14)
+        item = [f"i{rng.randint(0, 30)}" for _ in range(n)]
+        one, two = grams(" ".join(item))
+        words, pairs = dec.seeds(np.array([rng.choice([0, 1, 9, 500]) for _ in one], np.int64),
+                                 np.array([rng.choice([0, 1, 9, 500]) for _ in two], np.int64))
+        own = set(one[words].tolist()), set(two[pairs].tolist())
+        share = rng.choice([0.1, 0.3, 0.6, 0.95])
+        copy = []
+        for k, w in enumerate(item):
+            # edits aimed at seeds: added words behind a seed pair, seed words replaced
+            hit = k in words or k in pairs
+            if rng.random() < (share if hit else share / 3):
+                copy += rng.choice([["new"], [], [w, "new"], [w, "new"]])
+            else:
+                copy.append(w)
+        block = dec.Items([(0, " ".join(item))])
+        numbers = block.numbers(" ".join(copy))
+        score = dec.align(block.words, [numbers])[0][0] / n if len(numbers) else 0
+        if score >= dec.THRESHOLD:
+            reached += 1
+            found = [set(c.tolist()) for c in grams(" ".join(copy))]
+            assert found[0] & own[0] or found[1] & own[1]
+            tight += score < 0.6
+    assert reached > 500 and tight > 100
+
+
+def test_seeds_prefer_rare_grams():
+    words, pairs = np.array([900, 1, 900, 2, 3, 900]), np.array([1, 0, 800, 0, 1])
+    chosen = dec.seeds(words, pairs)
+    assert 2 not in chosen[1] and not set(chosen[0]) & {0, 2, 5}
+    assert sorted(chosen[1]) == [0, 1, 3, 4] and sorted(chosen[0]) == [1, 3, 4]
+    none = dec.seeds(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert len(none[0]) == len(none[1]) == 0
+
+
+def test_bitmap_keeps_every_gram(spark):
+    codes = np.random.default_rng(3).integers(-2 ** 63, 2 ** 63, 500)
+    codes[:3] = [0, -1, dec.BITS]
+    df = spark.createDataFrame([(int(c),) for c in codes], "gram long")
+    bits = dec.bitmap(df)
+    assert len(dec._marked(bits, codes.view(np.uint64))) == 500
+    others = np.random.default_rng(4).integers(0, 2 ** 63, 500).astype(np.uint64)
+    assert len(dec._marked(bits, others)) < 5
