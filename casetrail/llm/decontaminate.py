@@ -36,22 +36,24 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns, fresh, stored, texts
+from .substring_dedup import word_hashes
 
 PENALTY = 0.5
 THRESHOLD = 0.5
 #: Characters of items in one block: a text travels with the candidates of one block at a time.
 BLOCK_CHARS = 1_000_000
-#: Bits of the bitmap of n-grams (8 MB, whatever the size of the benchmark).
-BITS = 1 << 26
+#: Most bits of a bitmap of n-grams (8 MB, whatever the size of the benchmark), and bits per
+#: n-gram of a smaller one.
+BITS, GRAM_BITS = 1 << 26, 256
 #: Cells of one batch of alignments (memory bound).
 CELLS = 1 << 20
-#: N-grams that a task gathers before it counts them, and words whose hashes it remembers.
-GATHERED, REMEMBERED = 1 << 20, 1 << 18
+#: Characters that a task cuts into words at a time (or one text), and n-grams that it gathers
+#: before it counts them.
+CUT_CHARS, GATHERED = 1_000_000, 1 << 20
 #: Share of the threshold that the words left out of a search without seeds may make up.
 SHARED = 0.75
 _EPS = 1e-9
@@ -69,23 +71,25 @@ def reaches(sizes: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(sizes * max(1.0, (1 + PENALTY - threshold) / PENALTY)).astype(int)
 
 
-class Grams:
-    """64-bit codes of words and of pairs of neighbouring words; equal n-grams have equal codes."""
+def grams(whole: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the words of the texts, one text after another, and of the pairs that begin with
+    them (a text's last word begins none: 0), and where the texts' words begin.
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = words_of(text)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        two = one[:-1] * _MIX[0] + one[1:]
-        two = (two ^ (two >> np.uint64(29))) * _MIX[1]
-        return one, two ^ (two >> np.uint64(32))
+    Equal n-grams have equal codes.  Some long words share theirs (see ``word_hashes``), which can
+    only add candidates.
+    """
+    parts = [(t or "").lower().encode().translate(_SPACED) for t in whole]
+    line = np.frombuffer(b" ".join([b"", *parts, b""]), np.uint8)
+    edges = np.flatnonzero(np.diff(line != 32)) + 1
+    begins, ends = edges[::2], edges[1::2]
+    starts = np.searchsorted(begins, np.cumsum([0, *(len(t) + 1 for t in parts)]))
+    one = word_hashes(line, begins, ends)
+    two = np.zeros(len(one), np.uint64)
+    code = one[:-1] * _MIX[0] + one[1:]
+    code = (code ^ (code >> np.uint64(29))) * _MIX[1]
+    two[:-1] = code ^ (code >> np.uint64(32))
+    two[starts[1:][np.diff(starts) > 0] - 1] = 0
+    return one, two, starts
 
 
 def seeds(words: np.ndarray, pairs: np.ndarray, threshold: float = THRESHOLD,
@@ -176,6 +180,14 @@ class Items:
         first, end = place - reach[item], place + reach[item] + 1
         yield from _merged(zip(item[order].tolist(), first[order].tolist(), end[order].tolist()))
 
+    def present(self, words: np.ndarray, hits: list[tuple[int, list[int]]]
+                ) -> list[tuple[int, list[int]]]:
+        """The hits whose items have enough words anywhere in the document."""
+        has = np.zeros(len(self.number) + 1, bool)
+        has[words] = True                                    # an unknown word sets the last
+        return [(item, places) for item, places in hits if
+                np.count_nonzero(has[self.words[item]]) >= self.threshold * self.sizes[item] - _EPS]
+
     def around(self, hits: Iterable[tuple[int, list[int]]]) -> Iterator[tuple[int, int, int]]:
         """(item, first, end) of the stretches around seeds, given as items and their places."""
         for item, places in hits:
@@ -270,7 +282,8 @@ def _leaks(items: Items, whole: list[str | None], threshold: float,
     pairs = []
     for row, text in enumerate(whole):
         numbers = items.numbers(text)
-        for item, first, end in items.windows(numbers, hits and hits[row]):
+        near = items.present(numbers, hits[row]) if hits else None
+        for item, first, end in items.windows(numbers, near):
             pairs.append(((row, item, first), items.words[item], numbers[first:end].copy()))
     best: dict[tuple[int, int], dict] = {}
     for batch in _batches(pairs):
@@ -309,29 +322,27 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
 
 def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (item, place, pair, gram): every word and every pair of an item."""
-    grams = Grams()
-    for batch in batches:
-        row, place, pair, code = [], [], [], []
-        for k, text in enumerate(texts(batch.column("text"))):
-            for kind, codes in enumerate(grams(text)):
-                row.append(np.full(len(codes), k))
-                place.append(np.arange(len(codes)))
-                pair.append(np.full(len(codes), bool(kind)))
-                code.append(codes.view(np.int64))
-        if row:
-            yield pa.record_batch(
-                [batch.column("item").take(pa.array(np.concatenate(row))),
-                 pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(pair)),
-                 pa.array(np.concatenate(code))], ["item", "place", "pair", "gram"])
-
-
-def bitmap(grams: DataFrame) -> np.ndarray:
-    """The bits of all n-gram codes, modulo ``BITS``: 8 MB at most."""
-    place = F.pmod("gram", F.lit(BITS)) + 1
-    parts = (grams.select(place.alias("p"))
+    for part, whole in _parts(batches):
+        one, two, starts = grams(whole)
+        row = np.repeat(np.arange(len(whole)), np.diff(starts))
+        place = np.arange(len(one)) - starts[row]
+        begins = np.flatnonzero(np.diff(row, append=-1) == 0)          # not a text's last word
+        yield pa.record_batch(
+            [part.column("item").take(pa.array(np.concatenate((row, row[begins])))),
+             pa.array(np.concatenate((place, place[begins])), pa.int32()),
+             pa.array(np.repeat([False, True], [len(one), len(begins)])),
+             pa.array(np.concatenate((one, two[begins])).view(np.int64))],
+            ["item", "place", "pair", "gram"])
+
+
+def bitmap(codes: DataFrame) -> np.ndarray:
+    """The bits of all n-gram codes, modulo a power of two of them: 8 MB at most."""
+    size = min(BITS, max(1 << 15, 1 << (GRAM_BITS * codes.count()).bit_length()))
+    place = F.pmod("gram", F.lit(size)) + 1
+    parts = (codes.select(place.alias("p"))
              .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
-    out = np.zeros(BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in parts:
         at = (r.bucket - 1) * len(r.bits)
         out[at:at + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
@@ -340,10 +351,24 @@ def bitmap(grams: DataFrame) -> np.ndarray:
 
 def _marked(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """The places of the n-grams that the bitmap may hold."""
-    place = codes % np.uint64(BITS)
+    place = codes & np.uint64(8 * len(bits) - 1)
     return np.flatnonzero(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of batches and their texts, of about ``CUT_CHARS`` characters or one row."""
+    for batch in batches:
+        whole = texts(batch.column("text"))
+        at = size = 0
+        for k, text in enumerate(whole):
+            if k > at and size + len(text) > CUT_CHARS:
+                yield batch.slice(at, k - at), whole[at:k]
+                at, size = k, 0
+            size += len(text)
+        if whole:
+            yield batch.slice(at), whole[at:]
+
+
 def _counted(bits: np.ndarray):
     """Rows (gram, n): the items' n-grams in a task's texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,15 +376,14 @@ def _counted(bits: np.ndarray):
             codes, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.record_batch([pa.array(codes.view(np.int64)), pa.array(n, pa.int64())],
                                    ["gram", "n"])
-        grams, held, size = Grams(), [], 0
-        for batch in batches:
-            for text in texts(batch.column("text")):
-                for codes in grams(text):
-                    held.append(codes[_marked(bits, codes)])
-                    size += len(held[-1])
-                if size > GATHERED or len(held) > GATHERED:
-                    yield out()
-                    held, size = [], 0
+        held, size = [], 0
+        for _, whole in _parts(batches):
+            for codes in grams(whole)[:2]:
+                held.append(codes[_marked(bits, codes)])
+                size += len(held[-1])
+            if size > GATHERED:
+                yield out()
+                held, size = [], 0
         if held:
             yield out()
     return run
@@ -368,21 +392,15 @@ def _counted(bits: np.ndarray):
 def _found(bits: np.ndarray):
     """Rows (text_key, gram, place): the seeds in a task's texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                row, code, place = [], [], []
-                for k, text in enumerate(texts(part.column("text"))):
-                    for codes in grams(text):
-                        hits = _marked(bits, codes)
-                        row.append(np.full(len(hits), k))
-                        code.append(codes[hits].view(np.int64))
-                        place.append(hits)
-                yield pa.record_batch(
-                    [part.column("text_key").take(pa.array(np.concatenate(row))),
-                     pa.array(np.concatenate(code)),
-                     pa.array(np.concatenate(place), pa.int32())], ["text_key", "gram", "place"])
+        for part, whole in _parts(batches):
+            *both, starts = grams(whole)
+            hits = [_marked(bits, codes) for codes in both]
+            code = np.concatenate([codes[at] for codes, at in zip(both, hits)])
+            at = np.concatenate(hits)
+            row = np.searchsorted(starts, at, "right") - 1
+            yield pa.record_batch(
+                [part.column("text_key").take(pa.array(row)), pa.array(code.view(np.int64)),
+                 pa.array(at - starts[row], pa.int32())], ["text_key", "gram", "place"])
     return run
 
 
@@ -391,12 +409,12 @@ def _chosen(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, code = [], []
-            for k, grams in enumerate(batch.column("grams").to_pylist()):
-                grams.sort(key=lambda g: (g["pair"], g["place"]))
-                cut = sum(not g["pair"] for g in grams)
-                n = np.array([g["n"] for g in grams], np.int64)
+            for k, counted in enumerate(batch.column("grams").to_pylist()):
+                counted.sort(key=lambda g: (g["pair"], g["place"]))
+                cut = sum(not g["pair"] for g in counted)
+                n = np.array([g["n"] for g in counted], np.int64)
                 words, pairs = seeds(n[:cut], n[cut:], threshold)
-                own = {grams[i]["gram"] for i in (*words, *(cut + pairs))}
+                own = {counted[i]["gram"] for i in (*words, *(cut + pairs))}
                 row += [k] * len(own)
                 code += own
             yield pa.record_batch([batch.column("item").take(pa.array(row, pa.int32())),
@@ -406,11 +424,11 @@ def _chosen(threshold: float):
 
 def item_seeds(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(item, gram): the seeds of every item, by the n-grams' counts in all the documents."""
-    grams = stored(items.select("item", "text").mapInArrow(
+    own = stored(items.select("item", "text").mapInArrow(
         _item_grams, "item binary, place int, pair boolean, gram long"), "item-grams")
-    counts = (docs.select("text").mapInArrow(_counted(bitmap(grams)), "gram long, n long")
+    counts = (docs.select("text").mapInArrow(_counted(bitmap(own)), "gram long, n long")
               .groupBy("gram").agg(F.sum("n").alias("n")))
-    counted = grams.join(counts, "gram", "left").select(
+    counted = own.join(counts, "gram", "left").select(
         "item", F.struct("place", "pair", "gram", F.coalesce("n", F.lit(0)).alias("n")).alias("g"))
     return stored(counted.groupBy("item").agg(F.collect_list("g").alias("grams"))
                   .mapInArrow(_chosen(threshold), "item binary, gram long"), "item-seeds")
