@@ -9,11 +9,14 @@ of an article don't look like a template, and a node is judged only where ``PAGE
 pages have it.
 
 Entropy alone can't cut menus, adverts and footers whose words differ from page to page (as
-in the given pages), nor may it cut an article that many pages share.  Two markup rules come
-first: elements that HTML or their names mark as menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or comments are always cut, and elements of the article (or
-main) that remain are always kept.  A name alone cuts no element that holds an article or main,
-and in an article no ``header``, which is its heading.
+in the given pages).  Markup comes first: elements that HTML or their names mark as menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments are always cut,
+and of a page with an article (or main) only that is read.  A name alone cuts no element that
+holds an article or main, and in an article no ``header``, which is its heading.  The tree then
+judges what remains of every page, in articles too: by-lines, boxes and closing lines that a
+host repeats there are cut.  Three rules keep it from cutting an article that pages share: pages
+with the same article count once, plain inline elements of an article belong to their block, and
+neither a heading by itself nor a whole article is noise.
 
 Each page is parsed where it is read, once for the tree and once for its text; only hashes of
 nodes are shuffled, pre-aggregated, and the noise nodes of a host come back as one row whose size
@@ -70,6 +73,8 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|href|src)\s*=\s*("[^"]*"|'[^']*'|[^
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
+_HEADING = re.compile(r"h[1-6](?![a-z0-9])")
+_HEAD = re.compile(r"/head(?![a-z0-9-])")
 _END_RAW = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW}
 
 
@@ -202,7 +207,8 @@ def parse(html: str) -> tuple[list[Block], dict[str, tuple[str, str]]]:
                 own[0] = False
         if cut and not parent.cut:
             flush()
-        path = parent.path if len(stack) > DEPTH else f"{parent.path}/{tag}{label}"
+        inline = in_article and tag not in BLOCKS and not label
+        path = parent.path if inline or len(stack) > DEPTH else f"{parent.path}/{tag}{label}"
         node = Node(tag, path, cut, content, named)
         if target:
             node.links.append(target)
@@ -219,18 +225,29 @@ def parse(html: str) -> tuple[list[Block], dict[str, tuple[str, str]]]:
                     for path in styles if path}
 
 
-def main_text(html: str, noise: frozenset[str] = frozenset()) -> str:
-    """The page's blocks that neither markup nor the host's tree cuts."""
-    blocks, _ = parse(html)
+def _marked(blocks: list[Block]) -> list[Block]:
+    """The blocks that markup leaves: those of the articles, or else of main, or else all."""
     kept = [b for b in blocks if not b.cut]
     best = min((b.content for b in kept), default=len(CONTENT))
-    if best < 2:                                          # inside an article, or else main
-        kept = [b for b in kept if b.content == best]
-    elif noise:
-        kept = [b for b in kept if not _under(b.path, noise)]
+    return [b for b in kept if b.content == best] if best < 2 else kept
+
+
+def main_text(html: str, noise: frozenset[str] = frozenset()) -> str:
+    """The page's blocks that neither markup nor the host's tree cuts."""
+    kept = _marked(parse(html)[0])
+    if noise:
+        own = [b for b in kept if not _noise(b, noise)]
+        if own or not (kept and kept[0].content < 2):     # a whole article is no template
+            kept = own
     return "\n\n".join(b.text for b in kept)
 
 
+def _noise(block: Block, noise: frozenset[str]) -> bool:
+    """Whether the tree cuts the block; an article's heading goes only with what holds it."""
+    above, _, tag = block.path.rpartition("/")
+    return _under(above if block.content < 2 and _HEADING.match(tag) else block.path, noise)
+
+
 def _under(path: str, noise: frozenset[str]) -> bool:
     """Whether the path, or one above it, is a noise node."""
     parts = path.split("/")
@@ -240,7 +257,10 @@ def _under(path: str, noise: frozenset[str]) -> bool:
 # --- the tree in Spark --------------------------------------------------------------------
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, page, style, content): the nodes of every page outside articles, hashed."""
+    """(host, path, page, style, content): the nodes of every page, hashed.
+
+    A page is known by the text that markup leaves of it.
+    """
     def mark(s: str) -> int:
         return xxhash.xxh64_intdigest(s.encode("utf-8", "replace")) - (1 << 63)
 
@@ -248,9 +268,10 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: tuple[list, ...] = ([], [], [], [], [])
         for host, html in zip(batch.column("host").to_pylist(), texts(batch.column("html"))):
             blocks, nodes = parse(html)
-            page = mark("\n".join(b.text for b in blocks))
+            own = _marked(blocks)
+            page = mark("\n".join(b.text for b in (own if own and own[0].content < 2 else blocks)))
             for path, (style, content) in nodes.items():
-                if "/article" in path or "/main" in path or "/head" in path:
+                if _HEAD.search(path):
                     continue
                 for column, value in zip(out, (host, path, page, mark(style), mark(content))):
                     column.append(value)

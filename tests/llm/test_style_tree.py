@@ -100,3 +100,36 @@ def test_empty(spark):
 ])
 def test_a_name_cuts_no_wrapper_of_an_article(page, want):
     assert tree.main_text(page) == want
+
+
+def post(i, text):
+    """A page whose article holds a host's by-line, a box and a closing line, all without names
+    that mark them."""
+    return (f"<body><nav>{i}</nav><article><h1>News</h1><div class=by><span class=who>By the desk"
+            f"</span></div><p><b>{text}<br><p>More on {i} {text}</p><div class=also><h3>Read also</h3>"
+            f"<ul><li>Our ten best</ul></div><p class=end>All rights kept</p></article>")
+
+
+def test_the_tree_cuts_what_a_host_repeats_in_its_articles(spark):
+    rows = [(i, f"http://post.org/{i}", post(i, f"story {i}")) for i in range(9)]
+    # one article under many menus, and articles that share their first paragraph
+    rows += [(100 + i, f"http://same.org/{i}", post(0, "one story").replace("<nav>0", f"<nav>{i}"))
+             for i in range(9)]
+    rows += [(200 + i, f"http://near.org/{i}", f"<article><h1>News</h1><p><b>Same start<br><p>End {i}"
+              "</article>") for i in range(9)]
+    rows += [(300 + i, f"http://main.org/{i}", f"<main><p>Text {i}</p><div class=box>Box</div></main>")
+             for i in range(9)]
+    got = {r.page_id: r.text for r in tree.extract(spark.createDataFrame(
+        rows, "page_id long, url string, html string")).collect()}
+    for i in range(9):
+        assert got[i] == f"News\n\nstory {i}\n\nMore on {i} story {i}"
+        assert got[100 + i] == ("News\n\nBy the desk\n\none story\n\nMore on 0 one story\n\n"
+                                "Read also\n\nOur ten best\n\nAll rights kept")
+        assert got[200 + i] == f"News\n\nSame start\n\nEnd {i}"
+        assert got[300 + i] == f"Text {i}"
+
+
+def test_a_whole_article_is_no_template():
+    page = "<article><h1>T</h1><p>a</p></article>"
+    assert tree.main_text(page, frozenset({"/article", "/article/h1", "/article/p"})) == "T\n\na"
+    assert tree.main_text(page, frozenset({"/article/p"})) == "T"
