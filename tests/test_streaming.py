@@ -175,3 +175,18 @@ def test_a_batch_reads_and_writes_only_its_own_dates(spark, scratch):
     added = set(incremental.read_events(spark, scratch).inputFiles()) - before
     assert {f.rsplit("ingestion_date=", 1)[1][:10] for f in added} == {"2024-01-09"}
     assert before <= set(incremental.read_events(spark, scratch).inputFiles())
+
+
+def test_a_batch_of_one_file_is_parsed_by_many_tasks(spark, scratch, monkeypatch):
+    spark.createDataFrame(FEED, SCHEMA).coalesce(1).write.parquet(f"{scratch}/raw")
+    seen = []
+    staged = streaming.staged_event_stream
+
+    def watched(raw):
+        seen.append(raw._jdf.queryExecution().analyzed().toString())
+        return staged(raw)
+
+    monkeypatch.setattr(streaming, "staged_event_stream", watched)
+    sink = streaming.run_available(spark, f"{scratch}/raw", f"{scratch}/out", refresh_marts=False)
+    assert len(seen) == 1 and seen[0].lstrip("~").startswith("RepartitionByExpression")
+    assert sink.events(spark).count() == full(spark, FEED)[0].count()
