@@ -29,12 +29,13 @@ def loads(m: Models) -> DataFrame:
 def check_models(m: Models, checks) -> DataFrame:
     """Summary of ``checks``: the models that they read, and what those need, are built once
     each from the stored layer below (written under the shared checkpoint folder), and the
-    writing jobs count the row checks."""
-    from .refresh import build_stored, table_store
+    writing jobs count the row checks.  Stored are the columns that later models or checks read."""
+    from .refresh import build_stored, columns_read, table_store
     read = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
     counts = quality.RowCounts(checks)
     frames = build_stored(m.raw, table_store(m.spark), names=read, counts=counts,
-                          count_sources=bool(read & set(MODEL_NAMES)))
+                          count_sources=bool(read & set(MODEL_NAMES)),
+                          columns=columns_read(read, checks))
     return quality.run_checks(frames, checks, counts=counts)
 
 
@@ -59,10 +60,13 @@ def check_status(summary: DataFrame) -> DataFrame:
 def degraded_status(m: Models) -> DataFrame:
     """Q17: per mart, whether a check on it or on anything it reads failed, why, how badly, and
     the oldest of its sources' last loads."""
-    found = loads(m)
-    fresh = source_checks.freshness_frame(found)
+    # one pass over the sources for freshness and volume, a row a source and day
+    daily = refresh.table_store(m.spark)("loads", source_checks.daily_loads(loads(m)))
+    fresh = source_checks.freshness_frame(daily.select("source", "loaded_at"))
+    volume = source_checks.daily_volume_frame(daily.where("day is not null").select(
+        F.col("source").alias("series"), "day", F.col("n_rows").alias("value")))
     checks = check_models(m, C.ALL_CHECKS)
-    return degraded_marts(fresh, source_checks.load_status(found, fresh).unionByName(
+    return degraded_marts(fresh, source_checks.load_status(daily, fresh, volume).unionByName(
         check_status(checks)))
 
 

@@ -7,7 +7,7 @@ import pytest
 from casetrail.operators import quality
 from casetrail.operators.quality import Check, RowCounts
 from casetrail.plans import checks as C
-from casetrail.plans import dq_queries, refresh
+from casetrail.plans import dq_queries, refresh, source_checks
 from casetrail.plans.models import Models
 from casetrail.sources.fixtures import RawSources
 
@@ -77,3 +77,52 @@ def test_observed_summary_equals_scans_of_the_same_tables(spark, sf_small):
     assert got == summary(quality.run_checks(frames, C.ALL_CHECKS))
     for name in refresh.MODELS:
         assert counts.rows(name) == frames[name].count()
+
+
+def test_only_columns_that_are_read_later_are_stored(spark, sf_small):
+    m, checks = Models.shared(spark, sf_small), C.checks_of(kind="non_negative")
+    stored, write = {}, refresh.table_store(spark)
+
+    def store(name, df):
+        stored[name] = write(name, df)
+        return stored[name]
+
+    names = {c.model for c in checks}
+    counts = RowCounts(checks)
+    frames = refresh.build_stored(m.raw, store, names=names, counts=counts,
+                                  columns=refresh.columns_read(names, checks))
+    assert summary(quality.run_checks(frames, checks, counts=counts)) == summary(
+        quality.run_checks({**m.raw.frames(), **{n: m.get(n) for n in stored}}, checks))
+    assert "event_properties" not in stored["stg_events"].columns
+    assert set(stored["custom_tasks"].columns) == set(
+        refresh.READS["custom_tasks_daily"]["custom_tasks"])
+    everything = refresh.columns_read(refresh.MODELS, C.ALL_CHECKS)
+    for model, columns in everything.items():
+        if model in refresh.MODELS:
+            assert columns <= set(m.get(model).columns)
+
+
+def test_the_event_feed_is_parsed_by_many_tasks(spark, sf_small):
+    kept = spark.conf.get("spark.casetrail.eventTasks", None)
+    spark.conf.unset("spark.casetrail.eventTasks")
+    try:
+        events = RawSources(spark, sf_small).events
+        late = events.where("try_cast(ingestion_timestamp as timestamp) > '2024-01-15'")
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert late.rdd.getNumPartitions() == events.rdd.getNumPartitions() == tasks > 1
+        plan = late._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Filter") < plan.index("RepartitionByExpression")   # parsed after the deal
+        assert "date_format" not in plan[plan.index("RepartitionByExpression"):]
+    finally:
+        if kept is not None:
+            spark.conf.set("spark.casetrail.eventTasks", kept)
+
+
+def test_daily_loads_judge_as_all_loads_do(spark, sf_small):
+    found = dq_queries.loads(Models.shared(spark, sf_small))
+    daily = source_checks.daily_loads(found)
+    fresh = source_checks.freshness_frame(daily)
+    volume = source_checks.daily_volume_frame(daily.where("day is not null").selectExpr(
+        "source as series", "day", "n_rows as value"))
+    assert summary(fresh) == summary(source_checks.freshness_frame(found))
+    assert summary(volume) == summary(source_checks.volume_frame(found))
