@@ -111,3 +111,22 @@ def test_changes_without_a_load_time_reach_the_questionnaires(spark, sf_small):
     old = set(_rows(target))
     assert set(_rows(want)) - old and old - set(_rows(want))     # the changes were felt
     assert changed.count() < now["stg_assignments"].count()
+
+
+def test_a_run_leaves_no_shuffle_files_and_no_parsed_feed(spark, sf_small, scratch):
+    import os
+    from casetrail.session import SHUFFLE_CLEANUP
+
+    def shuffle_files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = disk.getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    raw = RawTables(spark, RawSources(spark, sf_small).frames())
+    before, setting = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP)
+    refresh.run_layers(spark, raw, scratch, fail_on_error=False, error_after_hours=None)
+    assert shuffle_files() <= before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    files = [f"{d}/{f}" for d, _, names in os.walk(scratch) for f in names if f.endswith(".parquet")]
+    assert not [f for f in files if "/_landed/" in f]
+    assert not [f for f in files if "/_runs/" not in f and not f.endswith(".zstd.parquet")]
